@@ -11,7 +11,8 @@ is computed from relational pieces that stay balanced:
    any hot (g, v) key map-side, and every remaining key is distinct.
 2. *slices* -- the distinct keys are range-partitioned on ``(g, v)``; Spark
    samples the keys, so a hot group is spread over many contiguous, equally
-   sized partitions.  The partition index is the slice id.
+   sized partitions.  The partition index is the slice id; the sliced
+   histogram is checkpointed so that every later reader sees the same ids.
 3. *local prefix* -- a window per ``(g, slice)`` sums the rows before each key;
    its size is bounded by one slice, never by the group.
 4. *offsets* -- one row per ``(g, slice)`` (at most groups + slices rows), a
@@ -31,6 +32,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlift.session import freeze
+
 _N = "__ll_n"
 _SLICE = "__ll_slice"
 _LT_LOCAL = "__ll_lt_local"
@@ -85,8 +88,10 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
     order = _order(order_col, ascending)
     hist = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N))
 
-    sliced = (hist.repartitionByRange(*[F.col(c) for c in by], order)
-              .withColumn(_SLICE, F.spark_partition_id()))
+    # Slice ids depend on sampled range bounds: materialize them once so the
+    # two consumers below (local prefix, per-slice totals) agree.
+    sliced = freeze(hist.repartitionByRange(*[F.col(c) for c in by], order)
+                    .withColumn(_SLICE, F.spark_partition_id()))
     before_in_slice = (Window.partitionBy(*by, _SLICE).orderBy(order)
                        .rowsBetween(Window.unboundedPreceding, -1))
     local = sliced.withColumn(

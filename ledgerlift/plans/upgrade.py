@@ -5,8 +5,9 @@ customers whose percent rank by transaction count (descending) is
 ``<= top_pct`` and whose percent rank by average importance weight
 (ascending) is ``<= low_pct``.
 
-Every function takes and returns DataFrames and performs no action.  The
-``scope`` argument prefixes every grouping key: ``scope=()`` is one detection
+Every function takes and returns DataFrames.  The only jobs started while a
+plan is built are the checkpoints that pin sampled range bounds (see
+:func:`ledgerlift.session.freeze`).  The ``scope`` argument prefixes every grouping key: ``scope=()`` is one detection
 over the whole input, ``scope=["chunk_id"]`` runs the detection independently
 per input file/chunk -- all chunks in one distributed job.
 
@@ -43,6 +44,7 @@ from ledgerlift.functions.columns import (
     weight_or_default,
 )
 from ledgerlift.operators.rank import passes_cut, percent_rank_within, rank_cut
+from ledgerlift.session import freeze
 
 DEFAULT_THRESHOLD = 50_000
 DEFAULT_TOP_PCT = 0.1
@@ -144,7 +146,8 @@ def pattern_matches(transactions: DataFrame, importance: DataFrame,
     pairs = customer_pairs(transactions, s)
     totals = pairs.groupBy(*keys).agg(F.sum("transaction_count").alias("total_transactions"))
     eligible = totals.filter(F.col("total_transactions") > F.lit(threshold)).select(*keys)
-    scored = with_avg_weight(pairs.join(eligible, keys, "left_semi"), importance)
+    # Read three times below (two rank cuts, final filter): compute it once.
+    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "left_semi"), importance))
 
     busiest = rank_cut(scored, keys, "transaction_count", ascending=False,
                        max_pct=top_pct, cut_col="__ll_min_count", method=method)

@@ -28,6 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -73,3 +74,16 @@ def local_dir(path: str) -> str:
 def makedirs(path: str) -> None:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def freeze(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    Used where a plan branches after a *sampled* range partitioning: two
+    evaluations could sample different bounds, so ids derived from the
+    partition index must come from one materialization.  The files go to the
+    shared ``spark.checkpoint.dir``, so a lost executor costs no recomputation
+    with different bounds.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

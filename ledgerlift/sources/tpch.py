@@ -25,6 +25,14 @@ from pyspark.sql import functions as F
 HIGH_PRIORITIES = ("1-URGENT", "2-HIGH")
 STEP_EPOCH = "1992-01-01"
 
+# lineitem columns passed through besides merchant (l_suppkey) and amount
+# (l_extendedprice).  (l_orderkey, l_linenumber) repeats in the test tables;
+# only the whole line is unique, so the global row order uses all of it.
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
+                "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "merchant", "l_quantity", "amount",
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -33,16 +41,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False) -> DataFrame:
     """Order lines as transactions.
 
-    Columns: l_orderkey, l_linenumber (row identity), step, customer, merchant,
-    amount, order_date[, category].  Unused columns are pruned from the scans
+    Columns: the remaining lineitem columns (together with merchant and amount
+    they identify a row; see ``ROW_KEY``), step, customer, merchant, amount,
+    order_date[, category].  Unused columns are pruned from the scans
     by Catalyst; the ``part`` join is only planned when ``with_category``.
     """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     tx = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
-    cols = [
-        li["l_orderkey"],
-        li["l_linenumber"],
+    cols = [li[c] for c in LINE_COLUMNS] + [
         F.datediff(orders["o_orderdate"], F.lit(STEP_EPOCH).cast("date")).alias("step"),
         orders["o_custkey"].alias("customer"),
         li["l_suppkey"].alias("merchant"),
@@ -56,11 +63,19 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False)
     return tx.select(*cols)
 
 
-def customer_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importance dimension: Source, Target, Weight, typeTrans, fraud."""
-    orders = table(spark, sf_dir, "orders")
+def customer_importance(spark: SparkSession, sf_dir: str, before: str | None = None,
+                        since: str | None = None) -> DataFrame:
+    """Importance dimension: Source, Target, Weight, typeTrans, fraud.
+
+    ``before`` / ``since`` (``yyyy-MM-dd``) restrict the orders used, which
+    yields two versions of the dimension for upsert tests.
+    """
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin(*HIGH_PRIORITIES))
+    if before is not None:
+        orders = orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp"))
+    if since is not None:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp"))
     return (orders
-            .filter(F.col("o_orderpriority").isin(*HIGH_PRIORITIES))
             .groupBy("o_custkey", "o_orderpriority")
             .agg(F.max("o_totalprice").alias("Weight"))
             .select(F.col("o_custkey").alias("Source"),
@@ -72,16 +87,22 @@ def customer_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL text of the same mapping, for DuckDB oracles.
 TRANSACTIONS_SQL = """
-SELECT l.l_orderkey, l.l_linenumber,
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, l.l_discount, l.l_tax,
+       l.l_returnflag, l.l_linestatus, l.l_shipdate,
        CAST(date_diff('day', DATE '1992-01-01', CAST(o.o_orderdate AS DATE)) AS INTEGER) AS step,
        o.o_custkey AS customer, l.l_suppkey AS merchant, l.l_extendedprice AS amount,
        o.o_orderdate AS order_date
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
-IMPORTANCE_SQL = """
+def importance_sql(extra_where: str = "") -> str:
+    cond = f" AND {extra_where}" if extra_where else ""
+    return f"""
 SELECT o_custkey AS Source, CAST(NULL AS VARCHAR) AS Target, MAX(o_totalprice) AS Weight,
        o_orderpriority AS typeTrans, 0 AS fraud
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'){cond}
 GROUP BY o_custkey, o_orderpriority
 """
+
+
+IMPORTANCE_SQL = importance_sql()
