@@ -141,9 +141,18 @@ def pattern_matches(transactions: DataFrame, importance: DataFrame,
                     low_pct: float = DEFAULT_LOW_PCT, scope=(),
                     method: str = "sliced") -> DataFrame:
     """(scope..., customer, merchant, transaction_count, avg_weight) of every match."""
+    return matches_from_pairs(customer_pairs(transactions, scope), importance, threshold,
+                              top_pct, low_pct, scope, method)
+
+
+def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
+                       threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
+                       low_pct: float = DEFAULT_LOW_PCT, scope=(),
+                       method: str = "sliced") -> DataFrame:
+    """:func:`pattern_matches` starting from (scope..., customer, merchant,
+    transaction_count) -- e.g. counts summed over many stream batches."""
     s = _scope(scope)
     keys = [*s, "merchant"]
-    pairs = customer_pairs(transactions, s)
     totals = pairs.groupBy(*keys).agg(F.sum("transaction_count").alias("total_transactions"))
     eligible = totals.filter(F.col("total_transactions") > F.lit(threshold)).select(*keys)
     # Read three times below (two rank cuts, final filter): compute it once.

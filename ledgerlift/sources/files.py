@@ -19,7 +19,9 @@ from ledgerlift import schemas
 
 def csv_options(strip_quotes: bool = False, mode: str = "PERMISSIVE",
                 corrupt_col: str | None = None) -> dict:
-    opts = {"header": "true", "mode": mode}
+    # enforceSchema=false: the header must name the schema's columns in order;
+    # a file laid out differently fails instead of being read positionally.
+    opts = {"header": "true", "mode": mode, "enforceSchema": "false"}
     if strip_quotes:
         opts["quote"] = "'"
     if corrupt_col:

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlift import schemas
+
 # Fixed values of the mapping.
 HIGH_PRIORITIES = ("1-URGENT", "2-HIGH")
 STEP_EPOCH = "1992-01-01"
@@ -63,6 +65,22 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False)
     return tx.select(*cols)
 
 
+def as_transaction_records(tx: DataFrame, keep=()) -> DataFrame:
+    """The mapped transactions in the landing-file layout (``schemas.TRANSACTIONS``).
+
+    Ids become text; fields without a counterpart in the star schema are NULL.
+    ``keep`` names extra columns to carry along (e.g. the row key).
+    """
+    present = set(tx.columns)
+    cols = []
+    for field in schemas.TRANSACTIONS.fields:
+        if field.name in present:
+            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+        else:
+            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+    return tx.select(*cols, *[F.col(c) for c in keep])
+
+
 def customer_importance(spark: SparkSession, sf_dir: str, before: str | None = None,
                         since: str | None = None) -> DataFrame:
     """Importance dimension: Source, Target, Weight, typeTrans, fraud.
