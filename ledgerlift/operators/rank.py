@@ -20,8 +20,10 @@ is computed from relational pieces that stay balanced:
 5. the per-key rank is joined back to the input on ``(g, v)``.  A hot key there
    meets exactly one histogram row, which AQE's skew-join split handles.
 
-``method="window"`` keeps the plain Window plan for comparison and for inputs
-whose groups are known to be small.
+Groups whose tie histogram is small (most of them; and every group when the
+value is a count, see :func:`ranked_values`) skip steps 2-4 and use one
+window over their histogram.  ``method="window"`` keeps Spark's plain Window
+over the raw rows for comparison.
 """
 
 from __future__ import annotations
@@ -41,6 +43,9 @@ _LT_BEFORE = "__ll_lt_before"
 _GROUP_N = "__ll_group_n"
 _SLICE_N = "__ll_slice_n"
 
+# Groups with more distinct values than this are ranked by range slices.
+MAX_GROUP_VALUES = 1_000_000
+
 
 def _as_list(cols: str | Iterable[str] | None) -> list[str]:
     if cols is None:
@@ -77,21 +82,31 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(right, cond, how).drop(*alias.values())
 
 
-def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
-                  ascending: bool = True, out_col: str = "pct_rank") -> DataFrame:
-    """One row per distinct ``(by, order_col)`` with its exact percent rank.
+def _pct(less: Column, total: Column) -> Column:
+    # Spark's PercentRank: (rank - 1) / (n - 1), 0.0 for a single row.
+    return (F.when(total > 1, less.cast("double") / (total - 1).cast("double"))
+            .otherwise(F.lit(0.0)))
 
-    Columns: ``by..., order_col, <count of input rows with that key>, out_col``;
-    the count column is named ``__ll_n``.
-    """
-    by = _as_list(by)
+
+def _ranks_by_window(hist: DataFrame, by: list[str], order_col: str, ascending: bool,
+                     out_col: str) -> DataFrame:
+    """Window over the tie histogram: one task per group, sized by the group's
+    number of *distinct* values, not its rows."""
     order = _order(order_col, ascending)
-    hist = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N))
+    before = _window(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    less = F.coalesce(F.sum(_N).over(before), F.lit(0))
+    total = F.sum(_N).over(_window(by))
+    return hist.select(*by, order_col, _N, _pct(less, total).alias(out_col))
+
 
+def _ranks_by_slices(hist: DataFrame, by: list[str], order_col: str, ascending: bool,
+                     out_col: str) -> DataFrame:
+    """Range slices of the histogram (module docstring, steps 2-4)."""
+    order = _order(order_col, ascending)
     # Slice ids depend on sampled range bounds: materialize them once so the
     # two consumers below (local prefix, per-slice totals) agree.
     sliced = freeze(hist.repartitionByRange(*[F.col(c) for c in by], order)
-                    .withColumn(_SLICE, F.spark_partition_id()))
+                    .withColumn(_SLICE, F.spark_partition_id()), "rank-slices")
     before_in_slice = (Window.partitionBy(*by, _SLICE).orderBy(order)
                        .rowsBetween(Window.unboundedPreceding, -1))
     local = sliced.withColumn(
@@ -109,28 +124,64 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
     keyed = join_null_safe(local, per_slice, [*by, _SLICE]) if by else \
         local.join(per_slice, _SLICE)
     less = F.col(_LT_BEFORE) + F.col(_LT_LOCAL)
-    pct = (F.when(F.col(_GROUP_N) > 1,
-                  less.cast("double") / (F.col(_GROUP_N) - 1).cast("double"))
-           .otherwise(F.lit(0.0)))
-    return keyed.select(*by, order_col, _N, pct.alias(out_col))
+    return keyed.select(*by, order_col, _N, _pct(less, F.col(_GROUP_N)).alias(out_col))
+
+
+def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
+                  ascending: bool = True, out_col: str = "pct_rank", method: str = "auto",
+                  max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+    """One row per distinct ``(by, order_col)`` with its exact percent rank.
+
+    Columns: ``by..., order_col, __ll_n (input rows with that key), out_col``.
+
+    ``method``:
+      * ``"histogram"`` -- window over the tie histogram.  Safe whenever the
+        number of distinct values per group is bounded; for a *count* column
+        it always is: a group with R rows has at most sqrt(2R) distinct counts.
+      * ``"sliced"`` -- range slices, safe for any value distribution.
+      * ``"auto"`` -- one aggregate finds the groups with more than
+        ``max_group_values`` distinct values (there are at most
+        rows / max_group_values of them); those are sliced, all others use
+        the histogram window.  No hot group -> no slicing job at all.
+    """
+    by = _as_list(by)
+    hist = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N))
+    if method == "histogram":
+        return _ranks_by_window(hist, by, order_col, ascending, out_col)
+    if method == "sliced" or (method == "auto" and not by):
+        return _ranks_by_slices(hist, by, order_col, ascending, out_col)
+    if method != "auto":
+        raise ValueError(f"unknown method {method!r}")
+    hot = (hist.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
+           .filter(F.col("__ll_k") > F.lit(max_group_values)).select(*by))
+    hot = freeze(hot, "rank-hot-groups")
+    if hot.isEmpty():
+        return _ranks_by_window(hist, by, order_col, ascending, out_col)
+    # hot has at most (distinct keys / max_group_values) rows: bounded broadcast
+    cold_part = _ranks_by_window(join_null_safe(hist, F.broadcast(hot), by, "left_anti"),
+                                 by, order_col, ascending, out_col)
+    hot_part = _ranks_by_slices(join_null_safe(hist, F.broadcast(hot), by, "left_semi"),
+                                by, order_col, ascending, out_col)
+    return cold_part.unionByName(hot_part)
 
 
 def percent_rank_within(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
                         ascending: bool = True, out_col: str = "pct_rank",
-                        method: str = "sliced") -> DataFrame:
+                        method: str = "auto",
+                        max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """``df`` plus ``percent_rank() OVER (PARTITION BY by ORDER BY order_col)``.
 
-    ``method="sliced"`` (default) is exact and skew-safe (module docstring);
-    ``method="window"`` is Spark's Window operator, one task per group.
+    ``method`` ``"auto"`` / ``"histogram"`` / ``"sliced"`` are exact and
+    bounded per task (:func:`ranked_values`); ``"window"`` is Spark's Window
+    operator over the raw rows, one task per group, kept for comparison.
     """
     by = _as_list(by)
     if method == "window":
         w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(
             _order(order_col, ascending))
         return df.withColumn(out_col, F.percent_rank().over(w))
-    if method != "sliced":
-        raise ValueError(f"unknown method {method!r}")
-    ranks = ranked_values(df, by, order_col, ascending, out_col).drop(_N)
+    ranks = ranked_values(df, by, order_col, ascending, out_col, method,
+                          max_group_values).drop(_N)
     if out_col in df.columns:
         df = df.drop(out_col)
     return join_null_safe(df, ranks, [*by, order_col])
@@ -138,7 +189,7 @@ def percent_rank_within(df: DataFrame, by: str | Iterable[str] | None, order_col
 
 def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
              ascending: bool, max_pct: float, cut_col: str = "cut_value",
-             method: str = "sliced") -> DataFrame:
+             method: str = "auto", max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """Per group, the last value (in rank order) whose percent rank is <= ``max_pct``.
 
     percent_rank never decreases along the order, so the rows that pass
@@ -153,7 +204,8 @@ def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
         ranked = percent_rank_within(df.select(*by, order_col), by, order_col,
                                      ascending, "__ll_pct", method="window")
     else:
-        ranked = ranked_values(df, by, order_col, ascending, "__ll_pct")
+        ranked = ranked_values(df, by, order_col, ascending, "__ll_pct", method,
+                               max_group_values)
     passing = ranked.filter(F.col("__ll_pct") <= F.lit(max_pct))
     pick = F.min if not ascending else F.max
     return passing.groupBy(*by).agg(pick(order_col).alias(cut_col))

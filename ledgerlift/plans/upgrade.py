@@ -60,6 +60,12 @@ def _scope(scope: str | Iterable[str] | None) -> list[str]:
     return [scope] if isinstance(scope, str) else list(scope)
 
 
+def _count_method(method: str) -> str:
+    # A merchant with R transactions has at most sqrt(2R) distinct customer
+    # counts, so the histogram window is bounded per task: no hot-group probe.
+    return "histogram" if method == "auto" else method
+
+
 def customer_pairs(transactions: DataFrame, scope=()) -> DataFrame:
     """(scope..., customer, merchant, transaction_count)."""
     s = _scope(scope)
@@ -87,7 +93,7 @@ def with_avg_weight(pairs: DataFrame, importance: DataFrame) -> DataFrame:
                          weight_or_default(_CUSTOMER_WEIGHT).alias("avg_weight"))
 
 
-def customer_stats(transactions: DataFrame, scope=(), method: str = "sliced") -> DataFrame:
+def customer_stats(transactions: DataFrame, scope=(), method: str = "auto") -> DataFrame:
     """Per (customer, merchant): transaction_count and merchant_rank.
 
     merchant_rank = percent_rank over the merchant's customers by count, descending.
@@ -95,11 +101,12 @@ def customer_stats(transactions: DataFrame, scope=(), method: str = "sliced") ->
     s = _scope(scope)
     pairs = customer_pairs(transactions, s)
     return percent_rank_within(pairs, [*s, "merchant"], "transaction_count",
-                               ascending=False, out_col="merchant_rank", method=method)
+                               ascending=False, out_col="merchant_rank",
+                               method=_count_method(method))
 
 
 def importance_scores(transactions: DataFrame, importance: DataFrame, scope=(),
-                      method: str = "sliced") -> DataFrame:
+                      method: str = "auto") -> DataFrame:
     """Per (customer, merchant): avg_weight and weight_rank (ascending)."""
     s = _scope(scope)
     pairs = customer_pairs(transactions, s).drop("transaction_count")
@@ -123,7 +130,7 @@ def eligible_merchants(transactions: DataFrame, threshold: int = DEFAULT_THRESHO
 
 
 def eligible_customer_stats(transactions: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                            scope=(), method: str = "sliced") -> DataFrame:
+                            scope=(), method: str = "auto") -> DataFrame:
     """customer_stats restricted to eligible merchants (semi-join, no collect)."""
     s = _scope(scope)
     keys = [*s, "merchant"]
@@ -133,13 +140,13 @@ def eligible_customer_stats(transactions: DataFrame, threshold: int = DEFAULT_TH
     kept = pairs.join(eligible, keys, "left_semi")
     # Ranks are per merchant, so dropping whole merchants first changes no rank.
     return percent_rank_within(kept, keys, "transaction_count", ascending=False,
-                               out_col="merchant_rank", method=method)
+                               out_col="merchant_rank", method=_count_method(method))
 
 
 def pattern_matches(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                    method: str = "sliced") -> DataFrame:
+                    method: str = "auto") -> DataFrame:
     """(scope..., customer, merchant, transaction_count, avg_weight) of every match."""
     return matches_from_pairs(customer_pairs(transactions, scope), importance, threshold,
                               top_pct, low_pct, scope, method)
@@ -148,7 +155,7 @@ def pattern_matches(transactions: DataFrame, importance: DataFrame,
 def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
                        threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                        low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                       method: str = "sliced") -> DataFrame:
+                       method: str = "auto") -> DataFrame:
     """:func:`pattern_matches` starting from (scope..., customer, merchant,
     transaction_count) -- e.g. counts summed over many stream batches."""
     s = _scope(scope)
@@ -156,10 +163,11 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     totals = pairs.groupBy(*keys).agg(F.sum("transaction_count").alias("total_transactions"))
     eligible = totals.filter(F.col("total_transactions") > F.lit(threshold)).select(*keys)
     # Read three times below (two rank cuts, final filter): compute it once.
-    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "left_semi"), importance))
+    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "left_semi"), importance),
+                    "scored-pairs")
 
     busiest = rank_cut(scored, keys, "transaction_count", ascending=False,
-                       max_pct=top_pct, cut_col="__ll_min_count", method=method)
+                       max_pct=top_pct, cut_col="__ll_min_count", method=_count_method(method))
     lightest = rank_cut(scored, keys, "avg_weight", ascending=True,
                         max_pct=low_pct, cut_col="__ll_max_weight", method=method)
     cuts = busiest.join(lightest, keys, "inner")
@@ -193,7 +201,7 @@ def detection_records(matches: DataFrame, detected_at: str | None = None, scope=
 def detect_upgrades(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, detected_at: str | None = None,
-                    scope=(), method: str = "sliced") -> DataFrame:
+                    scope=(), method: str = "auto") -> DataFrame:
     """Full PatId1: transactions + importance -> detection records.
 
     An empty input, or one without eligible merchants, yields an empty frame

@@ -76,14 +76,17 @@ def makedirs(path: str) -> None:
         os.makedirs(local_dir(path), exist_ok=True)
 
 
-def freeze(df):
-    """Compute ``df`` once and cut its lineage (reliable checkpoint).
-
-    Used where a plan branches after a *sampled* range partitioning: two
-    evaluations could sample different bounds, so ids derived from the
-    partition index must come from one materialization.  The files go to the
-    shared ``spark.checkpoint.dir``, so a lost executor costs no recomputation
-    with different bounds.
+def freeze(df, name: str = "frozen"):
+    """Compute ``df`` once, write it as Parquet to the shared checkpoint folder,
+    and continue from the written table (lineage cut).
+
+    Used where a plan branches after a *sampled* range partitioning (two
+    evaluations could sample different bounds, so ids derived from a partition
+    index must come from one materialization) and where an expensive
+    intermediate is read several times.  Living in ``spark.checkpoint.dir``,
+    the table survives lost executors; one job, columnar, no recomputation.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -22,11 +22,16 @@ def brute_percent_rank(pdf, by, col, ascending):
     return dict(out)
 
 
+EXACT = [dict(method="sliced"), dict(method="histogram"),
+         dict(method="auto"), dict(method="auto", max_group_values=2)]
+
+
 def _compare(spark, data, ascending):
     df = spark.createDataFrame(data, "id long, g string, v long")
-    a = rows(percent_rank_within(df, "g", "v", ascending, "r"), "id", "r")
     b = rows(percent_rank_within(df, "g", "v", ascending, "r", method="window"), "id", "r")
-    assert a == b
+    for kw in EXACT:
+        a = rows(percent_rank_within(df, "g", "v", ascending, "r", **kw), "id", "r")
+        assert a == b, kw
     pdf = pd.DataFrame(data, columns=["id", "g", "v"]).set_index("id", drop=False)
     brute = brute_percent_rank(pdf, "g", "v", ascending)
     assert a == sorted(brute.items())
@@ -45,18 +50,19 @@ def test_hot_group_spans_many_slices(spark):
     data = [(i, "hot", rnd.randint(0, 400)) for i in range(3000)]
     data += [(3000 + i, f"g{i % 50}", rnd.randint(0, 20)) for i in range(6000)]
     df = spark.createDataFrame(data, "id long, g string, v long")
-    a = rows(percent_rank_within(df, "g", "v", False, "r"), "id", "r")
     b = rows(percent_rank_within(df, "g", "v", False, "r", method="window"), "id", "r")
-    assert a == b
+    # the hot group (401 distinct values) is sliced, the small groups are not
+    for kw in (dict(method="sliced"), dict(method="auto", max_group_values=100)):
+        assert rows(percent_rank_within(df, "g", "v", False, "r", **kw), "id", "r") == b
 
 
 def test_null_values_rank_like_spark(spark):
     data = [(1, "a", None), (2, "a", 3), (3, "a", None), (4, "a", 8)]
     df = spark.createDataFrame(data, "id long, g string, v long")
     for asc in (True, False):
-        a = rows(percent_rank_within(df, "g", "v", asc, "r"), "id", "r")
         b = rows(percent_rank_within(df, "g", "v", asc, "r", method="window"), "id", "r")
-        assert a == b
+        for kw in EXACT:
+            assert rows(percent_rank_within(df, "g", "v", asc, "r", **kw), "id", "r") == b
 
 
 def test_rank_cut_equals_filtered_ranks(spark):
@@ -66,9 +72,11 @@ def test_rank_cut_equals_filtered_ranks(spark):
     for asc in (True, False):
         ranked = percent_rank_within(df, "g", "v", asc, "r", method="window")
         expect = rows(ranked.filter(F.col("r") <= 0.1), "id")
-        cut = rank_cut(df, "g", "v", asc, 0.1, "c")
-        got = df.join(cut, "g").filter(F.col("v") <= F.col("c") if asc else F.col("v") >= F.col("c"))
-        assert rows(got, "id") == expect
+        for kw in EXACT:
+            cut = rank_cut(df, "g", "v", asc, 0.1, "c", **kw)
+            got = df.join(cut, "g").filter(F.col("v") <= F.col("c") if asc
+                                           else F.col("v") >= F.col("c"))
+            assert rows(got, "id") == expect, kw
 
 
 def test_exact_boundary_one_tenth(spark):
@@ -85,6 +93,6 @@ def test_exact_boundary_one_tenth(spark):
 def test_property_matches_window(spark, pairs):
     data = [(i, g, v) for i, (g, v) in enumerate(pairs)]
     df = spark.createDataFrame(data, "id long, g string, v long")
-    a = rows(percent_rank_within(df, "g", "v", True, "r"), "id", "r")
     b = rows(percent_rank_within(df, "g", "v", True, "r", method="window"), "id", "r")
+    a = rows(percent_rank_within(df, "g", "v", True, "r", method="sliced"), "id", "r")
     assert a == b

@@ -33,7 +33,7 @@ def reference_model(tx: pd.DataFrame, imp: pd.DataFrame, threshold, top=0.1, low
         .transform(lambda s: prank(s, False))
     j = tx.merge(imp[["Source", "Weight"]], how="left", left_on="customer", right_on="Source")
     j.loc[j["customer"].isna(), "Weight"] = None
-    j["weight"] = j["Weight"].fillna(1.0)
+    j["weight"] = j["Weight"].astype("float64").fillna(1.0)
     sc = j.groupby(key, dropna=False)["weight"].mean().rename("avg_weight").reset_index()
     sc["weight_rank"] = sc.groupby("merchant", dropna=False)["avg_weight"] \
         .transform(lambda s: prank(s, True))
@@ -106,7 +106,9 @@ def test_empty_input_and_no_eligible_merchant_give_schema(spark):
     assert det.columns == schemas.DETECTION_COLUMNS and det.count() == 0
     tx = tx_frame(spark, [("a", "m", 3)])
     det = upgrade.detect_upgrades(tx, imp, 50_000, detected_at="t")
-    assert det.schema == schemas.DETECTIONS and det.count() == 0
+    assert [(f.name, f.dataType) for f in det.schema.fields] == \
+        [(f.name, f.dataType) for f in schemas.DETECTIONS.fields]
+    assert det.count() == 0
 
 
 def test_detection_record_constants(spark):
@@ -122,9 +124,10 @@ def test_matches_brute_force_on_test_tables(spark):
     imp = tpch.customer_importance(spark, SF_SMALL)
     txp = tx.select("customer", "merchant").toPandas()
     impp = imp.toPandas()
-    for threshold, top, low in [(500, 0.1, 0.1), (600, 0.1, 0.1), (550, 0.3, 0.2)]:
-        got = detect_pairs(spark, tx, imp, threshold, top_pct=top, low_pct=low)
-        got = [(int(c), int(m)) for c, m in got]
+    for threshold, top, low, method in [(500, 0.1, 0.1, "auto"), (600, 0.1, 0.1, "sliced"),
+                                        (550, 0.3, 0.2, "auto"), (550, 0.3, 0.2, "window")]:
+        got = detect_pairs(spark, tx, imp, threshold, top_pct=top, low_pct=low, method=method)
+        got = sorted((int(c), int(m)) for c, m in got)
         assert got == reference_model(txp, impp, threshold, top, low)
 
 
