@@ -43,8 +43,11 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
-    # warm-up (JIT, class loading, file listing cache) -- not timed
-    QUERIES["merchant_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up on the smallest tables (JIT, class loading, codegen) -- not timed
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
+    QUERIES["detections"](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times = {}
     for name in HEADLINE:

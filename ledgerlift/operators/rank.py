@@ -140,9 +140,10 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
         it always is: a group with R rows has at most sqrt(2R) distinct counts.
       * ``"sliced"`` -- range slices, safe for any value distribution.
       * ``"auto"`` -- one aggregate finds the groups with more than
-        ``max_group_values`` distinct values (there are at most
-        rows / max_group_values of them); those are sliced, all others use
-        the histogram window.  No hot group -> no slicing job at all.
+        ``max_group_values`` rows (there are at most rows / max_group_values
+        of them); those are sliced, all others use the histogram window,
+        which then holds at most ``max_group_values`` keys per task.  No hot
+        group -> no slicing job at all.
     """
     by = _as_list(by)
     hist = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N))
@@ -152,9 +153,12 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
         return _ranks_by_slices(hist, by, order_col, ascending, out_col)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    hot = (hist.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
+    # Rows per group bound its distinct values from above, and counting rows
+    # needs one partially aggregated shuffle of the input (not of the histogram).
+    hot = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
            .filter(F.col("__ll_k") > F.lit(max_group_values)).select(*by))
-    hot = freeze(hot, "rank-hot-groups")
+    # hot is an exact aggregate (deterministic): probing it re-reads the input
+    # once more but needs no materialization.
     if hot.isEmpty():
         return _ranks_by_window(hist, by, order_col, ascending, out_col)
     # hot has at most (distinct keys / max_group_values) rows: bounded broadcast

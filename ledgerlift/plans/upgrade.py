@@ -110,7 +110,8 @@ def importance_scores(transactions: DataFrame, importance: DataFrame, scope=(),
     """Per (customer, merchant): avg_weight and weight_rank (ascending)."""
     s = _scope(scope)
     pairs = customer_pairs(transactions, s).drop("transaction_count")
-    scored = with_avg_weight(pairs, importance)
+    # read twice (weight histogram, per-pair join back): compute it once
+    scored = freeze(with_avg_weight(pairs, importance), "scored-pairs")
     return percent_rank_within(scored, [*s, "merchant"], "avg_weight",
                                ascending=True, out_col="weight_rank", method=method)
 
