@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -97,8 +97,10 @@ class _BatchHandler:
         target = _batch_dir(self.output_path, batch_id)
         try:
             det = self.detections(batch, batch_id, stamp)
-            det.write.mode("overwrite").parquet(target)
-            found = batch.sparkSession.read.parquet(target).count()
+            # the count rides along with the write (no second action)
+            seen = Observation(f"detections_{batch_id}")
+            det.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+            found = seen.get.get("n", 0)
         except Exception as exc:  # record, then let the query fail and retry
             self._log(batch, batch_id, "FAILED", None, str(exc)[:2000])
             raise
@@ -115,17 +117,28 @@ class PerFileDetector(_BatchHandler):
 
 
 class CumulativeDetector(_BatchHandler):
-    """PatId1 over all files seen so far (snapshot per batch)."""
+    """PatId1 over all files seen so far (snapshot per batch).
 
-    def __init__(self, *args, stats_path: str, **kwargs):
+    ``compacted=(path, through_batch_id)`` names a table written by
+    :func:`compact_partials`; partials up to that batch are then read from it.
+    """
+
+    def __init__(self, *args, stats_path: str, compacted: tuple[str, int] | None = None,
+                 **kwargs):
         super().__init__(*args, **kwargs)
         self.stats_path = stats_path
+        self.compacted = compacted
 
     def detections(self, batch, batch_id, stamp):
         spark = batch.sparkSession
         (customer_pairs(batch)
          .write.mode("overwrite").parquet(_batch_dir(self.stats_path, batch_id)))
         partials = spark.read.parquet(self.stats_path).filter(F.col("batch_id") <= batch_id)
+        if self.compacted is not None:
+            base_path, through = self.compacted
+            partials = (partials.filter(F.col("batch_id") > through)
+                        .select("customer", "merchant", "transaction_count")
+                        .unionByName(spark.read.parquet(base_path)))
         pairs = (partials.groupBy("customer", "merchant")
                  .agg(F.sum("transaction_count").cast("long").alias("transaction_count")))
         imp = self.importance_loader(spark)
@@ -133,6 +146,17 @@ class CumulativeDetector(_BatchHandler):
         return detection_records(matches, stamp)
 
 
+def compact_partials(spark: SparkSession, stats_path: str, through_batch_id: int,
+                     target_path: str) -> str:
+    """Sum the per-batch pair counts of batches ``<= through_batch_id`` into one
+    table at ``target_path`` (a new location; the partials stay untouched)."""
+    (spark.read.parquet(stats_path).filter(F.col("batch_id") <= through_batch_id)
+     .groupBy("customer", "merchant")
+     .agg(F.sum("transaction_count").cast("long").alias("transaction_count"))
+     .write.parquet(target_path))
+    return target_path
+
+
 def start_detection_stream(spark: SparkSession, source_folder: str, handler: _BatchHandler,
                            checkpoint_location: str | None = None, available_now: bool = True,
                            processing_time: str = "2 seconds", strip_quotes: bool = False,

@@ -112,3 +112,28 @@ def test_detection_batches_of_fifty(spark, tmp_dir):
     per_file = [sum(1 for _ in open(f)) - 1 for f in
                 __import__("glob").glob(os.path.join(out2, "*.csv"))]
     assert sorted(per_file) == [20, 50, 50]
+
+
+def test_raw_layout_partitioned_by_date_prunes(spark, tmp_dir):
+    from ledgerlift.sinks.writers import write_partitioned_parquet
+    from ledgerlift.sources import tpch
+    from tests.conftest import SF_SMALL
+    out = os.path.join(tmp_dir, "raw")
+    tx = tpch.transactions(spark, SF_SMALL).select("customer", "merchant", "amount", "order_date")
+    write_partitioned_parquet(tx, out, "order_date")
+    back = spark.read.parquet(out)
+    assert back.count() == tx.count()
+    one_day = back.filter("year = 1995 AND month = 3 AND day = 1")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "year" in plan
+    assert one_day.count() == tx.filter("to_date(order_date) = DATE'1995-03-01'").count()
+
+
+def test_jdbc_options_need_complete_partitioning():
+    from ledgerlift.sources.jdbc import jdbc_read_options
+    opts = jdbc_read_options("jdbc:postgresql://db/x", "customer_importance", {"user": "u"},
+                             partition_column="id", lower_bound=0, upper_bound=100,
+                             num_partitions=4)
+    assert opts["numPartitions"] == "4" and opts["user"] == "u"
+    with pytest.raises(ValueError):
+        jdbc_read_options("jdbc:x", "t", partition_column="id")

@@ -16,6 +16,7 @@ from ledgerlift.sources.files import read_transactions_csv
 from ledgerlift.streaming.files import (
     CumulativeDetector,
     PerFileDetector,
+    compact_partials,
     read_outputs,
     start_detection_stream,
 )
@@ -114,3 +115,18 @@ def test_cumulative_scope_equals_batch_on_all_rows(spark, landing, tmp_dir):
     last = read_outputs(spark, out).filter(F.col("batch_id") == len(files) - 1)
     batch = upgrade.detect_upgrades(_string_tx(spark), _importance(spark), 550, detected_at=FIXED())
     assert rows(last, "customer", "merchant") == rows(batch, "customer", "merchant")
+
+
+def test_compacted_partials_give_same_snapshot(spark, landing, tmp_dir):
+    _, flat, files = landing
+    out, log, stats, ckpt = (os.path.join(tmp_dir, n) for n in ("out", "log", "stats", "ckpt"))
+    h = CumulativeDetector(_importance, out, log, threshold=550, stats_path=stats, clock=FIXED)
+    _run(spark, h, flat, ckpt)
+    base = compact_partials(spark, stats, 2, os.path.join(tmp_dir, "base"))
+    h2 = CumulativeDetector(_importance, os.path.join(tmp_dir, "out2"), os.path.join(tmp_dir, "log2"),
+                            threshold=550, stats_path=stats, compacted=(base, 2), clock=FIXED)
+    last = read_transactions_csv(spark, files[-1])
+    h2(last, len(files) - 1)
+    again = read_outputs(spark, os.path.join(tmp_dir, "out2"))
+    first = read_outputs(spark, out).filter(F.col("batch_id") == len(files) - 1)
+    assert rows(again, "customer", "merchant") == rows(first, "customer", "merchant")
