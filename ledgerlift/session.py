@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,25 @@ def makedirs(path: str) -> None:
         os.makedirs(local_dir(path), exist_ok=True)
 
 
+_REUSE = contextvars.ContextVar("ledgerlift_reusable_scratch", default=None)
+
+
+@contextmanager
+def reusable_scratch(root: str):
+    """Inside the block, :func:`freeze` writes to ``root/<name>-<n>`` (``n``
+    counting from 0 within the block) with overwrite.
+
+    For jobs that repeat, such as one stream micro-batch after another: each
+    batch reuses the previous batch's folders, so scratch space stays bounded.
+    Everything frozen inside the block must be consumed before it ends.
+    """
+    token = _REUSE.set([root.rstrip("/"), 0])
+    try:
+        yield
+    finally:
+        _REUSE.reset(token)
+
+
 def freeze(df, name: str = "frozen"):
     """Compute ``df`` once, write it as Parquet to the shared checkpoint folder,
     and continue from the written table (lineage cut).
@@ -87,6 +108,12 @@ def freeze(df, name: str = "frozen"):
     the table survives lost executors; one job, columnar, no recomputation.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    reuse = _REUSE.get()
+    if reuse is None:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+    else:
+        path = f"{reuse[0]}/{name}-{reuse[1]}"
+        reuse[1] += 1
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

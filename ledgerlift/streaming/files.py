@@ -41,7 +41,7 @@ from ledgerlift.plans.upgrade import (
     detection_records,
     matches_from_pairs,
 )
-from ledgerlift.session import scratch_path
+from ledgerlift.session import reusable_scratch, scratch_path
 from ledgerlift.sources.files import csv_options
 
 ImportanceLoader = Callable[[SparkSession], DataFrame]
@@ -67,7 +67,8 @@ class _BatchHandler:
 
     def __init__(self, importance_loader: ImportanceLoader, output_path: str, log_path: str,
                  threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
-                 low_pct: float = DEFAULT_LOW_PCT, clock: Callable[[], str] = detection_time_string):
+                 low_pct: float = DEFAULT_LOW_PCT, clock: Callable[[], str] = detection_time_string,
+                 scratch_root: str | None = None):
         self.importance_loader = importance_loader
         self.output_path = output_path
         self.log_path = log_path
@@ -75,6 +76,8 @@ class _BatchHandler:
         self.top_pct = top_pct
         self.low_pct = low_pct
         self.clock = clock
+        # intermediate tables of a batch; reused by the next batch (bounded space)
+        self.scratch_root = scratch_root
 
     def detections(self, batch: DataFrame, batch_id: int, stamp: str) -> DataFrame:
         raise NotImplementedError
@@ -95,11 +98,15 @@ class _BatchHandler:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         stamp = self.clock()
         target = _batch_dir(self.output_path, batch_id)
+        if self.scratch_root is None:
+            self.scratch_root = scratch_path(batch.sparkSession, "stream-scratch")
         try:
-            det = self.detections(batch, batch_id, stamp)
-            # the count rides along with the write (no second action)
-            seen = Observation(f"detections_{batch_id}")
-            det.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+            with reusable_scratch(self.scratch_root):
+                det = self.detections(batch, batch_id, stamp)
+                # the count rides along with the write (no second action)
+                seen = Observation(f"detections_{batch_id}")
+                det.observe(seen, F.count(F.lit(1)).alias("n")) \
+                   .write.mode("overwrite").parquet(target)
             found = seen.get.get("n", 0)
         except Exception as exc:  # record, then let the query fail and retry
             self._log(batch, batch_id, "FAILED", None, str(exc)[:2000])

@@ -98,13 +98,18 @@ def test_one_file_per_batch_and_stream_equals_batch(spark, landing, tmp_dir):
 def test_replayed_batch_overwrites(spark, landing, tmp_dir):
     _, flat, files = landing
     out, log = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "log")
-    h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED)
+    h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED,
+                        scratch_root=os.path.join(tmp_dir, "scratch"))
     batch = read_transactions_csv(spark, files[1])
     h(batch, 7)
     first = rows(read_outputs(spark, out))
     h(batch, 7)  # at-least-once re-run of the same batch id
     assert rows(read_outputs(spark, out)) == first
     assert read_outputs(spark, log).count() == 1
+    # intermediate tables are reused from batch to batch, not accumulated
+    scratch = sorted(os.listdir(h.scratch_root))
+    h(read_transactions_csv(spark, files[2]), 8)
+    assert sorted(os.listdir(h.scratch_root)) == scratch
 
 
 def test_cumulative_scope_equals_batch_on_all_rows(spark, landing, tmp_dir):
