@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.chunking import assign_chunks, chunk_progress
-from ledgerlift.operators.merge import insert_if_absent, upsert
+from ledgerlift.operators.merge import insert_if_absent, unprocessed, upsert
 from ledgerlift.operators.quality import quality_report
 from ledgerlift.plans import reports, upgrade
 from ledgerlift.sinks.tables import table_counts
@@ -145,6 +145,19 @@ def q_table_counts(spark, sf):
     })
 
 
+def q_customer_weights(spark, sf):
+    return (upgrade.customer_weights(_imp(spark, sf))
+            .select(F.col("Source").alias("customer"),
+                    F.col("__ll_customer_weight").alias("customer_weight")))
+
+
+def q_unprocessed_orders(spark, sf):
+    # listed items (orders) minus the processed set (orders whose lines landed)
+    listed = tpch.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    landed = tpch.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return unprocessed(listed, landed, ["o_orderkey"])
+
+
 def q_quality_report(spark, sf):
     return quality_report(_tx(spark, sf), ROW_KEY)
 
@@ -179,6 +192,8 @@ QUERIES: dict[str, Query] = {
     "table_counts": q_table_counts,
     "quality_report": q_quality_report,
     "monthly_detection_stats": q_monthly_detection_stats,
+    "customer_weights": q_customer_weights,
+    "unprocessed_orders": q_unprocessed_orders,
 }
 
 
@@ -368,4 +383,11 @@ WITH det AS ({_scoped_detections_sql(
         "SELECT *, strftime(order_date, '%Y-%m') AS month FROM tx", "month", MONTH_THRESHOLD)})
 SELECT month, patternId, merchant, COUNT(*) AS detections, COUNT(DISTINCT customer) AS customers
 FROM det GROUP BY month, patternId, merchant""",
+    "customer_weights": f"""
+WITH {_IMP}
+SELECT Source AS customer, AVG(COALESCE(Weight, 1.0)) AS customer_weight
+FROM imp GROUP BY Source""",
+    "unprocessed_orders": """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
 }
