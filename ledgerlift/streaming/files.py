@@ -16,7 +16,8 @@
 
 Two scopes:
 
-* :class:`PerFileDetector` -- detection on each file alone;
+* :class:`PerFileDetector` -- detection on each file alone (scoped by source
+  file, so one micro-batch may carry several files);
 * :class:`CumulativeDetector` -- each batch stores its pair counts
   (``stats/batch_id=<n>``); detection runs on the sum over all stored batches,
   so the output of batch ``n`` is the snapshot over files ``0..n``.
@@ -45,6 +46,7 @@ from ledgerlift.session import reusable_scratch, scratch_path
 from ledgerlift.sources.files import csv_options
 
 ImportanceLoader = Callable[[SparkSession], DataFrame]
+SOURCE_FILE = "source_file"
 
 
 def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool = False,
@@ -83,14 +85,21 @@ class _BatchHandler:
         raise NotImplementedError
 
     def _log(self, batch: DataFrame, batch_id: int, status: str, found: int | None,
-             error: str | None) -> None:
-        rows = (batch.groupBy(F.input_file_name().alias("file_name"))
+             error: str | None, per_file: DataFrame | None = None) -> None:
+        """One audit row per input file of the batch."""
+        rows = (batch.groupBy(F.input_file_name().alias(SOURCE_FILE))
                 .agg(F.count(F.lit(1)).alias("rows_read")))
+        if per_file is not None:
+            rows = (rows.join(per_file, SOURCE_FILE, "left")
+                    .withColumn("detections_found",
+                                F.coalesce(F.col("detections_found"), F.lit(0)).cast("long")))
+        else:
+            rows = rows.withColumn("detections_found", F.lit(found).cast("long"))
         (rows.select(
-            F.col("file_name"),
+            F.col(SOURCE_FILE).alias("file_name"),
             F.col("rows_read"),
             F.lit(status).alias("processing_status"),
-            F.lit(found).cast("long").alias("detections_found"),
+            F.col("detections_found"),
             F.lit(error).cast("string").alias("error_message"),
             F.current_timestamp().alias("processed_at"))
          .write.mode("overwrite").parquet(_batch_dir(self.log_path, batch_id)))
@@ -111,16 +120,29 @@ class _BatchHandler:
         except Exception as exc:  # record, then let the query fail and retry
             self._log(batch, batch_id, "FAILED", None, str(exc)[:2000])
             raise
-        self._log(batch, batch_id, "SUCCESS", found, None)
+        self._log(batch, batch_id, "SUCCESS", found, None, self.per_file_counts(target))
+
+    def per_file_counts(self, target: str) -> DataFrame | None:
+        return None
 
 
 class PerFileDetector(_BatchHandler):
-    """PatId1 on each micro-batch (one file) on its own."""
+    """PatId1 on every input file on its own.
+
+    The detection is scoped by source file, so a micro-batch may carry many
+    files (``max_files_per_trigger``) -- one distributed job for all of them --
+    and still give exactly the per-file result.  Output rows carry the file.
+    """
 
     def detections(self, batch, batch_id, stamp):
-        imp = self.importance_loader(batch.sparkSession)  # reloaded for every file
-        return detect_upgrades(batch, imp, self.threshold, self.top_pct, self.low_pct,
-                               detected_at=stamp)
+        imp = self.importance_loader(batch.sparkSession)  # reloaded for every batch
+        tagged = batch.withColumn(SOURCE_FILE, F.input_file_name())
+        return detect_upgrades(tagged, imp, self.threshold, self.top_pct, self.low_pct,
+                               detected_at=stamp, scope=[SOURCE_FILE])
+
+    def per_file_counts(self, target):
+        out = SparkSession.getActiveSession().read.parquet(target)
+        return out.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("detections_found"))
 
 
 class CumulativeDetector(_BatchHandler):
@@ -167,14 +189,18 @@ def compact_partials(spark: SparkSession, stats_path: str, through_batch_id: int
 def start_detection_stream(spark: SparkSession, source_folder: str, handler: _BatchHandler,
                            checkpoint_location: str | None = None, available_now: bool = True,
                            processing_time: str = "2 seconds", strip_quotes: bool = False,
-                           query_name: str | None = None) -> StreamingQuery:
+                           query_name: str | None = None,
+                           max_files_per_trigger: int = 1) -> StreamingQuery:
     """Start the file stream with ``handler`` as ``foreachBatch``.
 
-    ``available_now=True`` drains the files present now (one batch per file)
-    and stops; otherwise it polls every ``processing_time``.
+    ``available_now=True`` drains the files present now and stops; otherwise
+    it polls every ``processing_time``.  ``max_files_per_trigger`` files form
+    one micro-batch (per-file results are unchanged for
+    :class:`PerFileDetector`; :class:`CumulativeDetector` then emits one
+    snapshot per batch instead of per file).
     """
     checkpoint_location = checkpoint_location or scratch_path(spark, "stream-checkpoint")
-    writer = (transaction_file_stream(spark, source_folder, strip_quotes)
+    writer = (transaction_file_stream(spark, source_folder, strip_quotes, max_files_per_trigger)
               .writeStream.foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location))
     if query_name:

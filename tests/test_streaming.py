@@ -57,8 +57,9 @@ def landing(spark, tmp_path_factory):
     return base, flat, files
 
 
-def _run(spark, handler, source, ckpt):
-    q = start_detection_stream(spark, source, handler, checkpoint_location=ckpt)
+def _run(spark, handler, source, ckpt, files_per_batch=1):
+    q = start_detection_stream(spark, source, handler, checkpoint_location=ckpt,
+                               max_files_per_trigger=files_per_batch)
     q.awaitTermination(300)
     assert q.exception() is None
 
@@ -95,6 +96,24 @@ def test_one_file_per_batch_and_stream_equals_batch(spark, landing, tmp_dir):
     os.remove(extra)
 
 
+def test_many_files_per_batch_keep_per_file_results(spark, landing, tmp_dir):
+    _, flat, files = landing
+    out, log, ckpt = (os.path.join(tmp_dir, n) for n in ("out", "log", "ckpt"))
+    h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED)
+    _run(spark, h, flat, ckpt, files_per_batch=3)
+    audit = read_outputs(spark, log)
+    assert rows(audit, "batch_id") == [(0,), (0,), (0,), (1,), (1,)]
+    det = read_outputs(spark, out)
+    chunked = assign_chunks(_string_tx(spark), tpch.ROW_KEY, CHUNK)
+    batch = upgrade.detect_upgrades(chunked, _importance(spark), PER_FILE_T,
+                                    detected_at=FIXED(), scope=["chunk_id"])
+    assert rows(det, "customer", "merchant") == rows(batch, "customer", "merchant")
+    per_file = {r.file_name.rsplit("/", 1)[1]: r.detections_found for r in audit.collect()}
+    by_file = {r.source_file.rsplit("/", 1)[1]: r["count"]
+               for r in det.groupBy("source_file").count().collect()}
+    assert per_file == {f: by_file.get(f, 0) for f in per_file}
+
+
 def test_replayed_batch_overwrites(spark, landing, tmp_dir):
     _, flat, files = landing
     out, log = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "log")
