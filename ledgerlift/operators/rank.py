@@ -127,6 +127,18 @@ def _ranks_by_slices(hist: DataFrame, by: list[str], order_col: str, ascending:
     return keyed.select(*by, order_col, _N, _pct(less, F.col(_GROUP_N)).alias(out_col))
 
 
+def hot_groups(df: DataFrame, by: list[str], max_group_values: int) -> DataFrame | None:
+    """Groups with more than ``max_group_values`` rows, or None when there is none.
+
+    One partially aggregated shuffle of the input plus a ``LIMIT 1`` probe.
+    The result has at most rows / max_group_values entries, so broadcasting
+    it is bounded.
+    """
+    hot = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
+           .filter(F.col("__ll_k") > F.lit(max_group_values)).select(*by))
+    return None if hot.isEmpty() else F.broadcast(hot)
+
+
 def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
                   ascending: bool = True, out_col: str = "pct_rank", method: str = "auto",
                   max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
@@ -153,18 +165,12 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
         return _ranks_by_slices(hist, by, order_col, ascending, out_col)
     if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    # Rows per group bound its distinct values from above, and counting rows
-    # needs one partially aggregated shuffle of the input (not of the histogram).
-    hot = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
-           .filter(F.col("__ll_k") > F.lit(max_group_values)).select(*by))
-    # hot is an exact aggregate (deterministic): probing it re-reads the input
-    # once more but needs no materialization.
-    if hot.isEmpty():
+    hot = hot_groups(df, by, max_group_values)
+    if hot is None:
         return _ranks_by_window(hist, by, order_col, ascending, out_col)
-    # hot has at most (distinct keys / max_group_values) rows: bounded broadcast
-    cold_part = _ranks_by_window(join_null_safe(hist, F.broadcast(hot), by, "left_anti"),
+    cold_part = _ranks_by_window(join_null_safe(hist, hot, by, "left_anti"),
                                  by, order_col, ascending, out_col)
-    hot_part = _ranks_by_slices(join_null_safe(hist, F.broadcast(hot), by, "left_semi"),
+    hot_part = _ranks_by_slices(join_null_safe(hist, hot, by, "left_semi"),
                                 by, order_col, ascending, out_col)
     return cold_part.unionByName(hot_part)
 
@@ -175,22 +181,42 @@ def percent_rank_within(df: DataFrame, by: str | Iterable[str] | None, order_col
                         max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """``df`` plus ``percent_rank() OVER (PARTITION BY by ORDER BY order_col)``.
 
-    ``method`` ``"auto"`` / ``"histogram"`` / ``"sliced"`` are exact and
-    bounded per task (:func:`ranked_values`); ``"window"`` is Spark's Window
-    operator over the raw rows, one task per group, kept for comparison.
+    * ``"auto"`` -- groups of at most ``max_group_values`` rows use Spark's
+      Window directly; hot groups are ranked by slices and joined back.
+    * ``"histogram"`` / ``"sliced"`` -- rank the distinct values
+      (:func:`ranked_values`) and join back on ``(by, order_col)``.
+    * ``"window"`` -- Spark's Window for every group (unbounded per task).
     """
     by = _as_list(by)
+    if out_col in df.columns:
+        df = df.drop(out_col)
     if method == "window":
-        w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(
-            _order(order_col, ascending))
-        return df.withColumn(out_col, F.percent_rank().over(w))
+        return _window_rank(df, by, order_col, ascending, out_col)
+    if method == "auto" and by:
+        # Groups of at most max_group_values rows: Spark's Window is bounded
+        # per task.  Only hot groups take the histogram + slices + join route.
+        hot = hot_groups(df, by, max_group_values)
+        if hot is None:
+            return _window_rank(df, by, order_col, ascending, out_col)
+        cold = _window_rank(join_null_safe(df, hot, by, "left_anti"), by, order_col,
+                            ascending, out_col)
+        hot_rows = join_null_safe(df, hot, by, "left_semi")
+        ranks = _ranks_by_slices(hot_rows.groupBy(*by, order_col)
+                                 .agg(F.count(F.lit(1)).alias(_N)),
+                                 by, order_col, ascending, out_col).drop(_N)
+        return cold.unionByName(join_null_safe(hot_rows, ranks, [*by, order_col]))
     ranks = ranked_values(df, by, order_col, ascending, out_col, method,
                           max_group_values).drop(_N)
-    if out_col in df.columns:
-        df = df.drop(out_col)
     return join_null_safe(df, ranks, [*by, order_col])
 
 
+def _window_rank(df: DataFrame, by: list[str], order_col: str, ascending: bool,
+                 out_col: str) -> DataFrame:
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(
+        _order(order_col, ascending))
+    return df.withColumn(out_col, F.percent_rank().over(w))
+
+
 def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
              ascending: bool, max_pct: float, cut_col: str = "cut_value",
              method: str = "auto", max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
