@@ -102,6 +102,30 @@ def q_detect_upgrades(spark, sf):
                                    low_pct=0.2, detected_at=DETECTED_AT)
 
 
+HOT_MERCHANT = -1          # merchant id that takes over a third of all lines
+HOT_GROUP_VALUES = 5_000   # slice groups above this many rows (so the test tables reach it)
+
+
+def hot_merchant_transactions(spark, sf):
+    """Every line of a supplier whose key is divisible by 3 is booked under one
+    marketplace merchant: one merchant then holds about a third of all rows.
+    No row is dropped; only the merchant id changes."""
+    tx = _tx(spark, sf)
+    return tx.withColumn("merchant", F.when(F.col("merchant") % 3 == 0, F.lit(HOT_MERCHANT))
+                         .otherwise(F.col("merchant")))
+
+
+def q_detect_upgrades_hot_merchant(spark, sf):
+    return upgrade.detect_upgrades(hot_merchant_transactions(spark, sf), _imp(spark, sf),
+                                   THRESHOLD, detected_at=DETECTED_AT,
+                                   max_group_values=HOT_GROUP_VALUES)
+
+
+def q_importance_scores_hot_merchant(spark, sf):
+    return upgrade.importance_scores(hot_merchant_transactions(spark, sf), _imp(spark, sf),
+                                     max_group_values=HOT_GROUP_VALUES)
+
+
 def q_detect_upgrades_per_chunk(spark, sf):
     chunked = assign_chunks(_tx(spark, sf), ROW_KEY, CHUNK_SIZE)
     return upgrade.detect_upgrades(chunked, _imp(spark, sf), CHUNK_THRESHOLD,
@@ -194,6 +218,8 @@ QUERIES: dict[str, Query] = {
     "monthly_detection_stats": q_monthly_detection_stats,
     "customer_weights": q_customer_weights,
     "unprocessed_orders": q_unprocessed_orders,
+    "detect_upgrades_hot_merchant": q_detect_upgrades_hot_merchant,
+    "importance_scores_hot_merchant": q_importance_scores_hot_merchant,
 }
 
 
@@ -211,14 +237,16 @@ _TXC = """txc AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN part p ON l.l_partkey = p.p_partkey)"""
 _IMP = f"imp AS ({tpch.IMPORTANCE_SQL})"
+_TX_HOT = (f"tx AS (SELECT * REPLACE (CASE WHEN merchant % 3 = 0 THEN {HOT_MERCHANT} "
+           f"ELSE merchant END AS merchant) FROM ({tpch.TRANSACTIONS_SQL}))")
 _PAIRS = ("pairs AS (SELECT customer, merchant, COUNT(*) AS transaction_count "
           "FROM tx GROUP BY customer, merchant)")
 _W = "w AS (SELECT Source, AVG(COALESCE(Weight, 1.0)) AS cw FROM imp GROUP BY Source)"
 
 
-def _matches_sql(threshold: int, top: float, low: float) -> str:
+def _matches_sql(threshold: int, top: float, low: float, tx: str = _TX) -> str:
     return f"""
-WITH {_TX}, {_IMP}, {_PAIRS}, {_W},
+WITH {tx}, {_IMP}, {_PAIRS}, {_W},
 cs AS (SELECT customer, merchant, transaction_count,
               PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY transaction_count DESC) AS merchant_rank
        FROM pairs),
@@ -234,8 +262,8 @@ m AS (SELECT cs.customer, cs.merchant, cs.transaction_count, isc.avg_weight
         AND cs.merchant_rank <= {top} AND isc.weight_rank <= {low})"""
 
 
-def _detections_sql(threshold: int, top: float, low: float) -> str:
-    return _matches_sql(threshold, top, low) + f"""
+def _detections_sql(threshold: int, top: float, low: float, tx: str = _TX) -> str:
+    return _matches_sql(threshold, top, low, tx) + f"""
 SELECT '{DETECTED_AT}' AS YStartTime, '{DETECTED_AT}' AS detectionTime,
        'PatId1' AS patternId, 'UPGRADE' AS ActionType,
        CAST(customer AS VARCHAR) AS customer, CAST(merchant AS VARCHAR) AS merchant
@@ -390,4 +418,12 @@ FROM imp GROUP BY Source""",
     "unprocessed_orders": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "detect_upgrades_hot_merchant": _detections_sql(THRESHOLD, 0.1, 0.1, _TX_HOT),
+    "importance_scores_hot_merchant": f"""
+WITH {_TX_HOT}, {_IMP}, {_PAIRS}, {_W},
+sc AS (SELECT p.customer, p.merchant, COALESCE(w.cw, 1.0) AS avg_weight
+       FROM pairs p LEFT JOIN w ON p.customer = w.Source)
+SELECT customer, merchant, avg_weight,
+       PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY avg_weight) AS weight_rank
+FROM sc""",
 }

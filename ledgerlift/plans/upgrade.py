@@ -43,7 +43,7 @@ from ledgerlift.functions.columns import (
     detection_time_string,
     weight_or_default,
 )
-from ledgerlift.operators.rank import passes_cut, percent_rank_within, rank_cut
+from ledgerlift.operators.rank import MAX_GROUP_VALUES, passes_cut, percent_rank_within, rank_cut
 from ledgerlift.session import freeze
 
 DEFAULT_THRESHOLD = 50_000
@@ -106,14 +106,16 @@ def customer_stats(transactions: DataFrame, scope=(), method: str = "auto") -> D
 
 
 def importance_scores(transactions: DataFrame, importance: DataFrame, scope=(),
-                      method: str = "auto") -> DataFrame:
+                      method: str = "auto",
+                      max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """Per (customer, merchant): avg_weight and weight_rank (ascending)."""
     s = _scope(scope)
     pairs = customer_pairs(transactions, s).drop("transaction_count")
     # read twice (weight histogram, per-pair join back): compute it once
     scored = freeze(with_avg_weight(pairs, importance), "scored-pairs")
     return percent_rank_within(scored, [*s, "merchant"], "avg_weight",
-                               ascending=True, out_col="weight_rank", method=method)
+                               ascending=True, out_col="weight_rank", method=method,
+                               max_group_values=max_group_values)
 
 
 def merchant_totals(transactions: DataFrame, scope=()) -> DataFrame:
@@ -147,16 +149,22 @@ def eligible_customer_stats(transactions: DataFrame, threshold: int = DEFAULT_TH
 def pattern_matches(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                    method: str = "auto") -> DataFrame:
-    """(scope..., customer, merchant, transaction_count, avg_weight) of every match."""
+                    method: str = "auto",
+                    max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+    """(scope..., customer, merchant, transaction_count, avg_weight) of every match.
+
+    ``max_group_values``: merchants with more (customer) rows than this are
+    weight-ranked by range slices instead of one window task.
+    """
     return matches_from_pairs(customer_pairs(transactions, scope), importance, threshold,
-                              top_pct, low_pct, scope, method)
+                              top_pct, low_pct, scope, method, max_group_values)
 
 
 def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
                        threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                        low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                       method: str = "auto") -> DataFrame:
+                       method: str = "auto",
+                       max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """:func:`pattern_matches` starting from (scope..., customer, merchant,
     transaction_count) -- e.g. counts summed over many stream batches."""
     s = _scope(scope)
@@ -170,7 +178,8 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     busiest = rank_cut(scored, keys, "transaction_count", ascending=False,
                        max_pct=top_pct, cut_col="__ll_min_count", method=_count_method(method))
     lightest = rank_cut(scored, keys, "avg_weight", ascending=True,
-                        max_pct=low_pct, cut_col="__ll_max_weight", method=method)
+                        max_pct=low_pct, cut_col="__ll_max_weight", method=method,
+                        max_group_values=max_group_values)
     cuts = busiest.join(lightest, keys, "inner")
     matched = (scored.join(cuts, keys, "inner")
                .filter(passes_cut(F.col("transaction_count"), F.col("__ll_min_count"), False)
@@ -202,12 +211,13 @@ def detection_records(matches: DataFrame, detected_at: str | None = None, scope=
 def detect_upgrades(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, detected_at: str | None = None,
-                    scope=(), method: str = "auto") -> DataFrame:
+                    scope=(), method: str = "auto",
+                    max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
     """Full PatId1: transactions + importance -> detection records.
 
     An empty input, or one without eligible merchants, yields an empty frame
     with the detection schema.
     """
     matches = pattern_matches(transactions, importance, threshold, top_pct, low_pct,
-                              scope, method)
+                              scope, method, max_group_values)
     return detection_records(matches, detected_at, scope)

@@ -149,3 +149,18 @@ def test_per_scope_equals_independent_runs(spark):
     for p in range(3):
         alone = detect_pairs(spark, tx.filter(F.col("part") == p), imp, 150)
         assert rows(scoped.filter(F.col("part") == p), "customer", "merchant") == alone
+
+
+def test_hot_merchant_is_sliced_and_matches_window(spark):
+    # sf0.01: the marketplace merchant has ~1,500 customer pairs, the others ~500
+    from ledgerlift.operators.rank import hot_groups
+    from ledgerlift.plans.registry import HOT_MERCHANT, hot_merchant_transactions
+    sf = "/root/testdata/sf0.01"
+    tx = hot_merchant_transactions(spark, sf)
+    pairs = upgrade.customer_pairs(tx)
+    hot = hot_groups(pairs, ["merchant"], 1000)
+    assert hot is not None and [r.merchant for r in hot.collect()] == [HOT_MERCHANT]
+    imp = tpch.customer_importance(spark, sf)
+    sliced = detect_pairs(spark, tx, imp, 600, max_group_values=1000)
+    assert sliced == detect_pairs(spark, tx, imp, 600, method="window")
+    assert any(m == str(HOT_MERCHANT) for _, m in sliced)
