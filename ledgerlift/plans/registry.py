@@ -127,7 +127,8 @@ def q_importance_scores_hot_merchant(spark, sf):
 
 
 def q_detect_upgrades_per_chunk(spark, sf):
-    chunked = assign_chunks(_tx(spark, sf), ROW_KEY, CHUNK_SIZE)
+    # only the order key and the detection columns go into the chunk table
+    chunked = assign_chunks(_tx(spark, sf).select(*ROW_KEY, "customer"), ROW_KEY, CHUNK_SIZE)
     return upgrade.detect_upgrades(chunked, _imp(spark, sf), CHUNK_THRESHOLD,
                                    detected_at=DETECTED_AT, scope=["chunk_id"])
 

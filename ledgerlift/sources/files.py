@@ -86,3 +86,22 @@ def load_landing_folder(spark: SparkSession, folder: str, strip_quotes: bool = F
     imp_path = pick_role_file(spark, folder, "customerimportance.csv")
     return (read_transactions_csv(spark, tx_path, strip_quotes),
             read_importance_csv(spark, imp_path, strip_quotes))
+
+
+# Time layouts seen in detection files: the one the detector writes and the
+# day-first one found in exported samples.
+DETECTION_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy HH:mm")
+
+
+def read_detections_csv(spark: SparkSession, path: str | list[str],
+                        strip_quotes: bool = True) -> DataFrame:
+    """Detection CSV files, plus ``detected_at`` parsed from ``detectionTime``.
+
+    Exported samples wrap ids in single quotes ('C123'); ``strip_quotes``
+    reads them bare.  Either time layout is accepted (first that parses).
+    """
+    df = (spark.read.schema(schemas.DETECTIONS)
+          .options(**csv_options(strip_quotes)).csv(path))
+    parsed = F.coalesce(*[F.try_to_timestamp(F.col("detectionTime"), F.lit(fmt))
+                          for fmt in DETECTION_TIME_FORMATS])
+    return df.withColumn("detected_at", parsed)

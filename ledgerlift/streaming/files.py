@@ -30,6 +30,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from ledgerlift import schemas
 from ledgerlift.functions.columns import detection_time_string
@@ -87,8 +88,7 @@ class _BatchHandler:
     def _log(self, batch: DataFrame, batch_id: int, status: str, found: int | None,
              error: str | None, per_file: DataFrame | None = None) -> None:
         """One audit row per input file of the batch."""
-        rows = (batch.groupBy(F.input_file_name().alias(SOURCE_FILE))
-                .agg(F.count(F.lit(1)).alias("rows_read")))
+        rows = batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_read"))
         if per_file is not None:
             rows = (rows.join(per_file, SOURCE_FILE, "left")
                     .withColumn("detections_found",
@@ -109,6 +109,18 @@ class _BatchHandler:
         target = _batch_dir(self.output_path, batch_id)
         if self.scratch_root is None:
             self.scratch_root = scratch_path(batch.sparkSession, "stream-scratch")
+        # A micro-batch is bounded by maxFilesPerTrigger and read by several
+        # jobs (detection, audit): read the files once.  A lost block is
+        # re-read from the same files.  The source file is taken before
+        # caching (input_file_name() is empty for cached rows).
+        batch = (batch.withColumn(SOURCE_FILE, F.input_file_name())
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            self._process(batch, batch_id, stamp, target)
+        finally:
+            batch.unpersist()
+
+    def _process(self, batch: DataFrame, batch_id: int, stamp: str, target: str) -> None:
         try:
             with reusable_scratch(self.scratch_root):
                 det = self.detections(batch, batch_id, stamp)
@@ -136,8 +148,7 @@ class PerFileDetector(_BatchHandler):
 
     def detections(self, batch, batch_id, stamp):
         imp = self.importance_loader(batch.sparkSession)  # reloaded for every batch
-        tagged = batch.withColumn(SOURCE_FILE, F.input_file_name())
-        return detect_upgrades(tagged, imp, self.threshold, self.top_pct, self.low_pct,
+        return detect_upgrades(batch, imp, self.threshold, self.top_pct, self.low_pct,
                                detected_at=stamp, scope=[SOURCE_FILE])
 
     def per_file_counts(self, target):
@@ -210,6 +221,13 @@ def start_detection_stream(spark: SparkSession, source_folder: str, handler: _Ba
     return writer.start()
 
 
+def throughput(query: StreamingQuery) -> list[dict]:
+    """Per finished micro-batch: id, input rows and rows/s (from query progress)."""
+    return [{"batch_id": p["batchId"], "rows": p["numInputRows"],
+             "rows_per_sec": p.get("processedRowsPerSecond", 0.0)}
+            for p in query.recentProgress if p.get("numInputRows", 0) > 0]
+
+
 def read_outputs(spark: SparkSession, path: str) -> DataFrame:
     """All batch outputs (detections or audit rows) written so far."""
     return spark.read.parquet(path)

@@ -137,3 +137,15 @@ def test_jdbc_options_need_complete_partitioning():
     assert opts["numPartitions"] == "4" and opts["user"] == "u"
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x", "t", partition_column="id")
+
+
+def test_detection_files_with_quotes_and_day_first_times(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "det.csv")
+    _write(p, "YStartTime,detectionTime,patternId,ActionType,customer,merchant\n"
+              "09-08-2025 00:54,09-08-2025 00:54,PatId1,UPGRADE,'C17','M15'\n"
+              "2025-08-09 00:54:10,2025-08-09 00:54:10,PatId1,UPGRADE,C18,M15\n")
+    df = files.read_detections_csv(spark, p)
+    got = rows(df, "customer", "merchant", "detected_at")
+    import datetime as dt
+    assert got == [("C17", "M15", dt.datetime(2025, 8, 9, 0, 54)),
+                   ("C18", "M15", dt.datetime(2025, 8, 9, 0, 54, 10))]

@@ -17,6 +17,7 @@ from ledgerlift.streaming.files import (
     CumulativeDetector,
     PerFileDetector,
     compact_partials,
+    throughput,
     read_outputs,
     start_detection_stream,
 )
@@ -62,6 +63,7 @@ def _run(spark, handler, source, ckpt, files_per_batch=1):
                                max_files_per_trigger=files_per_batch)
     q.awaitTermination(300)
     assert q.exception() is None
+    return q
 
 
 def test_one_file_per_batch_and_stream_equals_batch(spark, landing, tmp_dir):
@@ -100,7 +102,8 @@ def test_many_files_per_batch_keep_per_file_results(spark, landing, tmp_dir):
     _, flat, files = landing
     out, log, ckpt = (os.path.join(tmp_dir, n) for n in ("out", "log", "ckpt"))
     h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED)
-    _run(spark, h, flat, ckpt, files_per_batch=3)
+    q = _run(spark, h, flat, ckpt, files_per_batch=3)
+    assert [t["rows"] for t in throughput(q)] == [3 * CHUNK, 2 * CHUNK]
     audit = read_outputs(spark, log)
     assert rows(audit, "batch_id") == [(0,), (0,), (0,), (1,), (1,)]
     det = read_outputs(spark, out)
