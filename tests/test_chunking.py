@@ -1,7 +1,6 @@
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from ledgerlift import schemas
 from ledgerlift.operators.chunking import assign_chunks, chunk_progress, with_row_position

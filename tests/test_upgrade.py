@@ -1,7 +1,6 @@
 """PatId1 semantics on hand-made fixtures, checked against a brute-force model."""
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift import schemas
