@@ -163,3 +163,22 @@ def test_hot_merchant_is_sliced_and_matches_window(spark):
     sliced = detect_pairs(spark, tx, imp, 600, max_group_values=1000)
     assert sliced == detect_pairs(spark, tx, imp, 600, method="window")
     assert any(m == str(HOT_MERCHANT) for _, m in sliced)
+
+
+def test_preaggregated_weight_equals_fanout_average(spark):
+    from ledgerlift.plans.reports import importance_join
+    tx = tpch.transactions(spark, SF_SMALL, with_category=True)
+    imp = tpch.customer_importance(spark, SF_SMALL)
+    fan = (importance_join(tx, imp).groupBy("customer", "merchant")
+           .agg(F.avg("weight").alias("fan_weight")))
+    got = upgrade.importance_scores(tx, imp).join(fan, ["customer", "merchant"])
+    worst = got.select(F.max(F.abs(F.col("avg_weight") - F.col("fan_weight"))
+                             / F.col("fan_weight")).alias("d")).first()["d"]
+    assert got.count() == fan.count() and worst <= 1e-12
+
+
+def test_row_order_does_not_matter(spark):
+    tx = tpch.transactions(spark, SF_SMALL)
+    imp = tpch.customer_importance(spark, SF_SMALL)
+    shuffled = tx.orderBy(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey")).repartition(5)
+    assert detect_pairs(spark, shuffled, imp, 500) == detect_pairs(spark, tx, imp, 500)
