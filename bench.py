@@ -48,7 +48,8 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     # warm-up on the smallest tables (JIT, class loading, codegen) -- not timed
-    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    warm_dir = os.environ.get("BENCH_WARM_DIR") or os.path.join(
+        os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
     for name in HEADLINE:
