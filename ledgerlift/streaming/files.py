@@ -60,6 +60,14 @@ def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool
             .csv(folder))
 
 
+def _has_output(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # listing only
+        return True
+    except Exception:  # nothing written yet
+        return False
+
+
 def _batch_dir(root: str, batch_id: int) -> str:
     # ``batch_id`` comes back as a partition column when the root is read.
     return f"{root.rstrip('/')}/batch_id={batch_id}"
@@ -161,13 +169,17 @@ class CumulativeDetector(_BatchHandler):
 
     ``compacted=(path, through_batch_id)`` names a table written by
     :func:`compact_partials`; partials up to that batch are then read from it.
+    ``new_only=True`` emits only (customer, merchant) pairs that no earlier
+    batch emitted (anti-join with the earlier outputs) instead of the full
+    snapshot.
     """
 
     def __init__(self, *args, stats_path: str, compacted: tuple[str, int] | None = None,
-                 **kwargs):
+                 new_only: bool = False, **kwargs):
         super().__init__(*args, **kwargs)
         self.stats_path = stats_path
         self.compacted = compacted
+        self.new_only = new_only
 
     def detections(self, batch, batch_id, stamp):
         spark = batch.sparkSession
@@ -183,7 +195,12 @@ class CumulativeDetector(_BatchHandler):
                  .agg(F.sum("transaction_count").cast("long").alias("transaction_count")))
         imp = self.importance_loader(spark)
         matches = matches_from_pairs(pairs, imp, self.threshold, self.top_pct, self.low_pct)
-        return detection_records(matches, stamp)
+        records = detection_records(matches, stamp)
+        if self.new_only and batch_id > 0 and _has_output(spark, self.output_path):
+            earlier = (spark.read.parquet(self.output_path)
+                       .filter(F.col("batch_id") < batch_id).select("customer", "merchant"))
+            records = records.join(earlier, ["customer", "merchant"], "left_anti")
+        return records
 
 
 def compact_partials(spark: SparkSession, stats_path: str, through_batch_id: int,

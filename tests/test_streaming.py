@@ -157,3 +157,25 @@ def test_compacted_partials_give_same_snapshot(spark, landing, tmp_dir):
     again = read_outputs(spark, os.path.join(tmp_dir, "out2"))
     first = read_outputs(spark, out).filter(F.col("batch_id") == len(files) - 1)
     assert rows(again, "customer", "merchant") == rows(first, "customer", "merchant")
+
+
+def test_cumulative_new_only_emits_each_pair_once(spark, landing, tmp_dir):
+    _, flat, files = landing
+    snap_out, new_out = os.path.join(tmp_dir, "snap"), os.path.join(tmp_dir, "new")
+    stats1, stats2 = os.path.join(tmp_dir, "s1"), os.path.join(tmp_dir, "s2")
+    _run(spark, CumulativeDetector(_importance, snap_out, os.path.join(tmp_dir, "l1"),
+                                   threshold=300, stats_path=stats1, clock=FIXED),
+         flat, os.path.join(tmp_dir, "c1"))
+    _run(spark, CumulativeDetector(_importance, new_out, os.path.join(tmp_dir, "l2"),
+                                   threshold=300, stats_path=stats2, new_only=True, clock=FIXED),
+         flat, os.path.join(tmp_dir, "c2"))
+    snaps = read_outputs(spark, snap_out)
+    news = read_outputs(spark, new_out)
+    pairs = rows(news, "customer", "merchant")
+    assert len(pairs) == len(set(pairs))                       # never emitted twice
+    assert set(pairs) == set(rows(snaps, "customer", "merchant"))  # everything ever seen
+    for b in range(len(files)):
+        seen_before = set(rows(snaps.filter(F.col("batch_id") < b), "customer", "merchant"))
+        now = set(rows(snaps.filter(F.col("batch_id") == b), "customer", "merchant"))
+        assert set(rows(news.filter(F.col("batch_id") == b), "customer", "merchant")) == \
+            now - seen_before
