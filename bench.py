@@ -83,7 +83,7 @@ def main() -> None:
     handler = PerFileDetector(lambda s: s.read.parquet(imp_path), scratch_path(spark, "bench-out"),
                               scratch_path(spark, "bench-log"), threshold=CHUNK_THRESHOLD)
     t0 = time.perf_counter()
-    q = start_detection_stream(spark, f"{landing}/*", handler, max_files_per_trigger=20,
+    q = start_detection_stream(spark, landing, handler, max_files_per_trigger=20,
                                checkpoint_location=scratch_path(spark, "bench-stream-ckpt"))
     q.awaitTermination()
     times["stream_per_file"] = round(time.perf_counter() - t0, 3)

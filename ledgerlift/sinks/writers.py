@@ -16,18 +16,33 @@ from ledgerlift.operators.chunking import assign_chunks
 
 def write_chunked_csv(df: DataFrame, path: str, order_cols: Sequence[str], chunk_size: int,
                       chunk_col: str = "chunk_id", mode: str = "overwrite",
-                      keep_cols: Sequence[str] | None = None) -> None:
+                      keep_cols: Sequence[str] | None = None, layout: str = "flat") -> None:
     """One CSV file (with header) per chunk of ``chunk_size`` consecutive rows.
 
-    Files land in ``path/<chunk_col>=<k>/``; each chunk is written by exactly
-    one task (hash-partitioned on the chunk id), rows in global order.
+    ``layout="flat"`` (default): all files in ``path``.  The rows are
+    range-partitioned on the chunk id -- every task holds whole, contiguous
+    chunks -- and sorted by position; ``maxRecordsPerFile = chunk_size`` then
+    rolls a new file exactly at each chunk boundary.  File names sort in chunk
+    order.  No directory per chunk, no dynamic-partition commit.
+
+    ``layout="partitioned"``: ``path/<chunk_col>=<k>/`` with one file each
+    (handy to read chunk ids back as a column; one folder per chunk).
     """
     chunked = assign_chunks(df, order_cols, chunk_size, chunk_col=chunk_col, pos_col="__ll_pos")
     cols = list(keep_cols) if keep_cols else [c for c in df.columns]
-    (chunked.repartition(chunk_col)
-     .sortWithinPartitions(chunk_col, "__ll_pos")
-     .select(*cols, chunk_col)
-     .write.mode(mode).partitionBy(chunk_col).option("header", "true").csv(path))
+    if layout == "flat":
+        (chunked.repartitionByRange(chunk_col)
+         .sortWithinPartitions("__ll_pos")
+         .select(*cols)
+         .write.mode(mode).option("maxRecordsPerFile", chunk_size)
+         .option("header", "true").csv(path))
+    elif layout == "partitioned":
+        (chunked.repartition(chunk_col)
+         .sortWithinPartitions(chunk_col, "__ll_pos")
+         .select(*cols, chunk_col)
+         .write.mode(mode).partitionBy(chunk_col).option("header", "true").csv(path))
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
 
 
 def write_detection_batches(detections: DataFrame, path: str, batch_size: int = 50,
@@ -43,7 +58,7 @@ def write_detection_batches(detections: DataFrame, path: str, batch_size: int =
     """
     if exact:
         write_chunked_csv(detections, path, order_cols, batch_size, chunk_col="batch_id",
-                          mode=mode)
+                          mode=mode, layout="partitioned")
     else:
         (detections.write.mode(mode).option("maxRecordsPerFile", batch_size)
          .option("header", "true").csv(path))

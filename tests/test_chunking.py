@@ -1,6 +1,8 @@
 import glob
 import os
 
+import pandas as pd
+
 
 from ledgerlift import schemas
 from ledgerlift.operators.chunking import assign_chunks, chunk_progress, with_row_position
@@ -31,14 +33,24 @@ def test_positions_equal_sorted_order(spark):
 def test_chunk_files_round_trip(spark, tmp_dir):
     extra = [c for c in tpch.ROW_KEY if c not in ("merchant", "amount")]
     tx = tpch.as_transaction_records(tpch.transactions(spark, SF_SMALL), keep=extra)
-    out = os.path.join(tmp_dir, "chunks")
-    write_chunked_csv(tx, out, tpch.ROW_KEY, 1500, keep_cols=schemas.TRANSACTIONS.fieldNames())
-    dirs = sorted(glob.glob(os.path.join(out, "chunk_id=*")))
+    cols = schemas.TRANSACTIONS.fieldNames()
+
+    flat = os.path.join(tmp_dir, "flat")
+    write_chunked_csv(tx, flat, tpch.ROW_KEY, 1500, keep_cols=cols)
+    names = sorted(glob.glob(os.path.join(flat, "*.csv")))
+    assert len(names) == 4
+    ordered = tx.orderBy(*tpch.ROW_KEY).select(*cols).toPandas()
+    got = pd.concat([read_transactions_csv(spark, n).toPandas() for n in names],
+                    ignore_index=True)
+    assert [len(read_transactions_csv(spark, n).collect()) for n in names] == [1500] * 4
+    assert got.astype(str).equals(ordered.astype(str))  # files in name order = chunk order
+
+    parted = os.path.join(tmp_dir, "parted")
+    write_chunked_csv(tx, parted, tpch.ROW_KEY, 1500, keep_cols=cols, layout="partitioned")
+    dirs = sorted(glob.glob(os.path.join(parted, "chunk_id=*")))
     assert len(dirs) == 4
     for d in dirs:
         assert len(glob.glob(os.path.join(d, "*.csv"))) == 1
-    back = read_transactions_csv(spark, out)
+    back = read_transactions_csv(spark, parted)
     sizes = rows(back.groupBy("chunk_id").count(), "chunk_id", "count")
     assert sizes == [(0, 1500), (1, 1500), (2, 1500), (3, 1500)]
-    assert back.count() == tx.count()
-    assert rows(back.groupBy("merchant").count()) == rows(tx.groupBy("merchant").count())

@@ -43,18 +43,11 @@ def _importance(spark):
 @pytest.fixture(scope="module")
 def landing(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("landing")
-    staged = str(base / "staged")
-    write_chunked_csv(_string_tx(spark), staged, tpch.ROW_KEY, CHUNK,
-                      keep_cols=schemas.TRANSACTIONS.fieldNames())
     flat = str(base / "flat")
-    os.makedirs(flat)
-    files = []
-    for d in sorted(glob.glob(os.path.join(staged, "chunk_id=*")),
-                    key=lambda p: int(p.rsplit("=", 1)[1])):
-        src = glob.glob(os.path.join(d, "*.csv"))[0]
-        dst = os.path.join(flat, f"transactions_chunk_{int(d.rsplit('=', 1)[1]):04d}.csv")
-        shutil.copy(src, dst)
-        files.append(dst)
+    write_chunked_csv(_string_tx(spark), flat, tpch.ROW_KEY, CHUNK,
+                      keep_cols=schemas.TRANSACTIONS.fieldNames())
+    files = sorted(glob.glob(os.path.join(flat, "*.csv")))  # name order = chunk order
+    assert len(files) == 5
     return base, flat, files
 
 
@@ -90,7 +83,7 @@ def test_one_file_per_batch_and_stream_equals_batch(spark, landing, tmp_dir):
     assert read_outputs(spark, log).count() == 5
 
     # a new file arrives: exactly one more batch
-    extra = os.path.join(flat, "transactions_chunk_9999.csv")
+    extra = os.path.join(flat, "zz_transactions_chunk_9999.csv")
     shutil.copy(files[0], extra)
     _run(spark, PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED),
          flat, ckpt)
