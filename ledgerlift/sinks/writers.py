@@ -51,14 +51,14 @@ def write_detection_batches(detections: DataFrame, path: str, batch_size: int =
     """Detection CSV files of at most ``batch_size`` rows.
 
     ``exact=True``: consecutive batches in ``order_cols`` order, all full but
-    the last one (folder per batch).  ``exact=False``: ``maxRecordsPerFile``,
+    the last one, flat in ``path`` (see :func:`write_chunked_csv`).  ``exact=False``: ``maxRecordsPerFile``,
     i.e. every task cuts its own rows into files of at most ``batch_size``
     rows -- no extra sort.  A failing task fails the job (no silently lost
     batch).
     """
     if exact:
         write_chunked_csv(detections, path, order_cols, batch_size, chunk_col="batch_id",
-                          mode=mode, layout="partitioned")
+                          mode=mode)
     else:
         (detections.write.mode(mode).option("maxRecordsPerFile", batch_size)
          .option("header", "true").csv(path))
