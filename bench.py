@@ -30,6 +30,7 @@ HEADLINE = [
     "eligible_merchants",
     "top_merchants",
     "detect_upgrades_per_chunk",
+    "detect_upgrades_hot_merchant",
     "chunk_assignment",
     "monthly_detection_stats",
     "quality_report",
