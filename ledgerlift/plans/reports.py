@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.columns import weight_or_default
@@ -57,19 +57,31 @@ def threshold_advice(transactions: DataFrame, threshold: int = DEFAULT_THRESHOLD
 
 def with_month(transactions: DataFrame, date_col: str = "order_date",
                month_col: str = "month") -> DataFrame:
-    return transactions.withColumn(month_col, F.date_format(F.col(date_col), "yyyy-MM"))
+    """Adds the calendar month as an integer key ``yyyymm`` (cheap to build,
+    hash and sort, unlike a formatted string per row)."""
+    d = F.col(date_col)
+    return transactions.withColumn(month_col, F.year(d) * 100 + F.month(d))
+
+
+def month_label(month_key: str = "month") -> Column:
+    """``yyyymm`` key -> ``yyyy-MM`` text."""
+    k = F.col(month_key)
+    return F.format_string("%04d-%02d", F.floor(k / 100).cast("int"), (k % 100).cast("int"))
 
 
 def monthly_detections(transactions: DataFrame, importance: DataFrame, threshold: int,
                        detected_at: str | None = None, date_col: str = "order_date",
                        method: str = "auto") -> DataFrame:
-    """PatId1 run independently for every calendar month of transactions."""
+    """PatId1 run independently for every calendar month of transactions
+    (``month`` column: ``yyyymm`` key)."""
     return detect_upgrades(with_month(transactions, date_col), importance, threshold,
                            detected_at=detected_at, scope=["month"], method=method)
 
 
 def monthly_detection_stats(detections: DataFrame, month_col: str = "month") -> DataFrame:
-    """Per (month, patternId, merchant): detections and distinct customers."""
+    """Per (month, patternId, merchant): detections and distinct customers;
+    ``month`` as ``yyyy-MM`` text."""
     return (detections.groupBy(month_col, "patternId", "merchant")
             .agg(F.count(F.lit(1)).alias("detections"),
-                 F.countDistinct("customer").alias("customers")))
+                 F.countDistinct("customer").alias("customers"))
+            .withColumn(month_col, month_label(month_col)))
