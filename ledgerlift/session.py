@@ -43,13 +43,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (tests, a laptop) do we pick a
-    private folder ourselves.
+    Only a local-mode session that leaves it unset (tests, a laptop) gets a
+    private folder; on a cluster an unset value is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # executors could not see a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerlift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
