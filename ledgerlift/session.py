@@ -119,4 +119,5 @@ def freeze(df, name: str = "frozen"):
         path = f"{reuse[0]}/{name}-{reuse[1]}"
         reuse[1] += 1
         df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading inference job over the part files
+    return spark.read.schema(df.schema).parquet(path)

@@ -36,8 +36,19 @@ ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "merchant", "l_quantity",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the star-schema tables.  They are read-only, so the schema found
+    on the first read is reused (later reads skip the footer-inference job)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False) -> DataFrame:
