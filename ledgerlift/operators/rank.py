@@ -12,7 +12,8 @@ is computed from relational pieces that stay balanced:
 2. *slices* -- the distinct keys are range-partitioned on ``(g, v)``; Spark
    samples the keys, so a hot group is spread over many contiguous, equally
    sized partitions.  The partition index is the slice id; the sliced
-   histogram is checkpointed so that every later reader sees the same ids.
+   histogram is materialized once (:func:`ledgerlift.session.freeze`) so
+   that every later reader sees the same ids.
 3. *local prefix* -- a window per ``(g, slice)`` sums the rows before each key;
    its size is bounded by one slice, never by the group.
 4. *offsets* -- one row per ``(g, slice)`` (at most groups + slices rows), a
@@ -20,10 +21,13 @@ is computed from relational pieces that stay balanced:
 5. the per-key rank is joined back to the input on ``(g, v)``.  A hot key there
    meets exactly one histogram row, which AQE's skew-join split handles.
 
-Groups whose tie histogram is small (most of them; and every group when the
-value is a count, see :func:`ranked_values`) skip steps 2-4 and use one
-window over their histogram.  ``method="window"`` keeps Spark's plain Window
-over the raw rows for comparison.
+Only *hot* groups need steps 2-5.  ``method="auto"`` first counts rows per
+group (one partially aggregated shuffle); groups with at most
+``MAX_GROUP_VALUES`` rows are ranked by a plain window, which is then bounded
+per task.  For a count column ``method="histogram"`` needs no probe: a group
+with R rows has at most sqrt(2R) distinct counts, so the window over its tie
+histogram is always small.  ``method="window"`` keeps Spark's plain Window
+for every group, for comparison.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ _LT_BEFORE = "__ll_lt_before"
 _GROUP_N = "__ll_group_n"
 _SLICE_N = "__ll_slice_n"
 
-# Groups with more distinct values than this are ranked by range slices.
+# Groups with more rows than this are ranked by range slices (method="auto").
 MAX_GROUP_VALUES = 1_000_000
 
 

@@ -6,10 +6,11 @@ customers whose percent rank by transaction count (descending) is
 (ascending) is ``<= low_pct``.
 
 Every function takes and returns DataFrames.  The only jobs started while a
-plan is built are the checkpoints that pin sampled range bounds (see
-:func:`ledgerlift.session.freeze`).  The ``scope`` argument prefixes every grouping key: ``scope=()`` is one detection
-over the whole input, ``scope=["chunk_id"]`` runs the detection independently
-per input file/chunk -- all chunks in one distributed job.
+plan is built are the materializations of :func:`ledgerlift.session.freeze`
+and the hot-group probe of the rank operator.  The ``scope`` argument
+prefixes every grouping key: ``scope=()`` is one detection over the whole
+input, ``scope=["chunk_id"]`` runs the detection independently per input
+file/chunk -- all chunks in one distributed job.
 
 Plan shape of :func:`pattern_matches` (the shuffles are what scale):
 
@@ -17,14 +18,15 @@ Plan shape of :func:`pattern_matches` (the shuffles are what scale):
    map-side partial aggregation, so a hot customer/merchant is combined
    before it moves.
 2. merchant totals are summed from those pair counts (no second pass over
-   transactions); eligible merchants are a LEFT SEMI join (the reference
-   collected them to the driver and used ``isin``).
+   transactions); eligible merchants are a LEFT SEMI join, not a list
+   collected to the driver for ``isin``.
 3. the customer weight is the mean of the customer's importance rows
    (default 1.0): importance is aggregated per customer *before* joining, so
    the pair rows never fan out over importance rows.
-4. both rank cuts come from :func:`ledgerlift.operators.rank.rank_cut`, one
-   row per merchant, exact and skew-safe; the final step is a single join of
-   the pairs with that per-merchant table and a range filter.
+4. the scored pairs (eligible merchants only) are materialized once; both
+   rank cuts come from :func:`ledgerlift.operators.rank.rank_cut`, one row
+   per merchant, exact and skew-safe; the final step is a single join of the
+   pairs with that per-merchant table and a range filter.
 AQE decides at runtime whether the per-customer and per-merchant tables are
 small enough to broadcast; otherwise they are sort-merge joined with skew
 splitting.

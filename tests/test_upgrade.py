@@ -17,7 +17,7 @@ def tx_frame(spark, pairs):
     return spark.createDataFrame(data, "customer string, merchant string")
 
 
-def reference_model(tx: pd.DataFrame, imp: pd.DataFrame, threshold, top=0.1, low=0.1):
+def brute_force_model(tx: pd.DataFrame, imp: pd.DataFrame, threshold, top=0.1, low=0.1):
     """Literal semantics: fan-out left join, ranks over all pairs, cuts, inner join."""
     def prank(s, ascending):
         n = len(s)
@@ -76,7 +76,7 @@ def test_null_customer_counts_in_rank_but_is_dropped(spark):
     # null customer holds rank 0.0 in m; a has rank 0.5 -> nothing but a null passes
     assert got == []
     pdf = pd.DataFrame(data, columns=["customer", "merchant"])
-    assert got == reference_model(pdf, pd.DataFrame(columns=["Source", "Weight"]), 0)
+    assert got == brute_force_model(pdf, pd.DataFrame(columns=["Source", "Weight"]), 0)
 
 
 def test_weights_default_fanout_and_nulls(spark):
@@ -95,7 +95,7 @@ def test_weights_default_fanout_and_nulls(spark):
     impp = pd.DataFrame(imp_rows, columns=["Source", "Target", "Weight", "typeTrans", "fraud"])
     for top, low in [(0.1, 0.1), (0.5, 0.5), (1.0, 0.4)]:
         assert detect_pairs(spark, tx, imp, 0, top_pct=top, low_pct=low) == \
-            reference_model(txp, impp, 0, top, low)
+            brute_force_model(txp, impp, 0, top, low)
 
 
 def test_empty_input_and_no_eligible_merchant_give_schema(spark):
@@ -127,7 +127,7 @@ def test_matches_brute_force_on_test_tables(spark):
                                         (550, 0.3, 0.2, "auto"), (550, 0.3, 0.2, "window")]:
         got = detect_pairs(spark, tx, imp, threshold, top_pct=top, low_pct=low, method=method)
         got = sorted((int(c), int(m)) for c, m in got)
-        assert got == reference_model(txp, impp, threshold, top, low)
+        assert got == brute_force_model(txp, impp, threshold, top, low)
 
 
 def test_raising_threshold_never_adds_detections(spark):
