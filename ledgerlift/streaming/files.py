@@ -140,9 +140,10 @@ class _BatchHandler:
         except Exception as exc:  # record, then let the query fail and retry
             self._log(batch, batch_id, "FAILED", None, str(exc)[:2000])
             raise
-        self._log(batch, batch_id, "SUCCESS", found, None, self.per_file_counts(target))
+        self._log(batch, batch_id, "SUCCESS", found, None,
+                  self.per_file_counts(batch.sparkSession, target))
 
-    def per_file_counts(self, target: str) -> DataFrame | None:
+    def per_file_counts(self, spark: SparkSession, target: str) -> DataFrame | None:
         return None
 
 
@@ -159,8 +160,8 @@ class PerFileDetector(_BatchHandler):
         return detect_upgrades(batch, imp, self.threshold, self.top_pct, self.low_pct,
                                detected_at=stamp, scope=[SOURCE_FILE])
 
-    def per_file_counts(self, target):
-        out = SparkSession.getActiveSession().read.parquet(target)
+    def per_file_counts(self, spark, target):
+        out = spark.read.parquet(target)
         return out.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("detections_found"))
 
 
