@@ -234,11 +234,23 @@ def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
     expected to be non-null (it is for counts and coalesced weights).
     """
     by = _as_list(by)
-    if method == "window":
-        ranked = percent_rank_within(df.select(*by, order_col), by, order_col,
-                                     ascending, "__ll_pct", method="window")
+    src = df.select(*by, order_col)
+    if method == "window" or (method == "auto" and by):
+        hot = hot_groups(src, by, max_group_values) if method == "auto" else None
+        if hot is None:
+            ranked = _window_rank(src, by, order_col, ascending, "__ll_pct")
+        else:
+            # bounded groups: one window over their rows (a single shuffle);
+            # hot groups: ranked distinct values from slices -- a cut needs
+            # no per-row join back
+            cold = _window_rank(join_null_safe(src, hot, by, "left_anti"), by, order_col,
+                                ascending, "__ll_pct")
+            hot_hist = (join_null_safe(src, hot, by, "left_semi")
+                        .groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N)))
+            ranked = cold.unionByName(
+                _ranks_by_slices(hot_hist, by, order_col, ascending, "__ll_pct").drop(_N))
     else:
-        ranked = ranked_values(df, by, order_col, ascending, "__ll_pct", method,
+        ranked = ranked_values(src, by, order_col, ascending, "__ll_pct", method,
                                max_group_values)
     passing = ranked.filter(F.col("__ll_pct") <= F.lit(max_pct))
     pick = F.min if not ascending else F.max
