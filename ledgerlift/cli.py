@@ -63,7 +63,8 @@ def cmd_stream(spark: SparkSession, a) -> None:
     loader = _importance_loader(a.importance, a.strip_quotes)
     common = dict(threshold=a.threshold, top_pct=a.top_pct, low_pct=a.low_pct)
     if a.cumulative:
-        handler = CumulativeDetector(loader, a.out, a.log, stats_path=a.stats, **common)
+        handler = CumulativeDetector(loader, a.out, a.log, stats_path=a.stats,
+                                     compact_every=a.compact_every, **common)
     else:
         handler = PerFileDetector(loader, a.out, a.log, **common)
     q = start_detection_stream(spark, a.landing, handler, checkpoint_location=a.checkpoint,
@@ -110,6 +111,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--once", action="store_true", help="process the files present, then stop")
     s.add_argument("--cumulative", action="store_true")
     s.add_argument("--stats", default=None, help="pair-count folder (cumulative scope)")
+    s.add_argument("--compact-every", type=int, default=100,
+                   help="cumulative scope: fold pair counts into one table every K batches")
     detection_args(s)
 
     d = sub.add_parser("detect")

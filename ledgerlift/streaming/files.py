@@ -168,32 +168,63 @@ class PerFileDetector(_BatchHandler):
 class CumulativeDetector(_BatchHandler):
     """PatId1 over all files seen so far (snapshot per batch).
 
-    ``compacted=(path, through_batch_id)`` names a table written by
-    :func:`compact_partials`; partials up to that batch are then read from it.
-    ``new_only=True`` emits only (customer, merchant) pairs that no earlier
-    batch emitted (anti-join with the earlier outputs) instead of the full
-    snapshot.
+    Every batch stores its pair counts under ``stats_path/batch_id=<n>``; the
+    detection runs on their sum.  ``compact_every=K`` writes that sum every K
+    batches to ``stats_path/_compacted/through=<n>`` (the folder Spark skips
+    when reading ``stats_path``); later batches start from the newest such
+    table found on storage, so the work per batch does not grow with the
+    number of batches, also across restarts.  ``compacted=(path, through)``
+    names a table made by :func:`compact_partials` by hand.  ``new_only=True``
+    emits only (customer, merchant) pairs that no earlier batch emitted
+    (anti-join with the earlier outputs) instead of the full snapshot.
     """
 
     def __init__(self, *args, stats_path: str, compacted: tuple[str, int] | None = None,
-                 new_only: bool = False, **kwargs):
+                 new_only: bool = False, compact_every: int | None = None, **kwargs):
         super().__init__(*args, **kwargs)
         self.stats_path = stats_path
         self.compacted = compacted
         self.new_only = new_only
+        self.compact_every = compact_every
+
+    def _compacted_root(self) -> str:
+        return f"{self.stats_path.rstrip('/')}/_compacted"
+
+    def _base(self, spark: SparkSession, batch_id: int) -> tuple[str, int] | None:
+        """Newest compacted sum covering batches <= through <= batch_id."""
+        found = None
+        if self.compact_every and _has_output(spark, self._compacted_root()):
+            row = (spark.read.parquet(self._compacted_root())
+                   .filter(F.col("through") <= batch_id)
+                   .agg(F.max("through").alias("t")).first())
+            if row is not None and row["t"] is not None:
+                found = (f"{self._compacted_root()}/through={row['t']}", int(row["t"]))
+        if self.compacted is not None and self.compacted[1] <= batch_id:
+            if found is None or self.compacted[1] > found[1]:
+                found = self.compacted
+        return found
 
     def detections(self, batch, batch_id, stamp):
         spark = batch.sparkSession
         (customer_pairs(batch)
          .write.mode("overwrite").parquet(_batch_dir(self.stats_path, batch_id)))
-        partials = spark.read.parquet(self.stats_path).filter(F.col("batch_id") <= batch_id)
-        if self.compacted is not None:
-            base_path, through = self.compacted
-            partials = (partials.filter(F.col("batch_id") > through)
+        partials = (spark.read.parquet(self.stats_path).filter(F.col("batch_id") <= batch_id)
+                    .select("customer", "merchant", "transaction_count"))
+        base = self._base(spark, batch_id)
+        if base is not None:
+            base_path, through = base
+            partials = (spark.read.parquet(self.stats_path)
+                        .filter((F.col("batch_id") > through) & (F.col("batch_id") <= batch_id))
                         .select("customer", "merchant", "transaction_count")
-                        .unionByName(spark.read.parquet(base_path)))
+                        .unionByName(spark.read.parquet(base_path)
+                                     .select("customer", "merchant", "transaction_count")))
         pairs = (partials.groupBy("customer", "merchant")
                  .agg(F.sum("transaction_count").cast("long").alias("transaction_count")))
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            # the sum this batch needs anyway becomes the next base (idempotent on replay)
+            target = f"{self._compacted_root()}/through={batch_id}"
+            pairs.write.mode("overwrite").parquet(target)
+            pairs = spark.read.schema(pairs.schema).parquet(target)
         imp = self.importance_loader(spark)
         matches = matches_from_pairs(pairs, imp, self.threshold, self.top_pct, self.low_pct)
         records = detection_records(matches, stamp)
