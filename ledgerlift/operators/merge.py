@@ -30,36 +30,42 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], as_of=Non
     replaced rows and ``updated_col`` becomes ``as_of`` (default: the query's
     current timestamp) for every written row.  ``state_col`` (optional) tells
     ``kept`` / ``updated`` / ``inserted`` apart.
+
+    One full outer join on the key: each side is shuffled once.
     """
     keys = list(keys)
     now = _as_of(as_of)
-    business = [c for c in updates.columns if c not in (created_col, updated_col)]
-    tcols = target.columns
-
-    kept = target.join(updates.select(*keys), keys, "left_anti")
-    if state_col:
-        kept = kept.withColumn(state_col, F.lit("kept"))
-
-    old = target.select(*keys, *([F.col(created_col).alias("__ll_created")]
-                                 if created_col and created_col in tcols else []),
-                        F.lit(True).alias("__ll_hit"))
-    written = updates.select(*business).join(old, keys, "left")
-    out_cols = [F.col(c) for c in business]
+    stamps = {c for c in (created_col, updated_col) if c}
+    business = [c for c in updates.columns if c not in stamps]
+    values = [c for c in business if c not in keys]
+    tcols = set(target.columns)
+
+    t = target.select(*keys, *[F.col(c).alias(f"__ll_t_{c}") for c in target.columns
+                               if c not in keys], F.lit(True).alias("__ll_t"))
+    u = updates.select(*keys, *[F.col(c).alias(f"__ll_u_{c}") for c in values],
+                       F.lit(True).alias("__ll_u"))
+    j = t.join(u, keys, "full_outer")
+    from_update = F.col("__ll_u").isNotNull()
+
+    def pick(c):
+        old = F.col(f"__ll_t_{c}") if c in tcols else F.lit(None)
+        return F.when(from_update, F.col(f"__ll_u_{c}")).otherwise(old).alias(c)
+
+    out = [F.col(k) for k in keys] + [pick(c) for c in values]
+    # target columns the updates do not carry stay as they are
+    out += [F.col(f"__ll_t_{c}").alias(c) for c in target.columns
+            if c not in keys and c not in values and c not in stamps]
     if created_col:
-        prior = F.col("__ll_created") if created_col in tcols else F.lit(None).cast("timestamp")
-        out_cols.append(F.coalesce(prior, now).alias(created_col))
+        prior = F.col(f"__ll_t_{created_col}") if created_col in tcols else F.lit(None).cast("timestamp")
+        out.append(F.when(from_update, F.coalesce(prior, now)).otherwise(prior).alias(created_col))
     if updated_col:
-        out_cols.append(now.alias(updated_col))
+        prior = F.col(f"__ll_t_{updated_col}") if updated_col in tcols else F.lit(None).cast("timestamp")
+        out.append(F.when(from_update, now).otherwise(prior).alias(updated_col))
     if state_col:
-        out_cols.append(F.when(F.col("__ll_hit"), F.lit("updated"))
-                        .otherwise(F.lit("inserted")).alias(state_col))
-    written = written.select(*out_cols)
-
-    if created_col and created_col not in tcols:
-        kept = kept.withColumn(created_col, F.lit(None).cast("timestamp"))
-    if updated_col and updated_col not in tcols:
-        kept = kept.withColumn(updated_col, F.lit(None).cast("timestamp"))
-    return kept.unionByName(written, allowMissingColumns=True)
+        out.append(F.when(~from_update, F.lit("kept"))
+                   .when(F.col("__ll_t").isNotNull(), F.lit("updated"))
+                   .otherwise(F.lit("inserted")).alias(state_col))
+    return j.select(*out)
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str],
