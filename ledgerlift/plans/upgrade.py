@@ -36,7 +36,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.columns import (
@@ -172,15 +172,27 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     s = _scope(scope)
     keys = [*s, "merchant"]
     totals = pairs.groupBy(*keys).agg(F.sum("transaction_count").alias("total_transactions"))
-    eligible = totals.filter(F.col("total_transactions") > F.lit(threshold)).select(*keys)
+    # one row per eligible merchant: the inner join keeps pairs of eligible
+    # merchants only (a semi join) and carries the merchant total along
+    eligible = totals.filter(F.col("total_transactions") > F.lit(threshold))
     # Read three times below (two rank cuts, final filter): compute it once.
-    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "left_semi"), importance),
+    # The largest merchant total is observed while writing: a merchant has no
+    # more customer pairs than transactions, so when it is within
+    # max_group_values every weight window is bounded and no hot-group probe
+    # is needed.
+    seen = Observation("scored_pairs")
+    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "inner"), importance)
+                    .observe(seen, F.max("total_transactions").alias("largest")),
                     "scored-pairs")
+    largest = seen.get.get("largest")
+    weight_method = method
+    if method == "auto" and (largest is None or largest <= max_group_values):
+        weight_method = "window"
 
     busiest = rank_cut(scored, keys, "transaction_count", ascending=False,
                        max_pct=top_pct, cut_col="__ll_min_count", method=_count_method(method))
     lightest = rank_cut(scored, keys, "avg_weight", ascending=True,
-                        max_pct=low_pct, cut_col="__ll_max_weight", method=method,
+                        max_pct=low_pct, cut_col="__ll_max_weight", method=weight_method,
                         max_group_values=max_group_values)
     cuts = busiest.join(lightest, keys, "inner")
     matched = (scored.join(cuts, keys, "inner")
