@@ -11,9 +11,9 @@ does it, but with DataFrame operators:
    one row per partition, so broadcasting it is bounded by the partition
    count, never by the data.
 
-The sorted, id-tagged rows are checkpointed: both readers (counts and
-numbering) must see the same sampled range bounds, and a retried task must
-not re-sample them.
+The sorted, id-tagged rows are materialized once (Parquet in the shared
+checkpoint folder): both readers (counts and numbering) must see the same
+sampled range bounds, and a retried task must not re-sample them.
 """
 
 from __future__ import annotations

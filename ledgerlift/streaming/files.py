@@ -1,7 +1,8 @@
-"""Checkpointed file stream: every landing file is one detection batch.
+"""Checkpointed file stream of landing files -> detection per micro-batch.
 
-``readStream`` CSV source (explicit schema, ``maxFilesPerTrigger=1``) ->
-``foreachBatch`` handler -> outputs keyed by ``batch_id``.
+``readStream`` CSV source (explicit schema, ``maxFilesPerTrigger`` files per
+batch, 1 by default) -> ``foreachBatch`` handler -> outputs keyed by
+``batch_id``.
 
 * The stream checkpoint records which files were taken by which batch, so a
   restart neither skips nor repeats files.
