@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlift import schemas
+from ledgerlift.functions.columns import name_contains
 
 
 def csv_options(strip_quotes: bool = False, mode: str = "PERMISSIVE",
@@ -73,7 +74,7 @@ def pick_role_file(spark: SparkSession, folder: str, needle: str) -> str:
     Several matches: the last in name order wins.  No match is an error.
     The listing is metadata (one small row per file), not data.
     """
-    listing = list_files(spark, folder).filter(F.lower("name").contains(needle.lower()))
+    listing = list_files(spark, folder).filter(name_contains("name", needle))
     row = listing.orderBy(F.col("name").desc()).select("path").first()
     if row is None:
         raise FileNotFoundError(f"no file matching {needle!r} under {folder}")
