@@ -38,3 +38,20 @@ def test_entry_smoke(spark):
     assert df.columns == ["YStartTime", "detectionTime", "patternId", "ActionType",
                           "customer", "merchant"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["customer_stats", "importance_scores", "detections",
+                                  "detect_upgrades_per_chunk", "chunk_assignment",
+                                  "detect_upgrades_hot_merchant"])
+def test_results_do_not_depend_on_aqe_or_exchange_reuse(spark, duck, name):
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.exchange.reuse")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "false")
+        got = entry.queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = duck.execute(entry.oracle_sql()[name]).df()
+    assert len(got) == len(want) and frame_hash(got) == frame_hash(want)
