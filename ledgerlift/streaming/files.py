@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -49,6 +49,7 @@ from ledgerlift.sources.files import csv_options
 
 ImportanceLoader = Callable[[SparkSession], DataFrame]
 SOURCE_FILE = "source_file"
+FILE_ID = "__ll_file_id"
 
 
 def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool = False,
@@ -129,6 +130,15 @@ class _BatchHandler:
         finally:
             batch.unpersist()
 
+    @staticmethod
+    def file_ids(batch: DataFrame) -> DataFrame:
+        """Dense int id per input file of the batch (sorted names, so every
+        evaluation gives the same ids).  At most maxFilesPerTrigger rows: the
+        window over them and their broadcast are bounded."""
+        names = batch.select(SOURCE_FILE).distinct()
+        return F.broadcast(names.withColumn(
+            FILE_ID, (F.row_number().over(Window.orderBy(SOURCE_FILE)) - 1).cast("int")))
+
     def _process(self, batch: DataFrame, batch_id: int, stamp: str, target: str) -> None:
         try:
             with reusable_scratch(self.scratch_root):
@@ -158,8 +168,12 @@ class PerFileDetector(_BatchHandler):
 
     def detections(self, batch, batch_id, stamp):
         imp = self.importance_loader(batch.sparkSession)  # reloaded for every batch
-        return detect_upgrades(batch, imp, self.threshold, self.top_pct, self.low_pct,
-                               detected_at=stamp, scope=[SOURCE_FILE])
+        # group by a small int per file, not by the path string
+        ids = self.file_ids(batch)
+        keyed = batch.join(ids, SOURCE_FILE).drop(SOURCE_FILE)
+        det = detect_upgrades(keyed, imp, self.threshold, self.top_pct, self.low_pct,
+                              detected_at=stamp, scope=[FILE_ID])
+        return det.join(ids, FILE_ID).drop(FILE_ID)
 
     def per_file_counts(self, spark, target):
         out = spark.read.parquet(target)
