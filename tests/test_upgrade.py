@@ -66,6 +66,9 @@ def test_rank_exactly_point_one_included(spark):
     imp = spark.createDataFrame([], IMP_SCHEMA)
     tx = tx_frame(spark, [(f"c{i:02d}", "m", 20 - i) for i in range(11)])
     assert detect_pairs(spark, tx, imp, 0) == [("c00", "m"), ("c01", "m")]
+    # 21 customers: ranks 0, .05, .1, .15 ... -> the first three pass
+    tx = tx_frame(spark, [(f"c{i:02d}", "m", 30 - i) for i in range(21)])
+    assert detect_pairs(spark, tx, imp, 0) == [("c00", "m"), ("c01", "m"), ("c02", "m")]
 
 
 def test_null_customer_counts_in_rank_but_is_dropped(spark):
