@@ -113,8 +113,14 @@ def importance_scores(transactions: DataFrame, importance: DataFrame, scope=(),
     """Per (customer, merchant): avg_weight and weight_rank (ascending)."""
     s = _scope(scope)
     pairs = customer_pairs(transactions, s).drop("transaction_count")
-    # read twice (weight histogram, per-pair join back): compute it once
-    scored = freeze(with_avg_weight(pairs, importance), "scored-pairs")
+    # read twice (probe / window): compute it once.  No merchant has more
+    # pairs than the whole table, so an observed total within the bound
+    # already proves every window bounded (the probe job is then skipped).
+    seen = Observation("scored_pairs_total")
+    scored = freeze(with_avg_weight(pairs, importance)
+                    .observe(seen, F.count(F.lit(1)).alias("rows")), "scored-pairs")
+    if method == "auto" and seen.get.get("rows", 0) <= max_group_values:
+        method = "window"
     return percent_rank_within(scored, [*s, "merchant"], "avg_weight",
                                ascending=True, out_col="weight_rank", method=method,
                                max_group_values=max_group_values)
