@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextvars
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -50,7 +51,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             # executors could not see a folder on the driver's disk
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerlift-ckpt-")
