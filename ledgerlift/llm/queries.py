@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import sharding
+from ledgerlift.llm import quality, sharding
 from ledgerlift.llm.common import table
 
 
@@ -14,5 +14,11 @@ def op1_sharding(spark, sf_dir):
                       F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
-QUERIES = {"op1_sharding": op1_sharding}
+def op2_quality_rules(spark, sf_dir):
+    out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", "base_failed", "kept", "score")
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules}
 ORACLE_SQL: dict[str, str] = {}
