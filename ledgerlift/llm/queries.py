@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import quality, sharding
+from ledgerlift.llm import ngram_join, quality, sharding
 from ledgerlift.llm.common import table
 
 
@@ -20,5 +20,36 @@ def op2_quality_rules(spark, sf_dir):
                       "n_repeat_words", "base_failed", "kept", "score")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules}
-ORACLE_SQL: dict[str, str] = {}
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
+           "op3_ngram_jaccard_join": op3_ngram_jaccard_join}
+_DUPLICATES_SQL = r"""
+with recursive sets as (
+  select doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), w -> w <> '') as w from documents),
+shingles as (
+  select doc_id, list_distinct(case when len(w) >= 5
+           then list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from sets),
+sizes as (select doc_id, len(s) as n from shingles),
+tokens as materialized (select doc_id, unnest(s) as t from shingles),
+common as materialized (select t from tokens group by t having count(*) > 1),
+shared as materialized (select doc_id, md5(t) as t from tokens join common using (t)),
+alive as (select doc_id, n from sizes join (select doc_id, count(*) as m from shared group by doc_id)
+          using (doc_id) where 100 * m >= 75 * n),
+part as materialized (select * from shared join alive using (doc_id)),
+links as materialized (
+  select x.doc_id as a, y.doc_id as b from part x join part y on x.t = y.t and x.doc_id <> y.doc_id
+  group by x.doc_id, y.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach as (
+  select doc_id, doc_id as root from sizes
+  union select l.b, r.root from reach r join links l on l.a = r.doc_id)
+select doc_id, n as n_shingles, min(root) as component_id
+from sizes join reach using (doc_id) group by doc_id, n
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_ngram_jaccard_join": _DUPLICATES_SQL}
