@@ -28,12 +28,12 @@ QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
            "op3_ngram_jaccard_join": op3_ngram_jaccard_join}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
-  select doc_id, list_filter(string_split_regex(
+  select doc_id, [x for x in string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), w -> w <> '') as w from documents),
+           '[\x20\x09-\x0D]+') if x <> ''] as w from documents),
 shingles as (
   select doc_id, list_distinct(case when len(w) >= 5
-           then list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+           then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from sets),
 sizes as (select doc_id, len(s) as n from shingles),
 tokens as materialized (select doc_id, unnest(s) as t from shingles),
