@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import ngram_join, quality, sharding
-from ledgerlift.llm.common import table
+from ledgerlift.llm import ngram_join, quality, sharding, token_store
+from ledgerlift.llm.common import scratch_path, table
 
 
 def op1_sharding(spark, sf_dir):
@@ -24,8 +24,23 @@ def op3_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    """The text of a public tokenizer's file (about 2 MB; read on the driver)."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op4_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_json())
+    return token_store.read_documents(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").cast("long").alias("ids_crc32"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
-           "op3_ngram_jaccard_join": op3_ngram_jaccard_join}
+           "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
   select doc_id, [x for x in string_split_regex(
