@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import ngram_join, quality, sharding, token_store
+from ledgerlift.llm import bpe, ngram_join, quality, sharding, token_store
 from ledgerlift.llm.common import scratch_path, table
 
 
@@ -39,8 +39,15 @@ def op4_token_files(spark, sf_dir):
         "doc_id", "start", "n_tokens", F.crc32("ids").cast("long").alias("ids_crc32"))
 
 
+def op7_bpe(spark, sf_dir):
+    spec = tokenizer_json()
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), spec)
+    return bpe.with_digests(bpe.decode_documents(encoded, spec))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
-           "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files}
+           "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files,
+           "op7_bpe": op7_bpe}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
   select doc_id, [x for x in string_split_regex(
