@@ -23,11 +23,11 @@ of distinct shingles; the result is each document's component under links.
    each fragment counts its own overlap, and the sum per pair decides.
 
 A large group of near copies has quadratically many links, but only its
-component is asked for.  While candidates are many, each round verifies a few
-neighbours per set along a shuffled ring of every posting list, merges
-components, and drops candidates inside one component.  When few are left, all
-remaining ones between different components are verified, so no link that
-would join two components is ever skipped.
+component is asked for.  While long posting lists hold many pairs, each round
+verifies a few neighbours per set along a shuffled ring of every list, merges
+components, and so drops the pairs inside one component.  The last round
+verifies all pairs left between different components, so no link that would
+join two components is ever skipped.
 
 Every decision is exact but for equal 64-bit shingle hashes (see ``words``).
 
@@ -40,6 +40,8 @@ equal results; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -54,8 +56,10 @@ WORDS = 5
 PERCENT = 75
 SPARE = 8                # the counting prefix keeps n / SPARE shingles more
 FRAGMENTS = 4
-RING_DEGREE = 4          # verified neighbours per set and round while candidates are many
-RING_FACTOR = 4          # "many": more candidates than this times the postings
+SHORT_LIST = 64          # posting lists up to this length are always paired in full
+RING_DEGREE = 8          # verified neighbours per set and round while candidates are many
+RING_FACTOR = 4          # "many": long lists hold more pairs than this times the postings
+PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
 
@@ -301,12 +305,16 @@ def _postings(buckets: int, percent: int):
     return run, fields
 
 
-def _lists(table: pa.Table, fields) -> list[np.ndarray]:
-    """The posting lists of a bucket whose sets are not all of one component."""
+def _lists(table: pa.Table, fields):
+    """``(postings, first, size)`` of the bucket's lists with sets of more than one component."""
     posting = _columns(table, "postings", fields)
-    posting = posting[np.lexsort((posting["key"], posting["token"]))]
-    lists = np.split(posting, np.flatnonzero(np.diff(posting["token"])) + 1) if len(posting) else []
-    return [x for x in lists if len(x) > 1 and (x["root"] != x["root"][0]).any()]
+    posting = posting[np.lexsort((posting["key"], posting["n"], posting["token"]))]
+    if not len(posting):
+        return posting, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.r_[True, posting["token"][1:] != posting["token"][:-1]])
+    size = np.diff(np.r_[first, len(posting)])
+    mixed = np.minimum.reduceat(posting["root"], first) != np.maximum.reduceat(posting["root"], first)
+    return posting, first[mixed], size[mixed]
 
 
 def _fits(a, b, percent: int) -> np.ndarray:
@@ -317,61 +325,77 @@ def _fits(a, b, percent: int) -> np.ndarray:
         & (100 * np.minimum(a["n"], b["n"]).astype(np.int64) >= percent * np.maximum(a["n"], b["n"]))
 
 
-def _pair_table(pairs: list[np.ndarray]) -> pa.Table:
-    both = np.concatenate(pairs) if pairs else np.zeros((0, 4), np.int64)
-    both = np.unique(both, axis=0)
+def _fitting(posting, first, size, percent: int):
+    """Blocks ``(a, b)`` of all fitting pairs of these lists (sorted by set size)."""
+    for m in np.unique(size[size <= SHORT_LIST]):
+        i, j = np.triu_indices(m, 1)
+        lists = first[size == m]
+        for part in np.array_split(lists, max(1, len(lists) * len(i) // PAIR_BLOCK)):
+            a, b = posting[(part[:, None] + i).ravel()], posting[(part[:, None] + j).ravel()]
+            ok = _fits(a, b, percent)
+            yield a[ok], b[ok]
+    for at, m in zip(first[size > SHORT_LIST], size[size > SHORT_LIST], strict=True):
+        x = posting[at:at + m]
+        for k in range(m - 1):
+            top = np.searchsorted(x["n"], 100 * int(x["n"][k]) // percent, "right")
+            for lo in range(k + 1, top, PAIR_BLOCK):
+                b = x[lo:min(lo + PAIR_BLOCK, top)]
+                b = b[_fits(b, x[k], percent)]
+                yield np.repeat(x[k:k + 1], len(b)), b
+
+
+def _ringed(posting, first, size, percent: int, turn: int):
+    """Blocks of fitting neighbours along a shuffled ring of each list."""
+    for at, m in zip(first, size, strict=True):
+        x = posting[at:at + m]
+        x = x[np.argsort(words.mix(x["key"].view(np.uint64) ^ (x["token"] + words.odd(turn))))]
+        for step in (1, 2):
+            y = np.roll(x, step)
+            ok = _fits(x, y, percent)
+            yield x[ok], y[ok]
+
+
+def _pair_table(blocks) -> pa.Table:
+    """Distinct pairs, smaller key first; repeats are forgotten as they come."""
+    done, held = [np.zeros((0, 4), np.int64)], 0
+    for a, b in blocks:
+        swap = a["key"] > b["key"]
+        done.append(np.stack([np.where(swap, b["key"], a["key"]), np.where(swap, a["key"], b["key"]),
+                              np.where(swap, b["n"], a["n"]), np.where(swap, a["n"], b["n"])],
+                             axis=1).astype(np.int64))
+        held += len(a)
+        if held > 1 << 20:
+            done, held = [np.unique(np.concatenate(done), axis=0)], 0
+    both = np.unique(np.concatenate(done), axis=0)
     return pa.table({c: pa.array(both[:, i]) for i, c in enumerate(("a", "b", "na", "nb"))})
 
 
-def _pair_columns(a, b) -> np.ndarray:
-    swap = a["key"] > b["key"]
-    return np.stack([np.where(swap, b["key"], a["key"]), np.where(swap, a["key"], b["key"]),
-                     np.where(swap, b["n"], a["n"]), np.where(swap, a["n"], b["n"])], axis=1).astype(np.int64)
-
-
-def _ring(fields, percent: int, turn: int):
-    """applyInArrow: neighbours along a shuffled ring of each posting list."""
-    def run(table: pa.Table) -> pa.Table:
-        pairs = []
-        for x in _lists(table, fields):
-            x = x[np.argsort(words.mix(x["key"].view(np.uint64) ^ (x["token"] + words.odd(turn))))]
-            for step in {1, 2} if len(x) > 2 else {1}:
-                y = np.roll(x, step)
-                ok = _fits(x, y, percent)
-                pairs.append(_pair_columns(x[ok], y[ok]))
-        return _pair_table(pairs)
-    return run
+def _all_pairs(fields, percent: int):
+    """applyInArrow: every fitting pair between different components."""
+    return lambda table: _pair_table(_fitting(*_lists(table, fields), percent))
 
 
-def _all_pairs(fields, percent: int):
-    """applyInArrow: every fitting pair between different components, row by row of each list."""
+def _some_pairs(fields, percent: int, turn: int):
+    """applyInArrow: every fitting pair of short lists, ring neighbours in long ones."""
     def run(table: pa.Table) -> pa.Table:
-        pairs, held = [], 0
-        for x in _lists(table, fields):
-            x = x[np.argsort(x["n"], kind="stable")]
-            for i in range(len(x) - 1):
-                top = np.searchsorted(x["n"], 100 * int(x["n"][i]) // percent, "right")
-                y = x[i + 1:max(top, i + 1)]
-                ok = _fits(y, x[i], percent)
-                if ok.any():
-                    y = y[ok]
-                    pairs.append(_pair_columns(np.repeat(x[i:i + 1], len(y)), y))
-                    held += len(y)
-            if held > 1 << 20:  # forget repeats as they come
-                pairs, held = [np.unique(np.concatenate(pairs), axis=0)], 0
-        return _pair_table(pairs)
+        posting, first, size = _lists(table, fields)
+        short = size <= SHORT_LIST
+        return _pair_table(chain(_fitting(posting, first[short], size[short], percent),
+                                 _ringed(posting, first[~short], size[~short], percent, turn)))
     return run
 
 
-def _count_pairs(fields):
-    """applyInArrow: postings, and pairs between different components (before the size filters)."""
+def _count_pairs(fields, percent: int):
+    """applyInArrow: postings, and pairs of long lists that all_pairs would have to look at."""
     def run(table: pa.Table) -> pa.Table:
-        entries, pairs = 0, 0.0
-        for x in _lists(table, fields):
+        posting, first, size = _lists(table, fields)
+        pairs = 0
+        for at, m in zip(first[size > SHORT_LIST], size[size > SHORT_LIST], strict=True):
+            x = posting[at:at + m]
+            top = np.searchsorted(x["n"], 100 * x["n"].astype(np.int64) // percent, "right")
             _, same = np.unique(x["root"], return_counts=True)
-            entries += len(x)
-            pairs += (len(x) ** 2 - (same.astype(float) ** 2).sum()) / 2
-        return pa.table({"entries": pa.array([entries], pa.int64()), "pairs": pa.array([pairs], pa.float64())})
+            pairs += min(int((top - np.arange(m) - 1).sum()), int(m * m - (same.astype(np.int64) ** 2).sum()) // 2)
+        return pa.table({"entries": pa.array([int(size.sum())], pa.int64()), "pairs": pa.array([pairs], pa.int64())})
     return run
 
 
@@ -442,9 +466,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 3: whole sets of what is left, the global order and its fragments
     whole = (texts.join(live.select(F.col("doc").alias("live_doc"), "key"),
                         F.col("doc").eqNullSafe(F.col("live_doc"))).select("key", "text"))
-    live_buckets = buckets
     counted = freeze_packed(
-        whole.mapInArrow(_segments(live_buckets), "bucket int, tokens binary, sets binary")
+        whole.mapInArrow(_segments(buckets), "bucket int, tokens binary, sets binary")
         .groupBy("bucket").applyInArrow(_with_frequency, "key long, shared long, tokens binary, counts binary"),
         "counted")
     sizes = live.groupBy("key").agg(F.first("n").alias("n"))
@@ -456,8 +479,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _fragment_rows(global_cuts(ordered, FRAGMENTS)), "key long, fragment int, tokens binary"), "fragments")
 
     # 4 and 5: rounds of candidates, verified by fragment
-    links, roots, turn = None, None, 0
-    make, fields = _postings(live_buckets, percent)
+    roots, turn = None, 0
+    make, fields = _postings(buckets, percent)
     pair_schema = "a long, b long, na long, nb long"
     while True:
         known = ordered.withColumn("root", F.col("key")) if roots is None else \
@@ -465,32 +488,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("root", F.coalesce("root", "key"))
         postings = freeze(known.select("key", "n", "root", "tokens")
                           .mapInArrow(make, "bucket int, postings binary"), "postings").groupBy("bucket")
-        left = postings.applyInArrow(_count_pairs(fields), "entries long, pairs double") \
-            .agg(F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
-        if not left[1]:
+        entries, long_pairs = postings.applyInArrow(
+            _count_pairs(fields, percent), "entries long, pairs long").agg(
+            F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+        if not entries:
             break
-        last = left[1] <= RING_FACTOR * left[0]
+        last = turn < 0 or long_pairs <= RING_FACTOR * entries
         if last:
             pairs = postings.applyInArrow(_all_pairs(fields, percent), pair_schema).distinct()
         else:
-            pairs = postings.applyInArrow(_ring(fields, percent, turn), pair_schema).distinct()
-            ranked = pairs.selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r")
-            pairs = ranked.filter(f"r <= {RING_DEGREE}").drop("r")
+            pairs = postings.applyInArrow(_some_pairs(fields, percent, turn), pair_schema).distinct() \
+                .selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
+                .filter(f"r <= {RING_DEGREE}").drop("r")
         found = freeze(verified(pairs, fragments, percent), "near-links")
-        new = not found.isEmpty()
-        if new:
-            links = found if links is None else links.unionByName(found)
+        if found.isEmpty():
+            turn = -1  # sampled neighbours bring nothing more: verify all that is left
+        else:
+            links = found if roots is None else found.union(roots.select("node", "root"))
             roots = freeze(components(links), "near-roots")
-            links = roots.selectExpr("node as a", "root as b").filter("a <> b")
+            turn += 1
         if last:
             break
-        turn += 1
-        if not new:  # sampled neighbours bring nothing more: verify all that is left
-            pairs = postings.applyInArrow(_all_pairs(fields, percent), pair_schema).distinct()
-            found = freeze(verified(pairs, fragments, percent), "near-links")
-            if not found.isEmpty():
-                roots = freeze(components(found if links is None else links.unionByName(found)), "near-roots")
-            break
 
     # each class gets its component's smallest document
     named = classes.groupBy("key").agg(F.min("doc").alias("doc"))
