@@ -59,6 +59,7 @@ FRAGMENTS = 4
 SHORT_LIST = 64          # posting lists up to this length are always paired in full
 RING_DEGREE = 8          # verified neighbours per set and round while candidates are many
 RING_FACTOR = 4          # "many": long lists hold more pairs than this times the postings
+RING_YIELD = 4           # rounds go on while one in so many sampled pairs links
 PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
@@ -494,21 +495,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not entries:
             break
         last = turn < 0 or long_pairs <= RING_FACTOR * entries
-        if last:
-            pairs = postings.applyInArrow(_all_pairs(fields, percent), pair_schema).distinct()
-        else:
-            pairs = postings.applyInArrow(_some_pairs(fields, percent, turn), pair_schema).distinct() \
-                .selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
+        make_pairs = _all_pairs(fields, percent) if last else _some_pairs(fields, percent, turn)
+        pairs = postings.applyInArrow(make_pairs, pair_schema).distinct()
+        if not last:
+            pairs = pairs.selectExpr(
+                "*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
                 .filter(f"r <= {RING_DEGREE}").drop("r")
+        pairs = freeze(pairs, "near-pairs")
         found = freeze(verified(pairs, fragments, percent), "near-links")
-        if found.isEmpty():
-            turn = -1  # sampled neighbours bring nothing more: verify all that is left
-        else:
+        n_found = found.count()
+        if n_found:
             links = found if roots is None else found.union(roots.select("node", "root"))
             roots = freeze(components(links), "near-roots")
-            turn += 1
         if last:
             break
+        # once most sampled neighbours fail, what is left hardly links: verify all of it
+        turn = turn + 1 if RING_YIELD * n_found >= pairs.count() else -1
 
     # each class gets its component's smallest document
     named = classes.groupBy("key").agg(F.min("doc").alias("doc"))
