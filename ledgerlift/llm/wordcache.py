@@ -19,6 +19,22 @@ from ledgerlift.llm import words
 KEEP = 300_000           # distinct words kept by a task; beyond, it starts anew
 
 
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """``(list of distinct words as bytes, index into it for each word)``."""
+    blob = data.tobytes()
+    _, head, inverse = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[8:len(data) + 8] = data
+    lanes = np.ndarray((len(data) + 9,), "<u8", padded.data, strides=(1,))
+    begin = lanes[starts + 8] & words.LANE[np.minimum(size, 8)]
+    end = lanes[ends] & ~words.LANE[8 - np.minimum(size, 8)]
+    other = head[inverse]
+    if (size != size[other]).any() or (begin != begin[other]).any() or (end != end[other]).any():
+        head, inverse = np.arange(len(starts)), np.arange(len(starts))  # an equal hash of unequal words
+    return [blob[a:b] for a, b in zip(starts[head].tolist(), ends[head].tolist(), strict=True)], inverse
+
+
 class WordCache:
     """Pool of the ids of the words seen so far; ``encode`` maps a list of words to id lists."""
 
@@ -55,20 +71,8 @@ class WordCache:
     def ids_of(self, data: np.ndarray, offsets: np.ndarray):
         """``(ids, offsets)``: the ids of all rows of a slice, and where each row's begin."""
         starts, ends, first = words.spans(data, offsets)
-        blob = data.tobytes()
-        hashed = words.hashes(data, starts, ends)
-        _, head, inverse = np.unique(hashed, return_index=True, return_inverse=True)
-        size = ends - starts
-        padded = np.zeros(len(data) + 16, np.uint8)
-        padded[8:len(data) + 8] = data
-        lanes = np.ndarray((len(data) + 9,), "<u8", padded.data, strides=(1,))
-        begin = lanes[starts + 8] & words._LANE[np.minimum(size, 8)]
-        end = lanes[ends] & ~words._LANE[8 - np.minimum(size, 8)] if len(ends) else begin
-        other = head[inverse]
-        if (size != size[other]).any() or (begin != begin[other]).any() or (end != end[other]).any():
-            head, inverse = np.arange(len(starts)), np.arange(len(starts))  # an equal hash of unequal words
-        lows, highs = starts[head].tolist(), ends[head].tolist()
-        place = self._places([blob[a:b] for a, b in zip(lows, highs, strict=True)])[inverse]
+        distinct, inverse = distinct_words(data, starts, ends)
+        place = self._places(distinct)[inverse]
         begin, count = self.at[place], self.at[place + 1] - self.at[place]
         before = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=before[1:])

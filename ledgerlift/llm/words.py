@@ -21,7 +21,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
-_LANE = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+LANE = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
                 np.uint64)
@@ -83,12 +83,12 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     padded[:len(data)] = data
     lanes = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
     size = ends - starts
-    out = mix((lanes[starts] & _LANE[np.minimum(size, 8)])
+    out = mix((lanes[starts] & LANE[np.minimum(size, 8)])
               ^ (size.astype(np.uint64) * _ODD[0]))
     at = np.flatnonzero((size > 8) & (size <= LONG_WORD))
     place, rest = starts[at] + 8, size[at] - 8
     while at.size:
-        out[at] = mix(out[at] * _ODD[1] ^ (lanes[place] & _LANE[np.minimum(rest, 8)]))
+        out[at] = mix(out[at] * _ODD[1] ^ (lanes[place] & LANE[np.minimum(rest, 8)]))
         more = rest > 8
         at, place, rest = at[more], place[more] + 8, rest[more] - 8
     for i in np.flatnonzero(size > LONG_WORD):
