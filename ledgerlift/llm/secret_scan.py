@@ -6,12 +6,13 @@ like ``password``, access keys, and long hexadecimal runs.
 The method adds the other runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters
 whose log-likelihood ratio between a model of *random strings* and a model of
 *ordinary identifiers* is high.  Both are interpolated second-order Markov models
-over the 68 characters.  Their labelled samples come from the whole corpus: the
+over the 68 characters; the random one is mixed half and half with uniform
+characters, so that random strings of another alphabet than the samples' pass.  Their labelled samples come from the whole corpus: the
 strings that a base pattern calls secret, and all runs that touch none.  The
 counts (69^3 per model), and a histogram of the scores of all samples, are what
 reaches the driver.  The threshold is the cut with the fewest errors on the samples
-(an ordinary run called secret counts ``ORDINARY_COST`` times; of equal cuts the
-highest), so it adds little where ordinary text is.
+(an ordinary run called secret counts ``ORDINARY_COST`` times; the middle of equally
+good cuts), and never below 0, where the ordinary model is the likelier one.
 
 One pass reads the texts; runs and base spans are kept per document and the
 rest works on those.
@@ -45,6 +46,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 CODES = len(ALPHABET) + 1            # 0 stands before the first character
 WEIGHT = 8.0                         # of the next lower order in the interpolation
+UNIFORM = 0.5                        # share of uniform characters in the random model
 SCALE = 1 << 16
 BINS = 4096
 LIMIT = 16.0
@@ -154,14 +156,14 @@ def _add(batches):
             "plain": pa.array([v[1] for v in total.values()], pa.list_(pa.int64()))})
 
 
-def log_model(counts: np.ndarray) -> np.ndarray:
-    """log P(character | two before), interpolated with the shorter contexts."""
+def model(counts: np.ndarray) -> np.ndarray:
+    """P(character | two before), interpolated with the shorter contexts."""
     three = counts.reshape(CODES, CODES, CODES).astype(float)
     two, one = three.sum(axis=0), three.sum(axis=(0, 1))
     p1 = (one + 1) / (one.sum() + CODES)
     p2 = (two + WEIGHT * p1) / (two.sum(axis=1, keepdims=True) + WEIGHT)
     p3 = (three + WEIGHT * p2) / (three.sum(axis=2, keepdims=True) + WEIGHT)
-    return np.log(p3).ravel()
+    return p3.ravel()
 
 
 def learn(found: DataFrame) -> np.ndarray | None:
@@ -175,7 +177,8 @@ def learn(found: DataFrame) -> np.ndarray | None:
         total[1, r["part"]] += np.array(r["plain"])
     if not total[0].any() or not total[1].any():
         return None
-    return np.rint((log_model(total[0]) - log_model(total[1])) * SCALE).astype(np.int64)
+    random = UNIFORM / CODES + (1 - UNIFORM) * model(total[0])
+    return np.rint((np.log(random) - np.log(model(total[1]))) * SCALE).astype(np.int64)
 
 
 def scores(values: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -211,7 +214,8 @@ def choose_cut(found: DataFrame, weights: np.ndarray) -> float:
     missed = np.r_[0, np.cumsum(total[0])]
     added = total[1].sum() - np.r_[0, np.cumsum(total[1])]
     cost = missed + ORDINARY_COST * added
-    return float(np.flatnonzero(cost == cost.min())[-1] * 2 * LIMIT / BINS - LIMIT)
+    best = np.flatnonzero(cost == cost.min())
+    return max(0.0, float(best[len(best) // 2] * 2 * LIMIT / BINS - LIMIT))
 
 
 def _judge(weights: np.ndarray | None, cut: float):
