@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, ngram_join, quality, secret_scan, sharding, token_store
+from ledgerlift.llm import bpe, decontaminate, ngram_join, quality, secret_scan, sharding, token_store
 from ledgerlift.llm.common import scratch_path, table
 
 
@@ -49,9 +49,15 @@ def op10_secret_scan(spark, sf_dir):
     return secret_scan.with_digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.contaminated_documents(table(spark, sf_dir, "documents"),
+                                                table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
            "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files,
-           "op7_bpe": op7_bpe, "op10_secret_scan": op10_secret_scan}
+           "op7_bpe": op7_bpe, "op8_decontamination": op8_decontamination,
+           "op10_secret_scan": op10_secret_scan}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
   select doc_id, [x for x in string_split_regex(
