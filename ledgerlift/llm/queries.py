@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, decontaminate, ngram_join, quality, secret_scan, sharding, token_store, url_filter
+from ledgerlift.llm import bpe, decontaminate, ngram_join, page_text, quality, secret_scan, sharding, token_store, url_filter
 from ledgerlift.llm.common import scratch_path, table
 
 
@@ -58,10 +58,14 @@ def op5_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_page_text(spark, sf_dir):
+    return page_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
            "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files,
            "op5_url_filter": op5_url_filter, "op7_bpe": op7_bpe, "op8_decontamination": op8_decontamination,
-           "op10_secret_scan": op10_secret_scan}
+           "op9_page_text": op9_page_text, "op10_secret_scan": op10_secret_scan}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
   select doc_id, [x for x in string_split_regex(
