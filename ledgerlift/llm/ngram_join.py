@@ -47,6 +47,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import bucket_count, freeze, freeze_packed, only, total_bytes
@@ -445,10 +446,8 @@ def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
     return cuts
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``id_col, n_shingles, component_id``."""
-    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of (doc, text) rows: ``doc, n, key`` per row, and ``key, component_id, root`` per set."""
     size = total_bytes(texts, F.col("text"))
     buckets = bucket_count(texts, size)
 
@@ -514,14 +513,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # each class gets its component's smallest document
     named = classes.groupBy("key").agg(F.min("doc").alias("doc"))
-    if roots is not None:
-        linked = roots.join(named, F.col("node") == F.col("key"), "left")
-        least = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
-        member = linked.select("key", "root").join(least, "root").select("key", "component_id")
-        named = named.join(member, "key", "left").selectExpr("key", "coalesce(component_id, doc) as component_id")
-    else:
-        named = named.withColumnRenamed("doc", "component_id")
+    if roots is None:
+        return rows, named.selectExpr("key", "doc as component_id", "key as root")
+    linked = roots.join(named, F.col("node") == F.col("key"), "left")
+    least = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
+    member = linked.select("key", "root").join(least, "root")
+    return rows, named.join(member, "key", "left").selectExpr(
+        "key", "coalesce(component_id, doc) as component_id", "coalesce(root, key) as root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``id_col, n_shingles, component_id``."""
+    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+    rows, named = _named_sets(texts, percent)
     return rows.select("doc", "n", F.col("key").alias("own")).join(
         named, F.col("own") == F.col("key"), "left").select(
         F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: its smallest id (nulls last), and of rows
+    with that id the one with the smallest text hash.  Rows without words all stay.
+
+    Only the chosen (id, text hash) pairs meet the texts, which are joined once."""
+    at, schema = docs.columns.index(text_col), docs.schema
+    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+    rows, named = _named_sets(texts, percent)
+    # of each group the smallest (id, key); equal rows of it are thinned below
+    chosen = (rows.filter("n > 0").select("doc", "key").join(named.select("key", "root"), "key")
+              .groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "key")).alias("x"))
+              .selectExpr("x.doc as __doc", "x.key as __key"))
+
+    def keyed(batches):
+        for batch in batches:
+            key = [_digest(s)[0] if len(s) else None for s in shingle_sets(batch.column(at))]
+            yield batch.append_column("__own", pa.array(key, pa.int64()))
+    own = docs.mapInArrow(keyed, T.StructType([*schema.fields, T.StructField("__own", T.LongType())]))
+    wordless = own.filter("__own is null").drop("__own")
+    kept = own.join(chosen, (F.col("__own") == F.col("__key"))
+                    & F.col(id_col).cast("long").eqNullSafe(F.col("__doc")), "left_semi")
+    columns = [F.col(f"`{c}`") for c in schema.names]
+    first = kept.groupBy("__own").agg(F.min(F.struct(*columns)).alias("__row")).select(
+        *[F.col(f"__row.`{c}`").alias(c) for c in schema.names])  # partially aggregated
+    return first.union(wordless)

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import freeze, only
@@ -46,6 +47,7 @@ GOOD_COST = 20
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
+BASE_FAILED = f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -191,10 +193,8 @@ def choose_threshold(scored: DataFrame) -> float:
     return float(best[0] * 2 * LIMIT / BINS - LIMIT) if best[0] else -float("inf")
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col``, the base counts, ``score, base_failed, kept``."""
-    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+def _learn(texts: DataFrame, labels: DataFrame, id_col: str) -> tuple[DataFrame, np.ndarray, float]:
+    """Scored (doc, text) rows, the bucket weights and the cut."""
     known = freeze(clean_labels(labels, id_col), "quality-labels")
     good = np.array([r["doc"] for r in known.filter("good > 0")
                      .orderBy(F.md5(F.col("doc").cast("string").cast("binary")), "doc")
@@ -202,10 +202,35 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     weights = bucket_weights(texts, good)
     scored = texts.mapInArrow(_scorer(weights), "doc long, n_words long, word_chars long, "
                               "n_symbols long, n_dup_lines long, n_repeat_words long, score double")
-    scored = freeze(scored.withColumn("base_failed", F.expr(
-        f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
-        .join(known, "doc", "left"), "quality-scores")
-    cut = choose_threshold(scored)
+    scored = freeze(scored.withColumn("base_failed", F.expr(BASE_FAILED))
+                    .join(known, "doc", "left"), "quality-scores")
+    return scored, weights, choose_threshold(scored)
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """One row per document: ``id_col``, the base counts, ``score, base_failed, kept``."""
+    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+    scored, _, cut = _learn(texts, labels, id_col)
     return scored.select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols",
                          "n_dup_lines", "n_repeat_words", "score", "base_failed",
                          (~F.col("base_failed") & (F.col("score") >= F.lit(cut))).alias("kept"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps.
+
+    The verdict is computed anew where each text lies, so no text is shuffled by id and
+    repeated ids stay apart."""
+    texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+    _, weights, cut = _learn(texts, labels, id_col)
+    at = docs.columns.index(text_col)
+
+    def keep(batches):
+        for batch in batches:
+            m = measure(batch.column(at), weights)
+            score = m["weight"] / SCALE / np.maximum(m["n_grams"], 1)
+            failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+            yield batch.filter(pa.array(~failed & (score >= cut)))
+    return docs.mapInArrow(keep, T.StructType(docs.schema.fields))

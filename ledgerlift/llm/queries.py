@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, decontaminate, ngram_join, page_text, quality, secret_scan, sharding, token_store, url_filter
+from ledgerlift.llm import bpe, decontaminate, ngram_join, page_text, quality, secret_scan, sharding, suffix_dedup, token_store, url_filter
 from ledgerlift.llm.common import scratch_path, table
 
 
@@ -62,9 +62,14 @@ def op9_page_text(spark, sf_dir):
     return page_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_sharding": op1_sharding, "op2_quality_rules": op2_quality_rules,
            "op3_ngram_jaccard_join": op3_ngram_jaccard_join, "op4_token_files": op4_token_files,
-           "op5_url_filter": op5_url_filter, "op7_bpe": op7_bpe, "op8_decontamination": op8_decontamination,
+           "op5_url_filter": op5_url_filter, "op6_suffix_dedup": op6_suffix_dedup,
+           "op7_bpe": op7_bpe, "op8_decontamination": op8_decontamination,
            "op9_page_text": op9_page_text, "op10_secret_scan": op10_secret_scan}
 _DUPLICATES_SQL = r"""
 with recursive sets as (
