@@ -19,8 +19,9 @@ of distinct shingles; the result is each document's component under links.
    matching segments.  Shingles of one set alone never count towards an overlap.
 4. *Candidates.*  Sets that share a shingle among the rarest ``n - ceil(t n) + 1``
    of both are candidates if sizes and positions still allow enough overlap.
-5. *Partial overlaps.*  Candidates meet their segments fragment by fragment;
-   each fragment counts its own overlap, and the sum per pair decides.
+5. *Partial overlaps.*  Candidates meet their segments fragment by fragment, rarest first;
+   each fragment counts its own overlap, and the sum per pair decides.  A pair whose sum
+   and remaining tokens can't reach the bound goes before the next fragment.
 
 A large group of near copies has quadratically many links, but only its
 component is asked for.  While long posting lists hold many pairs, each round
@@ -56,11 +57,11 @@ from ledgerlift.llm.components import components
 WORDS = 5
 PERCENT = 75
 SPARE = 8                # the counting prefix keeps n / SPARE shingles more
-FRAGMENTS = 4
-SHORT_LIST = 64          # posting lists up to this length are always paired in full
-RING_DEGREE = 8          # verified neighbours per set and round while candidates are many
-RING_FACTOR = 4          # "many": long lists hold more pairs than this times the postings
-RING_YIELD = 4           # rounds go on while one in so many sampled pairs links
+FRAGMENTS = 3
+SHORT_LIST = 8           # posting lists up to this length are always paired in full
+RING_DEGREE = 6          # verified neighbours per set and round while candidates are many
+RING_FACTOR = 0.5        # "many": long lists hold more pairs than this times the postings
+RING_YIELD = 6           # rounds go on while one in so many sampled pairs links
 PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
@@ -261,23 +262,24 @@ def _ordered(table: pa.Table) -> pa.Table:
 
 
 def _fragment_rows(cuts: list[tuple[int, int]]):
-    """mapInArrow: ordered sets -> one row per set and fragment of the global order."""
+    """mapInArrow: ordered sets -> a row per set and fragment: its segment, and the tokens after it."""
     def run(batches):
         for batch in batches:
-            out = {"key": [], "fragment": [], "tokens": []}
+            out = {"key": [], "fragment": [], "tokens": [], "rest": []}
             for key, tokens, counts in zip(*(batch.column(c).to_pylist() for c in ("key", "tokens", "counts")),
                                            strict=True):
                 token, count = np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.uint64)
                 at = np.zeros(len(token), np.int64)
                 for c, t in cuts:
                     at += (count > c) | ((count == c) & (token >= np.uint64(t)))
-                for f in np.unique(at):
+                for f in range(len(cuts) + 1):
                     out["key"].append(key)
-                    out["fragment"].append(int(f))
+                    out["fragment"].append(f)
                     out["tokens"].append(np.sort(token[at == f]).tobytes())
+                    out["rest"].append(int((at > f).sum()))
             yield pa.RecordBatch.from_pydict({
                 "key": pa.array(out["key"], pa.int64()), "fragment": pa.array(out["fragment"], pa.int32()),
-                "tokens": pa.array(out["tokens"], pa.binary())})
+                "tokens": pa.array(out["tokens"], pa.binary()), "rest": pa.array(out["rest"], pa.int32())})
     return run
 
 
@@ -351,10 +353,9 @@ def _ringed(posting, first, size, percent: int, turn: int):
     for at, m in zip(first, size, strict=True):
         x = posting[at:at + m]
         x = x[np.argsort(words.mix(x["key"].view(np.uint64) ^ (x["token"] + words.odd(turn))))]
-        for step in (1, 2):
-            y = np.roll(x, step)
-            ok = _fits(x, y, percent)
-            yield x[ok], y[ok]
+        y = np.roll(x, 1)
+        ok = _fits(x, y, percent)
+        yield x[ok], y[ok]
 
 
 def _pair_table(blocks) -> pa.Table:
@@ -401,23 +402,33 @@ def _count_pairs(fields, percent: int):
     return run
 
 
-def _overlap(batches):
-    """mapInArrow: common tokens of two segments."""
-    for batch in batches:
-        out = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-               for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("a", "b", "na", "nb")}
-                                         | {"common": pa.array(out, pa.int64())})
+def _overlap(percent: int):
+    """mapInArrow: adds the common tokens of two segments; pairs that can't link any more go."""
+    def run(batches):
+        for batch in batches:
+            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            rest = np.minimum(batch.column("rest_a").to_numpy(), batch.column("rest_b").to_numpy())
+            here = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                    for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            common = batch.column("common").to_numpy() + np.array(here, np.int64)
+            least = -(-percent * both // (100 + percent))
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("a", "b", "na", "nb")}
+                                             | {"common": pa.array(common)}).filter(pa.array(common + rest >= least))
+    return run
+
 
+def verified(pairs: DataFrame, fragments: DataFrame, parts: int, percent: int) -> DataFrame:
+    """The candidate pairs that link: partial overlaps, fragment after fragment, summed per pair.
 
-def verified(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
-    """The candidate pairs that link: partial overlaps per fragment, summed per pair."""
-    left = fragments.select(F.col("key").alias("a"), "fragment", F.col("tokens").alias("x"))
-    right = fragments.select(F.col("key").alias("b"), "fragment", F.col("tokens").alias("y"))
-    partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .mapInArrow(_overlap, "a long, b long, na long, nb long, common long"))
-    return (partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-            .filter(f"100 * common >= {percent} * (na + nb - common)").select("a", "b"))
+    After each fragment the pairs whose sum can no longer reach the bound are dropped; after
+    the last, what is left has reached it."""
+    pairs = pairs.withColumn("common", F.lit(0).cast("long"))
+    for f in range(parts):
+        here = fragments.filter(F.col("fragment") == f)
+        pairs = (pairs.join(here.selectExpr("key as a", "tokens as x", "rest as rest_a"), "a")
+                 .join(here.selectExpr("key as b", "tokens as y", "rest as rest_b"), "b")
+                 .mapInArrow(_overlap(percent), "a long, b long, na long, nb long, common long"))
+    return pairs.select("a", "b")
 
 
 def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
@@ -464,6 +475,8 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                   .select("key", "n", "doc"), "live-sets")
 
     # 3: whole sets of what is left, the global order and its fragments
+    live_bytes = 16 * int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    buckets = bucket_count(texts, live_bytes, 32 << 20)
     whole = (texts.join(live.select(F.col("doc").alias("live_doc"), "key"),
                         F.col("doc").eqNullSafe(F.col("live_doc"))).select("key", "text"))
     counted = freeze_packed(
@@ -475,8 +488,9 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
              .filter(f"100 * shared >= {percent} * n").select("key", "n"))
     ordered = freeze_packed(counted.join(alive, "key").groupBy("key").applyInArrow(
         _ordered, "key long, n long, tokens binary, counts binary"), "ordered")
+    cuts = global_cuts(ordered, FRAGMENTS)
     fragments = freeze_packed(ordered.mapInArrow(
-        _fragment_rows(global_cuts(ordered, FRAGMENTS)), "key long, fragment int, tokens binary"), "fragments")
+        _fragment_rows(cuts), "key long, fragment int, tokens binary, rest int"), "fragments")
 
     # 4 and 5: rounds of candidates, verified by fragment
     roots, turn = None, 0
@@ -501,7 +515,7 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                 "*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
                 .filter(f"r <= {RING_DEGREE}").drop("r")
         pairs = freeze(pairs, "near-pairs")
-        found = freeze(verified(pairs, fragments, percent), "near-links")
+        found = freeze(verified(pairs, fragments, len(cuts) + 1, percent), "near-links")
         n_found = found.count()
         if n_found:
             links = found if roots is None else found.union(roots.select("node", "root"))
