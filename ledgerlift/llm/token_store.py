@@ -40,8 +40,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
+from ledgerlift.llm.bpe import byte_symbols
 from ledgerlift.llm.common import only, partitions
-from ledgerlift.llm.wordcache import WordCache
+from ledgerlift.llm.wordcache import PieceCache, WordCache
 
 MAGIC = b"EFTOKEN1"
 HEAD = "<8sIIIIQ"
@@ -137,7 +138,12 @@ def _packer(tokenizer_json: str, end_id: int, width: int):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        cache = WordCache(lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)])
+        symbols, model = byte_symbols(), tokenizer.model
+        pieces = PieceCache(
+            lambda piece: [t.id for t in model.tokenize("".join(map(symbols.__getitem__, piece)))],
+            lambda word: tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids,
+            [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+        cache = WordCache(pieces.words)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         held, count = [], 0
 

@@ -12,6 +12,8 @@ fails this check is encoded word by word.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from ledgerlift.llm import words
@@ -35,6 +37,39 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return [blob[a:b] for a, b in zip(starts[head].tolist(), ends[head].tolist(), strict=True)], inverse
 
 
+# Words for which the tokenizer's normaliser and cut are plain: printable ASCII without an
+# apostrophe, and Latin-1 letters (all NFC; lower case maps one character to one).
+PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+PIECES = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+class PieceCache:
+    """Ids of words: plain words by their pieces, each piece encoded once; others as a whole.
+
+    ``piece`` gets the UTF-8 bytes of a piece, ``word`` a whole word."""
+
+    def __init__(self, piece, word, special: list[str], keep: int = KEEP):
+        self.piece, self.word, self.special, self.keep = piece, word, special, keep
+        self.known: dict[str, list[int]] = {}
+
+    def words(self, texts: list[str]) -> list[list[int]]:
+        if len(self.known) > self.keep:
+            self.known = {}
+        known, out = self.known, []
+        for text in texts:
+            if not PLAIN.fullmatch(text) or ("<" in text and any(s in text for s in self.special)):
+                out.append(self.word(text))
+                continue
+            ids: list[int] = []
+            for piece in PIECES.findall(text.lower()):
+                found = known.get(piece)
+                if found is None:
+                    found = known[piece] = self.piece(piece.encode())
+                ids += found
+            out.append(ids)
+        return out
+
+
 class WordCache:
     """Pool of the ids of the words seen so far; ``encode`` maps a list of words to id lists."""
 
