@@ -22,8 +22,8 @@ strings with a space between (files without a decoder, as ``word_bpe_49k``), or
 their bytes, holding back an unfinished UTF-8 sequence.
 
 Normalisation and the cut into pieces are those of the tokenizer's file; for
-words of printable ASCII the same cut is a plain pattern.  Ids of repeated
-words come from the bounded per-task pool of :mod:`ledgerlift.llm.wordcache`.
+plain words the same cut is a pattern.  Ids of repeated words and pieces come
+from the bounded per-task pools of :mod:`ledgerlift.llm.wordcache`.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; a
 special token's string in a text is that token, as in the library; ids repeat
@@ -46,9 +46,9 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import only
-from ledgerlift.llm.wordcache import WordCache
+from ledgerlift.llm.wordcache import PieceCache, WordCache
 
-SHORT = 24               # pieces up to this many symbols are merged by plain search
+SHORT = 64               # pieces up to this many symbols are merged by plain search
 
 
 def byte_symbols() -> list[str]:
@@ -76,32 +76,34 @@ class Merges:
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges, lowest rank first, leftmost first."""
-        rank, result = self.rank, self.result
+        rank, result = self.rank.get, self.result
         none = len(result)
         if len(ids) <= SHORT:
             ids = list(ids)
-            while len(ids) > 1:
-                ranks = [rank.get(p, none) for p in zip(ids, ids[1:])]
-                low = min(ranks)
-                if low == none:
-                    break
+            ranks = [rank(p, none) for p in zip(ids, ids[1:])]
+            while ranks and (low := min(ranks)) < none:
                 i = ranks.index(low)
-                ids[i:i + 2] = [result[low]]
+                new = ids[i] = result[low]
+                del ids[i + 1], ranks[i]
+                if i:
+                    ranks[i - 1] = rank((ids[i - 1], new), none)
+                if i < len(ranks):
+                    ranks[i] = rank((new, ids[i + 1]), none)
             return ids
         ids, last = list(ids), len(ids)
         after, before = list(range(1, last + 1)), list(range(-1, last - 1))
-        heap = [(r, i) for i in range(last - 1) if (r := rank.get((ids[i], ids[i + 1]), none)) < none]
+        heap = [(r, i) for i in range(last - 1) if (r := rank((ids[i], ids[i + 1]), none)) < none]
         heapify(heap)
         while heap:
             r, i = heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j >= last or rank.get((ids[i], ids[j]), none) != r:
+            if ids[i] < 0 or j >= last or rank((ids[i], ids[j]), none) != r:
                 continue
             ids[i], ids[j], after[i] = result[r], -1, after[j]
             if after[j] < last:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < last and (r := rank.get((ids[a], ids[b]), none)) < none:
+                if a >= 0 and b < last and (r := rank((ids[a], ids[b]), none)) < none:
                     heappush(heap, (r, a))
         return [x for x in ids if x >= 0]
 
@@ -163,10 +165,6 @@ class Transducer:
         return [*self.feed(piece), *self.finish()]
 
 
-# The pre-tokeniser's pattern, for lower-cased printable ASCII.
-ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
-
-
 class Encoder:
     """Ids of white-space-free words, from a tokenizer file's text."""
 
@@ -181,8 +179,8 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(
             re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.ascii_pieces = re.compile(ASCII_PIECES)
         self.byte = {s: b for b, s in enumerate(byte_symbols())}
+        self.words = PieceCache(self.transducer.encode, self.word, list(self.special)).words
 
     def word(self, text: str) -> list[int]:
         out, at = [], 0
@@ -194,17 +192,10 @@ class Encoder:
 
     def _plain(self, text: str) -> list[int]:
         encode, out = self.transducer.encode, []
-        if text.isascii() and text.isprintable():
-            for piece in self.ascii_pieces.findall(text.lower()):
-                out += encode(piece.encode())
-        else:
-            for piece, _ in self.cutter.pre_tokenize_str(self.normalizer.normalize_str(text)):
-                out += encode(bytes(map(self.byte.__getitem__, piece)))
+        for piece, _ in self.cutter.pre_tokenize_str(self.normalizer.normalize_str(text)):
+            out += encode(bytes(map(self.byte.__getitem__, piece)))
         return out
 
-    def words(self, texts: list[str]) -> list[list[int]]:
-        return list(map(self.word, texts))
-
 
 class Decoder:
     """Incremental ids -> text."""
