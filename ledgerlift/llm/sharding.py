@@ -1,8 +1,10 @@
 """Sharding by proportional stratified interleaving (native DataFrame plan).
 
 Every source is shuffled with a seeded key and its rows are ranked; a row's
-*fractional rank* ``(rank + 1/2) / rows of its source`` says how deep in its
-source it lies.  Sorting all rows by fractional rank interleaves the sources in
+*fractional rank* ``(rank + u) / rows of its source`` says how deep in its
+source it lies (u, between 0 and 1, is a checksum of the source's name: with one u
+for all, sources of equal size would place their rows at the same fractions, and
+many small sources would crowd the same shard).  Sorting all rows by fractional rank interleaves the sources in
 proportion, so cutting that order into equal runs gives shards whose source
 mixture equals the corpus mixture (each source is off by at most about one row
 per shard).  Shard sizes differ by at most one row: the law is ``rows``.
@@ -49,10 +51,12 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, id_col:
     in_source = with_row_position(rows, ["source", *ties], "at")
     per_source = in_source.groupBy("source").agg(F.min("at").alias("first_at"),
                                                  F.count(F.lit(1)).alias("source_rows"))
+    name = F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))
+    offset = (F.crc32(name.cast("binary")).cast("double") + F.lit(0.5)) / F.lit(2.0 ** 32)
     ranked = join_null_safe(in_source, per_source, ["source"]).select(
         "doc", "source", "size", "crc", "shuffle_key",
-        ((F.lit(2) * (F.col("at") - F.col("first_at")) + F.lit(1)).cast("double")
-         / (F.lit(2) * F.col("source_rows")).cast("double")).alias("fraction"))
+        (((F.col("at") - F.col("first_at")).cast("double") + offset)
+         / F.col("source_rows").cast("double")).alias("fraction"))
     placed = with_row_position(ranked, ["fraction", "source", *ties], "at")
     total = placed.select(F.count(F.lit(1)).alias("n")).scalar()
     shard = F.expr(f"at * {int(shards)} div total")
