@@ -44,8 +44,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    spec = tokenizer_json()
-    return bpe.with_digests(bpe.decode_documents(bpe.encode_documents(docs, spec), spec))
+    return bpe.with_digests(bpe.round_trip(docs, tokenizer_json()))
 
 
 STAGES = [("quality", quality_stage), ("duplicates", duplicates_stage), ("benchmark", benchmark_stage),

@@ -247,21 +247,23 @@ def _encode(tokenizer_json: str):
 
 
 DECODE_RUN = 1 << 16      # ids fed to the decoder at a time
+DECODE_ROWS = 500         # documents returned at a time
 
 
 def _decode(tokenizer_json: str):
     """mapInArrow: (doc, ids) -> (doc, ids, decoded)."""
     def run(batches):
         decoder = Decoder(tokenizer_json)
-        for batch in batches:
-            out = []
-            for ids in batch.column(1):
-                values = ids.values.to_numpy() if ids.is_valid else ()
-                parts = [decoder.feed(values[i:i + DECODE_RUN].tolist())
-                         for i in range(0, len(values), DECODE_RUN)]
-                out.append("".join([*parts, decoder.finish()]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())],
-                                             ["doc", "ids", "decoded"])
+        for whole in batches:
+            for lo in range(0, len(whole), DECODE_ROWS):
+                batch, out = whole.slice(lo, DECODE_ROWS), []
+                for ids in batch.column(1):
+                    values = ids.values.to_numpy() if ids.is_valid else ()
+                    parts = [decoder.feed(values[i:i + DECODE_RUN].tolist())
+                             for i in range(0, len(values), DECODE_RUN)]
+                    out.append("".join([*parts, decoder.finish()]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())],
+                                                 ["doc", "ids", "decoded"])
     return run
 
 
@@ -280,6 +282,15 @@ def decode_documents(encoded: DataFrame, tokenizer_json: str, id_col: str = "doc
         .withColumnRenamed("doc", id_col)
 
 
+def round_trip(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``id_col, ids, decoded``: both steps, one after another in the same worker and slice by slice."""
+    rows = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
+    encode, decode = _encode(tokenizer_json), _decode(tokenizer_json)
+    return rows.mapInArrow(lambda batches: decode(encode(batches)), "doc long, ids array<int>, decoded string") \
+        .withColumnRenamed("doc", id_col)
+
+
 def with_digests(decoded: DataFrame) -> DataFrame:
     """``n_tokens``, and digests of the ids and of the decoded text."""
     return decoded.select(

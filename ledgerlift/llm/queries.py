@@ -40,9 +40,7 @@ def op4_token_files(spark, sf_dir):
 
 
 def op7_bpe(spark, sf_dir):
-    spec = tokenizer_json()
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), spec)
-    return bpe.with_digests(bpe.decode_documents(encoded, spec))
+    return bpe.with_digests(bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_json()))
 
 
 def op10_secret_scan(spark, sf_dir):

@@ -18,7 +18,7 @@ import numpy as np
 
 from ledgerlift.llm import words
 
-KEEP = 300_000           # distinct words kept by a task; beyond, it starts anew
+KEEP = 150_000           # distinct words kept by a task; beyond, it starts anew
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -50,7 +50,7 @@ class PieceCache:
 
     def __init__(self, piece, word, special: list[str], keep: int = KEEP):
         self.piece, self.word, self.special, self.keep = piece, word, special, keep
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def words(self, texts: list[str]) -> list[list[int]]:
         if len(self.known) > self.keep:
@@ -64,7 +64,7 @@ class PieceCache:
             for piece in PIECES.findall(text.lower()):
                 found = known.get(piece)
                 if found is None:
-                    found = known[piece] = self.piece(piece.encode())
+                    found = known[piece] = tuple(self.piece(piece.encode()))
                 ids += found
             out.append(ids)
         return out
