@@ -48,7 +48,7 @@ class PieceCache:
 
     ``piece`` gets the UTF-8 bytes of a piece, ``word`` a whole word."""
 
-    def __init__(self, piece, word, special: list[str], keep: int = KEEP):
+    def __init__(self, piece, word, special: list[str], keep: int = 2 * KEEP):
         self.piece, self.word, self.special, self.keep = piece, word, special, keep
         self.known: dict[str, tuple[int, ...]] = {}
 
