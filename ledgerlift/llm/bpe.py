@@ -68,7 +68,7 @@ class Merges:
             raise ValueError("only plain BPE models are supported")
         self.vocab = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
-        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.rank = {(self.vocab[u], self.vocab[v]): r for r, (u, v) in enumerate(pairs)}
         self.result = [self.vocab[u + v] for u, v in pairs]
         self.lookahead = sufficient_lookahead(pairs, self.end)

@@ -20,7 +20,8 @@ A very common passage spreads over the join by document; what is grouped is one
 (document, item, diagonal), which is no longer than the item.
 
 Defined cases: null or empty texts, and items without ``LITERALS`` plain words,
-match nothing; an item shorter than a window is one window of its whole length;
+match nothing; an item shorter than a window is one window of its whole length, and
+documents are then cut into windows of that length too;
 repeated documents are reported row by row, equal items once each; null item ids are
 reported as null, null document ids too; empty tables give no rows; other columns are
 ignored.
@@ -121,30 +122,29 @@ class Templates:
         return template[full], slot[full], literal[full], before[first]
 
 
-def template_windows(tokens, k: int = WINDOW, literals: int = LITERALS):
-    """``(hash, first token, row, width)`` of each window with enough plain words; a row shorter
-    than a window is one window of its whole length."""
+def template_windows(tokens, widths, whole: bool = False, literals: int = LITERALS):
+    """``(hash, first token, row, width)`` of each window of these widths with enough plain words;
+    ``whole``: of the widths below ``WINDOW`` only those that are a whole row."""
     template, _, literal, first = tokens
-    key, at, row = words.windows(template, first, k)
-    plain = np.r_[0, np.cumsum(literal)]
-    ok = plain[at + k] - plain[at] >= literals if len(at) else np.zeros(0, bool)
-    few, whole = words.short_rows(template, first, k)
-    begin, end = first[few], first[few + 1]
-    few_ok = plain[end] - plain[begin] >= literals
-    return (np.concatenate([key[ok], whole[few_ok]]), np.concatenate([at[ok], begin[few_ok]]),
-            np.concatenate([row[ok], few[few_ok]]),
-            np.concatenate([np.full(int(ok.sum()), k), (end - begin)[few_ok]]))
+    plain, size, out = np.r_[0, np.cumsum(literal)], np.diff(first), []
+    for k in widths:
+        key, at, row = words.windows(template, first, k)
+        ok = plain[at + k] - plain[at] >= literals
+        if whole and k < WINDOW:
+            ok &= size[row] == k
+        out.append((key[ok], at[ok], row[ok], np.full(int(ok.sum()), k)))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
 _ITEM_ROWS = "item long, copy long, length int, at int, key long, slots binary"
 _DOC_ROWS = "doc long, copy long, at int, key long, slots binary"
 
 
-def _rows_of(batch: pa.RecordBatch, templates: Templates, bits: np.ndarray | None):
+def _rows_of(batch: pa.RecordBatch, templates: Templates, widths, bits: np.ndarray | None):
     """Windows of a batch (id, text): one row each. ``copy`` is a hash of the whole text."""
     for lo, hi, data, offsets in words.slices(batch.column(1)):
         tokens = templates.tokens(data, offsets)
-        key, at, row, width = template_windows(tokens)
+        key, at, row, width = template_windows(tokens, widths, whole=bits is None)
         length = np.diff(tokens[3])
         if bits is not None:
             hit = filter_has(bits, key)
@@ -173,7 +173,7 @@ def filter_has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
 def _items(batches):
     templates = Templates()
     for batch in batches:
-        for r in _rows_of(batch, templates, None):
+        for r in _rows_of(batch, templates, range(LITERALS, WINDOW + 1), None):
             yield pa.RecordBatch.from_pydict({"item": r.pop("id")} | r)
 
 
@@ -202,12 +202,12 @@ def _or_parts(batches):
                                       "bits": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
 
-def _documents(bits):
+def _documents(bits, widths):
     def run(batches):
         templates = Templates()
         packed = bits.value
         for batch in batches:
-            for r in _rows_of(batch, templates, packed):
+            for r in _rows_of(batch, templates, widths, packed):
                 del r["length"]
                 yield pa.RecordBatch.from_pydict({"doc": r.pop("id")} | r)
     return run
@@ -247,13 +247,17 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     items = freeze_packed(only(benchmark, item=item_col, text=text_col)
                           .withColumn("item", F.col("item").cast("long")).distinct()
                           .mapInArrow(_items, _ITEM_ROWS), "benchmark-windows")
+    # WINDOW, and the lengths of shorter items: a few numbers
+    widths = sorted(r[0] for r in items.select(F.expr("length(slots) div 8")).distinct().collect())
+    if not widths:
+        widths = [WINDOW]
     parts = (items.select("key").mapInArrow(_filter_parts, "part int, bits binary")
              .repartition("part").mapInArrow(_or_parts, "part int, bits binary").collect())  # 2 MB at most
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in parts:
         bits[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["bits"], np.uint8)
     texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
-    found = freeze_packed(texts.mapInArrow(_documents(spark.sparkContext.broadcast(bits)), _DOC_ROWS)
+    found = freeze_packed(texts.mapInArrow(_documents(spark.sparkContext.broadcast(bits), widths), _DOC_ROWS)
                           .distinct(), "document-windows")
     theirs = items.select("item", F.col("copy").alias("item_copy"), "length", F.col("at").alias("item_at"),
                           "key", F.col("slots").alias("item_slots"))

@@ -7,15 +7,19 @@ The method adds the other runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters
 whose log-likelihood ratio between a model of *random strings* and a model of
 *ordinary identifiers* is high.  Both are interpolated second-order Markov models
 over the 68 characters; the random one is mixed half and half with uniform
-characters, so that random strings of another alphabet than the samples' pass.  Their labelled samples come from the whole corpus: the
-strings that a base pattern calls secret, and all runs that touch none.  The
-counts (69^3 per model), and a histogram of the scores of all samples, are what
-reaches the driver.  The threshold is the cut with the fewest errors on the samples
-(an ordinary run called secret counts ``ORDINARY_COST`` times; the middle of equally
-good cuts), and never below 0, where the ordinary model is the likelier one.
+characters, so that random strings of another alphabet than the samples' pass.
+
+Their labelled samples come from the whole corpus: the strings that a base pattern
+calls secret, and all runs that touch none.  Every distinct string counts once and
+every count is lowered by one, so a secret that no pattern names doesn't teach the
+ordinary model itself, however often it was copied.  The threshold lies midway
+between the ``HIGH`` quantile of the ordinary scores and the ``LOW`` quantile of the
+random ones (a few unnamed secrets among the ordinary runs don't move it), and never
+below 0, where the ordinary model is the likelier one.
 
 One pass reads the texts; runs and base spans are kept per document and the
-rest works on those.
+rest works on those.  The counts (69^3 per model) and a histogram of the scores are what
+reaches the driver.
 
 Defined cases: a null or empty text has no spans; repeated ids and rows are judged
 row by row; without base hits (or without ordinary runs) there is nothing to
@@ -29,10 +33,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import freeze_packed, only
+from ledgerlift.llm.counting import count_table
 
 # Fixed patterns and smallest lengths.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -50,8 +56,7 @@ UNIFORM = 0.5                        # share of uniform characters in the random
 SCALE = 1 << 16
 BINS = 4096
 LIMIT = 16.0
-ORDINARY_COST = 20
-PART = CODES * CODES                 # counters per row of the shuffled count tables
+LOW, HIGH = 0.05, 0.99
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 FOUND = f"doc long, base {SPAN}, secret array<string>, runs array<struct<start:int,end:int,value:string>>"
@@ -109,6 +114,11 @@ def contexts(values: pa.Array):
     """``(index into the count table, string of each character)`` for ASCII strings."""
     if not len(values):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+    # strings without a small letter are read as small letters: capitals alone aren't random
+    small = pc.match_substring_regex(values, "[a-z]")
+    values = pc.if_else(small, values, pc.ascii_lower(values))
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
     values = values.cast(pa.large_binary())
     _, offsets, data = values.buffers()
     offsets = np.frombuffer(offsets, np.int64)[values.offset:values.offset + len(values) + 1]
@@ -128,37 +138,19 @@ def _flat(column) -> pa.Array:
     return out.field("value") if pa.types.is_struct(out.type) else out
 
 
-def _count(batches):
-    """mapInArrow: found -> this task's two count tables, in parts."""
+def _count(batches) -> np.ndarray:
+    """Count tables of random and ordinary strings over (random, value) rows."""
     total = np.zeros((2, CODES ** 3), np.int64)
     for batch in batches:
-        for k, name in enumerate(("secret", "runs")):
-            total[k] += np.bincount(contexts(_flat(batch.column(name)))[0], minlength=CODES ** 3)
-    if total.any():
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array(range(CODES), pa.int32()),
-            "random": pa.array(list(total[0].reshape(-1, PART)), pa.list_(pa.int64())),
-            "plain": pa.array(list(total[1].reshape(-1, PART)), pa.list_(pa.int64()))})
-
-
-def _add(batches):
-    """mapInArrow: adds the rows of each part, one batch at a time."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, part in enumerate(batch.column(0).to_pylist()):
-            sums = total.setdefault(part, np.zeros((2, PART), np.int64))
-            for k in (0, 1):
-                sums[k] += batch.column(k + 1)[i].values.to_numpy()
-    if total:
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array(list(total), pa.int32()),
-            "random": pa.array([v[0] for v in total.values()], pa.list_(pa.int64())),
-            "plain": pa.array([v[1] for v in total.values()], pa.list_(pa.int64()))})
+        for k in (0, 1):
+            chosen = batch.column(1).filter(pc.equal(batch.column(0), k))
+            total[k] += np.bincount(contexts(chosen)[0], minlength=CODES ** 3)
+    return total.ravel()
 
 
 def model(counts: np.ndarray) -> np.ndarray:
     """P(character | two before), interpolated with the shorter contexts."""
-    three = counts.reshape(CODES, CODES, CODES).astype(float)
+    three = np.maximum(counts - 1, 0).reshape(CODES, CODES, CODES).astype(float)
     two, one = three.sum(axis=0), three.sum(axis=(0, 1))
     p1 = (one + 1) / (one.sum() + CODES)
     p2 = (two + WEIGHT * p1) / (two.sum(axis=1, keepdims=True) + WEIGHT)
@@ -168,17 +160,13 @@ def model(counts: np.ndarray) -> np.ndarray:
 
 def learn(found: DataFrame) -> np.ndarray | None:
     """Integer log ratios for each character after each two; None without samples of both kinds."""
-    schema = "part int, random array<long>, plain array<long>"
-    rows = (found.select("secret", "runs").mapInArrow(_count, schema)
-            .repartition(F.col("part")).mapInArrow(_add, schema).collect())  # 2 * CODES^3 counters
-    total = np.zeros((2, CODES, PART), np.int64)
-    for r in rows:
-        total[0, r["part"]] += np.array(r["random"])
-        total[1, r["part"]] += np.array(r["plain"])
-    if not total[0].any() or not total[1].any():
+    strings = found.select(F.lit(0).alias("kind"), F.explode("secret").alias("value")).union(
+        found.select(F.lit(1), F.explode("runs.value"))).distinct()
+    secret, plain = count_table(strings, _count, 2 * CODES ** 3).reshape(2, -1)
+    if not secret.any() or not plain.any():
         return None
-    random = UNIFORM / CODES + (1 - UNIFORM) * model(total[0])
-    return np.rint((np.log(random) - np.log(model(total[1]))) * SCALE).astype(np.int64)
+    random = UNIFORM / CODES + (1 - UNIFORM) * model(secret)
+    return np.rint((np.log(random) - np.log(model(plain))) * SCALE).astype(np.int64)
 
 
 def scores(values: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -210,12 +198,9 @@ def choose_cut(found: DataFrame, weights: np.ndarray) -> float:
     total = np.zeros((2, BINS), np.int64)
     for r in rows:
         total[r["kind"], r["bin"]] += r["n"]
-    # cutting below bin b misses the secrets under it and adds the ordinary runs from it on
-    missed = np.r_[0, np.cumsum(total[0])]
-    added = total[1].sum() - np.r_[0, np.cumsum(total[1])]
-    cost = missed + ORDINARY_COST * added
-    best = np.flatnonzero(cost == cost.min())
-    return max(0.0, float(best[len(best) // 2] * 2 * LIMIT / BINS - LIMIT))
+    secret, plain = (np.cumsum(t) / max(t.sum(), 1) for t in total)
+    low, high = np.searchsorted(secret, LOW), np.searchsorted(plain, HIGH)
+    return max(0.0, float((low + high + 1) / 2 * 2 * LIMIT / BINS - LIMIT))
 
 
 def _judge(weights: np.ndarray | None, cut: float):

@@ -34,9 +34,9 @@ def test_reparameterised_questions(spark):
 
 
 def test_slots_must_be_consistent(spark):
-    item = [(1, "A train covers 40 miles and then 40 miles again while the other train covers 60 miles on the same old line")]
-    good = "A train covers 70 miles and then 70 miles again while the other train covers 90 miles on the same old line"
-    bad = "A train covers 70 miles and then 80 miles again while the other train covers 90 miles on the same old line"
+    item = [(1, "A train covers 40 miles and then it covers 40 miles again on the line home")]
+    good = "A train covers 70 miles and then it covers 70 miles again on the line home"
+    bad = "A train covers 70 miles and then it covers 80 miles again on the line home"
     assert run(spark, [good, bad], item) == [(0, 1)]
 
 
