@@ -24,10 +24,10 @@ of distinct shingles; the result is each document's component under links.
    and remaining tokens can't reach the bound goes before the next fragment.
 
 A large group of near copies has quadratically many links, but only its
-component is asked for.  While long posting lists hold many pairs, each round
-verifies a few neighbours per set along a shuffled ring of every list, merges
-components, and so drops the pairs inside one component.  The last round
-verifies all pairs left between different components, so no link that would
+component is asked for.  Each round verifies a few neighbours per set along a
+shuffled ring of every posting list (short lists give all their pairs), merges
+components, and so drops the pairs inside one component.  Rounds go on while one in
+``RING_YIELD`` sampled pairs links.  The last round verifies all pairs left between different components, so no link that would
 join two components is ever skipped.
 
 Every decision is exact but for equal 64-bit shingle hashes (see ``words``).
@@ -60,8 +60,7 @@ SPARE = 8                # the counting prefix keeps n / SPARE shingles more
 FRAGMENTS = 3
 SHORT_LIST = 8           # posting lists up to this length are always paired in full
 RING_DEGREE = 6          # verified neighbours per set and round while candidates are many
-RING_FACTOR = 0.5        # "many": long lists hold more pairs than this times the postings
-RING_YIELD = 6           # rounds go on while one in so many sampled pairs links
+RING_YIELD = 12          # rounds go on while one in so many sampled pairs links
 PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
@@ -283,35 +282,50 @@ def _fragment_rows(cuts: list[tuple[int, int]]):
     return run
 
 
-def _postings(buckets: int, percent: int):
-    """mapInArrow: ordered sets with their root -> packed prefix postings per bucket."""
-    fields = np.dtype([("token", "<u8"), ("key", "<i8"), ("root", "<i8"), ("n", "<i4"), ("left", "<i4")])
+FIELDS = np.dtype([("token", "<u8"), ("key", "<i8"), ("root", "<i8"), ("n", "<i4"), ("left", "<i4")])
 
+
+def _prefixes(percent: int):
+    """mapInArrow: ordered sets -> their prefix among the shared tokens, and how many those are."""
     def run(batches):
         for batch in batches:
-            parts = []
-            for key, n, root, tokens in zip(*(batch.column(c).to_pylist()
-                                              for c in ("key", "n", "root", "tokens")), strict=True):
-                token = np.frombuffer(tokens, np.uint64)
+            out = {"key": [], "n": [], "shared": [], "tokens": []}
+            for key, n, tokens in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "tokens")), strict=True):
+                shared = len(tokens) // 8
                 # unshared tokens come first in the order and take up prefix places
-                prefix = n - need(n, percent) + 1 - (n - len(token))
+                prefix = min(n - need(n, percent) + 1 - (n - shared), shared)
                 if prefix > 0:
-                    part = np.zeros(min(prefix, len(token)), fields)
-                    part["token"], part["key"], part["root"], part["n"] = token[:len(part)], key, root, n
-                    part["left"] = len(token) - np.arange(len(part))
-                    parts.append(part)
+                    for column, value in zip(out.values(), (key, n, shared, tokens[:8 * prefix]), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
+                [("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary())]))
+    return run
+
+
+def _postings(buckets: int):
+    """mapInArrow: prefixes with their root -> packed postings per bucket."""
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for key, n, shared, root, tokens in zip(*(batch.column(c).to_pylist() for c in (
+                    "key", "n", "shared", "root", "tokens")), strict=True):
+                token = np.frombuffer(tokens, np.uint64)
+                part = np.zeros(len(token), FIELDS)
+                part["token"], part["key"], part["root"], part["n"] = token, key, root, n
+                part["left"] = shared - np.arange(len(token))
+                parts.append(part)
             if parts:
                 posting = np.concatenate(parts)
                 rows = list(by_bucket(posting["token"], buckets))
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([r[0] for r in rows], pa.int32()),
                     "postings": pa.array([posting[r[1]].tobytes() for r in rows], pa.binary())})
-    return run, fields
+    return run
 
 
-def _lists(table: pa.Table, fields):
+def _lists(table: pa.Table):
     """``(postings, first, size)`` of the bucket's lists with sets of more than one component."""
-    posting = _columns(table, "postings", fields)
+    posting = _columns(table, "postings", FIELDS)
     posting = posting[np.lexsort((posting["key"], posting["n"], posting["token"]))]
     if not len(posting):
         return posting, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -373,35 +387,21 @@ def _pair_table(blocks) -> pa.Table:
     return pa.table({c: pa.array(both[:, i]) for i, c in enumerate(("a", "b", "na", "nb"))})
 
 
-def _all_pairs(fields, percent: int):
+def _all_pairs(percent: int):
     """applyInArrow: every fitting pair between different components."""
-    return lambda table: _pair_table(_fitting(*_lists(table, fields), percent))
+    return lambda table: _pair_table(_fitting(*_lists(table), percent))
 
 
-def _some_pairs(fields, percent: int, turn: int):
+def _some_pairs(percent: int, turn: int):
     """applyInArrow: every fitting pair of short lists, ring neighbours in long ones."""
     def run(table: pa.Table) -> pa.Table:
-        posting, first, size = _lists(table, fields)
+        posting, first, size = _lists(table)
         short = size <= SHORT_LIST
         return _pair_table(chain(_fitting(posting, first[short], size[short], percent),
                                  _ringed(posting, first[~short], size[~short], percent, turn)))
     return run
 
 
-def _count_pairs(fields, percent: int):
-    """applyInArrow: postings, and pairs of long lists that all_pairs would have to look at."""
-    def run(table: pa.Table) -> pa.Table:
-        posting, first, size = _lists(table, fields)
-        pairs = 0
-        for at, m in zip(first[size > SHORT_LIST], size[size > SHORT_LIST], strict=True):
-            x = posting[at:at + m]
-            top = np.searchsorted(x["n"], 100 * x["n"].astype(np.int64) // percent, "right")
-            _, same = np.unique(x["root"], return_counts=True)
-            pairs += min(int((top - np.arange(m) - 1).sum()), int(m * m - (same.astype(np.int64) ** 2).sum()) // 2)
-        return pa.table({"entries": pa.array([int(size.sum())], pa.int64()), "pairs": pa.array([pairs], pa.int64())})
-    return run
-
-
 def _overlap(percent: int):
     """mapInArrow: adds the common tokens of two segments; pairs that can't link any more go."""
     def run(batches):
@@ -476,7 +476,7 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     # 3: whole sets of what is left, the global order and its fragments
     live_bytes = 16 * int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    buckets = bucket_count(texts, live_bytes, 32 << 20)
+    buckets = max(1, -(-live_bytes // (16 << 20)))
     whole = (texts.join(live.select(F.col("doc").alias("live_doc"), "key"),
                         F.col("doc").eqNullSafe(F.col("live_doc"))).select("key", "text"))
     counted = freeze_packed(
@@ -493,37 +493,35 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         _fragment_rows(cuts), "key long, fragment int, tokens binary, rest int"), "fragments")
 
     # 4 and 5: rounds of candidates, verified by fragment
-    roots, turn = None, 0
-    make, fields = _postings(buckets, percent)
+    prefixes = freeze_packed(ordered.select("key", "n", "tokens").mapInArrow(
+        _prefixes(percent), "key long, n long, shared long, tokens binary"), "prefixes")
+    roots, turn, last = None, 0, False
     pair_schema = "a long, b long, na long, nb long"
     while True:
-        known = ordered.withColumn("root", F.col("key")) if roots is None else \
-            ordered.join(roots, F.col("key") == F.col("node"), "left") \
+        known = prefixes.withColumn("root", F.col("key")) if roots is None else \
+            prefixes.join(roots, F.col("key") == F.col("node"), "left") \
             .withColumn("root", F.coalesce("root", "key"))
-        postings = freeze(known.select("key", "n", "root", "tokens")
-                          .mapInArrow(make, "bucket int, postings binary"), "postings").groupBy("bucket")
-        entries, long_pairs = postings.applyInArrow(
-            _count_pairs(fields, percent), "entries long, pairs long").agg(
-            F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
-        if not entries:
-            break
-        last = turn < 0 or long_pairs <= RING_FACTOR * entries
-        make_pairs = _all_pairs(fields, percent) if last else _some_pairs(fields, percent, turn)
-        pairs = postings.applyInArrow(make_pairs, pair_schema).distinct()
+        postings = known.select("key", "n", "shared", "root", "tokens").mapInArrow(
+            _postings(buckets), "bucket int, postings binary").groupBy("bucket")
+        pairs = postings.applyInArrow(_all_pairs(percent) if last else _some_pairs(percent, turn),
+                                      pair_schema).distinct()
         if not last:
             pairs = pairs.selectExpr(
                 "*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
                 .filter(f"r <= {RING_DEGREE}").drop("r")
         pairs = freeze(pairs, "near-pairs")
-        found = freeze(verified(pairs, fragments, len(cuts) + 1, percent), "near-links")
-        n_found = found.count()
-        if n_found:
-            links = found if roots is None else found.union(roots.select("node", "root"))
-            roots = freeze(components(links), "near-roots")
+        n_pairs, n_found = pairs.count(), 0
+        if n_pairs:
+            found = freeze(verified(pairs, fragments, len(cuts) + 1, percent), "near-links")
+            n_found = found.count()
+            if n_found:
+                links = found if roots is None else found.union(roots.select("node", "root"))
+                roots = freeze(components(links), "near-roots")
         if last:
             break
         # once most sampled neighbours fail, what is left hardly links: verify all of it
-        turn = turn + 1 if RING_YIELD * n_found >= pairs.count() else -1
+        last = not n_pairs or RING_YIELD * n_found < n_pairs
+        turn += 1
 
     # each class gets its component's smallest document
     named = classes.groupBy("key").agg(F.min("doc").alias("doc"))

@@ -48,11 +48,11 @@ def test_edges(edge_docs, no_docs):
     assert got(no_docs) == []
 
 
-@pytest.mark.parametrize("short,factor,percent", [(8, 0.5, 75), (2, 0.0, 75)])
-def test_large_groups_of_near_copies(spark, monkeypatch, short, factor, percent):
+@pytest.mark.parametrize("short,factor", [(8, 12), (2, 10 ** 9), (2, 0)])
+def test_large_groups_of_near_copies(spark, monkeypatch, short, factor):
     """Chains and crowds of near copies, through the ring rounds and without them."""
     monkeypatch.setattr(ngram_join, "SHORT_LIST", short)
-    monkeypatch.setattr(ngram_join, "RING_FACTOR", factor)
+    monkeypatch.setattr(ngram_join, "RING_YIELD", factor)
     rnd, rows = random.Random(2), []
     for g in range(4):
         base = [f"g{g}w{rnd.randint(0, 900)}" for _ in range(90)]
