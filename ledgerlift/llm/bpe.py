@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import only
-from ledgerlift.llm.wordcache import PieceCache, WordCache
+from ledgerlift.llm.wordcache import ENCODE_BYTES, PieceCache, WordCache
 
 SHORT = 64               # pieces up to this many symbols are merged by plain search
 
@@ -237,7 +237,7 @@ def _encode(tokenizer_json: str):
     def run(batches):
         cache = WordCache(Encoder(tokenizer_json).words)
         for batch in batches:
-            for lo, hi, data, offsets in words.slices(batch.column(1)):
+            for lo, hi, data, offsets in words.slices(batch.column(1), ENCODE_BYTES):
                 ids, at = cache.ids_of(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi],

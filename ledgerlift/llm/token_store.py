@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from ledgerlift.llm import words
 from ledgerlift.llm.bpe import byte_symbols
 from ledgerlift.llm.common import only, partitions
-from ledgerlift.llm.wordcache import PieceCache, WordCache
+from ledgerlift.llm.wordcache import ENCODE_BYTES, PieceCache, WordCache
 
 MAGIC = b"EFTOKEN1"
 HEAD = "<8sIIIIQ"
@@ -160,7 +160,7 @@ def _packer(tokenizer_json: str, end_id: int, width: int):
         for batch in batches:
             null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             doc = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            for lo, hi, data, offsets in words.slices(batch.column(1)):
+            for lo, hi, data, offsets in words.slices(batch.column(1), ENCODE_BYTES):
                 ids, at = cache.ids_of(data, offsets)
                 ids = np.insert(ids, at[1:], end_id)
                 held.append((doc[lo:hi], null[lo:hi], np.diff(at) + 1, ids))

@@ -13,12 +13,13 @@ fails this check is encoded word by word.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 
 from ledgerlift.llm import words
 
-KEEP = 150_000           # distinct words kept by a task; beyond, it starts anew
+KEEP = 300_000           # distinct words kept by a task; beyond, it starts anew
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -37,6 +38,8 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return [blob[a:b] for a, b in zip(starts[head].tolist(), ends[head].tolist(), strict=True)], inverse
 
 
+ENCODE_BYTES = 4 << 20   # text encoded together
+
 # Words for which the tokenizer's normaliser and cut are plain: printable ASCII without an
 # apostrophe, and Latin-1 letters (all NFC; lower case maps one character to one).
 PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
@@ -48,7 +51,7 @@ class PieceCache:
 
     ``piece`` gets the UTF-8 bytes of a piece, ``word`` a whole word."""
 
-    def __init__(self, piece, word, special: list[str], keep: int = 2 * KEEP):
+    def __init__(self, piece, word, special: list[str], keep: int = KEEP):
         self.piece, self.word, self.special, self.keep = piece, word, special, keep
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -84,21 +87,22 @@ class WordCache:
         self.count = 0
 
     def _add(self, fresh: list[bytes]) -> None:
-        for word, ids in zip(fresh, self.encode([w.decode("utf-8") for w in fresh]), strict=True):
-            begin, end = self.at[self.count], self.at[self.count] + len(ids)
-            if end > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(end, len(self.ids)), np.uint32)])
-            if self.count + 2 > len(self.at):
-                self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
-            self.ids[begin:end] = ids
-            self.place[word] = self.count
-            self.count += 1
-            self.at[self.count] = end
+        lists = self.encode([w.decode("utf-8") for w in fresh])
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ends = self.at[self.count] + np.cumsum(sizes)
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        while self.count + len(fresh) >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
+        self.ids[ends[0] - sizes[0]:ends[-1]] = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        self.at[self.count + 1:self.count + 1 + len(fresh)] = ends
+        self.place.update(zip(fresh, range(self.count, self.count + len(fresh))))
+        self.count += len(fresh)
 
     def _places(self, distinct: list[bytes]) -> np.ndarray:
         if self.count > self.keep:
             self._clear()
-        fresh = [w for w in dict.fromkeys(distinct) if w not in self.place]
+        fresh = [w for w in distinct if w not in self.place]
         if fresh:
             self._add(fresh)
         return np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
