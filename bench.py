@@ -41,6 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     from ledgerlift.plans.registry import QUERIES
@@ -59,27 +60,35 @@ def main() -> None:
         except Exception:  # the timed run reports it
             pass
 
-    times = {}
+    n_tx = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    times, rows = {}, {}
     failed = []
 
+    def run(df):
+        """Every row through the noop sink; the row count rides along."""
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+        return seen.get["n"]
+
     def timed(name, fn):
         t0 = time.perf_counter()
         try:
-            fn()
+            rows[name] = fn()
             times[name] = round(time.perf_counter() - t0, 3)
+            if not rows[name]:
+                raise RuntimeError("no rows")
         except Exception as exc:  # report, keep the JSON line coming
             print(f"bench: {name} failed: {exc}", file=sys.stderr)
             times[name] = None
             failed.append(name)
 
     for name in HEADLINE:
-        timed(name, lambda n=name: QUERIES[n](spark, sf_dir).write.format("noop")
-              .mode("overwrite").save())
+        timed(name, lambda n=name: run(QUERIES[n](spark, sf_dir)))
 
     # Ingest (cut transactions into 10,000-row landing CSV files) and the
     # per-file detection stream over those files, as the source system runs them.
     from ledgerlift import schemas
-    from ledgerlift.plans.registry import CHUNK_SIZE, CHUNK_THRESHOLD
+    from ledgerlift.plans.registry import CHUNK_SIZE, chunk_threshold
     from ledgerlift.session import scratch_path
     from ledgerlift.sinks.writers import write_chunked_csv
     from ledgerlift.sources import tpch
@@ -91,6 +100,7 @@ def main() -> None:
         write_chunked_csv(
             tpch.as_transaction_records(tpch.transactions(spark, data_dir), keep=extra),
             landing, tpch.ROW_KEY, CHUNK_SIZE, keep_cols=schemas.TRANSACTIONS.fieldNames())
+        return n_tx
 
     def stream(data_dir, landing):
         imp_path = scratch_path(spark, "bench-importance")
@@ -98,12 +108,14 @@ def main() -> None:
          .withColumn("Source", F.col("Source").cast("string")).write.parquet(imp_path))
         handler = PerFileDetector(lambda s: s.read.parquet(imp_path),
                                   scratch_path(spark, "bench-out"),
-                                  scratch_path(spark, "bench-log"), threshold=CHUNK_THRESHOLD)
+                                  scratch_path(spark, "bench-log"),
+                                  threshold=chunk_threshold(spark, data_dir))
         q = start_detection_stream(spark, landing, handler, max_files_per_trigger=20,
                                    checkpoint_location=scratch_path(spark, "bench-stream-ckpt"))
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        return spark.read.parquet(handler.output_path).count()
 
     # same untimed warm-up for these two paths
     try:
@@ -117,7 +129,6 @@ def main() -> None:
     timed("ingest_chunk_files", lambda: ingest(sf_dir, landing))
     timed("stream_per_file", lambda: stream(sf_dir, landing))
 
-    n_tx = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     total = round(sum(v for v in times.values() if v is not None), 3)
 
@@ -134,10 +145,13 @@ def main() -> None:
         "detection_tx_per_sec": rate("detections"),
         "ingest_tx_per_sec": rate("ingest_chunk_files"),
         "stream_tx_per_sec": rate("stream_per_file"),
+        "rows": rows,
         "failed": failed,
         "cpus": cpus,
     }))
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -26,6 +26,7 @@ from ledgerlift.plans.upgrade import DEFAULT_THRESHOLD, detect_upgrades
 from ledgerlift.session import DEFAULT_CONF, ensure_checkpoint_dir
 from ledgerlift.sinks.writers import write_chunked_csv, write_detection_batches
 from ledgerlift.sources import files
+from ledgerlift.sources.dimension import importance_chain
 from ledgerlift.streaming.files import (
     CumulativeDetector,
     PerFileDetector,
@@ -47,21 +48,29 @@ def _session() -> SparkSession:
     return spark
 
 
-def _importance_loader(path: str, strip_quotes: bool):
+def _importance_loader(a):
+    """Read the table, seed it if empty, check its columns, fall back if told to."""
+    def read(path):
+        return lambda spark: files.read_importance_csv(spark, path, a.strip_quotes)
+
     def load(spark):
-        return files.read_importance_csv(spark, path, strip_quotes)
+        seed = read(a.seed)(spark) if a.seed else None
+        fallback = read(a.fallback)(spark) if a.fallback else None
+        return importance_chain(spark, read(a.importance), seed, fallback)
     return load
 
 
 def cmd_ingest(spark: SparkSession, a) -> None:
     tx_path = files.pick_role_file(spark, a.source, "transactions.csv")
+    files.pick_role_file(spark, a.source, "CustomerImportance.csv")  # both must be there
     tx = files.read_transactions_csv(spark, tx_path, a.strip_quotes)
     write_chunked_csv(tx, a.landing, INGEST_ORDER, a.chunk_size, mode="append")
 
 
 def cmd_stream(spark: SparkSession, a) -> None:
-    loader = _importance_loader(a.importance, a.strip_quotes)
-    common = dict(threshold=a.threshold, top_pct=a.top_pct, low_pct=a.low_pct)
+    loader = _importance_loader(a)
+    common = dict(threshold=a.threshold, top_pct=a.top_pct, low_pct=a.low_pct, csv_path=a.csv_out,
+                  csv_rows=a.batch_size, table=a.table, log_table=a.log_table)
     if a.cumulative:
         handler = CumulativeDetector(loader, a.out, a.log, stats_path=a.stats,
                                      compact_every=a.compact_every, **common)
@@ -75,7 +84,7 @@ def cmd_stream(spark: SparkSession, a) -> None:
 
 def cmd_detect(spark: SparkSession, a) -> None:
     tx = files.read_transactions_csv(spark, a.transactions, a.strip_quotes)
-    imp = files.read_importance_csv(spark, a.importance, a.strip_quotes)
+    imp = _importance_loader(a)(spark)
     scope = []
     if a.per_file:
         tx = tx.withColumn(SOURCE_FILE, F.input_file_name())
@@ -94,6 +103,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--top-pct", type=float, default=0.1)
         sp.add_argument("--low-pct", type=float, default=0.1)
         sp.add_argument("--strip-quotes", action="store_true")
+        sp.add_argument("--seed", default=None, help="importance CSV that stands in for an empty one")
+        sp.add_argument("--fallback", default=None, help="importance CSV used if the other lacks a column")
 
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
@@ -106,7 +117,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--importance", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--log", required=True)
-    s.add_argument("--checkpoint", default=None)
+    s.add_argument("--checkpoint", default=None, help="default: _checkpoint in the output folder")
+    s.add_argument("--csv-out", default=None, help="detections also as CSV files of --batch-size rows")
+    s.add_argument("--batch-size", type=int, default=50)
+    s.add_argument("--table", default=None, help="detections also appended to this table, if it exists")
+    s.add_argument("--log-table", default=None, help="audit rows also appended to this table, if it exists")
     s.add_argument("--files-per-batch", type=int, default=1)
     s.add_argument("--once", action="store_true", help="process the files present, then stop")
     s.add_argument("--cumulative", action="store_true")

@@ -25,7 +25,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], as_of=Non
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET <all other columns>``.
 
     Rows of ``updates`` replace target rows with the same key, new keys are
-    added, other target rows stay.  ``updates`` must be unique on ``keys``.
+    added, other target rows stay.  Two updates of one key are an error, as in
+    a database (found in the same job, by the aggregate that groups them).
     With timestamp columns, ``created_col`` keeps the target's value for
     replaced rows and ``updated_col`` becomes ``as_of`` (default: the query's
     current timestamp) for every written row.  ``state_col`` (optional) tells
@@ -42,8 +43,13 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], as_of=Non
 
     t = target.select(*keys, *[F.col(c).alias(f"__ll_t_{c}") for c in target.columns
                                if c not in keys], F.lit(True).alias("__ll_t"))
-    u = updates.select(*keys, *[F.col(c).alias(f"__ll_u_{c}") for c in values],
-                       F.lit(True).alias("__ll_u"))
+    same = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL")))
+                               for k in keys])
+    u = (updates.groupBy(*keys).agg(F.first(F.struct(F.lit(True).alias("__ll_u"), *values)).alias("__ll_row"),
+                                    F.count(F.lit(1)).alias("__ll_n"))
+         .select(*keys, *[F.col(f"__ll_row.{c}").alias(f"__ll_u_{c}") for c in values],
+                 F.when(F.col("__ll_n") > 1, F.raise_error(F.concat(F.lit("several updates of "), same)))
+                 .otherwise(F.lit(True)).cast("boolean").alias("__ll_u")))
     j = t.join(u, keys, "full_outer")
     from_update = F.col("__ll_u").isNotNull()
 
@@ -69,14 +75,18 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], as_of=Non
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str],
-                     state_col: str | None = None) -> DataFrame:
+                     state_col: str | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO NOTHING``.
 
-    Keys already in ``target`` are skipped; among new rows sharing a key only
-    one is inserted.
+    Keys already in ``target`` are skipped; among new rows sharing a key the
+    first in the order of ``order_by`` (then of all columns) is inserted.
     """
     keys = list(keys)
-    fresh = rows.join(target.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    first = [*(order_by or []), *[c for c in rows.columns if c not in (order_by or [])]]
+    fresh = (rows.join(target.select(*keys), keys, "left_anti")
+             .groupBy(*[F.col(k).alias(f"__ll_k_{k}") for k in keys])
+             .agg(F.min(F.struct(*first)).alias("__ll_row"))
+             .select(*[F.col(f"__ll_row.{c}").alias(c) for c in rows.columns]))
     if state_col:
         target = target.withColumn(state_col, F.lit("kept"))
         fresh = fresh.withColumn(state_col, F.lit("inserted"))

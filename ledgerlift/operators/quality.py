@@ -39,27 +39,29 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def quality_report(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """One row of counts from one aggregate pass, plus the duplicate-key count.
+    """One row of counts, and of rows beyond the first per key, in one pass.
 
-    Duplicates are counted by a grouped aggregate over ``key_cols`` (rows
-    beyond the first per key) and enter as a scalar subquery.
+    Rows are counted per key first (partially aggregated); every other number
+    is then a sum, minimum or maximum over the keys' partial results.
     """
-    dupes = (df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > 1)
-             .select(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("d")))
     reason = reject_reason(df)
-    aggs = [
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count(F.when(reason.isNull(), 1)).alias("valid_rows"),
-        F.count(F.when(reason.isNotNull(), 1)).alias("rejected_rows"),
-        F.count(F.when(F.col("customer").isNull(), 1)).alias("null_customer"),
-        F.count(F.when(F.col("merchant").isNull(), 1)).alias("null_merchant"),
-    ]
+    counts = {
+        "total_rows": F.lit(True),
+        "valid_rows": reason.isNull(),
+        "rejected_rows": reason.isNotNull(),
+        "null_customer": F.col("customer").isNull(),
+        "null_merchant": F.col("merchant").isNull(),
+    }
+    ranges = []
     if "amount" in df.columns:
-        aggs += [F.count(F.when(F.col("amount").isNull(), 1)).alias("null_amount"),
-                 F.count(F.when(F.col("amount") < 0, 1)).alias("negative_amount"),
-                 F.min("amount").alias("min_amount"),
-                 F.max("amount").alias("max_amount")]
+        counts |= {"null_amount": F.col("amount").isNull(), "negative_amount": F.col("amount") < 0}
+        ranges.append("amount")
     if "step" in df.columns:
-        aggs += [F.min("step").alias("min_step"), F.max("step").alias("max_step")]
-    return df.agg(*aggs).withColumn("duplicate_keys", dupes.scalar())
+        ranges.append("step")
+    per_key = df.groupBy(*[F.col(k).alias(f"__ll_k_{k}") for k in key_cols]).agg(
+        *[F.count(F.when(cond, 1)).alias(name) for name, cond in counts.items()],
+        *[fn(c).alias(f"{side}_{c}") for c in ranges for side, fn in (("min", F.min), ("max", F.max))])
+    return per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in counts],
+        *[fn(f"{side}_{c}").alias(f"{side}_{c}") for c in ranges for side, fn in (("min", F.min), ("max", F.max))],
+        F.coalesce(F.sum(F.col("total_rows") - 1), F.lit(0)).cast("long").alias("duplicate_keys"))

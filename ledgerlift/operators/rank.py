@@ -4,28 +4,24 @@
 ``v`` in a group of ``N`` rows, ``less(v) / (N - 1)`` (0.0 when ``N == 1``),
 where ``less(v)`` counts the group's rows that sort strictly before ``v``.
 Spark's Window operator evaluates a whole group inside one task, so a merchant
-holding a third of all rows would become one giant sort.  Here the same number
-is computed from relational pieces that stay balanced:
-
-1. *tie histogram* -- ``groupBy(g, v).count()``.  Partial aggregation collapses
-   any hot (g, v) key map-side, and every remaining key is distinct.
-2. *slices* -- the distinct keys are range-partitioned on ``(g, v)``; Spark
-   samples the keys, so a hot group is spread over many contiguous, equally
-   sized partitions.  The partition index is the slice id; the sliced
-   histogram is materialized once (:func:`ledgerlift.session.freeze`) so
-   that every later reader sees the same ids.
-3. *local prefix* -- a window per ``(g, slice)`` sums the rows before each key;
-   its size is bounded by one slice, never by the group.
-4. *offsets* -- one row per ``(g, slice)`` (at most groups + slices rows), a
-   window per group over those rows gives the rows of earlier slices and ``N``.
-5. the per-key rank is joined back to the input on ``(g, v)``.  A hot key there
-   meets exactly one histogram row, which AQE's skew-join split handles.
-
-Only *hot* groups need steps 2-5.  ``method="auto"`` first counts rows per
-group (one partially aggregated shuffle); groups with at most
-``MAX_GROUP_VALUES`` rows are ranked by a plain window, which is then bounded
-per task.  For a count column ``method="histogram"`` needs no probe: a group
-with R rows has at most sqrt(2R) distinct counts, so the window over its tie
+holding a third of all rows would become one giant sort.  One route serves
+groups of every size:
+
+1. *slices* -- rows (or the distinct values of a cut, with their counts) are
+   range-partitioned on ``(g, v)`` and, for rows, a hash of the row, so neither
+   a hot group nor a hot value stays in one partition.  The partition index is
+   the slice id; the sliced table is materialized once
+   (:func:`ledgerlift.session.freeze`) so that every later reader sees the
+   same ids.
+2. *local rank* -- a window per ``(g, slice)``; its size is bounded by one
+   slice, never by the group.
+3. *offsets* -- one row per ``(g, slice)`` (at most groups + slices rows): the
+   rows of earlier slices, ``N``, and where the slice's first value begins if
+   an earlier slice holds the same value.
+4. the offsets are joined back on ``(g, slice)``, at most one slice's rows a key.
+
+For a count column ``rank_cut(method="histogram")`` is enough: a group with R
+rows has at most sqrt(2R) distinct counts, so the window over its tie
 histogram is always small.  ``method="window"`` keeps Spark's plain Window
 for every group, for comparison.
 """
@@ -47,8 +43,9 @@ _LT_BEFORE = "__ll_lt_before"
 _GROUP_N = "__ll_group_n"
 _SLICE_N = "__ll_slice_n"
 
-# Groups with more rows than this are ranked by range slices (method="auto").
-MAX_GROUP_VALUES = 1_000_000
+_FIRST = "__ll_first"
+_LAST = "__ll_last"
+_START = "__ll_start"
 
 
 def _as_list(cols: str | Iterable[str] | None) -> list[str]:
@@ -103,13 +100,17 @@ def _ranks_by_window(hist: DataFrame, by: list[str], order_col: str, ascending:
     return hist.select(*by, order_col, _N, _pct(less, total).alias(out_col))
 
 
+def _by_range(df: DataFrame, slices: int | None, *keys: Column) -> DataFrame:
+    return df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
+
+
 def _ranks_by_slices(hist: DataFrame, by: list[str], order_col: str, ascending: bool,
-                     out_col: str) -> DataFrame:
-    """Range slices of the histogram (module docstring, steps 2-4)."""
+                     out_col: str, slices: int | None = None) -> DataFrame:
+    """Range slices of the histogram (module docstring)."""
     order = _order(order_col, ascending)
     # Slice ids depend on sampled range bounds: materialize them once so the
     # two consumers below (local prefix, per-slice totals) agree.
-    sliced = freeze(hist.repartitionByRange(*[F.col(c) for c in by], order)
+    sliced = freeze(_by_range(hist, slices, *[F.col(c) for c in by], order)
                     .withColumn(_SLICE, F.spark_partition_id()), "rank-slices")
     before_in_slice = (Window.partitionBy(*by, _SLICE).orderBy(order)
                        .rowsBetween(Window.unboundedPreceding, -1))
@@ -125,27 +126,51 @@ def _ranks_by_slices(hist: DataFrame, by: list[str], order_col: str, ascending:
                  .withColumn(_GROUP_N, F.sum(_SLICE_N).over(_window(by)))
                  .drop(_SLICE_N))
 
-    keyed = join_null_safe(local, per_slice, [*by, _SLICE]) if by else \
-        local.join(per_slice, _SLICE)
+    keyed = join_null_safe(local, per_slice, [*by, _SLICE])
     less = F.col(_LT_BEFORE) + F.col(_LT_LOCAL)
     return keyed.select(*by, order_col, _N, _pct(less, F.col(_GROUP_N)).alias(out_col))
 
 
-def hot_groups(df: DataFrame, by: list[str], max_group_values: int) -> DataFrame | None:
-    """Groups with more than ``max_group_values`` rows, or None when there is none.
+def _rank_rows(df: DataFrame, by: list[str], order_col: str, ascending: bool, out_col: str,
+               slices: int | None) -> DataFrame:
+    """Range slices of the rows themselves (module docstring).
 
-    One partially aggregated shuffle of the input plus a ``LIMIT 1`` probe.
-    The result has at most rows / max_group_values entries, so broadcasting
-    it is bounded.
-    """
-    hot = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("__ll_k"))
-           .filter(F.col("__ll_k") > F.lit(max_group_values)).select(*by))
-    return None if hot.isEmpty() else F.broadcast(hot)
+    The range key ends in a hash of the row: rows of one (group, value) spread
+    over slices like any others, and no join ever meets on a value."""
+    order = _order(order_col, ascending)
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sliced = freeze(_by_range(df, slices, *[F.col(c) for c in by], order, spread)
+                    .withColumn(_SLICE, F.spark_partition_id()), "rank-rows")
+    in_slice = Window.partitionBy(*by, _SLICE).orderBy(order)
+    local = sliced.withColumn(_LT_LOCAL, (F.rank().over(in_slice) - 1).cast("long"))
+
+    value = F.struct(F.col(order_col).alias("v"))  # a struct: a NULL value is a value
+    per_slice = local.groupBy(*by, _SLICE).agg(
+        F.count(F.lit(1)).alias(_SLICE_N),
+        F.min(F.when(F.col(_LT_LOCAL) == 0, value)).alias(_FIRST),
+        F.max_by(value, F.col(_LT_LOCAL)).alias(_LAST),
+        F.max(_LT_LOCAL).alias(_LT_BEFORE))
+    slices_before = (_window(by).orderBy(_SLICE)
+                     .rowsBetween(Window.unboundedPreceding, -1))
+    offset = F.coalesce(F.sum(_SLICE_N).over(slices_before), F.lit(0))
+    per_slice = per_slice.select(
+        *by, _SLICE, _FIRST, _LAST, offset.alias(_N), (offset + F.col(_LT_BEFORE)).alias(_LT_BEFORE),
+        F.sum(_SLICE_N).over(_window(by)).alias(_GROUP_N))
+    # Only a slice's first and last values can go on in other slices; a value
+    # begins where its first slice has it.
+    begins = (per_slice.select(*by, F.col(_FIRST), F.col(_N).alias(_START))
+              .union(per_slice.select(*by, F.col(_LAST), F.col(_LT_BEFORE)))
+              .groupBy(*by, _FIRST).agg(F.min(_START).alias(_START)))
+    offsets = join_null_safe(per_slice.drop(_LAST, _LT_BEFORE), begins, [*by, _FIRST]).drop(_FIRST)
+    keyed = join_null_safe(local, offsets, [*by, _SLICE])
+    less = F.when(F.col(_LT_LOCAL) == 0, F.col(_START)).otherwise(F.col(_N) + F.col(_LT_LOCAL))
+    return keyed.select(*[F.col(f"`{c}`") for c in df.columns],
+                        _pct(less, F.col(_GROUP_N)).alias(out_col))
 
 
 def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
                   ascending: bool = True, out_col: str = "pct_rank", method: str = "auto",
-                  max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+                  slices: int | None = None) -> DataFrame:
     """One row per distinct ``(by, order_col)`` with its exact percent rank.
 
     Columns: ``by..., order_col, __ll_n (input rows with that key), out_col``.
@@ -154,41 +179,26 @@ def ranked_values(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
       * ``"histogram"`` -- window over the tie histogram.  Safe whenever the
         number of distinct values per group is bounded; for a *count* column
         it always is: a group with R rows has at most sqrt(2R) distinct counts.
-      * ``"sliced"`` -- range slices, safe for any value distribution.
-      * ``"auto"`` -- one aggregate finds the groups with more than
-        ``max_group_values`` rows (there are at most rows / max_group_values
-        of them); those are sliced, all others use the histogram window,
-        which then holds at most ``max_group_values`` keys per task.  No hot
-        group -> no slicing job at all.
+      * ``"sliced"`` / ``"auto"`` -- range slices, safe for any distribution.
+    ``slices``: number of range partitions (default: the session's).
     """
     by = _as_list(by)
     hist = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N))
     if method == "histogram":
         return _ranks_by_window(hist, by, order_col, ascending, out_col)
-    if method == "sliced" or (method == "auto" and not by):
-        return _ranks_by_slices(hist, by, order_col, ascending, out_col)
-    if method != "auto":
+    if method not in ("sliced", "auto"):
         raise ValueError(f"unknown method {method!r}")
-    hot = hot_groups(df, by, max_group_values)
-    if hot is None:
-        return _ranks_by_window(hist, by, order_col, ascending, out_col)
-    cold_part = _ranks_by_window(join_null_safe(hist, hot, by, "left_anti"),
-                                 by, order_col, ascending, out_col)
-    hot_part = _ranks_by_slices(join_null_safe(hist, hot, by, "left_semi"),
-                                by, order_col, ascending, out_col)
-    return cold_part.unionByName(hot_part)
+    return _ranks_by_slices(hist, by, order_col, ascending, out_col, slices)
 
 
 def percent_rank_within(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
                         ascending: bool = True, out_col: str = "pct_rank",
-                        method: str = "auto",
-                        max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+                        method: str = "auto", slices: int | None = None) -> DataFrame:
     """``df`` plus ``percent_rank() OVER (PARTITION BY by ORDER BY order_col)``.
 
-    * ``"auto"`` -- groups of at most ``max_group_values`` rows use Spark's
-      Window directly; hot groups are ranked by slices and joined back.
-    * ``"histogram"`` / ``"sliced"`` -- rank the distinct values
-      (:func:`ranked_values`) and join back on ``(by, order_col)``.
+    * ``"auto"`` / ``"sliced"`` -- range slices of the rows, for groups of every size.
+    * ``"histogram"`` -- rank the distinct values (:func:`ranked_values`) and
+      join back on ``(by, order_col)``.
     * ``"window"`` -- Spark's Window for every group (unbounded per task).
     """
     by = _as_list(by)
@@ -196,22 +206,12 @@ def percent_rank_within(df: DataFrame, by: str | Iterable[str] | None, order_col
         df = df.drop(out_col)
     if method == "window":
         return _window_rank(df, by, order_col, ascending, out_col)
-    if method == "auto" and by:
-        # Groups of at most max_group_values rows: Spark's Window is bounded
-        # per task.  Only hot groups take the histogram + slices + join route.
-        hot = hot_groups(df, by, max_group_values)
-        if hot is None:
-            return _window_rank(df, by, order_col, ascending, out_col)
-        cold = _window_rank(join_null_safe(df, hot, by, "left_anti"), by, order_col,
-                            ascending, out_col)
-        hot_rows = join_null_safe(df, hot, by, "left_semi")
-        ranks = _ranks_by_slices(hot_rows.groupBy(*by, order_col)
-                                 .agg(F.count(F.lit(1)).alias(_N)),
-                                 by, order_col, ascending, out_col).drop(_N)
-        return cold.unionByName(join_null_safe(hot_rows, ranks, [*by, order_col]))
-    ranks = ranked_values(df, by, order_col, ascending, out_col, method,
-                          max_group_values).drop(_N)
-    return join_null_safe(df, ranks, [*by, order_col])
+    if method == "histogram":
+        ranks = ranked_values(df, by, order_col, ascending, out_col, method).drop(_N)
+        return join_null_safe(df, ranks, [*by, order_col])
+    if method not in ("auto", "sliced"):
+        raise ValueError(f"unknown method {method!r}")
+    return _rank_rows(df, by, order_col, ascending, out_col, slices)
 
 
 def _window_rank(df: DataFrame, by: list[str], order_col: str, ascending: bool,
@@ -223,7 +223,7 @@ def _window_rank(df: DataFrame, by: list[str], order_col: str, ascending: bool,
 
 def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
              ascending: bool, max_pct: float, cut_col: str = "cut_value",
-             method: str = "auto", max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+             method: str = "auto", slices: int | None = None) -> DataFrame:
     """Per group, the last value (in rank order) whose percent rank is <= ``max_pct``.
 
     percent_rank never decreases along the order, so the rows that pass
@@ -235,23 +235,8 @@ def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
     """
     by = _as_list(by)
     src = df.select(*by, order_col)
-    if method == "window" or (method == "auto" and by):
-        hot = hot_groups(src, by, max_group_values) if method == "auto" else None
-        if hot is None:
-            ranked = _window_rank(src, by, order_col, ascending, "__ll_pct")
-        else:
-            # bounded groups: one window over their rows (a single shuffle);
-            # hot groups: ranked distinct values from slices -- a cut needs
-            # no per-row join back
-            cold = _window_rank(join_null_safe(src, hot, by, "left_anti"), by, order_col,
-                                ascending, "__ll_pct")
-            hot_hist = (join_null_safe(src, hot, by, "left_semi")
-                        .groupBy(*by, order_col).agg(F.count(F.lit(1)).alias(_N)))
-            ranked = cold.unionByName(
-                _ranks_by_slices(hot_hist, by, order_col, ascending, "__ll_pct").drop(_N))
-    else:
-        ranked = ranked_values(src, by, order_col, ascending, "__ll_pct", method,
-                               max_group_values)
+    ranked = _window_rank(src, by, order_col, ascending, "__ll_pct") if method == "window" else \
+        ranked_values(src, by, order_col, ascending, "__ll_pct", method, slices)
     passing = ranked.filter(F.col("__ll_pct") <= F.lit(max_pct))
     pick = F.min if not ascending else F.max
     return passing.groupBy(*by).agg(pick(order_col).alias(cut_col))

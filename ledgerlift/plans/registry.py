@@ -19,18 +19,16 @@ from ledgerlift.plans import reports, upgrade
 from ledgerlift.sinks.tables import table_counts
 from ledgerlift.sinks.writers import detection_batches
 from ledgerlift.sources import tpch
+from ledgerlift.sources.dimension import importance_chain
 
 # Parameters of the registered queries (fixed; the library takes them as arguments).
 THRESHOLD = 600            # mean transactions per merchant in the test tables
 CHUNK_SIZE = 10_000        # rows per landing file
-CHUNK_THRESHOLD = 100      # per-chunk detection threshold
 MONTH_THRESHOLD = 8        # per-month detection threshold
 BATCH_SIZE = 50            # detections per output file
 DETECTED_AT = "2025-01-01 00:00:00"
 SPLIT_DATE = "1996-01-01"  # importance versions for upsert / insert-if-absent
 ROW_KEY = tpch.ROW_KEY
-# row identity shown in outputs (timestamps left out of compared results)
-ROW_ID_OUT = [c for c in ROW_KEY if c != "l_shipdate"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +41,14 @@ def _imp(spark, sf):
     return tpch.customer_importance(spark, sf)
 
 
+def _times_as_text(df):
+    """Time columns as text, which both engines write alike."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+                           for c in ("order_date", "l_shipdate") if c in df.columns})
+
+
 def q_scan_transactions(spark, sf):
-    return _tx(spark, sf, True).drop("order_date", "l_shipdate")
+    return _times_as_text(_tx(spark, sf, True))
 
 
 def q_scan_importance(spark, sf):
@@ -63,8 +67,13 @@ def q_customer_stats(spark, sf):
     return upgrade.customer_stats(_tx(spark, sf))
 
 
+def _rounded(df, col="avg_weight"):
+    """Means to six places: engines differ in the last bit of a sum of doubles."""
+    return df.withColumn(col, F.round(col, 6))
+
+
 def q_importance_scores(spark, sf):
-    return upgrade.importance_scores(_tx(spark, sf), _imp(spark, sf))
+    return _rounded(upgrade.importance_scores(_tx(spark, sf), _imp(spark, sf)))
 
 
 def q_merchant_counts(spark, sf):
@@ -88,7 +97,7 @@ def q_eligible_stats(spark, sf):
 
 
 def q_pattern_matches(spark, sf):
-    return upgrade.pattern_matches(_tx(spark, sf), _imp(spark, sf), THRESHOLD)
+    return _rounded(upgrade.pattern_matches(_tx(spark, sf), _imp(spark, sf), THRESHOLD))
 
 
 def q_detections(spark, sf):
@@ -103,7 +112,7 @@ def q_detect_upgrades(spark, sf):
 
 
 HOT_MERCHANT = -1          # merchant id that takes over a third of all lines
-HOT_GROUP_VALUES = 5_000   # slice groups above this many rows (so the test tables reach it)
+HOT_SLICES = 16            # range slices of the weight rank: the hot merchant spans several
 
 
 def hot_merchant_transactions(spark, sf):
@@ -117,25 +126,28 @@ def hot_merchant_transactions(spark, sf):
 
 def q_detect_upgrades_hot_merchant(spark, sf):
     return upgrade.detect_upgrades(hot_merchant_transactions(spark, sf), _imp(spark, sf),
-                                   THRESHOLD, detected_at=DETECTED_AT,
-                                   max_group_values=HOT_GROUP_VALUES)
+                                   THRESHOLD, detected_at=DETECTED_AT, slices=HOT_SLICES)
 
 
 def q_importance_scores_hot_merchant(spark, sf):
-    return upgrade.importance_scores(hot_merchant_transactions(spark, sf), _imp(spark, sf),
-                                     max_group_values=HOT_GROUP_VALUES)
+    return _rounded(upgrade.importance_scores(hot_merchant_transactions(spark, sf), _imp(spark, sf),
+                                              slices=HOT_SLICES))
+
+
+def chunk_threshold(spark, sf):
+    """The mean number of transactions per chunk and merchant: larger merchants are eligible."""
+    return CHUNK_SIZE // max(1, tpch.table(spark, sf, "supplier").count())
 
 
 def q_detect_upgrades_per_chunk(spark, sf):
     # only the order key and the detection columns go into the chunk table
     chunked = assign_chunks(_tx(spark, sf).select(*ROW_KEY, "customer"), ROW_KEY, CHUNK_SIZE)
-    return upgrade.detect_upgrades(chunked, _imp(spark, sf), CHUNK_THRESHOLD,
+    return upgrade.detect_upgrades(chunked, _imp(spark, sf), chunk_threshold(spark, sf),
                                    detected_at=DETECTED_AT, scope=["chunk_id"])
 
 
 def q_chunk_assignment(spark, sf):
-    return (assign_chunks(_tx(spark, sf).select(*ROW_KEY), ROW_KEY, CHUNK_SIZE)
-            .select(*ROW_ID_OUT, "row_pos", "chunk_id"))
+    return _times_as_text(assign_chunks(_tx(spark, sf).select(*ROW_KEY), ROW_KEY, CHUNK_SIZE))
 
 
 def q_chunk_progress(spark, sf):
@@ -154,6 +166,24 @@ def q_upsert_importance(spark, sf):
                   state_col="row_state")
 
 
+STAMPS = ("2024-12-01 00:00:00", DETECTED_AT)
+
+
+def q_upsert_importance_stamped(spark, sf):
+    """Upsert with created_at / updated_at at fixed times."""
+    old = tpch.customer_importance(spark, sf, before=SPLIT_DATE).withColumns(
+        {c: F.lit(STAMPS[0]).cast("timestamp") for c in ("created_at", "updated_at")})
+    new = tpch.customer_importance(spark, sf, since=SPLIT_DATE)
+    out = upsert(old, new, ["Source", "typeTrans"], as_of=STAMPS[1])
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "updated_at")})
+
+
+def q_importance_fallback(spark, sf):
+    """A table that lacks a column is replaced by one built from all orders."""
+    broken = tpch.table(spark, sf, "orders").select(F.col("o_custkey").alias("Source"))
+    return importance_chain(spark, lambda s: broken, fallback=_imp(spark, sf))
+
+
 def q_insert_if_absent(spark, sf):
     old = tpch.customer_importance(spark, sf, before=SPLIT_DATE)
     new = tpch.customer_importance(spark, sf, since=SPLIT_DATE)
@@ -161,19 +191,21 @@ def q_insert_if_absent(spark, sf):
 
 
 def q_table_counts(spark, sf):
-    tx = _tx(spark, sf)
-    return table_counts({
-        "transactions": tx,
-        "customer_importance": _imp(spark, sf),
-        "customer_pairs": upgrade.customer_pairs(tx),
-        "eligible_merchants": upgrade.eligible_merchants(tx, THRESHOLD),
-    })
+    # transactions, pairs and eligible merchants are all sums over the pair counts
+    per_merchant = upgrade.customer_pairs(_tx(spark, sf)).groupBy("merchant").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("transaction_count").alias("rows"))
+    counts = per_merchant.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("transactions"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("customer_pairs"),
+        F.count(F.when(F.col("rows") > THRESHOLD, 1)).alias("eligible_merchants"))
+    return counts.unpivot([], counts.columns, "table_name", "row_count").unionByName(
+        table_counts({"customer_importance": _imp(spark, sf)}))
 
 
 def q_customer_weights(spark, sf):
-    return (upgrade.customer_weights(_imp(spark, sf))
-            .select(F.col("Source").alias("customer"),
-                    F.col("__ll_customer_weight").alias("customer_weight")))
+    weights = upgrade.customer_weights(_imp(spark, sf)).select(
+        F.col("Source").alias("customer"), F.col("__ll_customer_weight").alias("customer_weight"))
+    return _rounded(weights, "customer_weight")
 
 
 def q_unprocessed_orders(spark, sf):
@@ -213,6 +245,8 @@ QUERIES: dict[str, Query] = {
     "chunk_progress": q_chunk_progress,
     "detection_batches": q_detection_batches,
     "upsert_importance": q_upsert_importance,
+    "upsert_importance_stamped": q_upsert_importance_stamped,
+    "importance_fallback": q_importance_fallback,
     "insert_if_absent": q_insert_if_absent,
     "table_counts": q_table_counts,
     "quality_report": q_quality_report,
@@ -231,10 +265,10 @@ QUERIES: dict[str, Query] = {
 _TX = f"tx AS ({tpch.TRANSACTIONS_SQL})"
 _TXC = """txc AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, l.l_discount, l.l_tax,
-         l.l_returnflag, l.l_linestatus,
+         l.l_returnflag, l.l_linestatus, l.l_shipdate,
          CAST(date_diff('day', DATE '1992-01-01', CAST(o.o_orderdate AS DATE)) AS INTEGER) AS step,
          o.o_custkey AS customer, l.l_suppkey AS merchant, l.l_extendedprice AS amount,
-         p.p_type AS category
+         o.o_orderdate AS order_date, p.p_type AS category
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN part p ON l.l_partkey = p.p_partkey)"""
 _IMP = f"imp AS ({tpch.IMPORTANCE_SQL})"
@@ -242,17 +276,20 @@ _TX_HOT = (f"tx AS (SELECT * REPLACE (CASE WHEN merchant % 3 = 0 THEN {HOT_MERCH
            f"ELSE merchant END AS merchant) FROM ({tpch.TRANSACTIONS_SQL}))")
 _PAIRS = ("pairs AS (SELECT customer, merchant, COUNT(*) AS transaction_count "
           "FROM tx GROUP BY customer, merchant)")
+# the literal score: every transaction meets every importance row of its customer
+# (summed as decimals: amounts have two places, so equal means are equal)
+_SC = ("sc AS (SELECT tx.customer, tx.merchant, "
+       "CAST(SUM(CAST(COALESCE(imp.Weight, 1.0) AS DECIMAL(18, 2))) AS DOUBLE) / COUNT(*) AS avg_weight "
+       "FROM tx LEFT JOIN imp ON tx.customer = imp.Source GROUP BY tx.customer, tx.merchant)")
 _W = "w AS (SELECT Source, AVG(COALESCE(Weight, 1.0)) AS cw FROM imp GROUP BY Source)"
 
 
 def _matches_sql(threshold: int, top: float, low: float, tx: str = _TX) -> str:
     return f"""
-WITH {tx}, {_IMP}, {_PAIRS}, {_W},
+WITH {tx}, {_IMP}, {_PAIRS}, {_SC},
 cs AS (SELECT customer, merchant, transaction_count,
               PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY transaction_count DESC) AS merchant_rank
        FROM pairs),
-sc AS (SELECT p.customer, p.merchant, COALESCE(w.cw, 1.0) AS avg_weight
-       FROM pairs p LEFT JOIN w ON p.customer = w.Source),
 isc AS (SELECT customer, merchant, avg_weight,
                PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY avg_weight) AS weight_rank
         FROM sc),
@@ -271,7 +308,7 @@ SELECT '{DETECTED_AT}' AS YStartTime, '{DETECTED_AT}' AS detectionTime,
 FROM m"""
 
 
-def _scoped_detections_sql(scoped_tx: str, scope: str, threshold: int) -> str:
+def _scoped_detections_sql(scoped_tx: str, scope: str, threshold: int | str) -> str:
     return f"""
 WITH {_TX}, {_IMP}, {_W}, stx AS ({scoped_tx}),
 pairs AS (SELECT {scope}, customer, merchant, COUNT(*) AS transaction_count
@@ -293,7 +330,8 @@ WHERE (cs.{scope}, cs.merchant) IN (SELECT {scope}, merchant FROM elig)
 
 
 _ORDER = ", ".join(ROW_KEY)
-_ROW_ID = ", ".join(ROW_ID_OUT)
+_TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
+_ROW_ID = ", ".join(_TEXT.format(c) if c == "l_shipdate" else c for c in ROW_KEY)
 _POS = f"pos AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {_ORDER}) - 1 AS row_pos FROM tx)"
 
 
@@ -318,7 +356,9 @@ FROM u"""
 
 
 ORACLE_SQL: dict[str, str] = {
-    "scan_transactions": f"WITH {_TXC} SELECT * FROM txc",
+    "scan_transactions": f"""WITH {_TXC}
+SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate,
+                  strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date) FROM txc""",
     "scan_importance": tpch.IMPORTANCE_SQL,
     "project_rename": (f"WITH {_TXC} SELECT customer, merchant, category AS transaction_type "
                        "FROM txc"),
@@ -332,10 +372,8 @@ SELECT customer, merchant, transaction_count,
        PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY transaction_count DESC) AS merchant_rank
 FROM pairs""",
     "importance_scores": f"""
-WITH {_TX}, {_IMP}, {_PAIRS}, {_W},
-sc AS (SELECT p.customer, p.merchant, COALESCE(w.cw, 1.0) AS avg_weight
-       FROM pairs p LEFT JOIN w ON p.customer = w.Source)
-SELECT customer, merchant, avg_weight,
+WITH {_TX}, {_IMP}, {_SC}
+SELECT customer, merchant, ROUND(avg_weight, 6) AS avg_weight,
        PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY avg_weight) AS weight_rank
 FROM sc""",
     "merchant_counts": (f"WITH {_TX} SELECT merchant, COUNT(*) AS total_transactions "
@@ -358,12 +396,13 @@ cs AS (SELECT customer, merchant, transaction_count,
        FROM pairs)
 SELECT * FROM cs
 WHERE merchant IN (SELECT merchant FROM tx GROUP BY merchant HAVING COUNT(*) > {THRESHOLD})""",
-    "pattern_matches": _matches_sql(THRESHOLD, 0.1, 0.1) + " SELECT * FROM m",
+    "pattern_matches": _matches_sql(THRESHOLD, 0.1, 0.1)
+    + " SELECT * REPLACE (ROUND(avg_weight, 6) AS avg_weight) FROM m",
     "detections": _detections_sql(THRESHOLD, 0.1, 0.1),
     "detect_upgrades": _detections_sql(550, 0.2, 0.2),
     "detect_upgrades_per_chunk": _scoped_detections_sql(
         f"SELECT *, (ROW_NUMBER() OVER (ORDER BY {_ORDER}) - 1) // {CHUNK_SIZE} "
-        "AS chunk_id FROM tx", "chunk_id", CHUNK_THRESHOLD),
+        "AS chunk_id FROM tx", "chunk_id", f"(SELECT {CHUNK_SIZE} // GREATEST(COUNT(*), 1) FROM supplier)"),
     "chunk_assignment": f"""
 WITH {_TX}, {_POS}
 SELECT {_ROW_ID}, row_pos, row_pos // {CHUNK_SIZE} AS chunk_id FROM pos""",
@@ -382,6 +421,13 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY merchant, customer) - 1 AS batch_pos,
        (ROW_NUMBER() OVER (ORDER BY merchant, customer) - 1) // {BATCH_SIZE} AS batch_id
 FROM d""",
     "upsert_importance": _upsert_sql(False),
+    "upsert_importance_stamped": f"""
+WITH x AS ({_upsert_sql(False)})
+SELECT * EXCLUDE (row_state),
+       CASE row_state WHEN 'inserted' THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS created_at,
+       CASE row_state WHEN 'kept' THEN '{STAMPS[0]}' ELSE '{STAMPS[1]}' END AS updated_at
+FROM x""",
+    "importance_fallback": tpch.IMPORTANCE_SQL,
     "insert_if_absent": _upsert_sql(True),
     "table_counts": f"""
 WITH {_TX}, {_IMP}, {_PAIRS}
@@ -414,17 +460,15 @@ SELECT month, patternId, merchant, COUNT(*) AS detections, COUNT(DISTINCT custom
 FROM det GROUP BY month, patternId, merchant""",
     "customer_weights": f"""
 WITH {_IMP}
-SELECT Source AS customer, AVG(COALESCE(Weight, 1.0)) AS customer_weight
+SELECT Source AS customer, ROUND(AVG(COALESCE(Weight, 1.0)), 6) AS customer_weight
 FROM imp GROUP BY Source""",
     "unprocessed_orders": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
     "detect_upgrades_hot_merchant": _detections_sql(THRESHOLD, 0.1, 0.1, _TX_HOT),
     "importance_scores_hot_merchant": f"""
-WITH {_TX_HOT}, {_IMP}, {_PAIRS}, {_W},
-sc AS (SELECT p.customer, p.merchant, COALESCE(w.cw, 1.0) AS avg_weight
-       FROM pairs p LEFT JOIN w ON p.customer = w.Source)
-SELECT customer, merchant, avg_weight,
+WITH {_TX_HOT}, {_IMP}, {_SC}
+SELECT customer, merchant, ROUND(avg_weight, 6) AS avg_weight,
        PERCENT_RANK() OVER (PARTITION BY merchant ORDER BY avg_weight) AS weight_rank
 FROM sc""",
 }

@@ -6,8 +6,7 @@ customers whose percent rank by transaction count (descending) is
 (ascending) is ``<= low_pct``.
 
 Every function takes and returns DataFrames.  The only jobs started while a
-plan is built are the materializations of :func:`ledgerlift.session.freeze`
-and the hot-group probe of the rank operator.  The ``scope`` argument
+plan is built are the materializations of :func:`ledgerlift.session.freeze`.  The ``scope`` argument
 prefixes every grouping key: ``scope=()`` is one detection over the whole
 input, ``scope=["chunk_id"]`` runs the detection independently per input
 file/chunk -- all chunks in one distributed job.
@@ -36,7 +35,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.columns import (
@@ -45,7 +44,7 @@ from ledgerlift.functions.columns import (
     detection_time_string,
     weight_or_default,
 )
-from ledgerlift.operators.rank import MAX_GROUP_VALUES, passes_cut, percent_rank_within, rank_cut
+from ledgerlift.operators.rank import passes_cut, percent_rank_within, rank_cut
 from ledgerlift.session import freeze
 
 DEFAULT_THRESHOLD = 50_000
@@ -103,27 +102,16 @@ def customer_stats(transactions: DataFrame, scope=(), method: str = "auto") -> D
     s = _scope(scope)
     pairs = customer_pairs(transactions, s)
     return percent_rank_within(pairs, [*s, "merchant"], "transaction_count",
-                               ascending=False, out_col="merchant_rank",
-                               method=_count_method(method))
+                               ascending=False, out_col="merchant_rank", method=method)
 
 
 def importance_scores(transactions: DataFrame, importance: DataFrame, scope=(),
-                      method: str = "auto",
-                      max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+                      method: str = "auto", slices: int | None = None) -> DataFrame:
     """Per (customer, merchant): avg_weight and weight_rank (ascending)."""
     s = _scope(scope)
     pairs = customer_pairs(transactions, s).drop("transaction_count")
-    # read twice (probe / window): compute it once.  No merchant has more
-    # pairs than the whole table, so an observed total within the bound
-    # already proves every window bounded (the probe job is then skipped).
-    seen = Observation("scored_pairs_total")
-    scored = freeze(with_avg_weight(pairs, importance)
-                    .observe(seen, F.count(F.lit(1)).alias("rows")), "scored-pairs")
-    if method == "auto" and seen.get.get("rows", 0) <= max_group_values:
-        method = "window"
-    return percent_rank_within(scored, [*s, "merchant"], "avg_weight",
-                               ascending=True, out_col="weight_rank", method=method,
-                               max_group_values=max_group_values)
+    return percent_rank_within(with_avg_weight(pairs, importance), [*s, "merchant"], "avg_weight",
+                               ascending=True, out_col="weight_rank", method=method, slices=slices)
 
 
 def merchant_totals(transactions: DataFrame, scope=()) -> DataFrame:
@@ -151,28 +139,22 @@ def eligible_customer_stats(transactions: DataFrame, threshold: int = DEFAULT_TH
     kept = pairs.join(eligible, keys, "left_semi")
     # Ranks are per merchant, so dropping whole merchants first changes no rank.
     return percent_rank_within(kept, keys, "transaction_count", ascending=False,
-                               out_col="merchant_rank", method=_count_method(method))
+                               out_col="merchant_rank", method=method)
 
 
 def pattern_matches(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                    method: str = "auto",
-                    max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
-    """(scope..., customer, merchant, transaction_count, avg_weight) of every match.
-
-    ``max_group_values``: merchants with more (customer) rows than this are
-    weight-ranked by range slices instead of one window task.
-    """
+                    method: str = "auto", slices: int | None = None) -> DataFrame:
+    """(scope..., customer, merchant, transaction_count, avg_weight) of every match."""
     return matches_from_pairs(customer_pairs(transactions, scope), importance, threshold,
-                              top_pct, low_pct, scope, method, max_group_values)
+                              top_pct, low_pct, scope, method, slices)
 
 
 def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
                        threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                        low_pct: float = DEFAULT_LOW_PCT, scope=(),
-                       method: str = "auto",
-                       max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+                       method: str = "auto", slices: int | None = None) -> DataFrame:
     """:func:`pattern_matches` starting from (scope..., customer, merchant,
     transaction_count) -- e.g. counts summed over many stream batches."""
     s = _scope(scope)
@@ -182,24 +164,12 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     # merchants only (a semi join) and carries the merchant total along
     eligible = totals.filter(F.col("total_transactions") > F.lit(threshold))
     # Read three times below (two rank cuts, final filter): compute it once.
-    # The largest merchant total is observed while writing: a merchant has no
-    # more customer pairs than transactions, so when it is within
-    # max_group_values every weight window is bounded and no hot-group probe
-    # is needed.
-    seen = Observation("scored_pairs")
-    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "inner"), importance)
-                    .observe(seen, F.max("total_transactions").alias("largest")),
-                    "scored-pairs")
-    largest = seen.get.get("largest")
-    weight_method = method
-    if method == "auto" and (largest is None or largest <= max_group_values):
-        weight_method = "window"
+    scored = freeze(with_avg_weight(pairs.join(eligible, keys, "inner"), importance), "scored-pairs")
 
     busiest = rank_cut(scored, keys, "transaction_count", ascending=False,
                        max_pct=top_pct, cut_col="__ll_min_count", method=_count_method(method))
     lightest = rank_cut(scored, keys, "avg_weight", ascending=True,
-                        max_pct=low_pct, cut_col="__ll_max_weight", method=weight_method,
-                        max_group_values=max_group_values)
+                        max_pct=low_pct, cut_col="__ll_max_weight", method=method, slices=slices)
     cuts = busiest.join(lightest, keys, "inner")
     matched = (scored.join(cuts, keys, "inner")
                .filter(passes_cut(F.col("transaction_count"), F.col("__ll_min_count"), False)
@@ -231,13 +201,12 @@ def detection_records(matches: DataFrame, detected_at: str | None = None, scope=
 def detect_upgrades(transactions: DataFrame, importance: DataFrame,
                     threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                     low_pct: float = DEFAULT_LOW_PCT, detected_at: str | None = None,
-                    scope=(), method: str = "auto",
-                    max_group_values: int = MAX_GROUP_VALUES) -> DataFrame:
+                    scope=(), method: str = "auto", slices: int | None = None) -> DataFrame:
     """Full PatId1: transactions + importance -> detection records.
 
     An empty input, or one without eligible merchants, yields an empty frame
     with the detection schema.
     """
     matches = pattern_matches(transactions, importance, threshold, top_pct, low_pct,
-                              scope, method, max_group_values)
+                              scope, method, slices)
     return detection_records(matches, detected_at, scope)

@@ -72,16 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/ledgerlift/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can create folders."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_dir(path), exist_ok=True)
-
-
 _REUSE = contextvars.ContextVar("ledgerlift_reusable_scratch", default=None)
 
 
@@ -101,6 +91,21 @@ def reusable_scratch(root: str):
         _REUSE.reset(token)
 
 
+_PLANS = contextvars.ContextVar("ledgerlift_recorded_plans", default=None)
+
+
+@contextmanager
+def recorded_plans():
+    """Inside the block, the plan of every :func:`freeze` is added to the list it gives
+    (plans that have run are not part of the plan that reads their result)."""
+    plans: list[str] = []
+    token = _PLANS.set(plans)
+    try:
+        yield plans
+    finally:
+        _PLANS.reset(token)
+
+
 def freeze(df, name: str = "frozen"):
     """Compute ``df`` once, write it as Parquet to the shared checkpoint folder,
     and continue from the written table (lineage cut).
@@ -112,6 +117,8 @@ def freeze(df, name: str = "frozen"):
     the table survives lost executors; one job, columnar, no recomputation.
     """
     spark = df.sparkSession
+    if _PLANS.get() is not None:
+        _PLANS.get().append(df._jdf.queryExecution().executedPlan().toString())
     reuse = _REUSE.get()
     if reuse is None:
         path = scratch_path(spark, name)

@@ -28,6 +28,8 @@ TABLE_DDL = {
         "YStartTime STRING, detectionTime STRING, patternId STRING, ActionType STRING, "
         "customer STRING, merchant STRING, detection_timestamp TIMESTAMP"),
 }
+# pattern_detections with the batch as a partition, for streams (exactly-once append)
+STREAM_DETECTIONS_DDL = TABLE_DDL["pattern_detections"] + ", batch_id BIGINT"
 
 
 def _qualified(name: str, database: str | None) -> str:
@@ -42,7 +44,9 @@ def create_tables(spark: SparkSession, database: str | None = None, fmt: str = "
     names = []
     for name, cols in tables.items():
         full = _qualified(name, database)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING {fmt}")
+        # with a batch id, a stream batch that runs twice replaces its own rows
+        parts = " PARTITIONED BY (batch_id)" if "batch_id BIGINT" in cols else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING {fmt}{parts}")
         names.append(full)
     return names
 

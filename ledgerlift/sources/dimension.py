@@ -48,5 +48,22 @@ def is_empty(df: DataFrame) -> bool:
 
 def seed_if_empty(current: DataFrame, seed: DataFrame,
                   keys: Sequence[str] = schemas.IMPORTANCE_KEY) -> DataFrame:
-    """Seed rows are inserted only for keys the table does not have yet."""
-    return insert_if_absent(current, seed, keys)
+    """``current`` if it has a row, else the seed rows (one per key)."""
+    return insert_if_absent(current, seed, keys) if is_empty(current) else current
+
+
+def importance_chain(spark: SparkSession, load, seed: DataFrame | None = None,
+                     fallback: DataFrame | None = None) -> DataFrame:
+    """The importance table as a job should use it: read, seed if empty, check columns, fall back.
+
+    ``load(spark)`` gives the table or None.  Rows of ``seed`` stand in for an
+    empty table, ``fallback`` for a missing one or one that lacks a column;
+    without them these cases are errors.
+    """
+    table = load(spark)
+    if table is not None and has_columns(table):
+        if seed is not None:
+            return seed_if_empty(table, seed)
+        if is_empty(table) and fallback is not None:
+            return validated_importance(None, fallback)
+    return validated_importance(table, fallback)

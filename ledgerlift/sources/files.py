@@ -45,8 +45,15 @@ def read_transactions_csv(spark: SparkSession, path: str | list[str], strip_quot
 
 def read_importance_csv(spark: SparkSession, path: str | list[str], strip_quotes: bool = False,
                         mode: str = "PERMISSIVE") -> DataFrame:
-    return (spark.read.schema(schemas.IMPORTANCE)
-            .options(**csv_options(strip_quotes, mode)).csv(path))
+    """Importance rows by header name: extra columns are dropped and columns may be in any
+    order; a missing one stays missing (see ``sources.dimension.importance_chain``)."""
+    options = csv_options(strip_quotes, mode)
+    header = spark.read.options(**options).csv(path).columns  # reads the first line
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    known = {f.name: f.dataType for f in schemas.IMPORTANCE.fields}
+    rows = spark.read.schema(T.StructType([T.StructField(f.name, known.get(f.name, f.dataType))
+                                           for f in as_text.fields])).options(**options).csv(path)
+    return rows.select(*[c for c in schemas.IMPORTANCE.fieldNames() if c in header])
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,9 +8,10 @@ Mapping (one transaction per order line):
 * amount    = ``lineitem.l_extendedprice``
 * step      = days from 1992-01-01 to ``o_orderdate`` (integer time index)
 
-Importance: high-priority orders per (customer, priority), weight = the
-largest order total.  Unique on (Source, typeTrans) like the real dimension,
-and some customers have no row, which exercises the default weight.
+Importance: all orders per (customer, priority), weight = the largest order
+total of a high priority, NULL for the others.  Unique on (Source, typeTrans)
+like the real dimension; NULL weights and customers without orders exercise
+the default weight.
 
 Keys stay the tables' native ``bigint`` through the whole plan (cheaper to
 hash and sort than text); detection records render them as strings.
@@ -36,19 +37,9 @@ ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "merchant", "l_quantity",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the star-schema tables.  They are read-only, so the schema found
-    on the first read is reused (later reads skip the footer-inference job)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """One of the star-schema tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False) -> DataFrame:
@@ -96,17 +87,21 @@ def customer_importance(spark: SparkSession, sf_dir: str, before: str | None = N
                         since: str | None = None) -> DataFrame:
     """Importance dimension: Source, Target, Weight, typeTrans, fraud.
 
+    Every customer and priority of all orders; the low priorities carry a NULL
+    weight (which counts as the default).
+
     ``before`` / ``since`` (``yyyy-MM-dd``) restrict the orders used, which
     yields two versions of the dimension for upsert tests.
     """
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").isin(*HIGH_PRIORITIES))
+    orders = table(spark, sf_dir, "orders")
     if before is not None:
         orders = orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp"))
     if since is not None:
         orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp"))
     return (orders
             .groupBy("o_custkey", "o_orderpriority")
-            .agg(F.max("o_totalprice").alias("Weight"))
+            .agg(F.max(F.when(F.col("o_orderpriority").isin(*HIGH_PRIORITIES), F.col("o_totalprice")))
+                 .alias("Weight"))
             .select(F.col("o_custkey").alias("Source"),
                     F.lit(None).cast("string").alias("Target"),
                     F.col("Weight"),
@@ -125,11 +120,12 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 def importance_sql(extra_where: str = "") -> str:
-    cond = f" AND {extra_where}" if extra_where else ""
+    cond = f" WHERE {extra_where}" if extra_where else ""
     return f"""
-SELECT o_custkey AS Source, CAST(NULL AS VARCHAR) AS Target, MAX(o_totalprice) AS Weight,
+SELECT o_custkey AS Source, CAST(NULL AS VARCHAR) AS Target,
+       MAX(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice END) AS Weight,
        o_orderpriority AS typeTrans, 0 AS fraud
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'){cond}
+FROM orders{cond}
 GROUP BY o_custkey, o_orderpriority
 """
 

@@ -45,11 +45,14 @@ from ledgerlift.plans.upgrade import (
     matches_from_pairs,
 )
 from ledgerlift.session import reusable_scratch, scratch_path
+from ledgerlift.sinks.tables import append_if_exists
+from ledgerlift.sinks.writers import write_detection_batches
 from ledgerlift.sources.files import csv_options
 
 ImportanceLoader = Callable[[SparkSession], DataFrame]
 SOURCE_FILE = "source_file"
 FILE_ID = "__ll_file_id"
+MAX_FILE_AGE = "36500d"
 
 
 def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool = False,
@@ -59,15 +62,31 @@ def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool
     return (spark.readStream.schema(schema)
             .options(**csv_options(strip_quotes))
             .option("maxFilesPerTrigger", max_files_per_trigger)
+            # files count by name, not by age: one that lands late is still new
+            .option("maxFileAge", MAX_FILE_AGE)
             .csv(folder))
 
 
-def _has_output(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # listing only
-        return True
-    except Exception:  # nothing written yet
-        return False
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any file system Spark knows; other errors are raised."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table's write has been committed."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame | None:
+    """Names of a batch's input files, from the stream's own log (the files aren't read)."""
+    for name in (str(batch_id), f"{batch_id}.compact"):
+        log = f"{checkpoint.rstrip('/')}/sources/0/{name}"
+        if path_exists(spark, log):
+            entry = F.from_json("value", "path string, batchId long")
+            return (spark.read.text(log).select(entry.alias("e"))
+                    .filter(F.col("e.batchId") == batch_id).select(F.col("e.path").alias(SOURCE_FILE)))
+    return None
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -81,7 +100,8 @@ class _BatchHandler:
     def __init__(self, importance_loader: ImportanceLoader, output_path: str, log_path: str,
                  threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                  low_pct: float = DEFAULT_LOW_PCT, clock: Callable[[], str] = detection_time_string,
-                 scratch_root: str | None = None):
+                 scratch_root: str | None = None, csv_path: str | None = None, csv_rows: int = 50,
+                 table: str | None = None, log_table: str | None = None):
         self.importance_loader = importance_loader
         self.output_path = output_path
         self.log_path = log_path
@@ -91,28 +111,45 @@ class _BatchHandler:
         self.clock = clock
         # intermediate tables of a batch; reused by the next batch (bounded space)
         self.scratch_root = scratch_root
+        self.csv_path = csv_path        # detections also as CSV files of csv_rows rows
+        self.csv_rows = csv_rows
+        self.table = table              # ... and appended to this table, if it exists
+        self.log_table = log_table      # audit rows also appended to this table, if it exists
+        self.checkpoint: str | None = None  # set when the stream starts
+        self.query_id = ""
 
     def detections(self, batch: DataFrame, batch_id: int, stamp: str) -> DataFrame:
         raise NotImplementedError
 
-    def _log(self, batch: DataFrame, batch_id: int, status: str, found: int | None,
+    def _log(self, rows: DataFrame, batch_id: int, status: str, found: int | None,
              error: str | None, per_file: DataFrame | None = None) -> None:
-        """One audit row per input file of the batch."""
-        rows = batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_read"))
+        """One audit row per input file (``source_file, rows_read``) of the batch."""
         if per_file is not None:
             rows = (rows.join(per_file, SOURCE_FILE, "left")
                     .withColumn("detections_found",
                                 F.coalesce(F.col("detections_found"), F.lit(0)).cast("long")))
         else:
             rows = rows.withColumn("detections_found", F.lit(found).cast("long"))
+        path = _batch_dir(self.log_path, batch_id)
         (rows.select(
+            F.lit(self.query_id).alias("query_id"),
             F.col(SOURCE_FILE).alias("file_name"),
-            F.col("rows_read"),
+            F.col("rows_read").cast("long").alias("rows_read"),
             F.lit(status).alias("processing_status"),
             F.col("detections_found"),
             F.lit(error).cast("string").alias("error_message"),
             F.current_timestamp().alias("processed_at"))
-         .write.mode("overwrite").parquet(_batch_dir(self.log_path, batch_id)))
+         .write.mode("overwrite").parquet(path))
+        if self.log_table and status == "SUCCESS":
+            audit = rows.sparkSession.read.parquet(path).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            publish_batch(audit.drop("rows_read"), self.log_table, batch_id)
+
+    def _log_failure(self, spark: SparkSession, batch_id: int, error: str) -> None:
+        """Audit rows of a failed batch, by file name only: what failed is not read again."""
+        names = batch_files(spark, self.checkpoint, batch_id) if self.checkpoint else None
+        if names is None:
+            names = spark.createDataFrame([(None,)], f"{SOURCE_FILE} string")
+        self._log(names.withColumn("rows_read", F.lit(None).cast("long")), batch_id, "FAILED", None, error)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         stamp = self.clock()
@@ -148,11 +185,23 @@ class _BatchHandler:
                 det.observe(seen, F.count(F.lit(1)).alias("n")) \
                    .write.mode("overwrite").parquet(target)
             found = seen.get.get("n", 0)
+            self._publish(batch.sparkSession, batch_id, target)
+            counted = batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_read"))
+            self._log(counted, batch_id, "SUCCESS", found, None,
+                      self.per_file_counts(batch.sparkSession, target))
         except Exception as exc:  # record, then let the query fail and retry
-            self._log(batch, batch_id, "FAILED", None, str(exc)[:2000])
+            self._log_failure(batch.sparkSession, batch_id, str(exc))
             raise
-        self._log(batch, batch_id, "SUCCESS", found, None,
-                  self.per_file_counts(batch.sparkSession, target))
+
+    def _publish(self, spark: SparkSession, batch_id: int, target: str) -> None:
+        """The batch's detections as small CSV files and as table rows (replacing an earlier try)."""
+        if not (self.csv_path or self.table):
+            return
+        records = spark.read.parquet(target).select(*schemas.DETECTION_COLUMNS)
+        if self.csv_path:
+            write_detection_batches(records, _batch_dir(self.csv_path, batch_id), self.csv_rows, mode="overwrite")
+        if self.table:
+            publish_batch(records.withColumn("detection_timestamp", F.current_timestamp()), self.table, batch_id)
 
     def per_file_counts(self, spark: SparkSession, target: str) -> DataFrame | None:
         return None
@@ -206,33 +255,31 @@ class CumulativeDetector(_BatchHandler):
         return f"{self.stats_path.rstrip('/')}/_compacted"
 
     def _base(self, spark: SparkSession, batch_id: int) -> tuple[str, int] | None:
-        """Newest compacted sum covering batches <= through <= batch_id."""
-        found = None
-        if self.compact_every and _has_output(spark, self._compacted_root()):
-            row = (spark.read.parquet(self._compacted_root())
-                   .filter(F.col("through") <= batch_id)
-                   .agg(F.max("through").alias("t")).first())
-            if row is not None and row["t"] is not None:
-                found = (f"{self._compacted_root()}/through={row['t']}", int(row["t"]))
-        if self.compacted is not None and self.compacted[1] <= batch_id:
-            if found is None or self.compacted[1] > found[1]:
-                found = self.compacted
+        """Newest complete compacted sum of batches before ``batch_id``.
+
+        The sum that this batch itself writes, and one whose write was cut
+        short, don't count."""
+        found = self.compacted if self.compacted and self.compacted[1] < batch_id else None
+        if self.compact_every:
+            through = batch_id // self.compact_every * self.compact_every - 1
+            while through >= 0 and (found is None or through > found[1]):
+                path = f"{self._compacted_root()}/through={through}"
+                if _complete(spark, path):
+                    return path, through
+                through -= self.compact_every
         return found
 
     def detections(self, batch, batch_id, stamp):
         spark = batch.sparkSession
-        (customer_pairs(batch)
-         .write.mode("overwrite").parquet(_batch_dir(self.stats_path, batch_id)))
-        partials = (spark.read.parquet(self.stats_path).filter(F.col("batch_id") <= batch_id)
-                    .select("customer", "merchant", "transaction_count"))
+        own = customer_pairs(batch)
+        own.write.mode("overwrite").parquet(_batch_dir(self.stats_path, batch_id))
         base = self._base(spark, batch_id)
-        if base is not None:
-            base_path, through = base
-            partials = (spark.read.parquet(self.stats_path)
-                        .filter((F.col("batch_id") > through) & (F.col("batch_id") <= batch_id))
-                        .select("customer", "merchant", "transaction_count")
-                        .unionByName(spark.read.parquet(base_path)
-                                     .select("customer", "merchant", "transaction_count")))
+        # explicit paths: nothing is listed but what is read
+        since = base[1] + 1 if base else 0
+        paths = [_batch_dir(self.stats_path, b) for b in range(since, batch_id + 1)]
+        partials = spark.read.schema(own.schema).parquet(*paths)
+        if base:
+            partials = partials.unionByName(spark.read.schema(own.schema).parquet(base[0]))
         pairs = (partials.groupBy("customer", "merchant")
                  .agg(F.sum("transaction_count").cast("long").alias("transaction_count")))
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
@@ -243,9 +290,9 @@ class CumulativeDetector(_BatchHandler):
         imp = self.importance_loader(spark)
         matches = matches_from_pairs(pairs, imp, self.threshold, self.top_pct, self.low_pct)
         records = detection_records(matches, stamp)
-        if self.new_only and batch_id > 0 and _has_output(spark, self.output_path):
-            earlier = (spark.read.parquet(self.output_path)
-                       .filter(F.col("batch_id") < batch_id).select("customer", "merchant"))
+        if self.new_only and batch_id > 0:
+            paths = [_batch_dir(self.output_path, b) for b in range(batch_id)]
+            earlier = spark.read.schema(schemas.DETECTIONS).parquet(*paths).select("customer", "merchant")
             records = records.join(earlier, ["customer", "merchant"], "left_anti")
         return records
 
@@ -274,7 +321,13 @@ def start_detection_stream(spark: SparkSession, source_folder: str, handler: _Ba
     :class:`PerFileDetector`; :class:`CumulativeDetector` then emits one
     snapshot per batch instead of per file).
     """
-    checkpoint_location = checkpoint_location or scratch_path(spark, "stream-checkpoint")
+    # one place per output folder, so a restart goes on where the last run ended
+    checkpoint_location = checkpoint_location or f"{handler.output_path.rstrip('/')}/_checkpoint"
+    if path_exists(spark, _batch_dir(handler.output_path, 0)) and not path_exists(spark, checkpoint_location):
+        raise ValueError(f"{handler.output_path} holds outputs of a stream whose checkpoint is not at "
+                         f"{checkpoint_location}: batches would be numbered anew and replace them")
+    handler.checkpoint = checkpoint_location
+    handler.query_id = query_name or handler.output_path
     writer = (transaction_file_stream(spark, source_folder, strip_quotes, max_files_per_trigger)
               .writeStream.foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location))
@@ -285,11 +338,36 @@ def start_detection_stream(spark: SparkSession, source_folder: str, handler: _Ba
     return writer.start()
 
 
-def throughput(query: StreamingQuery) -> list[dict]:
-    """Per finished micro-batch: id, input rows and rows/s (from query progress)."""
-    return [{"batch_id": p["batchId"], "rows": p["numInputRows"],
-             "rows_per_sec": p.get("processedRowsPerSecond", 0.0)}
-            for p in query.recentProgress if p.get("numInputRows", 0) > 0]
+def throughput(spark: SparkSession, log_path: str) -> DataFrame:
+    """Per batch, from the audit rows: input rows, and rows per second since the batch before."""
+    per = (spark.read.parquet(log_path).filter("processing_status = 'SUCCESS'").groupBy("batch_id")
+           .agg(F.sum("rows_read").alias("rows"), F.max("processed_at").alias("done")))
+    # one row per batch, compared with the one before
+    before = per.select((F.col("batch_id") + 1).alias("batch_id"), F.col("done").alias("began"))
+    seconds = F.col("done").cast("double") - F.col("began").cast("double")
+    return per.join(before, "batch_id", "left").select(
+        "batch_id", "rows", F.when(seconds > 0, F.col("rows") / seconds).alias("rows_per_sec"))
+
+
+def publish_batch(df: DataFrame, table: str, batch_id: int) -> bool:
+    """Append a batch's rows to a table, if it exists; a table partitioned by ``batch_id`` has
+    the batch replaced, so a second try adds nothing."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table) and "batch_id" in spark.table(table).columns:
+        columns = spark.table(table).columns
+        rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        missing, extra = set(columns) - set(rows.columns), set(rows.columns) - set(columns)
+        if missing or extra:
+            raise ValueError(f"schema mismatch for {table}: missing {sorted(missing)}, extra {sorted(extra)}")
+        key = "spark.sql.sources.partitionOverwriteMode"
+        mode = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")  # insertInto takes no write options
+        try:
+            rows.select(*columns).write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(key, mode)
+        return True
+    return append_if_exists(df, table, stamp_col=None)
 
 
 def read_outputs(spark: SparkSession, path: str) -> DataFrame:

@@ -38,3 +38,17 @@ def test_unprocessed_anti_join(spark):
     listed = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "name string")
     done = spark.createDataFrame([("f2",)], "name string")
     assert rows(unprocessed(listed, done, ["name"])) == [("f1",), ("f3",)]
+
+
+def test_two_updates_of_one_key_are_an_error(spark):
+    import pytest
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    updates = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="several updates of k=a"):
+        upsert(target, updates, ["k"], created_col=None, updated_col=None).collect()
+
+
+def test_insert_if_absent_takes_the_first_in_order(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 9), ("b", 5), ("b", 4), ("b", None), ("c", 7)], "k string, v int")
+    assert rows(insert_if_absent(target, new.filter("v is not null"), ["k"])) == [("a", 1), ("b", 4), ("c", 7)]

@@ -95,8 +95,8 @@ def test_many_files_per_batch_keep_per_file_results(spark, landing, tmp_dir):
     _, flat, files = landing
     out, log, ckpt = (os.path.join(tmp_dir, n) for n in ("out", "log", "ckpt"))
     h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED)
-    q = _run(spark, h, flat, ckpt, files_per_batch=3)
-    assert [t["rows"] for t in throughput(q)] == [3 * CHUNK, 2 * CHUNK]
+    _run(spark, h, flat, ckpt, files_per_batch=3)
+    assert rows(throughput(spark, log), "batch_id", "rows") == [(0, 3 * CHUNK), (1, 2 * CHUNK)]
     audit = read_outputs(spark, log)
     assert rows(audit, "batch_id") == [(0,), (0,), (0,), (1,), (1,)]
     det = read_outputs(spark, out)
@@ -190,3 +190,96 @@ def test_automatic_compaction_keeps_snapshots(spark, landing, tmp_dir):
     # partial folders read back without the compacted sums
     assert rows(read_outputs(spark, stats).select("batch_id").distinct()) == \
         [(i,) for i in range(len(files))]
+
+
+def test_a_late_file_is_not_lost(spark, landing, tmp_dir):
+    _, flat, files = landing
+    here = os.path.join(tmp_dir, "landing")
+    os.makedirs(here)
+    shutil.copy(files[0], os.path.join(here, "a.csv"))
+    out, log = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "log")
+
+    def go():
+        _run(spark, PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED), here, None)
+    go()
+    old = os.path.join(here, "b.csv")
+    shutil.copy(files[1], old)
+    os.utime(old, (1_000_000_000, 1_000_000_000))  # years before the newest seen file
+    go()  # no checkpoint named: the one beside the outputs goes on
+    assert rows(read_outputs(spark, log), "batch_id") == [(0,), (1,)]
+    assert {r.file_name.rsplit("/", 1)[1] for r in read_outputs(spark, log).collect()} == {"a.csv", "b.csv"}
+
+
+def test_outputs_without_their_checkpoint_are_not_overwritten(spark, landing, tmp_dir):
+    _, flat, _ = landing
+    out, log = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "log")
+    _run(spark, PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED), flat,
+         os.path.join(tmp_dir, "ckpt"))
+    before = read_outputs(spark, log).count()
+    with pytest.raises(ValueError, match="checkpoint"):
+        _run(spark, PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED), flat, None)
+    assert read_outputs(spark, log).count() == before
+
+
+def test_half_written_base_loses_no_counts(spark, landing, tmp_dir):
+    _, flat, files = landing
+    stats = os.path.join(tmp_dir, "stats")
+
+    def run_batches(name, *ids):
+        h = CumulativeDetector(_importance, os.path.join(tmp_dir, name), os.path.join(tmp_dir, name + "-log"),
+                               threshold=300, stats_path=stats, compact_every=2, clock=FIXED)
+        for i in ids:
+            h(read_transactions_csv(spark, files[i]), i)
+        return h
+    run_batches("a", 0, 1, 2)
+    base = os.path.join(stats, "_compacted", "through=1")
+    whole = rows(spark.read.parquet(base))
+    first = rows(read_outputs(spark, os.path.join(tmp_dir, "a")), "batch_id", "customer", "merchant")
+    os.remove(os.path.join(base, "_SUCCESS"))  # as if the write had been cut short
+    part = sorted(f for f in os.listdir(base) if f.startswith("part-"))
+    os.remove(os.path.join(base, part[0]))
+    run_batches("b", 2)  # ignores the base
+    run_batches("a", 1)  # writes it anew, whole
+    assert rows(spark.read.parquet(base)) == whole
+    assert rows(read_outputs(spark, os.path.join(tmp_dir, "b")), "batch_id", "customer", "merchant") == \
+        [r for r in first if r[0] == 2]
+
+
+def test_a_storage_error_is_not_an_empty_output(spark):
+    from ledgerlift.streaming.files import path_exists
+    assert not path_exists(spark, "/nowhere/at/all")
+    with pytest.raises(Exception):
+        path_exists(spark, "nosuchfs://bucket/x")
+
+
+def test_an_unreadable_file_leaves_an_audit_row(spark, tmp_dir):
+    here = os.path.join(tmp_dir, "landing")
+    os.makedirs(here)
+    with open(os.path.join(here, "bad.csv"), "w") as f:
+        f.write("not,the,right,header\n1,2,3,4\n")
+    log = os.path.join(tmp_dir, "log")
+    h = PerFileDetector(_importance, os.path.join(tmp_dir, "out"), log, threshold=PER_FILE_T, clock=FIXED)
+    with pytest.raises(Exception):
+        _run(spark, h, here, None)
+    row = read_outputs(spark, log).first()
+    assert row.processing_status == "FAILED" and row.file_name.endswith("bad.csv") and row.error_message
+
+
+def test_stream_writes_csv_files_and_tables_replay_safe(spark, landing, tmp_dir):
+    from ledgerlift.sinks.tables import STREAM_DETECTIONS_DDL, TABLE_DDL, create_tables
+    _, flat, files = landing
+    spark.sql("CREATE DATABASE IF NOT EXISTS stream_test")
+    create_tables(spark, "stream_test", tables={"det": STREAM_DETECTIONS_DDL,
+                                                "processing_log": TABLE_DDL["processing_log"]})
+    out, log, small = (os.path.join(tmp_dir, n) for n in ("out", "log", "csv"))
+    h = PerFileDetector(_importance, out, log, threshold=PER_FILE_T, clock=FIXED, csv_path=small, csv_rows=3,
+                        table="stream_test.det", log_table="stream_test.processing_log")
+    for _ in range(2):  # each batch twice
+        for i in (0, 1):
+            h(read_transactions_csv(spark, files[i]), i)
+    want = rows(read_outputs(spark, out), "batch_id", "customer", "merchant")
+    assert want and rows(spark.table("stream_test.det"), "batch_id", "customer", "merchant") == want
+    assert rows(spark.read.option("header", True).csv(small), "customer", "merchant") == [r[1:] for r in sorted(
+        want, key=lambda r: r[1:])]
+    assert rows(spark.table("stream_test.processing_log"), "batch_id", "processing_status") == [
+        (0, "SUCCESS"), (1, "SUCCESS")]

@@ -154,16 +154,16 @@ def test_per_scope_equals_independent_runs(spark):
 
 
 def test_hot_merchant_is_sliced_and_matches_window(spark):
-    # sf0.01: the marketplace merchant has ~1,500 customer pairs, the others ~500
-    from ledgerlift.operators.rank import hot_groups
-    from ledgerlift.plans.registry import HOT_MERCHANT, hot_merchant_transactions
+    # sf0.01: the marketplace merchant holds about a third of all pairs
+    from ledgerlift.operators import rank
+    from ledgerlift.plans.registry import HOT_MERCHANT, HOT_SLICES, hot_merchant_transactions
     sf = "/root/testdata/sf0.01"
     tx = hot_merchant_transactions(spark, sf)
-    pairs = upgrade.customer_pairs(tx)
-    hot = hot_groups(pairs, ["merchant"], 1000)
-    assert hot is not None and [r.merchant for r in hot.collect()] == [HOT_MERCHANT]
     imp = tpch.customer_importance(spark, sf)
-    sliced = detect_pairs(spark, tx, imp, 600, max_group_values=1000)
+    scored = upgrade.with_avg_weight(upgrade.customer_pairs(tx), imp).select("merchant", "avg_weight").distinct()
+    spread = rank._by_range(scored, HOT_SLICES, F.col("merchant"), F.col("avg_weight"))
+    assert spread.filter(F.col("merchant") == HOT_MERCHANT).select(F.spark_partition_id()).distinct().count() > 1
+    sliced = detect_pairs(spark, tx, imp, 600, slices=HOT_SLICES)
     assert sliced == detect_pairs(spark, tx, imp, 600, method="window")
     assert any(m == str(HOT_MERCHANT) for _, m in sliced)
 
