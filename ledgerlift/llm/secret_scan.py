@@ -3,8 +3,8 @@
 Base patterns (leftmost, not overlapping within a kind): assignments to words
 like ``password``, access keys, and long hexadecimal runs.
 
-The method adds the other runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters
-whose log-likelihood ratio between a model of *random strings* and a model of
+The method adds the other runs of ``[A-Za-z0-9+/_.=-]`` of 12 or more characters with a
+letter (numbers, dates and addresses of digits alone are no identifiers) whose log-likelihood ratio between a model of *random strings* and a model of
 *ordinary identifiers* is high.  Both are interpolated second-order Markov models
 over the 68 characters; the random one is mixed half and half with uniform
 characters, so that random strings of another alphabet than the samples' pass.
@@ -46,6 +46,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 RUN = r"[A-Za-z0-9+/_.=-]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16, "run": 12}
+LETTER = re.compile("[A-Za-z]")
 KEYWORDS = ("pass", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -78,7 +79,8 @@ def base_spans(text: str, assign, access, hexes, run) -> tuple[list, list, list]
                 if x.end() - x.start() >= LEAST[KINDS[kind]]:
                     spans.append((at + x.start(), kind, at + x.end()))
                     secret.append(x[0])
-        runs.append((at, m.end(), value))
+        if LETTER.search(value):
+            runs.append((at, m.end(), value))
     if spans:
         spans.sort()
         runs = [r for r in runs if not any(r[0] < end and start < r[1] for start, _, end in spans)]
