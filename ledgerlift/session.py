@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextvars
-import os
 import re
 import tempfile
 import uuid
