@@ -20,7 +20,6 @@ rows of one id and text are one document from stage 2 on.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlift.llm import bpe, decontaminate, ngram_join, quality, secret_scan
 from ledgerlift.llm.common import scratch_path, table
