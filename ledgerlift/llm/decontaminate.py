@@ -7,7 +7,9 @@ common given names; units are unit words after a number.  So a question
 asked again with other numbers and names has the same template.
 
 1. Every window of ``WINDOW`` template tokens with at least ``LITERALS`` plain words
-   is hashed.  The benchmark's hashes set bits in a filter of fixed size.
+   is hashed; a window with fewer is hashed by its *real tokens* (words without case and
+   edge punctuation, slot values included), so it matches verbatim copies only.  The
+   benchmark's hashes set bits in a filter of fixed size.
 2. Document windows that pass the filter -- few, unless the filter is full, and
    then still all that matter -- are hash-joined with the benchmark windows.
 3. Matches of one document and item on one diagonal (document position minus item
@@ -19,7 +21,7 @@ asked again with other numbers and names has the same template.
 A very common passage spreads over the join by document; what is grouped is one
 (document, item, diagonal), which is no longer than the item.
 
-Defined cases: null or empty texts, and items without ``LITERALS`` plain words,
+Defined cases: null or empty texts, and items of fewer than ``SHORTEST`` tokens,
 match nothing; an item shorter than a window is one window of its whole length, and
 documents are then cut into windows of that length too;
 repeated documents are reported row by row, equal items once each; null item ids are
@@ -44,6 +46,7 @@ from ledgerlift.llm.wordcache import distinct_words
 
 WINDOW = 8
 LITERALS = 5
+SHORTEST = 5                  # tokens of an item
 COVER = 13
 SHARE = 80
 FILTER_BITS = 1 << 24         # 2 MB, whatever the benchmark's size
@@ -66,6 +69,7 @@ EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 LITERAL, NUM, UNIT, NAME = range(4)
 PLACEHOLDER = words.mix(np.arange(1, 5, dtype=np.uint64))
+REAL = np.uint64(0x9E3779B97F4A7C15)  # sets hashes of real tokens apart from those of templates
 
 
 def classify(word: str) -> tuple[int, str, bool, bool]:
@@ -99,10 +103,10 @@ class Templates:
         return [np.array(kind, np.int8), np.array(value, np.uint64), np.array(cap), np.array(ends), np.array(empty)]
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray):
-        """``(template hash, slot value or 0, is literal, first token of each row)``."""
+        """``(template hash, slot value or 0, is literal, first token of each row, real token hash)``."""
         starts, ends_at, first = words.spans(data, offsets)
         if not len(starts):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), first
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), first, np.zeros(0, np.uint64)
         distinct, inverse = distinct_words(data, starts, ends_at)
         kind, value, cap, ends, empty = (x[inverse] for x in self._facts(distinct))
         # a new line or row, or the end of a sentence before it, begins a sentence
@@ -119,24 +123,27 @@ class Templates:
         template = np.where(literal, value, PLACEHOLDER[kind])
         slot = np.where(literal, np.uint64(0), value | np.uint64(1))
         before = np.r_[0, np.cumsum(full)]
-        return template[full], slot[full], literal[full], before[first]
+        return template[full], slot[full], literal[full], before[first], value[full]
 
 
-def template_windows(tokens, widths, whole: bool = False, literals: int = LITERALS):
-    """``(hash, first token, row, width)`` of each window of these widths with enough plain words;
+def keyed_windows(tokens, widths, whole: bool = False):
+    """``(hash, first token, row, width, by real tokens)`` of each window of these widths: by the
+    template with ``LITERALS`` plain words, by the real tokens with fewer;
     ``whole``: of the widths below ``WINDOW`` only those that are a whole row."""
-    template, _, literal, first = tokens
+    template, _, literal, first, value = tokens
     plain, size, out = np.r_[0, np.cumsum(literal)], np.diff(first), []
     for k in widths:
-        key, at, row = words.windows(template, first, k)
-        ok = plain[at + k] - plain[at] >= literals
-        if whole and k < WINDOW:
-            ok &= size[row] == k
-        out.append((key[ok], at[ok], row[ok], np.full(int(ok.sum()), k)))
+        for real in (False, True):
+            key, at, row = words.windows(value if real else template, first, k)
+            ok = (plain[at + k] - plain[at] >= LITERALS) != real
+            if whole and k < WINDOW:
+                ok &= size[row] == k
+            key = words.mix(key + REAL) if real else key
+            out.append((key[ok], at[ok], row[ok], np.full(int(ok.sum()), k), np.full(int(ok.sum()), real)))
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
-_ITEM_ROWS = "item long, copy long, length int, at int, key long, slots binary"
+_ITEM_ROWS = "item long, copy long, length int, at int, key long, slots binary, real boolean"
 _DOC_ROWS = "doc long, copy long, at int, key long, slots binary"
 
 
@@ -144,11 +151,11 @@ def _rows_of(batch: pa.RecordBatch, templates: Templates, widths, bits: np.ndarr
     """Windows of a batch (id, text): one row each. ``copy`` is a hash of the whole text."""
     for lo, hi, data, offsets in words.slices(batch.column(1)):
         tokens = templates.tokens(data, offsets)
-        key, at, row, width = template_windows(tokens, widths, whole=bits is None)
+        key, at, row, width, real = keyed_windows(tokens, widths, whole=bits is None)
         length = np.diff(tokens[3])
         if bits is not None:
             hit = filter_has(bits, key)
-            key, at, row, width = key[hit], at[hit], row[hit], width[hit]
+            key, at, row, width, real = key[hit], at[hit], row[hit], width[hit], real[hit]
         if not len(key):
             continue
         used, back = np.unique(row, return_inverse=True)
@@ -156,7 +163,7 @@ def _rows_of(batch: pa.RecordBatch, templates: Templates, widths, bits: np.ndarr
         slots = [tokens[1][a:a + w].tobytes() for a, w in zip(at.tolist(), width.tolist(), strict=True)]
         yield {"id": batch.column(0).take(pa.array(row + lo)), "copy": pa.array(texts[back]),
                "length": pa.array(length[row], pa.int32()), "at": pa.array(at - tokens[3][row], pa.int32()),
-               "key": pa.array(key.view(np.int64)), "slots": pa.array(slots, pa.binary())}
+               "key": pa.array(key.view(np.int64)), "slots": pa.array(slots, pa.binary()), "real": pa.array(real)}
 
 
 def filter_places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +180,7 @@ def filter_has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
 def _items(batches):
     templates = Templates()
     for batch in batches:
-        for r in _rows_of(batch, templates, range(LITERALS, WINDOW + 1), None):
+        for r in _rows_of(batch, templates, range(SHORTEST, WINDOW + 1), None):
             yield pa.RecordBatch.from_pydict({"item": r.pop("id")} | r)
 
 
@@ -208,7 +215,7 @@ def _documents(bits, widths):
         packed = bits.value
         for batch in batches:
             for r in _rows_of(batch, templates, widths, packed):
-                del r["length"]
+                del r["length"], r["real"]
                 yield pa.RecordBatch.from_pydict({"doc": r.pop("id")} | r)
     return run
 
@@ -216,16 +223,18 @@ def _documents(bits, widths):
 def _copies(table: pa.Table) -> pa.Table:
     """applyInArrow, one (document, item, diagonal): covered tokens if the slots agree, else none.
 
-    Windows whose slots contradict the ones before them (in document order) start a new copy."""
+    Windows whose slots contradict the ones before them (in document order) start a new copy;
+    in a match by real tokens each slot value of the item stands for itself."""
     order = np.argsort(table.column("at").to_numpy(), kind="stable")
     covered, run = 0, set()
     forward: dict[int, int] = {}
     backward: dict[int, int] = {}
-    mine, theirs = (table.column(c).to_pylist() for c in ("slots", "item_slots"))
+    mine, theirs, real = (table.column(c).to_pylist() for c in ("slots", "item_slots", "real"))
     at = table.column("at").to_numpy()
     for i in order:
-        pairs = {(int(x), int(y)) for x, y in zip(np.frombuffer(theirs[i], np.uint64),
-                                                  np.frombuffer(mine[i], np.uint64), strict=True) if x or y}
+        values = np.frombuffer(theirs[i], np.uint64)
+        pairs = {(int(x), int(y)) for x, y in zip(values, values if real[i] else np.frombuffer(mine[i], np.uint64),
+                                                  strict=True) if x or y}
         if any(forward.get(x, y) != y or backward.get(y, x) != x for x, y in pairs):
             run, forward, backward = set(), {}, {}
             if len({x for x, _ in pairs}) < len(pairs) or len({y for _, y in pairs}) < len(pairs):
@@ -260,7 +269,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     found = freeze_packed(texts.mapInArrow(_documents(spark.sparkContext.broadcast(bits), widths), _DOC_ROWS)
                           .distinct(), "document-windows")
     theirs = items.select("item", F.col("copy").alias("item_copy"), "length", F.col("at").alias("item_at"),
-                          "key", F.col("slots").alias("item_slots"))
+                          "key", F.col("slots").alias("item_slots"), "real")
     matches = found.join(theirs, "key").filter("length(slots) = length(item_slots)") \
         .withColumn("diagonal", F.expr("at - item_at")).drop("key", "item_at")
     copies = matches.groupBy("doc", "copy", "item", "item_copy", "diagonal").applyInArrow(

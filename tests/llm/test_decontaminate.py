@@ -75,3 +75,13 @@ def test_edges(spark, edge_docs, no_docs):
     # of the rows with id 7 or none, only those with the passage go
     left = Counter(r.doc_id for r in kept.collect())
     assert left[7] == 1 and left[None] == 2 and not left[6]
+
+
+def test_verbatim_windows_poor_in_plain_words(spark):
+    """Numbers, names and units: found word for word, not with other values."""
+    item = [(1, "Paris 12 km, Rome 34 km, Anna 5 kg, Boris 7 kg, Oslo 9"), (2, "7 + 8 = 15 and 9 + 6 = 15 and 4 + 11 = 15"),
+            (3, "Maria 3 Laura 4 Kevin 5")]
+    texts = ["The table: Paris 12 km, Rome 34 km, Anna 5 kg, Boris 7 kg, Oslo 9", "see 7 + 8 = 15 and 9 + 6 = 15 and 4 + 11 = 15 here",
+             "of Maria 3 Laura 4 Kevin 5 at", "The table: Paris 13 km, Rome 35 km, Anna 6 kg, Boris 8 kg, Oslo 10",
+             "see 1 + 8 = 9 and 2 + 6 = 8 and 3 + 11 = 14 here"]
+    assert run(spark, texts, item) == [(0, 1), (1, 2), (2, 3)]
