@@ -7,19 +7,23 @@ common given names; units are unit words after a number.  So a question
 asked again with other numbers and names has the same template.
 
 1. Every window of ``WINDOW`` template tokens with at least ``LITERALS`` plain words
-   is hashed; a window with fewer is hashed by its *real tokens* (words without case and
-   edge punctuation, slot values included), so it matches verbatim copies only.  The
-   benchmark's hashes set bits in a filter of fixed size.
+   is hashed, and every window, rich in plain words or not, by its *real tokens* (words
+   without case and edge punctuation, slot values included).  Real tokens don't depend
+   on what stands around a word, so verbatim copies match wherever they are quoted or
+   wrapped.  The benchmark's hashes set bits in a filter of fixed size.
 2. Document windows that pass the filter -- few, unless the filter is full, and
    then still all that matter -- are hash-joined with the benchmark windows.
 3. Matches of one document and item on one diagonal (document position minus item
    position) are one copy.  Its slots must be consistent: each slot value of the item
    stands for one value in the document and vice versa.
-4. A copy that covers ``COVER`` template tokens, or ``SHARE`` percent of a shorter
-   item, is a contamination.
+4. An inserted or lost word moves the rest of a copy to another diagonal: copies at most
+   ``NEAR`` diagonals apart whose slots agree count as one, each item token once.
+5. A copy that covers ``COVER`` template tokens, or ``SHARE`` percent of the item, is a
+   contamination.
 
 A very common passage spreads over the join by document; what is grouped is one
-(document, item, diagonal), which is no longer than the item.
+(document, item, diagonal), which is no longer than the item, and then one row for each
+diagonal of a document and item.
 
 Defined cases: null or empty texts, and items of fewer than ``SHORTEST`` tokens,
 match nothing; an item shorter than a window is one window of its whole length, and
@@ -49,6 +53,7 @@ LITERALS = 5
 SHORTEST = 5                  # tokens of an item
 COVER = 13
 SHARE = 80
+NEAR = WINDOW
 FILTER_BITS = 1 << 24         # 2 MB, whatever the benchmark's size
 KEEP_WORDS = 300_000
 
@@ -128,14 +133,14 @@ class Templates:
 
 def keyed_windows(tokens, widths, whole: bool = False):
     """``(hash, first token, row, width, by real tokens)`` of each window of these widths: by the
-    template with ``LITERALS`` plain words, by the real tokens with fewer;
+    template with ``LITERALS`` plain words, by the real tokens always;
     ``whole``: of the widths below ``WINDOW`` only those that are a whole row."""
     template, _, literal, first, value = tokens
     plain, size, out = np.r_[0, np.cumsum(literal)], np.diff(first), []
     for k in widths:
         for real in (False, True):
             key, at, row = words.windows(value if real else template, first, k)
-            ok = (plain[at + k] - plain[at] >= LITERALS) != real
+            ok = real | (plain[at + k] - plain[at] >= LITERALS)
             if whole and k < WINDOW:
                 ok &= size[row] == k
             key = words.mix(key + REAL) if real else key
@@ -220,29 +225,71 @@ def _documents(bits, widths):
     return run
 
 
+_COPY = "doc long, copy long, item long, item_copy long, length int"
+
+
+def _pairs(theirs: np.ndarray, mine: np.ndarray) -> set[tuple[int, int]]:
+    return {(x, y) for x, y in zip(theirs.tolist(), mine.tolist(), strict=True) if x or y}
+
+
+def _agree(pairs, forward: dict, backward: dict) -> bool:
+    """Whether each value stands for one other, in both directions; no pair twice in ``pairs``."""
+    return all(forward.get(x, y) == y and backward.get(y, x) == x for x, y in pairs) \
+        and len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
+
+
 def _copies(table: pa.Table) -> pa.Table:
-    """applyInArrow, one (document, item, diagonal): covered tokens if the slots agree, else none.
+    """applyInArrow, one (document, item, diagonal): the item tokens (bits) of its longest copy with
+    agreeing slots, and the slots; no row without one.
 
     Windows whose slots contradict the ones before them (in document order) start a new copy;
     in a match by real tokens each slot value of the item stands for itself."""
-    order = np.argsort(table.column("at").to_numpy(), kind="stable")
-    covered, run = 0, set()
+    at, diagonal = table.column("at").to_numpy(), table.column("diagonal")[0].as_py()
+    mine, theirs, real = (table.column(c).to_pylist() for c in ("slots", "item_slots", "real"))
+    best, best_pairs = set(), {}
+    run: set[int] = set()
     forward: dict[int, int] = {}
     backward: dict[int, int] = {}
-    mine, theirs, real = (table.column(c).to_pylist() for c in ("slots", "item_slots", "real"))
-    at = table.column("at").to_numpy()
-    for i in order:
+    for i in np.lexsort((~np.array(real), at)):
         values = np.frombuffer(theirs[i], np.uint64)
-        pairs = {(int(x), int(y)) for x, y in zip(values, values if real[i] else np.frombuffer(mine[i], np.uint64),
-                                                  strict=True) if x or y}
-        if any(forward.get(x, y) != y or backward.get(y, x) != x for x, y in pairs):
+        pairs = _pairs(values, values if real[i] else np.frombuffer(mine[i], np.uint64))
+        if not _agree(pairs, forward, backward):
             run, forward, backward = set(), {}, {}
-            if len({x for x, _ in pairs}) < len(pairs) or len({y for _, y in pairs}) < len(pairs):
+            if not _agree(pairs, forward, backward):
                 continue
         forward.update(pairs)
         backward.update((y, x) for x, y in pairs)
-        run.update(range(at[i], at[i] + len(mine[i]) // 8))
-        covered = max(covered, len(run))
+        run.update(range(at[i] - diagonal, at[i] - diagonal + len(values)))
+        if len(run) > len(best):
+            best, best_pairs = run.copy(), forward.copy()
+    bits = np.zeros(table.column("length")[0].as_py(), bool)
+    bits[list(best)] = True
+    out = table.slice(0, min(len(best), 1)).select(["doc", "copy", "item", "item_copy", "length", "diagonal"])
+    new = {"bits": np.packbits(bits).tobytes(), "theirs": np.array(list(best_pairs), np.uint64).tobytes(),
+           "mine": np.array(list(best_pairs.values()), np.uint64).tobytes()}
+    for name, value in new.items():
+        out = out.append_column(name, pa.array([value] * len(out), pa.binary()))
+    return out
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """applyInArrow, one (document, item): the most item tokens covered by copies on neighbouring
+    diagonals whose slots agree, the longest ones first."""
+    table = table.sort_by("diagonal")
+    diagonal = table.column("diagonal").to_numpy()
+    bits = [np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()]
+    size = [int(np.bitwise_count(x).sum()) for x in bits]
+    pairs = [_pairs(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(
+        table.column("theirs").to_pylist(), table.column("mine").to_pylist(), strict=True)]
+    covered, ends = 0, np.searchsorted(diagonal, diagonal + NEAR, "right")
+    for i, end in enumerate(ends.tolist()):
+        total, forward, backward = np.zeros_like(bits[i]), {}, {}
+        for j in sorted(range(i, end), key=lambda j: -size[j]):
+            if _agree(pairs[j], forward, backward):
+                total = total | bits[j]
+                forward.update(pairs[j])
+                backward.update((y, x) for x, y in pairs[j])
+        covered = max(covered, int(np.bitwise_count(total).sum()))
     out = table.slice(0, 1).select(["doc", "copy", "item", "item_copy", "length"])
     return out.append_column("covered", pa.array([covered], pa.int32()))
 
@@ -273,10 +320,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     matches = found.join(theirs, "key").filter("length(slots) = length(item_slots)") \
         .withColumn("diagonal", F.expr("at - item_at")).drop("key", "item_at")
     copies = matches.groupBy("doc", "copy", "item", "item_copy", "diagonal").applyInArrow(
-        _copies, "doc long, copy long, item long, item_copy long, length int, covered int")
-    return (copies.groupBy("doc", "copy", "item", "item_copy")
-            .agg(F.max("covered").alias("covered"), F.max("length").alias("length"))
-            .filter(f"covered >= {COVER} or (length < {COVER} and 100 * covered >= {SHARE} * length)")
+        _copies, f"{_COPY}, diagonal int, bits binary, theirs binary, mine binary")
+    return (copies.groupBy("doc", "copy", "item", "item_copy").applyInArrow(_joined, f"{_COPY}, covered int")
+            .filter(f"covered >= {COVER} or 100 * covered >= {SHARE} * length")
             .groupBy("doc", "copy", "item").agg(F.max("covered").alias("covered"), F.max("length").alias("length")))
 
 

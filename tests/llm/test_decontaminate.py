@@ -85,3 +85,21 @@ def test_verbatim_windows_poor_in_plain_words(spark):
              "of Maria 3 Laura 4 Kevin 5 at", "The table: Paris 13 km, Rome 35 km, Anna 6 kg, Boris 8 kg, Oslo 10",
              "see 1 + 8 = 9 and 2 + 6 = 8 and 3 + 11 = 14 here"]
     assert run(spark, texts, item) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_verbatim_copies_do_not_depend_on_their_surroundings(spark):
+    item = [(1, "Which planet of the solar system has the most moons around it today?"),
+            (2, "Name the largest city of northern Ontario now"),
+            (3, "the old clock in the hall was wound by Peter every Sunday before Maria came down for tea and bread")]
+    words = item[2][1].split()
+    texts = ["the teacher asked Which planet of the solar system has the most moons around it today",
+             "he said Name the largest city of northern Ontario now and left",
+             item[2][1].lower().replace(" ", "\n"), " ".join([*words[:9], "always", *words[9:]]),
+             " ".join([*words[:9], *words[10:]]), " ".join(words[:8]), "name the biggest city of northern ontario now"]
+    assert run(spark, texts, item) == [(0, 1), (1, 2), (2, 3), (3, 3), (4, 3)]
+
+
+def test_pieces_on_two_diagonals_need_the_same_slots(spark):
+    item = [(1, "a train covers 40 miles of open country and later it covers 40 miles again on the line home")]
+    piece = "a train covers 70 miles of open country and yes later it covers {} miles again on the line home"
+    assert run(spark, [piece.format(70), piece.format(80)], item) == [(0, 1)]
