@@ -7,11 +7,13 @@
    shares the longest beginning with its own (the one before it, if both do).
 3. Their lines are aligned by a longest common subsequence; shared lines are the site's
    template and go.  A pair that shares more than half of the text that could be
-   either page's content is two copies of one page: the other neighbour is taken
-   then, or none.
-4. An exact check follows where the markup says it: lines of the article go back
-   in even if the neighbour quotes them, named boilerplate goes even if it is unlike
-   the neighbour's, and if the page has an article nothing outside it stays.
+   either page's content (and over nine tenths of its article, if it has one) is two
+   copies of one page: the other neighbour is taken then, or none.
+4. The markup corrects the result where it is beyond doubt: lines of the article go back
+   in even if the neighbour quotes them (but not what both neighbours hold), and named
+   boilerplate goes even if it is unlike the neighbour's.  A class that only qualifies
+   (``has-sidebar``, ``comments-open``) names nothing.  Lines outside the article
+   stay if the neighbour doesn't share them.
 
 Ordering needs no task per host: a sample of keys (``KEYS_PER_PART`` per part) cuts the
 global (host, path) order into parts, every page goes to its part, and the first
@@ -54,6 +56,9 @@ BOILERPLATE_WORDS = frozenset("""ad ads adv advert adverts advertisement adverti
 breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter
 notice notices overlay pager pagination paywall popup promo promoted promotion related replies reply
 respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget""".split())
+# Words that make a class a statement about a page or its layout.
+MODIFIERS = frozenset("""can category closed disabled enabled format has have is js layout no non not open opened
+tag tagged with without""".split())
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -65,14 +70,17 @@ PARTS_PER_PARTITION = 4
 
 def region(tag: str, attrs: str, outer: int) -> int:
     """The region inside a new element."""
+    if tag == "main":
+        return ARTICLE
     if outer == BOILERPLATE or tag in BOILERPLATE_TAGS or (tag == "header" and outer != ARTICLE):
         return BOILERPLATE
     if attrs:
         for m in ATTRIBUTE.finditer(attrs):
-            value = CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower()
-            if not BOILERPLATE_WORDS.isdisjoint(WORD.findall(value)):
-                return BOILERPLATE
-    return ARTICLE if tag in ("article", "main") else outer
+            for name in (m[1] or m[2] or m[3] or "").split():
+                found = WORD.findall(CAMEL.sub(" ", name).lower())
+                if not BOILERPLATE_WORDS.isdisjoint(found) and MODIFIERS.isdisjoint(found):
+                    return BOILERPLATE
+    return ARTICLE if tag == "article" else outer
 
 
 def page_lines(page: str | None) -> list[tuple[str, int]]:
@@ -162,18 +170,25 @@ def _shared_start(a: str, b: str) -> int:
 
 def main_text(lines: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]]) -> str:
     """Lines left after differencing with the first neighbour that isn't a copy, and the exact check."""
-    texts = [t for t, _ in lines]
-    shared = [False] * len(lines)
-    own = sum(len(t) for t, r in lines if r != BOILERPLATE)
+    texts, has_article = [t for t, _ in lines], any(r == ARTICLE for _, r in lines)
+
+    def share(mark, *regions):
+        """Tenths of the text in these regions that are marked, rounded up."""
+        sizes = [(len(t), m) for (t, r), m in zip(lines, mark, strict=True) if r in regions]
+        return -(-10 * sum(n for n, m in sizes if m) // max(sum(n for n, _ in sizes), 1))
+    shared, marks = None, []
     for other in neighbours:
         mark = common_lines(texts, [t for t, _ in other])
-        if 2 * sum(len(t) for (t, r), m in zip(lines, mark, strict=True) if m and r != BOILERPLATE) <= own:
+        copy = share(mark, OTHER, ARTICLE) > 5
+        if not copy:
+            marks.append(mark)
+        # what lies outside an article of its own is template, even if much of the article is quoted
+        if shared is None and (not copy or has_article and share(mark, ARTICLE) <= 9):
             shared = mark
-            break
-    kept = [not m and r != BOILERPLATE for (_, r), m in zip(lines, shared, strict=True)]
-    if any(r == ARTICLE for _, r in lines):
-        kept = [r == ARTICLE for _, r in lines]
-    return "\n\n".join(t for t, k in zip(texts, kept, strict=True) if k)
+    shared = shared or [False] * len(lines)
+    by_all = [all(m) for m in zip(*marks, strict=True)] if len(marks) > 1 else [False] * len(lines)
+    return "\n\n".join(t for (t, r), m, every in zip(lines, shared, by_all, strict=True)
+                       if r != BOILERPLATE and not (every if r == ARTICLE else m))
 
 
 def _part_of(bounds):

@@ -107,3 +107,19 @@ def test_tables(spark):
 
 def test_no_rows(spark):
     assert P.extract_text(frame(spark, [])).collect() == []
+
+
+def test_differencing_decides_beside_and_inside_articles():
+    def page(body, teaser):
+        return f"<div>Site name</div><div>{body}</div><article><p>teaser {teaser}</p></article><div>Imprint</div>"
+    a, b = page("<p>the long main text of this page</p>", "one"), page("<p>quite another main text, long enough</p>", "two")
+    assert text(a, b) == "the long main text of this page\n\nteaser one"
+    # a site line inside the article that both neighbours hold
+    c, d, e = (f"<article><p>{x} text of the page, long enough</p><p>Share this now</p></article>" for x in ("one", "two", "third"))
+    assert text(c, d, e) == "one text of the page, long enough"
+
+
+def test_modifier_classes_name_no_boilerplate():
+    assert text("<div class='page has-sidebar'><article class='post comments-open tag-social'><p>kept</p></article>"
+                "<div class='sidebar'>gone</div></div>") == "kept"
+    assert text("<div id=sidebarLeft><main><p>kept</p></main></div><div class='share-links open'>gone</div>") == "kept"
