@@ -15,10 +15,11 @@
    (``has-sidebar``, ``comments-open``) names nothing.  Lines outside the article
    stay if the neighbour doesn't share them.
 
-Ordering needs no task per host: a sample of keys (``KEYS_PER_PART`` per part) cuts the
-global (host, path) order into parts, every page goes to its part, and the first
-and last page of each part are sent to the neighbouring parts too.  So the cuts
-don't influence the result.
+Ordering needs no task per host or path: a sample of pages, drawn by their bytes
+(``KEYS_PER_PART`` per part), cuts the global (host, path, page, url) order into parts of
+about ``PART_BYTES`` or less, every page goes to its part, and the first and last page
+of each part are sent to the neighbouring parts too.  So the cuts don't influence
+the result; only rows with one page id and one url stay together.
 
 Defined cases: null or empty html has the empty text; a null url has an empty host and
 path (such pages neighbour each other); equal rows are equal neighbours and so
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import only, partitions
+from ledgerlift.llm.common import bucket_count, only, total_bytes
 from ledgerlift.llm.url_filter import url_parts
 
 # Fixed tag and class words.
@@ -66,6 +67,8 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 OTHER, ARTICLE, BOILERPLATE = range(3)
 KEYS_PER_PART = 16
 PARTS_PER_PARTITION = 4
+PART_BYTES = 8 << 20
+PAGE_BYTES = 1 << 10          # what a page counts besides its html
 
 
 def region(tag: str, attrs: str, outer: int) -> int:
@@ -195,21 +198,25 @@ def _part_of(bounds):
     """mapInArrow: (page, url, host, path) -> part, key fields."""
     def run(batches):
         for batch in batches:
-            keys = zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)
-            yield batch.append_column("part", pa.array([bisect_right(bounds, k) for k in keys], pa.int32()))
+            yield batch.append_column("part", pa.array([bisect_right(bounds, _null_safe(k)) for k in _keys(batch)],
+                                                       pa.int32()))
     return run
 
 
+def _keys(batch) -> list[tuple]:
+    return list(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "page", "url")), strict=True))
+
+
 def _place(bounds, edges):
     """mapInArrow: pages with html -> their part, and edge pages also the neighbouring parts."""
     def run(batches):
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("host", "path", "page", "url")), strict=True))
-            part = [bisect_right(bounds, k[:2]) for k in keys]
+            keys = [_null_safe(k) for k in _keys(batch)]
+            part = [bisect_right(bounds, k) for k in keys]
             take, to, guest = list(range(len(part))), list(part), [False] * len(part)
             for i, k in enumerate(keys):
                 for place, other in edges.get(part[i], ()):
-                    if place == _null_safe(k):
+                    if place == k:
                         take.append(i)
                         to.append(other)
                         guest.append(True)
@@ -250,6 +257,18 @@ def _extract(table: pa.Table) -> pa.Table:
                      "text": pa.array(out["text"], pa.string())})
 
 
+def cuts(rows: DataFrame) -> list[tuple]:
+    """Where parts begin in the (host, path, page, url) order: quantiles of a bounded sample of pages,
+    drawn without replacement in proportion to their bytes.  For the cuts only."""
+    weight = F.coalesce(F.octet_length("html"), F.lit(0)) + PAGE_BYTES
+    parts = PARTS_PER_PARTITION * bucket_count(rows, total_bytes(rows, F.col("html")),
+                                               PARTS_PER_PARTITION * PART_BYTES)
+    sample = (rows.select("host", "path", "page", "url", (-F.log(1 - F.rand(1)) / weight).alias("draw"))
+              .orderBy("draw").limit(parts * KEYS_PER_PART).collect())
+    keys = sorted(_null_safe((r["host"], r["path"], r["page"], r["url"])) for r in sample)
+    return sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if keys else []
+
+
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
     """``id_col, url_col, text, n_chars`` of every page."""
@@ -257,12 +276,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     host, path = url_parts(F.col("url"))
     rows = rows.withColumns({"host": host, "path": path})
     names = rows.select("page", "url", "host", "path")
-    # cuts of the (host, path) order: a bounded sample of keys, for the cuts only
-    parts = PARTS_PER_PARTITION * partitions(pages)
-    sample = sorted((r["host"], r["path"]) for r in names.select("host", "path").distinct()
-                    .orderBy(F.md5(F.concat_ws("\x00", "host", "path").cast("binary")), "host", "path")
-                    .limit(parts * KEYS_PER_PART).collect())
-    bounds = [sample[i * len(sample) // parts] for i in range(1, parts)] if sample else []
+    bounds = cuts(rows)
     # first and last page of each part: one row per part
     ends = (names.mapInArrow(_part_of(bounds), "page long, url string, host string, path string, part int")
             .withColumn("key", F.struct("host", "path", F.col("page").isNotNull().alias("p"), "page",

@@ -123,3 +123,23 @@ def test_modifier_classes_name_no_boilerplate():
     assert text("<div class='page has-sidebar'><article class='post comments-open tag-social'><p>kept</p></article>"
                 "<div class='sidebar'>gone</div></div>") == "kept"
     assert text("<div id=sidebarLeft><main><p>kept</p></main></div><div class='share-links open'>gone</div>") == "kept"
+
+
+def test_a_hot_path_and_large_pages_span_parts(spark):
+    """One path with most rows, and one with most bytes: no part holds much more than its share."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"http://one.net/index.php?id={i}", f"<div>menu</div><p>text {i}</p>") for i in range(3000)]
+    rows += [(i, f"http://two.net/index.php?id={i}", f"<div>menu</div><p>{'long ' * 2000}{i}</p>") for i in range(600)]
+    rows += [(i, None, f"<p>no url {i}</p>") for i in range(1000)]
+    df = frame(spark, rows).repartition(5)
+    host, path = P.url_parts(F.col("url"))
+    keyed = df.select(F.col("page_id").alias("page"), "url", "html").withColumns({"host": host, "path": path})
+    bounds = P.cuts(keyed)
+    loads = Counter()
+    for p, u, h in rows:
+        key = P._null_safe(("" if u is None else u[7:14], "" if u is None else "/index.php", p, u))
+        loads[P.bisect_right(bounds, key)] += len(h) + P.PAGE_BYTES
+    assert max(loads.values()) < 3 * sum(loads.values()) / 32
+    got = Counter((r.page_id, r.url, r.text) for r in P.extract_text(df).collect())
+    assert got == brute(rows)
