@@ -12,10 +12,10 @@ characters, so that random strings of another alphabet than the samples' pass.
 Their labelled samples come from the whole corpus: the strings that a base pattern
 calls secret, and all runs that touch none.  Every distinct string counts once and
 every count is lowered by one, so a secret that no pattern names doesn't teach the
-ordinary model itself, however often it was copied.  The threshold lies midway
-between the ``HIGH`` quantile of the ordinary scores and the ``LOW`` quantile of the
-random ones (a few unnamed secrets among the ordinary runs don't move it), and never
-below 0, where the ordinary model is the likelier one.
+ordinary model itself, however often it was copied.  The threshold is chosen over the
+same distinct strings: midway between the ``HIGH`` quantile of the ordinary scores below
+0 (where the ordinary model is the likelier one, so unnamed secrets among the runs
+don't move it, however many) and the ``LOW`` quantile of the random ones, and never below 0.
 
 One pass reads the texts; runs and base spans are kept per document and the
 rest works on those.  The counts (69^3 per model) and a histogram of the scores are what
@@ -135,11 +135,6 @@ def contexts(values: pa.Array):
     return (two * CODES + one) * CODES + code, row, offsets
 
 
-def _flat(column) -> pa.Array:
-    out = column.flatten()
-    return out.field("value") if pa.types.is_struct(out.type) else out
-
-
 def _count(batches) -> np.ndarray:
     """Count tables of random and ordinary strings over (random, value) rows."""
     total = np.zeros((2, CODES ** 3), np.int64)
@@ -160,11 +155,15 @@ def model(counts: np.ndarray) -> np.ndarray:
     return p3.ravel()
 
 
+def samples(found: DataFrame) -> DataFrame:
+    """The distinct (kind, value) strings: 0 secrets of base patterns, 1 runs."""
+    return found.select(F.lit(0).alias("kind"), F.explode("secret").alias("value")).union(
+        found.select(F.lit(1), F.explode("runs.value"))).distinct()
+
+
 def learn(found: DataFrame) -> np.ndarray | None:
     """Integer log ratios for each character after each two; None without samples of both kinds."""
-    strings = found.select(F.lit(0).alias("kind"), F.explode("secret").alias("value")).union(
-        found.select(F.lit(1), F.explode("runs.value"))).distinct()
-    secret, plain = count_table(strings, _count, 2 * CODES ** 3).reshape(2, -1)
+    secret, plain = count_table(samples(found), _count, 2 * CODES ** 3).reshape(2, -1)
     if not secret.any() or not plain.any():
         return None
     random = UNIFORM / CODES + (1 - UNIFORM) * model(secret)
@@ -182,8 +181,8 @@ def _bins(weights: np.ndarray):
     def run(batches):
         total = np.zeros((2, BINS), np.int64)
         for batch in batches:
-            for k, name in enumerate(("secret", "runs")):
-                values = _flat(batch.column(name))
+            for k in (0, 1):
+                values = batch.column(1).filter(pc.equal(batch.column(0), k))
                 if len(values):
                     at = np.floor((scores(values, weights) + LIMIT) * BINS / (2 * LIMIT))
                     total[k] += np.bincount(np.clip(at, 0, BINS - 1).astype(np.int64), minlength=BINS)
@@ -195,11 +194,12 @@ def _bins(weights: np.ndarray):
 
 def choose_cut(found: DataFrame, weights: np.ndarray) -> float:
     """The score from which a run is a secret (see the module's text)."""
-    rows = (found.select("secret", "runs").mapInArrow(_bins(weights), "kind int, bin int, n long")
+    rows = (samples(found).mapInArrow(_bins(weights), "kind int, bin int, n long")
             .groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect())  # at most 2 * BINS rows
     total = np.zeros((2, BINS), np.int64)
     for r in rows:
         total[r["kind"], r["bin"]] += r["n"]
+    total[1, BINS // 2:] = 0  # runs that score 0 or more
     secret, plain = (np.cumsum(t) / max(t.sum(), 1) for t in total)
     low, high = np.searchsorted(secret, LOW), np.searchsorted(plain, HIGH)
     return max(0.0, float((low + high + 1) / 2 * 2 * LIMIT / BINS - LIMIT))

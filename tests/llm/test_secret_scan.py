@@ -82,3 +82,17 @@ def test_added_spans_and_redaction(spark):
         spans = [tuple(map(int, s.split(":")[1:])) for s in rows[r.doc_id].split(",") if s]
         assert (texts[r.doc_id].text == r.text) == (not spans)
         assert not brute(texts[r.doc_id].text)
+
+
+def test_unnamed_secrets_do_not_move_the_cut(spark):
+    """Many copies of one unnamed secret, or many unnamed secrets: all are found."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rnd = random.Random(8)
+    keys = [random_string(rnd, rnd.randint(20, 48)) for _ in range(300)]
+    copied = [(20_000 + i, f"see {keys[0]} here") for i in range(3000)]
+    several = [(30_000 + i, f"log {k} end") for i, k in enumerate(keys)]
+    for extra in (copied + several[:40], several):
+        both = docs.union(spark.createDataFrame(extra, docs.schema))
+        found = {r.doc_id: r.spans for r in S.with_digests(S.find_secrets(both)).collect()}
+        missed = [d for d, _ in extra if "markov" not in found[d]]
+        assert len(missed) <= len(set(t for _, t in extra)) // 50, len(missed)
