@@ -148,7 +148,7 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     tables = count_table(labelled.filter("not held_out").select("chars", "label"), _count, 2 * MODEL) \
         .reshape(2, ORDER + 1, PAIRS + CONTEXTS)
     known = bool(tables[0].any() and tables[1].any())
-    shared = pages.sparkSession.sparkContext.broadcast(tables.astype(np.int32))  # fixed size
+    shared = pages.sparkSession.sparkContext.broadcast(tables)  # int64, fixed size
 
     def scored(batches):
         for batch in batches:

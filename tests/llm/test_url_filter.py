@@ -80,3 +80,14 @@ def test_scores_do_not_depend_on_batches(spark):
 @pytest.mark.parametrize("urls", [[], ["http://a.net/"], ["http://a.org/", "http://b.net/x"], [None]])
 def test_without_labels_everything_unruled_is_allowed(spark, urls):
     assert [r.verdict for r in U.judge_urls(frame(spark, urls)).collect()] == ["allow"] * len(urls)
+
+
+def test_counts_beyond_32_bits(spark, monkeypatch):
+    """As from so many URLs that the largest counter passes 2^31: scores stay numbers and verdicts right."""
+    count = U.count_table
+    monkeypatch.setattr(U, "count_table", lambda *args: count(*args) * (1 << 26))
+    urls = [f"http://{'ae' if i % 2 else 'xz'}{i % 13}{'io' if i % 2 else 'qk'}.{'org/' if i % 2 else 'com/de/'}" for i in range(400)]
+    held = [f"http://{'ae' if i % 2 else 'xz'}{i}{'io' if i % 2 else 'qk'}.net/" for i in range(100)]
+    rows = sorted(U.judge_urls(frame(spark, urls + held)).collect(), key=lambda r: r.page_id)[400:]
+    assert all(abs(r.score) < 100 for r in rows)
+    assert [r.verdict for r in rows] == ["allow" if i % 2 else "block" for i in range(100)]
