@@ -5,14 +5,16 @@ Markov models of the URL's characters are compared: one of the URLs that a rule
 allows, one of those that a rule blocks.  A character's probability after its
 last ``ORDER`` characters is interpolated with the next shorter context, down to
 uniform, each with the weight of ``WEIGHT`` sightings, so a context counts the
-more the oftener it was seen.  Contexts are hashed into tables of fixed size.
+more the oftener it was seen.  Counts are exact: one row for each distinct context, and
+context with its next character, under a 64-bit hash.
 
 The score of a URL is the log-likelihood difference divided by its length.  The
 threshold is calibrated on held-out labelled URLs (one in ``FOLD`` by checksum, unused
 in the counts): the middle of the scores at which the two error rates add up to
 least.  Weights are integers, so scores don't depend on batching.
 
-All counts cover all rows.  What reaches the driver: the count tables and a histogram.
+All counts cover all rows.  What reaches the driver: a histogram, and 24 bytes for each
+distinct context or pair of the labelled URLs, which grow with their variety.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no
 rule and is judged by its characters; an empty one scores 0; if one kind of label is
@@ -30,7 +32,6 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import only
-from ledgerlift.llm.counting import count_table
 
 ALLOW, BLOCK = "allow", "block"
 #: (host, path, verdict) of the registered query.
@@ -39,13 +40,10 @@ RULES = (("org", "/", ALLOW), ("example.org", "/es/", BLOCK), ("example.org", "/
 
 ORDER = 4
 WEIGHT = 4.0
-PAIRS = 1 << 18           # counters of (context, character), per order and class
-CONTEXTS = 1 << 16        # counters of contexts, per order and class
 FOLD = 5
 SCALE = 1 << 16
 BINS = 4096
 LIMIT = 8.0
-MODEL = (ORDER + 1) * (PAIRS + CONTEXTS)
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -65,9 +63,9 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def _places(column: pa.Array):
-    """Per slice: ``(first row, last row + 1, offsets, per order the pair and context places)``."""
-    for lo, hi, data, offsets in words.slices(column):
+def _ngrams(column: pa.Array):
+    """Per slice: ``(offsets, per order the pair and context hash of each character)``."""
+    for _, _, data, offsets in words.slices(column):
         code = words.LOWER[data].astype(np.uint64) + np.uint64(1)
         inside = np.arange(len(code)) - np.repeat(offsets[:-1], np.diff(offsets))
         context = np.zeros(len(code), np.uint64)
@@ -79,39 +77,49 @@ def _places(column: pa.Array):
                 back[inside < k] = 0  # before the first character
                 context = context * np.uint64(257) + back
             hashed = words.mix(context + words.odd(k))
-            pair = words.mix(hashed + code)
-            out.append(((pair & np.uint64(PAIRS - 1)).astype(np.int64),
-                        (hashed & np.uint64(CONTEXTS - 1)).astype(np.int64)))
-        yield lo, hi, offsets, out
+            out.append((words.mix(hashed + code).view(np.int64), hashed.view(np.int64)))
+        yield offsets, out
 
 
-def _count(batches) -> np.ndarray:
-    """Count tables of both classes over (url, label) rows; label 1 allows, 0 blocks."""
-    total = np.zeros((2, ORDER + 1, PAIRS + CONTEXTS), np.int64)
+def _count(batches):
+    """mapInArrow: (url, label) -> count of each hash by class; label 1 allows, 0 blocks."""
     for batch in batches:
         for label in (0, 1):
             chosen = batch.column(0).filter(pc.equal(batch.column(1), label))
-            for _, _, _, orders in _places(chosen):
-                for k, (pair, context) in enumerate(orders):
-                    total[label, k, :PAIRS] += np.bincount(pair, minlength=PAIRS)
-                    total[label, k, PAIRS:] += np.bincount(context, minlength=CONTEXTS)
-    return total.ravel()
-
-
-def _log_probability(table: np.ndarray, orders) -> np.ndarray:
-    """log P of each character under one class."""
-    p = np.full(len(orders[0][0]), 1 / 257)
-    for k, (pair, context) in enumerate(orders):
-        p = (table[k, pair] + WEIGHT * p) / (table[k, PAIRS + context] + WEIGHT)
+            for _, orders in _ngrams(chosen):
+                key, n = np.unique(np.concatenate([x for order in orders for x in order]), return_counts=True)
+                counts = [np.zeros_like(n), np.zeros_like(n)]
+                counts[label] = n
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key), "block": pa.array(counts[0], pa.int64()),
+                                                  "allow": pa.array(counts[1], pa.int64())})
+
+
+def ngram_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all contexts and pairs, sorted, and their counts by class (0 block, 1 allow)."""
+    table = (labelled.mapInArrow(_count, "key long, block long, allow long").groupBy("key")
+             .agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).toArrow())
+    key, *counts = (table.column(c).to_numpy() for c in ("key", "block", "allow"))
+    order = np.argsort(key)
+    return key[order], np.stack([c[order] for c in counts])
+
+
+def _log_probabilities(model, orders) -> np.ndarray:
+    """log P of each character under each class."""
+    keys, counts = model
+    p = np.full((2, len(orders[0][0])), 1 / 257)
+    for order in orders:
+        pair, context = (counts[:, at] * (keys[at] == x) for x in order
+                         for at in [np.minimum(np.searchsorted(keys, x), len(keys) - 1)])
+        p = (pair + WEIGHT * p) / (context + WEIGHT)
     return np.log(p)
 
 
-def score(column: pa.Array, tables: np.ndarray) -> np.ndarray:
+def score(column: pa.Array, model) -> np.ndarray:
     """Length-normalised log-likelihood difference of each URL."""
     out = [np.zeros(0)]
-    for lo, hi, offsets, orders in _places(column):
-        ratio = np.rint((_log_probability(tables[1], orders) - _log_probability(tables[0], orders)) * SCALE)
-        total = np.r_[0, np.cumsum(ratio.astype(np.int64))]
+    for offsets, orders in _ngrams(column):
+        block, allow = _log_probabilities(model, orders)
+        total = np.r_[0, np.cumsum(np.rint((allow - block) * SCALE).astype(np.int64))]
         out.append((total[offsets[1:]] - total[offsets[:-1]]) / SCALE / np.maximum(np.diff(offsets), 1))
     return np.concatenate(out)
 
@@ -145,10 +153,9 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     labelled = rows.filter("ruled is not null").select(
         "chars", F.expr(f"int(ruled = '{ALLOW}')").alias("label"),
         (F.crc32(F.col("chars").cast("binary")) % FOLD == 0).alias("held_out"))
-    tables = count_table(labelled.filter("not held_out").select("chars", "label"), _count, 2 * MODEL) \
-        .reshape(2, ORDER + 1, PAIRS + CONTEXTS)
-    known = bool(tables[0].any() and tables[1].any())
-    shared = pages.sparkSession.sparkContext.broadcast(tables)  # int64, fixed size
+    model = ngram_counts(labelled.filter("not held_out").select("chars", "label"))
+    known = bool(model[1].any(axis=1).all())
+    shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
         for batch in batches:

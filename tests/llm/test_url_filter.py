@@ -84,10 +84,44 @@ def test_without_labels_everything_unruled_is_allowed(spark, urls):
 
 def test_counts_beyond_32_bits(spark, monkeypatch):
     """As from so many URLs that the largest counter passes 2^31: scores stay numbers and verdicts right."""
-    count = U.count_table
-    monkeypatch.setattr(U, "count_table", lambda *args: count(*args) * (1 << 26))
+    count = U.ngram_counts
+    monkeypatch.setattr(U, "ngram_counts", lambda df: (lambda keys, n: (keys, n * (1 << 26)))(*count(df)))
     urls = [f"http://{'ae' if i % 2 else 'xz'}{i % 13}{'io' if i % 2 else 'qk'}.{'org/' if i % 2 else 'com/de/'}" for i in range(400)]
     held = [f"http://{'ae' if i % 2 else 'xz'}{i}{'io' if i % 2 else 'qk'}.net/" for i in range(100)]
     rows = sorted(U.judge_urls(frame(spark, urls + held)).collect(), key=lambda r: r.page_id)[400:]
     assert all(abs(r.score) < 100 for r in rows)
     assert [r.verdict for r in rows] == ["allow" if i % 2 else "block" for i in range(100)]
+
+
+def test_scores_are_those_of_exact_counts(spark):
+    """With more distinct contexts than the counters there once were."""
+    import math
+    import zlib
+
+    rnd = random.Random(12)
+
+    def url(rest):
+        return "http://" + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60)) + rest
+    urls = [url(".org/" if i % 2 else ".com/de/") for i in range(6000)]
+    held = [url(".net/") for _ in range(40)] + ["http://" + u[20:50] + ".net/" for u in urls[:40]]
+    counts = [Counter(), Counter()]
+
+    def steps(chars):
+        padded = "\0" * U.ORDER + chars
+        return [[(k, padded[i + U.ORDER - k:i + U.ORDER], c) for k in range(U.ORDER + 1)] for i, c in enumerate(chars)]
+    for i, u in enumerate(urls):
+        if zlib.crc32(u[7:].encode()) % U.FOLD:
+            for orders in steps(u[7:]):
+                for k, context, c in orders:
+                    counts[i % 2][k, context] += 1
+                    counts[i % 2][k, context, c] += 1
+
+    def log_p(n, orders):
+        p = 1 / 257
+        for k, context, c in orders:
+            p = (n[k, context, c] + U.WEIGHT * p) / (n[k, context] + U.WEIGHT)
+        return math.log(p)
+    rows = sorted(U.judge_urls(frame(spark, urls + held)).collect(), key=lambda r: r.page_id)[len(urls):]
+    for r, u in zip(rows, held, strict=True):
+        want = [log_p(counts[1], o) - log_p(counts[0], o) for o in steps(u[7:])]
+        assert abs(r.score - sum(want) / len(want)) < 1e-4
