@@ -78,16 +78,15 @@ def chunk_progress(chunked: DataFrame, chunk_size: int, chunk_col: str = "chunk_
                    pos_col: str = "row_pos") -> DataFrame:
     """Per chunk: number (1-based), total chunks, start/end position, size, percent done.
 
-    The grand total is the sum over the per-chunk rows (one per chunk), so the
-    numbered rows are read once.
+    The grand total is a scalar subquery, summed over the per-chunk rows (one per chunk),
+    which are frozen, so the numbered rows are read once and no task holds all chunks.
     """
-    per = chunked.groupBy(chunk_col).agg(
+    per = freeze(chunked.groupBy(chunk_col).agg(
         F.count(F.lit(1)).alias("size"),
         F.min(pos_col).alias("start"),
         (F.max(pos_col) + F.lit(1)).alias("end"),
-    )
-    per = per.withColumn("__ll_total", F.sum("size").over(Window.partitionBy(F.lit(0))))
-    total = F.col("__ll_total")
+    ))
+    total = per.agg(F.sum("size")).scalar()
     return per.select(
         (F.col(chunk_col) + F.lit(1)).alias("chunk_number"),
         ceil_div(total, chunk_size).alias("total_chunks"),

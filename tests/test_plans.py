@@ -1,3 +1,5 @@
+import re
+
 """Plan guards: shapes that would not survive 1000x more data must not appear."""
 
 import pytest
@@ -48,3 +50,10 @@ def test_rank_plans_never_gather_rows_into_one_task(spark):
     # per chunk, only the chunk numbering's own offsets (one row per partition) meet in one task
     text = plan_text(spark, "detect_upgrades_per_chunk")
     assert _single_partition_exchanges(text) <= 2 and "__ll_cnt" in text
+
+
+def test_chunk_progress_sums_chunks_without_gathering_them(spark):
+    text = plan_text(spark, "chunk_progress")
+    # SinglePartition only for the offsets and for partial sums of the total; no window over all chunks
+    assert _single_partition_exchanges(text) == 1 + text.count("partial_sum(size")
+    assert not re.search(r"Window \[sum\(size", text) and "ubquery" in text
