@@ -1,0 +1,113 @@
+"""Hard negatives against brute force: windows, ties, copies, hot vectors, odd rows."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from ledgerlift.llm import hard_negatives as hn
+
+SCHEMA = "low double, embedding array<float>, row string, vec_id long, label int"
+
+
+def brute(rows, positives=5, negatives=10, low=30, high=90, step=100):
+    part = []
+    for vec, label, v in rows:
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        part.append((vec, label, [math.floor(256 * float(np.float32(x))) for x in v]))
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    def key(x):
+        return (-x[0], x[1] is None, x[1] or 0)
+    out = []
+    for i, (vec, label, q) in enumerate(part):
+        if vec is None or vec % step:
+            continue
+        scored = [(score(q, p), v, lab == label) for j, (v, lab, p) in enumerate(part) if j != i]
+        for ps, pid, _ in sorted([x for x in scored if x[2]], key=key)[:positives]:
+            best = sorted([x for x in scored if not x[2] and low * ps <= 100 * x[0] <= high * ps], key=key)[:negatives]
+            out += [(vec, pid, r + 1, nid, ps, ns) for r, (ns, nid, _) in enumerate(best)]
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(0.5, v, "r", vec, label) for vec, label, v in rows], SCHEMA).repartition(5)
+
+
+def run(spark, rows, **options):
+    return sorted(map(tuple, hn.mine(frame(spark, rows), **options).collect()), key=str)
+
+
+def clustered(n, dims=6, centres=8, labels=4, seed=2, noise=0.15):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(centres, dims))
+    out = []
+    for i in range(n):
+        v = c[rng.integers(centres)] * rng.uniform(0.3, 1.2) + noise * rng.normal(size=dims)
+        out.append((i, int(rng.integers(labels)), [float(x) for x in v]))
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 8, "leaves": 200}, {"block_rows": 4, "leaf_rows": 30}])
+def test_against_brute_force(spark, options):
+    rows = clustered(1200)
+    assert run(spark, rows, **options) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rng = random.Random(4)
+    rows = clustered(300, seed=7)
+    nan, inf = float("nan"), float("inf")
+    rows += [(400, None, rows[0][2]), (500, 1, None), (600, 1, [nan] * 6), (700, 2, [inf] + [0.0] * 5),
+             (800, 2, [0.1, None, 0.2, 0.3, 0.4, 0.5]), (None, 1, rows[1][2]), (None, 2, rows[2][2]),
+             (900, 1, rows[5][2][:3]), (1000, 1, []), (-200, 3, rows[9][2]), (1100, 0, [0.0] * 6)]
+    rows += [rows[100], rows[100], rows[0], rows[200]]  # repeated rows, anchors too
+    rows += [(2000 + i, rng.randrange(3), rows[7][2]) for i in range(60)]  # one common vector: ties
+    assert run(spark, rows, leaf_rows=8, leaves=100) == brute(rows)
+
+
+def test_hot_vector_spans_tasks(spark):
+    hot = clustered(1)[0][2]
+    rows = clustered(600, seed=3) + [(1000 + i, i % 2, hot) for i in range(300)]
+    ordered = hn.build(hn.quantised(frame(spark, rows), "vec_id", "embedding", "label"), leaf_rows=50)[0]
+    from pyspark.sql import functions as F
+
+    per = ordered.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per) < 300 and run(spark, rows, leaf_rows=50) == brute(rows)
+
+
+def test_leaves_are_eliminated():
+    rows = clustered(4000, centres=30, noise=0.02)
+    q = np.floor(256 * np.array([r[2] for r in rows]))
+    length = float((q * q).sum(axis=1).max())
+    tree = hn.Tree(q, length, 0.01)
+    leaf, seen = tree.assign(q)
+    low, high = np.full((len(tree.points), hn.DEGREE), np.inf), np.full((len(tree.points), hn.DEGREE), -np.inf)
+    for p, b, least, most in seen:
+        low[p, b], high[p, b] = min(low[p, b], least), max(high[p, b], most)
+    search = hn.Search(tree, low, high, q[:40])
+    inside = gone = 0
+    for x in np.unique(leaf):
+        least, most = search.scores(int(x))
+        score = q[:40] @ q[leaf == x].T
+        assert (score.min(axis=1) >= least).all() and (score.max(axis=1) <= most).all()
+        tenth = np.sort(q[:40] @ q.T, axis=1)[:, -10]
+        gone += (most < tenth).sum()
+        inside += 40
+    assert gone > inside / 2
+
+
+@pytest.mark.parametrize("rows", [[], [(100, None, [1.0])], [(100, 1, [0.5, 0.5])], [(101, 1, [0.5]), (102, 2, [0.5])]])
+def test_nothing_to_find(spark, rows):
+    out = hn.mine(frame(spark, rows))
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert out.count() == 0
+
+
+def test_scores_beyond_exactness_are_an_error(spark):
+    with pytest.raises(ValueError, match="exact"):
+        hn.mine(frame(spark, [(100, 1, [1e9]), (101, 1, [1.0])]))
