@@ -10,11 +10,12 @@ at the next level.  A term that ends within a level's bytes is complete there;
 complete terms that pass are the kept terms.  A rare term, however long, is
 never counted beyond its first rare prefix.
 
-*What moves.*  Texts are read and cut into terms once.  Each task adds up its
-documents' counts -- documents by (level, language, prefix), occurrences by
-(language, source, term) -- and writes those rows to the shared folder; the
-levels and the final counts are joins and sums over that table.  No row is a
-text or a document, and nothing of the vocabulary reaches the driver.
+*What moves.*  Texts are gathered by (language, source) once, in pieces of
+about equal size, and cut into terms.  Each task adds up its documents' counts
+-- documents by (level, language, prefix), occurrences by (language, source,
+term) -- and writes those rows to the shared folder; the levels and the final
+counts are joins and sums over that table.  No row of it is a text or a
+document, and nothing of the vocabulary reaches the driver.
 
 *Divergence.*  With count occurrences of a kept term in a group, N the group's
 sum and V the language's kept terms, p = 1 + floor(10^9 (count + 2) / (N + 2V));
@@ -243,7 +244,10 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """``lang, source, part, item, value, rank``: divergences of sources (part ``pair``, all of
     them) and the terms that set a source apart from its language (part ``term``, ``top`` each)."""
     texts = only(docs, text=text_col, lang=lang_col, source=source_col)
-    counts = freeze_packed(texts.mapInArrow(_count_terms, _SCHEMA), "iceberg-counts")
+    # texts of one group go to as few tasks as their size allows (AQE splits large groups):
+    # a task then meets the same terms again and again, and its sums are few
+    gathered = texts.hint("rebalance", "lang", "source")
+    counts = freeze_packed(gathered.mapInArrow(_count_terms, _SCHEMA), "iceberg-counts")
     kept = freeze(kept_terms(counts, min_docs), "iceberg-kept")
     cells, groups = _grouped(texts, counts, kept)
     shares = cells.join(groups, ["lang", "source"]).selectExpr(
