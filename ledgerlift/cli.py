@@ -7,7 +7,7 @@
                                 [--threshold N] [--per-file]
 
 ``ingest`` picks ``transactions.csv`` / ``CustomerImportance.csv`` in a
-landing folder and cuts the transactions into chunk files; ``stream`` runs
+landing folder and cuts the transactions, in file order, into chunk files; ``stream`` runs
 the checkpointed per-file (or ``--cumulative``) detection over a folder of
 chunk files; ``detect`` is the same detection as one batch job.  The session
 comes from ``SparkSession.builder`` (spark-submit / cluster settings apply).
@@ -22,9 +22,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift import schemas
+from ledgerlift.operators.source_order import write_source_chunks
 from ledgerlift.plans.upgrade import DEFAULT_THRESHOLD, detect_upgrades
 from ledgerlift.session import DEFAULT_CONF, ensure_checkpoint_dir
-from ledgerlift.sinks.writers import write_chunked_csv, write_detection_batches
+from ledgerlift.sinks.writers import write_detection_batches
 from ledgerlift.sources import files
 from ledgerlift.sources.dimension import importance_chain
 from ledgerlift.streaming.files import (
@@ -34,10 +35,6 @@ from ledgerlift.streaming.files import (
     start_detection_stream,
 )
 
-# Without a row id in the source file, chunks are consecutive in this order
-# (step is the time index of a transaction).
-INGEST_ORDER = schemas.TRANSACTIONS.fieldNames()
-
 
 def _session() -> SparkSession:
     builder = SparkSession.builder.appName("ledgerlift")
@@ -64,7 +61,7 @@ def cmd_ingest(spark: SparkSession, a) -> None:
     tx_path = files.pick_role_file(spark, a.source, "transactions.csv")
     files.pick_role_file(spark, a.source, "CustomerImportance.csv")  # both must be there
     tx = files.read_transactions_csv(spark, tx_path, a.strip_quotes)
-    write_chunked_csv(tx, a.landing, INGEST_ORDER, a.chunk_size, mode="append")
+    write_source_chunks(tx, a.landing, a.chunk_size)
 
 
 def cmd_stream(spark: SparkSession, a) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlift.operators.chunking import assign_chunks, chunk_progress
 from ledgerlift.operators.merge import insert_if_absent, unprocessed, upsert
 from ledgerlift.operators.quality import quality_report
+from ledgerlift.operators.source_order import assign_source_chunks
 from ledgerlift.plans import reports, upgrade
 from ledgerlift.sinks.tables import table_counts
 from ledgerlift.sinks.writers import detection_batches
@@ -150,6 +151,20 @@ def q_chunk_assignment(spark, sf):
     return _times_as_text(assign_chunks(_tx(spark, sf).select(*ROW_KEY), ROW_KEY, CHUNK_SIZE))
 
 
+def q_source_chunks(spark, sf):
+    """Lines numbered and cut into chunks in the order in which the file holds them."""
+    lines = assign_source_chunks(tpch.table(spark, sf, "lineitem"), CHUNK_SIZE, row_index=True)
+    return _times_as_text(lines)
+
+
+def q_detect_upgrades_per_source_chunk(spark, sf):
+    # chunks as the source file has them, not in the order of a key
+    lines = assign_source_chunks(tpch.table(spark, sf, "lineitem"), CHUNK_SIZE, row_index=True)
+    tx = tpch.transactions(spark, sf, lines=lines, keep=["chunk_id"])
+    return upgrade.detect_upgrades(tx, _imp(spark, sf), chunk_threshold(spark, sf),
+                                   detected_at=DETECTED_AT, scope=["chunk_id"])
+
+
 def q_chunk_progress(spark, sf):
     return chunk_progress(assign_chunks(_tx(spark, sf).select(*ROW_KEY), ROW_KEY, CHUNK_SIZE),
                           CHUNK_SIZE)
@@ -242,6 +257,8 @@ QUERIES: dict[str, Query] = {
     "detect_upgrades": q_detect_upgrades,
     "detect_upgrades_per_chunk": q_detect_upgrades_per_chunk,
     "chunk_assignment": q_chunk_assignment,
+    "source_chunks": q_source_chunks,
+    "detect_upgrades_per_source_chunk": q_detect_upgrades_per_source_chunk,
     "chunk_progress": q_chunk_progress,
     "detection_batches": q_detection_batches,
     "upsert_importance": q_upsert_importance,
@@ -332,6 +349,8 @@ WHERE (cs.{scope}, cs.merchant) IN (SELECT {scope}, merchant FROM elig)
 _ORDER = ", ".join(ROW_KEY)
 _TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 _ROW_ID = ", ".join(_TEXT.format(c) if c == "l_shipdate" else c for c in ROW_KEY)
+# DuckDB numbers the rows of an unordered window as the file holds them
+_SOURCE = ("(SELECT *, ROW_NUMBER() OVER () - 1 AS row_pos FROM lineitem)")
 _POS = f"pos AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {_ORDER}) - 1 AS row_pos FROM tx)"
 
 
@@ -403,6 +422,13 @@ WHERE merchant IN (SELECT merchant FROM tx GROUP BY merchant HAVING COUNT(*) > {
     "detect_upgrades_per_chunk": _scoped_detections_sql(
         f"SELECT *, (ROW_NUMBER() OVER (ORDER BY {_ORDER}) - 1) // {CHUNK_SIZE} "
         "AS chunk_id FROM tx", "chunk_id", f"(SELECT {CHUNK_SIZE} // GREATEST(COUNT(*), 1) FROM supplier)"),
+    "source_chunks": f"""
+SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate),
+       row_pos // {CHUNK_SIZE} AS chunk_id FROM {_SOURCE}""",
+    "detect_upgrades_per_source_chunk": _scoped_detections_sql(
+        f"SELECT o.o_custkey AS customer, l.l_suppkey AS merchant, l.row_pos // {CHUNK_SIZE} AS chunk_id "
+        f"FROM {_SOURCE} l JOIN orders o ON l.l_orderkey = o.o_orderkey", "chunk_id",
+        f"(SELECT {CHUNK_SIZE} // GREATEST(COUNT(*), 1) FROM supplier)"),
     "chunk_assignment": f"""
 WITH {_TX}, {_POS}
 SELECT {_ROW_ID}, row_pos, row_pos // {CHUNK_SIZE} AS chunk_id FROM pos""",

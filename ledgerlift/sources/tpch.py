@@ -42,18 +42,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False,
+                 lines: DataFrame | None = None, keep=()) -> DataFrame:
     """Order lines as transactions.
 
+    ``lines`` stands in for the lineitem table and ``keep`` names more of its columns.
+
     Columns: the remaining lineitem columns (together with merchant and amount
     they identify a row; see ``ROW_KEY``), step, customer, merchant, amount,
     order_date[, category].  Unused columns are pruned from the scans
     by Catalyst; the ``part`` join is only planned when ``with_category``.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = lines if lines is not None else table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     tx = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
-    cols = [li[c] for c in LINE_COLUMNS] + [
+    cols = [li[c] for c in [*LINE_COLUMNS, *keep]] + [
         F.datediff(orders["o_orderdate"], F.lit(STEP_EPOCH).cast("date")).alias("step"),
         orders["o_custkey"].alias("customer"),
         li["l_suppkey"].alias("merchant"),
