@@ -35,6 +35,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ledgerlift import schemas
 from ledgerlift.functions.columns import detection_time_string
+from ledgerlift.plans.incremental import MerchantState
 from ledgerlift.plans.upgrade import (
     DEFAULT_LOW_PCT,
     DEFAULT_THRESHOLD,
@@ -297,6 +298,42 @@ class CumulativeDetector(_BatchHandler):
         return records
 
 
+class IncrementalDetector(_BatchHandler):
+    """PatId1 over all files seen so far, at the cost of the merchants a batch touches.
+
+    ``state_path`` holds the stored merchant tables (:class:`MerchantState`): statistics,
+    scores, eligible merchants and detections as of each batch.  A batch ranks its own
+    merchants again and leaves the rest in place.  Its output is what changed: new
+    detections as records under ``output_path``, pairs that are no longer detected under
+    ``<state_path>/removed/batch_id=<n>``; :meth:`snapshot` gives all detections as of a batch,
+    equal to a batch detection over all files up to it.
+    """
+
+    def __init__(self, *args, state_path: str, buckets: int = 256, keep_versions: int | None = None, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.state_path = state_path.rstrip("/")
+        self.buckets = buckets
+        self.keep_versions = keep_versions  # older versions' files are deleted (at least 2 for replays)
+
+    def state(self, spark: SparkSession) -> MerchantState:
+        return MerchantState(spark, f"{self.state_path}/tables", self.threshold, self.top_pct, self.low_pct, self.buckets)
+
+    def detections(self, batch, batch_id, stamp):
+        spark = batch.sparkSession
+        state = self.state(spark)
+        added, removed = state.apply(batch, self.importance_loader(spark), batch_id, stamp)
+        removed.write.mode("overwrite").parquet(_batch_dir(f"{self.state_path}/removed", batch_id))
+        return detection_records(added, stamp)
+
+    def _after(self, spark: SparkSession) -> None:
+        if self.keep_versions:
+            self.state(spark).tables.vacuum(max(2, self.keep_versions))
+
+    def snapshot(self, spark: SparkSession, batch_id: int | None = None, stamp: str | None = None) -> DataFrame:
+        """Detection records over all files up to a batch (default: the last one)."""
+        return detection_records(self.state(spark).detections(batch_id), stamp)
+
+
 def compact_partials(spark: SparkSession, stats_path: str, through_batch_id: int,
                      target_path: str) -> str:
     """Sum the per-batch pair counts of batches ``<= through_batch_id`` into one
