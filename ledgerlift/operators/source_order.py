@@ -37,7 +37,7 @@ PLACE = "__ll_place"
 ROWS = "__ll_split_rows"
 BEFORE = "__ll_split_before"      # rows of earlier splits, of all files
 LINE_BEFORE = "__ll_line_before"  # rows of earlier splits of the same file
-_FIRST = "__ll_split_first"
+FIRST = "__ll_split_first"        # least place of the split
 _POS = "__ll_pos"
 BROADCAST_SPLITS = 200_000        # a row is a path and four numbers: about 50 MB
 
@@ -59,7 +59,7 @@ def split_offsets(tagged: DataFrame) -> DataFrame:
 
     A file's splits are summed on their own and the files one after the other, so a window
     holds one row per file or per split of a file.  Materialized (it is small)."""
-    per = freeze(tagged.groupBy(FILE, SPLIT).agg(F.count(F.lit(1)).alias(ROWS), F.min(PLACE).alias(_FIRST)),
+    per = freeze(tagged.groupBy(FILE, SPLIT).agg(F.count(F.lit(1)).alias(ROWS), F.min(PLACE).alias(FIRST)),
                  "source-splits")
     earlier = (Window.unboundedPreceding, -1)
     files = per.groupBy(FILE).agg(F.sum(ROWS).alias("n"))
@@ -67,23 +67,28 @@ def split_offsets(tagged: DataFrame) -> DataFrame:
                                           F.lit(0)).alias("before"))
     inside = F.sum(ROWS).over(Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(*earlier))
     per = per.withColumn(LINE_BEFORE, F.coalesce(inside, F.lit(0))).join(files, FILE)
-    return freeze(per.select(FILE, SPLIT, ROWS, _FIRST, LINE_BEFORE, (F.col("before") + F.col(LINE_BEFORE)).alias(BEFORE)),
+    return freeze(per.select(FILE, SPLIT, ROWS, FIRST, LINE_BEFORE, (F.col("before") + F.col(LINE_BEFORE)).alias(BEFORE)),
                   "source-offsets")
 
 
-def _located(tagged: DataFrame, offsets: DataFrame, small: bool, row_index: bool) -> DataFrame:
-    """``tagged`` plus its split's offsets and ``_POS``."""
-    side = F.broadcast(offsets) if small else offsets
-    first = F.lit(0) if row_index else F.col(_FIRST)  # a row index counts from the file's start
-    known = F.when(F.col(BEFORE).isNull(), F.raise_error(F.lit("the splits of the source have changed"))) \
-        .otherwise(F.col(BEFORE) + F.col(PLACE) - first)
-    return tagged.join(side, [FILE, SPLIT], "left").withColumn(_POS, known.cast("long"))
-
-
 def _few(offsets: DataFrame) -> bool:
     return offsets.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS
 
 
+def with_split_offsets(tagged: DataFrame, offsets: DataFrame, small: bool | None = None) -> DataFrame:
+    """``tagged`` plus its split's row of ``offsets`` (``small``: they fit a broadcast)."""
+    small = _few(offsets) if small is None else small
+    out = tagged.join(F.broadcast(offsets) if small else offsets, [FILE, SPLIT], "left")
+    known = F.when(F.col(BEFORE).isNull(), F.raise_error(F.lit("the splits of the source have changed")))
+    return out.withColumn(BEFORE, known.otherwise(F.col(BEFORE)).cast("long"))
+
+
+def _located(tagged: DataFrame, offsets: DataFrame, small: bool, row_index: bool) -> DataFrame:
+    """``tagged`` plus its split's offsets and ``_POS``."""
+    first = F.lit(0) if row_index else F.col(FIRST)  # a row index counts from the file's start
+    return with_split_offsets(tagged, offsets, small).withColumn(_POS, (F.col(BEFORE) + F.col(PLACE) - first).cast("long"))
+
+
 def with_source_position(df: DataFrame, pos_col: str = "row_pos", row_index: bool = False,
                          line_col: str | None = None, file_col: str | None = None) -> DataFrame:
     """``df`` (a file scan) plus each row's 0-based position in source order.

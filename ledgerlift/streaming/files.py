@@ -26,6 +26,7 @@ Two scopes:
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -45,27 +46,53 @@ from ledgerlift.plans.upgrade import (
     detection_records,
     matches_from_pairs,
 )
+from ledgerlift.operators.source_order import FILE, PLACE, SPLIT
 from ledgerlift.session import reusable_scratch, scratch_path
-from ledgerlift.sinks.tables import append_if_exists
+from ledgerlift.sinks.tables import append_once
 from ledgerlift.sinks.writers import write_detection_batches
 from ledgerlift.sources.files import csv_options
+from ledgerlift.sources.quarantine import BAD_HEADER, LINE, REASON, checked_lines, split_records
 
 ImportanceLoader = Callable[[SparkSession], DataFrame]
 SOURCE_FILE = "source_file"
+STATUS, ERROR = "processing_status", "error_message"
 FILE_ID = "__ll_file_id"
 MAX_FILE_AGE = "36500d"
 
 
+def discovery_options(max_files_per_trigger: int | None = 1, max_bytes_per_trigger: int | str | None = None,
+                      nested: bool = False, archive_dir: str | None = None) -> dict:
+    """Options of the file source: what a batch takes, where files lie, where finished ones go.
+
+    A batch is bounded by files or, with ``max_bytes_per_trigger``, by bytes (at least one
+    file).  ``nested`` looks into sub-folders, such as one per day.  With ``archive_dir`` the
+    files of a batch are moved below it, under their own path, once the next batch has
+    started, so the listing doesn't grow with the history."""
+    # files count by name, not by age: one that lands late is still new
+    options = {"maxFileAge": MAX_FILE_AGE}
+    if max_bytes_per_trigger is not None:
+        options["maxBytesPerTrigger"] = str(max_bytes_per_trigger)
+    elif max_files_per_trigger is not None:
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if nested:
+        options["recursiveFileLookup"] = "true"
+    if archive_dir:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    return options
+
+
 def transaction_file_stream(spark: SparkSession, folder: str, strip_quotes: bool = False,
-                            max_files_per_trigger: int = 1,
-                            schema=schemas.TRANSACTIONS) -> DataFrame:
+                            max_files_per_trigger: int | None = 1, schema=schemas.TRANSACTIONS,
+                            **discovery) -> DataFrame:
     """Streaming DataFrame over the CSV files landing in ``folder``."""
-    return (spark.readStream.schema(schema)
-            .options(**csv_options(strip_quotes))
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            # files count by name, not by age: one that lands late is still new
-            .option("maxFileAge", MAX_FILE_AGE)
-            .csv(folder))
+    return (spark.readStream.schema(schema).options(**csv_options(strip_quotes))
+            .options(**discovery_options(max_files_per_trigger, **discovery)).csv(folder))
+
+
+def line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = 1, **discovery) -> DataFrame:
+    """The landing files as lines with their file and split, for handlers that check lines themselves."""
+    return (spark.readStream.options(**discovery_options(max_files_per_trigger, **discovery)).text(folder)
+            .select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(SPLIT)))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -102,7 +129,8 @@ class _BatchHandler:
                  threshold: int = DEFAULT_THRESHOLD, top_pct: float = DEFAULT_TOP_PCT,
                  low_pct: float = DEFAULT_LOW_PCT, clock: Callable[[], str] = detection_time_string,
                  scratch_root: str | None = None, csv_path: str | None = None, csv_rows: int = 50,
-                 table: str | None = None, log_table: str | None = None):
+                 table: str | None = None, log_table: str | None = None,
+                 quarantine_path: str | None = None, strip_quotes: bool = False):
         self.importance_loader = importance_loader
         self.output_path = output_path
         self.log_path = log_path
@@ -116,6 +144,9 @@ class _BatchHandler:
         self.csv_rows = csv_rows
         self.table = table              # ... and appended to this table, if it exists
         self.log_table = log_table      # audit rows also appended to this table, if it exists
+        # bad files and lines go here, with file, line, reason and raw line, and stop nothing
+        self.quarantine_path = quarantine_path
+        self.strip_quotes = strip_quotes  # of lines that the handler parses itself
         self.checkpoint: str | None = None  # set when the stream starts
         self.query_id = ""
 
@@ -123,8 +154,10 @@ class _BatchHandler:
         raise NotImplementedError
 
     def _log(self, rows: DataFrame, batch_id: int, status: str, found: int | None,
-             error: str | None, per_file: DataFrame | None = None) -> None:
-        """One audit row per input file (``source_file, rows_read``) of the batch."""
+             error: str | None, per_file: DataFrame | None = None, seconds: float | None = None) -> None:
+        """One audit row per input file (``source_file, rows_read``) of the batch.
+
+        ``rows`` may bring a file's own status and error; ``seconds`` is the batch's work so far."""
         if per_file is not None:
             rows = (rows.join(per_file, SOURCE_FILE, "left")
                     .withColumn("detections_found",
@@ -136,14 +169,15 @@ class _BatchHandler:
             F.lit(self.query_id).alias("query_id"),
             F.col(SOURCE_FILE).alias("file_name"),
             F.col("rows_read").cast("long").alias("rows_read"),
-            F.lit(status).alias("processing_status"),
+            (F.col(STATUS) if STATUS in rows.columns else F.lit(status)).alias(STATUS),
             F.col("detections_found"),
-            F.lit(error).cast("string").alias("error_message"),
-            F.current_timestamp().alias("processed_at"))
+            (F.col(ERROR) if ERROR in rows.columns else F.lit(error)).cast("string").alias(ERROR),
+            F.current_timestamp().alias("processed_at"),
+            F.lit(None if seconds is None else round(1000 * seconds)).cast("long").alias("duration_ms"))
          .write.mode("overwrite").parquet(path))
         if self.log_table and status == "SUCCESS":
             audit = rows.sparkSession.read.parquet(path).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            publish_batch(audit.drop("rows_read"), self.log_table, batch_id)
+            publish_batch(audit.drop("rows_read", "duration_ms"), self.log_table, batch_id, self.query_id)
 
     def _log_failure(self, spark: SparkSession, batch_id: int, error: str) -> None:
         """Audit rows of a failed batch, by file name only: what failed is not read again."""
@@ -157,14 +191,17 @@ class _BatchHandler:
         target = _batch_dir(self.output_path, batch_id)
         if self.scratch_root is None:
             self.scratch_root = scratch_path(batch.sparkSession, "stream-scratch")
-        # A micro-batch is bounded by maxFilesPerTrigger and read by several
+        # A micro-batch is bounded by files or bytes and read by several
         # jobs (detection, audit): read the files once.  A lost block is
-        # re-read from the same files.  The source file is taken before
-        # caching (input_file_name() is empty for cached rows).
-        batch = (batch.withColumn(SOURCE_FILE, F.input_file_name())
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+        # re-read from the same files.
+        began = time.monotonic()
+        if FILE in batch.columns:  # lines: places are taken before anything moves
+            batch = batch.withColumn(PLACE, F.monotonically_increasing_id())
+        else:  # the source file is taken before caching (input_file_name() is empty for cached rows)
+            batch = batch.withColumn(SOURCE_FILE, F.input_file_name())
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._process(batch, batch_id, stamp, target)
+            self._process(batch, batch_id, stamp, target, began)
         finally:
             batch.unpersist()
 
@@ -177,23 +214,51 @@ class _BatchHandler:
         return F.broadcast(names.withColumn(
             FILE_ID, (F.row_number().over(Window.orderBy(SOURCE_FILE)) - 1).cast("int")))
 
-    def _process(self, batch: DataFrame, batch_id: int, stamp: str, target: str) -> None:
+    def _process(self, batch: DataFrame, batch_id: int, stamp: str, target: str, began: float) -> None:
+        spark = batch.sparkSession
         try:
             with reusable_scratch(self.scratch_root):
+                batch, counted = self._accepted(batch, batch_id)
                 det = self.detections(batch, batch_id, stamp)
                 # the count rides along with the write (no second action)
                 seen = Observation(f"detections_{batch_id}")
                 det.observe(seen, F.count(F.lit(1)).alias("n")) \
                    .write.mode("overwrite").parquet(target)
-            found = seen.get.get("n", 0)
-            self._publish(batch.sparkSession, batch_id, target)
-            counted = batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_read"))
-            self._log(counted, batch_id, "SUCCESS", found, None,
-                      self.per_file_counts(batch.sparkSession, target))
+                found = seen.get.get("n", 0)
+                self._publish(spark, batch_id, target)
+                self._log(counted, batch_id, "SUCCESS", found, None, self.per_file_counts(spark, target),
+                          time.monotonic() - began)
+                self._after(spark)
         except Exception as exc:  # record, then let the query fail and retry
-            self._log_failure(batch.sparkSession, batch_id, str(exc))
+            self._log_failure(spark, batch_id, str(exc))
             raise
 
+    def _accepted(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """The batch's valid rows, and one row per file for the audit.
+
+        Lines are checked here: what is wrong goes to the quarantine, and a file with another
+        header is audited as QUARANTINED; the other files of the batch go on."""
+        if FILE not in batch.columns:
+            return batch, batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows_read"))
+        checked = checked_lines(batch, strip_quotes=self.strip_quotes)
+        valid, rejects = split_records(checked)
+        if self.quarantine_path:
+            rejects.write.mode("overwrite").parquet(_batch_dir(self.quarantine_path, batch_id))
+        files = batch.groupBy(F.col(FILE).alias(SOURCE_FILE)).agg(F.lit(0).alias("none")).drop("none")
+        sums = checked.groupBy(SOURCE_FILE).agg(
+            F.count(F.lit(1)).alias("n"), F.count(REASON).alias("bad"),
+            F.max(F.col(REASON) == BAD_HEADER).alias("wrong"), F.min(F.when(F.col(REASON).isNotNull(), F.col(LINE))).alias("at"))
+        wrong, bad = F.coalesce("wrong", F.lit(False)), F.coalesce("bad", F.lit(0))
+        counted = files.join(sums, SOURCE_FILE, "left").select(
+            SOURCE_FILE, F.coalesce("n", F.lit(0)).alias("rows_read"),
+            F.when(wrong, "QUARANTINED").otherwise("SUCCESS").alias(STATUS),
+            F.when(wrong, "the header is not the expected one")
+            .when(bad > 0, F.format_string("%d lines rejected, the first at line %d", bad, F.col("at"))).alias(ERROR))
+        return valid, counted
+
+    def _after(self, spark: SparkSession) -> None:
+        """Once a batch's outputs are written."""
+
     def _publish(self, spark: SparkSession, batch_id: int, target: str) -> None:
         """The batch's detections as small CSV files and as table rows (replacing an earlier try)."""
         if not (self.csv_path or self.table):
@@ -202,7 +267,7 @@ class _BatchHandler:
         if self.csv_path:
             write_detection_batches(records, _batch_dir(self.csv_path, batch_id), self.csv_rows, mode="overwrite")
         if self.table:
-            publish_batch(records.withColumn("detection_timestamp", F.current_timestamp()), self.table, batch_id)
+            publish_batch(records.withColumn("detection_timestamp", F.current_timestamp()), self.table, batch_id, self.query_id)
 
     def per_file_counts(self, spark: SparkSession, target: str) -> DataFrame | None:
         return None
@@ -348,15 +413,17 @@ def compact_partials(spark: SparkSession, stats_path: str, through_batch_id: int
 def start_detection_stream(spark: SparkSession, source_folder: str, handler: _BatchHandler,
                            checkpoint_location: str | None = None, available_now: bool = True,
                            processing_time: str = "2 seconds", strip_quotes: bool = False,
-                           query_name: str | None = None,
-                           max_files_per_trigger: int = 1) -> StreamingQuery:
+                           query_name: str | None = None, max_files_per_trigger: int | None = 1,
+                           **discovery) -> StreamingQuery:
     """Start the file stream with ``handler`` as ``foreachBatch``.
 
     ``available_now=True`` drains the files present now and stops; otherwise
     it polls every ``processing_time``.  ``max_files_per_trigger`` files form
     one micro-batch (per-file results are unchanged for
     :class:`PerFileDetector`; :class:`CumulativeDetector` then emits one
-    snapshot per batch instead of per file).
+    snapshot per batch instead of per file); ``max_bytes_per_trigger``, ``nested`` and
+    ``archive_dir`` are those of :func:`discovery_options`.  A handler with a quarantine
+    gets lines and checks them itself.
     """
     # one place per output folder, so a restart goes on where the last run ended
     checkpoint_location = checkpoint_location or f"{handler.output_path.rstrip('/')}/_checkpoint"
@@ -365,8 +432,12 @@ def start_detection_stream(spark: SparkSession, source_folder: str, handler: _Ba
                          f"{checkpoint_location}: batches would be numbered anew and replace them")
     handler.checkpoint = checkpoint_location
     handler.query_id = query_name or handler.output_path
-    writer = (transaction_file_stream(spark, source_folder, strip_quotes, max_files_per_trigger)
-              .writeStream.foreachBatch(handler)
+    if handler.quarantine_path:
+        handler.strip_quotes = strip_quotes
+        source = line_stream(spark, source_folder, max_files_per_trigger, **discovery)
+    else:
+        source = transaction_file_stream(spark, source_folder, strip_quotes, max_files_per_trigger, **discovery)
+    writer = (source.writeStream.foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location))
     if query_name:
         writer = writer.queryName(query_name)
@@ -376,35 +447,36 @@ def start_detection_stream(spark: SparkSession, source_folder: str, handler: _Ba
 
 
 def throughput(spark: SparkSession, log_path: str) -> DataFrame:
-    """Per batch, from the audit rows: input rows, and rows per second since the batch before."""
-    per = (spark.read.parquet(log_path).filter("processing_status = 'SUCCESS'").groupBy("batch_id")
-           .agg(F.sum("rows_read").alias("rows"), F.max("processed_at").alias("done")))
-    # one row per batch, compared with the one before
-    before = per.select((F.col("batch_id") + 1).alias("batch_id"), F.col("done").alias("began"))
-    seconds = F.col("done").cast("double") - F.col("began").cast("double")
-    return per.join(before, "batch_id", "left").select(
-        "batch_id", "rows", F.when(seconds > 0, F.col("rows") / seconds).alias("rows_per_sec"))
-
-
-def publish_batch(df: DataFrame, table: str, batch_id: int) -> bool:
-    """Append a batch's rows to a table, if it exists; a table partitioned by ``batch_id`` has
-    the batch replaced, so a second try adds nothing."""
+    """Per batch, from the audit rows: input rows, seconds of work, rows per second of work.
+
+    The time is the batch's own, as its handler measured it; waiting for files doesn't count."""
+    per = (spark.read.parquet(log_path).filter("processing_status <> 'FAILED'").groupBy("batch_id")
+           .agg(F.sum("rows_read").alias("rows"), (F.max("duration_ms") / 1000).alias("seconds")))
+    return per.withColumn("rows_per_sec", F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds")))
+
+
+def publish_batch(df: DataFrame, table: str, batch_id: int, query_id: str = "") -> bool:
+    """Append a batch's rows to a table, if it exists, exactly once.
+
+    A table partitioned by ``batch_id`` has that partition replaced; any other table takes
+    the rows through its ledger, under the query's and the batch's name."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(table) and "batch_id" in spark.table(table).columns:
-        columns = spark.table(table).columns
-        rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        missing, extra = set(columns) - set(rows.columns), set(rows.columns) - set(columns)
-        if missing or extra:
-            raise ValueError(f"schema mismatch for {table}: missing {sorted(missing)}, extra {sorted(extra)}")
-        key = "spark.sql.sources.partitionOverwriteMode"
-        mode = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")  # insertInto takes no write options
-        try:
-            rows.select(*columns).write.mode("overwrite").insertInto(table)
-        finally:
-            spark.conf.set(key, mode)
-        return True
-    return append_if_exists(df, table, stamp_col=None)
+    if not spark.catalog.tableExists(table):
+        return False
+    columns = spark.table(table).columns
+    if not any(c.name == "batch_id" and c.isPartition for c in spark.catalog.listColumns(table)):
+        if "batch_id" not in columns:
+            df = df.drop("batch_id")
+        return append_once(df, table, f"{query_id}/{batch_id}")
+    rows = df.drop("batch_id")
+    missing, extra = set(columns) - {"batch_id"} - set(rows.columns), set(rows.columns) - set(columns)
+    if missing or extra:
+        raise ValueError(f"schema mismatch for {table}: missing {sorted(missing)}, extra {sorted(extra)}")
+    names = ", ".join(f"`{c}`" for c in columns if c != "batch_id")
+    # a static partition: only this batch is replaced, whatever the session's overwrite mode
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT {names} FROM {{rows}}",
+              rows=rows)
+    return True
 
 
 def read_outputs(spark: SparkSession, path: str) -> DataFrame:
