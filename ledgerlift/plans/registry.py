@@ -16,11 +16,15 @@ from ledgerlift.operators.chunking import assign_chunks, chunk_progress
 from ledgerlift.operators.merge import insert_if_absent, unprocessed, upsert
 from ledgerlift.operators.quality import quality_report
 from ledgerlift.operators.source_order import assign_source_chunks
-from ledgerlift.plans import reports, upgrade
+from ledgerlift import schemas
+from ledgerlift.plans import incremental, reports, upgrade
+from ledgerlift.session import scratch_path
 from ledgerlift.sinks.tables import table_counts
+from ledgerlift.sinks.versioned import VersionedTables
 from ledgerlift.sinks.writers import detection_batches
 from ledgerlift.sources import tpch
 from ledgerlift.sources.dimension import importance_chain
+from ledgerlift.sources.quarantine import valid_or_reason
 
 # Parameters of the registered queries (fixed; the library takes them as arguments).
 THRESHOLD = 600            # mean transactions per merchant in the test tables
@@ -230,6 +234,54 @@ def q_unprocessed_orders(spark, sf):
     return unprocessed(listed, landed, ["o_orderkey"])
 
 
+def q_csv_valid_reject(spark, sf):
+    """Every line as a CSV record, some spoiled: a word as the amount, or a field too few."""
+    tx = _tx(spark, sf)
+    fields = {"step": "step", "customer": "customer", "merchant": "merchant",
+              "amount": "case when l_linenumber = 7 then 'n/a' else string(amount) end"}
+    record = [F.coalesce(F.expr(f"string({fields[c]})"), F.lit("")) if c in fields else F.lit("")
+              for c in schemas.TRANSACTIONS.fieldNames()[:-1]]
+    line = F.concat_ws(",", *record, F.when(F.col("l_linenumber") != 6, F.lit("0")))
+    lines = tx.select("l_orderkey", "l_linenumber", "l_partkey", line.alias("value"))
+    # integers that can be missing as text, which both engines write alike
+    return valid_or_reason(lines).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("step").cast("string"), "customer", "merchant", "amount",
+        F.col("fraud").cast("string"), "reject_reason")
+
+
+def merchant_state(spark, sf):
+    """The stored merchant tables after three batches that together hold every line."""
+    state = incremental.MerchantState(spark, scratch_path(spark, "merchant-state"), THRESHOLD, buckets=16,
+                                      customer_type="BIGINT", merchant_type="BIGINT")
+    tx, imp = _tx(spark, sf), _imp(spark, sf)
+    parts = [F.col("l_linenumber") <= 2, F.col("l_linenumber").between(3, 4),
+             F.coalesce(F.col("l_linenumber") > 4, F.lit(True))]
+    for version, part in enumerate(parts):
+        state.apply(tx.filter(part), imp, version, DETECTED_AT)
+    return state
+
+
+def q_incremental_detections(spark, sf):
+    return upgrade.detection_records(merchant_state(spark, sf).detections(), DETECTED_AT)
+
+
+def q_stored_merchant_tables(spark, sf):
+    """D1 and D2 as the stored tables hold them after the last batch."""
+    tables = merchant_state(spark, sf).tables
+    stats, scores = (tables.read(t).drop("created_at", "updated_at") for t in (incremental.STATS, incremental.SCORES))
+    return _rounded(stats.join(scores, ["customer", "merchant"]))
+
+
+def q_upsert_versioned(spark, sf):
+    """The upsert as versions of a stored table: only buckets with an updated key are rewritten."""
+    table = VersionedTables(spark, scratch_path(spark, "importance-versions"), {
+        "customer_importance": (tpch.customer_importance(spark, sf).schema.simpleString()[7:-1].replace(":", " "),
+                                ["Source"])}, buckets=32)
+    for part in ({"before": SPLIT_DATE}, {"since": SPLIT_DATE}):
+        table.upsert("customer_importance", tpch.customer_importance(spark, sf, **part), ["Source", "typeTrans"])
+    return table.read("customer_importance")
+
+
 def q_quality_report(spark, sf):
     return quality_report(_tx(spark, sf), ROW_KEY)
 
@@ -263,6 +315,10 @@ QUERIES: dict[str, Query] = {
     "detection_batches": q_detection_batches,
     "upsert_importance": q_upsert_importance,
     "upsert_importance_stamped": q_upsert_importance_stamped,
+    "upsert_versioned": q_upsert_versioned,
+    "incremental_detections": q_incremental_detections,
+    "stored_merchant_tables": q_stored_merchant_tables,
+    "csv_valid_reject": q_csv_valid_reject,
     "importance_fallback": q_importance_fallback,
     "insert_if_absent": q_insert_if_absent,
     "table_counts": q_table_counts,
@@ -453,6 +509,22 @@ SELECT * EXCLUDE (row_state),
        CASE row_state WHEN 'inserted' THEN '{STAMPS[1]}' ELSE '{STAMPS[0]}' END AS created_at,
        CASE row_state WHEN 'kept' THEN '{STAMPS[0]}' ELSE '{STAMPS[1]}' END AS updated_at
 FROM x""",
+    "upsert_versioned": f"WITH x AS ({_upsert_sql(False)}) SELECT * EXCLUDE (row_state) FROM x",
+    "incremental_detections": _detections_sql(THRESHOLD, 0.1, 0.1),
+    "stored_merchant_tables": f"""
+WITH {_TX}, {_IMP}, {_PAIRS}, {_SC}
+SELECT p.customer, p.merchant, transaction_count,
+       PERCENT_RANK() OVER (PARTITION BY p.merchant ORDER BY transaction_count DESC) AS merchant_rank,
+       ROUND(avg_weight, 6) AS avg_weight,
+       PERCENT_RANK() OVER (PARTITION BY p.merchant ORDER BY avg_weight) AS weight_rank
+FROM pairs p JOIN sc ON p.customer = sc.customer AND p.merchant = sc.merchant""",
+    "csv_valid_reject": f"""
+WITH {_TX}
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN ok THEN CAST(step AS VARCHAR) END AS step, CASE WHEN ok THEN CAST(customer AS VARCHAR) END AS customer,
+       CASE WHEN ok THEN CAST(merchant AS VARCHAR) END AS merchant, CASE WHEN ok THEN amount END AS amount,
+       CASE WHEN ok THEN '0' END AS fraud, CASE WHEN NOT ok THEN 'malformed' END AS reject_reason
+FROM (SELECT *, l_linenumber NOT IN (6, 7) AS ok FROM tx)""",
     "importance_fallback": tpch.IMPORTANCE_SQL,
     "insert_if_absent": _upsert_sql(True),
     "table_counts": f"""
