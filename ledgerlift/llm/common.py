@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlift.session import freeze, scratch_path
 
 __all__ = ["freeze", "freeze_packed", "table", "partitions", "total_bytes", "bucket_count",
-           "only", "scratch_path"]
+           "drop_frozen", "only", "scratch_path"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,15 @@ def bucket_count(df: DataFrame, bytes_in: int, bytes_each: int = 8 << 20) -> int
     return max(partitions(df), -(-bytes_in // bytes_each))
 
 
+def drop_frozen(*tables: DataFrame) -> None:
+    """Deletes frozen tables that nothing reads any more (their results have been written)."""
+    for df in tables:
+        jvm, files = df.sparkSession._jvm, df.inputFiles()
+        if files:
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def freeze_packed(df: DataFrame, name: str) -> DataFrame:
     """:func:`freeze` with zstd pages, for tables of hashes and packed arrays."""
     path = scratch_path(df.sparkSession, name)

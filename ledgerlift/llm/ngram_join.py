@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlift.llm import words
-from ledgerlift.llm.common import bucket_count, freeze, freeze_packed, only, total_bytes
+from ledgerlift.llm.common import bucket_count, drop_frozen, freeze, freeze_packed, only, total_bytes
 from ledgerlift.llm.components import components
 
 WORDS = 5
@@ -61,6 +61,7 @@ FRAGMENTS = 3
 SHORT_LIST = 8           # posting lists up to this length are always paired in full
 RING_DEGREE = 6          # verified neighbours per set and round while candidates are many
 RING_YIELD = 12          # rounds go on while one in so many sampled pairs links
+CROWD = 32               # sets of a component that is first met as a whole
 PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
@@ -94,13 +95,13 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
-_MAP_ROWS = ("bucket int, doc long, n long, key long, key2 long, shared long, "
+_MAP_ROWS = ("bucket int, doc long, at long, n long, key long, key2 long, shared long, "
              "tokens binary, sets binary")
 
 
 def _map_batch(bucket, **columns):
     size = len(bucket)
-    types = {"bucket": pa.int32(), "doc": pa.int64(), "n": pa.int64(), "key": pa.int64(),
+    types = {"bucket": pa.int32(), "doc": pa.int64(), "at": pa.int64(), "n": pa.int64(), "key": pa.int64(),
              "key2": pa.int64(), "shared": pa.int64(), "tokens": pa.binary(), "sets": pa.binary()}
     columns["bucket"] = bucket
     return pa.RecordBatch.from_arrays(
@@ -125,7 +126,7 @@ def by_bucket(tokens: np.ndarray, buckets: int):
 
 
 def _prefix_rows(buckets: int, percent: int):
-    """mapInArrow: (doc, text) -> set rows, shared counts, and packed prefixes."""
+    """mapInArrow: (doc, text, text hash) -> set rows, shared counts, and packed prefixes."""
     def emit(tokens, keys):
         tokens, keys = np.concatenate(tokens), np.concatenate(keys)
         order = np.lexsort((keys, tokens))
@@ -164,7 +165,7 @@ def _prefix_rows(buckets: int, percent: int):
                         tokens, keys, held = [], [], 0
             n, key, key2 = zip(*rows, strict=True) if rows else ((), (), ())
             yield _map_batch(np.arange(len(rows), dtype=np.int32) % buckets, doc=batch.column(0),
-                             n=n, key=key, key2=key2)
+                             at=batch.column(2), n=n, key=key, key2=key2)
         if tokens:
             yield from emit(tokens, keys)
     return run
@@ -196,7 +197,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     hit = np.repeat(sets > 1, size) & new_key & ~seen[group]
     held, times = np.unique(key[hit], return_counts=True)
     counts = pa.table({"key": pa.array(held.view(np.int64)), "shared": pa.array(times, pa.int64())})
-    for name, field in (("doc", pa.int64()), ("n", pa.int64()), ("key2", pa.int64())):
+    for name, field in (("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("key2", pa.int64())):
         counts = counts.append_column(name, pa.nulls(len(held), field))
     return pa.concat_tables([passed, counts.select(passed.column_names)])
 
@@ -204,7 +205,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
 def _segments(buckets: int):
     """mapInArrow: (key, text) -> packed (token, set index) per bucket, whole sets."""
     def run(batches):
-        tokens, keys, held = [], [], 0
+        tokens, keys, held, seen = [], [], 0, set()
 
         def emit():
             token, key = np.concatenate(tokens), np.concatenate(keys)
@@ -216,7 +217,9 @@ def _segments(buckets: int):
         for batch in batches:
             wanted = batch.column(0).to_pylist()
             for key, s in zip(wanted, shingle_sets(batch.column(1)), strict=True):
-                if len(s) and _digest(s)[0] == key:
+                # equal rows of one id: once a task is enough
+                if len(s) and key not in seen and _digest(s)[0] == key:
+                    seen.add(key)
                     tokens.append(s)
                     keys.append(np.full(len(s), key, np.int64))
                     held += 16 * len(s)
@@ -282,7 +285,8 @@ def _fragment_rows(cuts: list[tuple[int, int]]):
     return run
 
 
-FIELDS = np.dtype([("token", "<u8"), ("key", "<i8"), ("root", "<i8"), ("n", "<i4"), ("left", "<i4")])
+# ``crowd``: see _last_pairs; 0 elsewhere
+FIELDS = np.dtype([("token", "<u8"), ("key", "<i8"), ("root", "<i8"), ("crowd", "<i8"), ("n", "<i4"), ("left", "<i4")])
 
 
 def _prefixes(percent: int):
@@ -307,10 +311,12 @@ def _postings(buckets: int):
     def run(batches):
         for batch in batches:
             parts = []
-            for key, n, shared, root, tokens in zip(*(batch.column(c).to_pylist() for c in (
-                    "key", "n", "shared", "root", "tokens")), strict=True):
+            crowd = batch.column("crowd").to_pylist() if "crowd" in batch.schema.names else [0] * len(batch)
+            for key, n, shared, root, tokens, c in zip(*(batch.column(c).to_pylist() for c in (
+                    "key", "n", "shared", "root", "tokens")), crowd, strict=True):
                 token = np.frombuffer(tokens, np.uint64)
                 part = np.zeros(len(token), FIELDS)
+                part["crowd"] = c
                 part["token"], part["key"], part["root"], part["n"] = token, key, root, n
                 part["left"] = shared - np.arange(len(token))
                 parts.append(part)
@@ -325,7 +331,10 @@ def _postings(buckets: int):
 
 def _lists(table: pa.Table):
     """``(postings, first, size)`` of the bucket's lists with sets of more than one component."""
-    posting = _columns(table, "postings", FIELDS)
+    return _runs(_columns(table, "postings", FIELDS))
+
+
+def _runs(posting: np.ndarray):
     posting = posting[np.lexsort((posting["key"], posting["n"], posting["token"]))]
     if not len(posting):
         return posting, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -431,6 +440,96 @@ def verified(pairs: DataFrame, fragments: DataFrame, parts: int, percent: int) -
     return pairs.select("a", "b")
 
 
+_PAIRS = "a long, b long, na long, nb long"
+
+
+def _by_list(known: DataFrame, buckets: int):
+    """Prefixes with their root, as postings grouped by bucket of lists."""
+    return known.mapInArrow(_postings(buckets), "bucket int, postings binary").groupBy("bucket")
+
+
+def _crowd_rows(crowds: bool, percent: int):
+    """applyInArrow over lists whose postings know their crowd (``left`` is kept; see FIELDS).
+
+    ``crowds=False``: fitting pairs of sets that are both in no crowd.
+    ``crowds=True``: each set with each crowd, not its own, that has a set in one of its lists."""
+    def run(table: pa.Table) -> pa.Table:
+        posting, first, size = _lists(table)
+        if crowds:
+            out = [np.zeros((0, 3), np.int64)]
+            for at, m in zip(first, size, strict=True):
+                x = posting[at:at + m]
+                for c in np.unique(x["root"][x["crowd"] > 0]):
+                    y = x[x["root"] != c]
+                    out.append(np.stack([y["key"], np.full(len(y), c), y["n"].astype(np.int64)], axis=1))
+            both = np.unique(np.concatenate(out), axis=0)
+            return pa.table({c: pa.array(both[:, i]) for i, c in enumerate(("key", "crowd", "n"))})
+        plain = posting[posting["crowd"] == 0]
+        return _pair_table(_fitting(*_runs(plain), percent))
+    return run
+
+
+def _members(percent: int):
+    """applyInArrow: fitting pairs of a set with the members of a crowd that it may link with.
+
+    ``crowd`` is the crowd a posting asks for, 0 in a member's own posting."""
+    def run(table: pa.Table) -> pa.Table:
+        posting, first, size = _lists(table)
+
+        def blocks():
+            for at, m in zip(first, size, strict=True):
+                x = posting[at:at + m]
+                asks, has = x[x["crowd"] != 0], x[x["crowd"] == 0]
+                has = has[np.argsort(has["root"], kind="stable")]
+                lo = np.searchsorted(has["root"], asks["crowd"], "left")
+                hi = np.searchsorted(has["root"], asks["crowd"], "right")
+                for a, i, j in zip(asks, lo, hi, strict=True):
+                    for k in range(i, j, PAIR_BLOCK):
+                        b = has[k:min(k + PAIR_BLOCK, j)]
+                        b = b[_fits(b, a, percent)]
+                        yield np.repeat(np.array([a], FIELDS), len(b)), b
+        return _pair_table(blocks())
+    return run
+
+
+def _exploded(batches):
+    """mapInArrow: (key, crowd, n, tokens) -> a row per token."""
+    for batch in batches:
+        parts = [np.frombuffer(t, np.int64) for t in batch.column("tokens").to_pylist()]
+        size = np.array([len(p) for p in parts], np.int64)
+        if size.sum():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in ("key", "crowd", "n")]
+                + [pa.array(np.concatenate(parts))], ["key", "crowd", "n", "token"])
+
+
+def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """Every pair of different components that may still link.
+
+    A component of ``CROWD`` sets or more is first met as a whole: a set whose overlap with
+    the *union* of the crowd's sets doesn't reach what it needs links with none of them (one row
+    per set and crowd, however large the crowd).  Only the others meet its members."""
+    crowd = freeze(known.groupBy("root").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") >= CROWD)
+                   .select(F.col("root").alias("crowd")), "near-crowds")
+    if crowd.isEmpty():
+        return _by_list(known, buckets).applyInArrow(_all_pairs(percent), _PAIRS).distinct()
+    marked = freeze_packed(known.join(crowd, F.col("root") == F.col("crowd"), "left")
+                           .withColumn("crowd", F.col("crowd").isNotNull().cast("long")), "near-known")
+    plain = _by_list(marked, buckets).applyInArrow(_crowd_rows(False, percent), _PAIRS).distinct()
+    asked = freeze(_by_list(marked, buckets).applyInArrow(
+        _crowd_rows(True, percent), "key long, crowd long, n long").distinct(), "near-asked")
+    row = "key long, crowd long, n long, token long"
+    union = (fragments.join(marked.filter("crowd > 0").select("key", "root", "n"), "key")
+             .select(F.lit(0).cast("long").alias("key"), F.col("root").alias("crowd"), F.col("n"), "tokens")
+             .mapInArrow(_exploded, row).select("crowd", "token").distinct())
+    own = fragments.join(asked, "key").select("key", "crowd", "n", "tokens").mapInArrow(_exploded, row)
+    able = freeze(own.join(union, ["crowd", "token"]).groupBy("key", "crowd", "n").agg(F.count(F.lit(1)).alias("c"))
+                  .filter(f"100 * c >= {percent} * n").select("key", "crowd"), "near-able")
+    asks = marked.drop("crowd").join(able, "key")
+    has = marked.filter("crowd > 0").withColumn("crowd", F.lit(0).cast("long"))
+    return plain.union(_by_list(asks.unionByName(has), buckets).applyInArrow(_members(percent), _PAIRS)).distinct()
+
+
 def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
     """Places that cut the global order (frequency, token) into parts of about equal weight.
 
@@ -463,22 +562,25 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     buckets = bucket_count(texts, size)
 
     # 1 and 2: sets, classes and the sparse counts, in one pass over the texts
+    texts = texts.select("doc", "text", F.xxhash64("text").alias("at"))
     first = freeze(texts.mapInArrow(_prefix_rows(buckets, percent), _MAP_ROWS)
                    .groupBy("bucket").applyInArrow(
-                       _count_shared, "doc long, n long, key long, key2 long, shared long"), "sets")
+                       _count_shared, "doc long, at long, n long, key long, key2 long, shared long"), "sets")
     rows = first.filter("n is not null")
+    # a class is read again from one of its rows: the least by (id, text hash), an id before none
     classes = (rows.filter("n > 0").groupBy("key", "key2", "n")
-               .agg(F.min("doc").alias("doc")))
+               .agg(F.min("doc").alias("doc"), F.min(F.struct(F.col("doc").isNull(), "doc", "at")).alias("one")))
     enough = f"shared >= ceil(ceil({percent} * n / 100) / {SPARE})"
     shared = first.filter("shared is not null").groupBy("key").agg(F.sum("shared").alias("shared"))
     live = freeze(classes.join(shared, "key").filter(enough)
-                  .select("key", "n", "doc"), "live-sets")
+                  .selectExpr("key", "n", "one.doc as doc", "one.at as at"), "live-sets")
 
     # 3: whole sets of what is left, the global order and its fragments
     live_bytes = 16 * int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     buckets = max(1, -(-live_bytes // (16 << 20)))
-    whole = (texts.join(live.select(F.col("doc").alias("live_doc"), "key"),
-                        F.col("doc").eqNullSafe(F.col("live_doc"))).select("key", "text"))
+    one = live.select(F.col("doc").alias("live_doc"), F.col("at").alias("live_at"), "key")
+    whole = texts.join(one, F.col("doc").eqNullSafe(F.col("live_doc")) & (F.col("at") == F.col("live_at"))) \
+        .select("key", "text")
     counted = freeze_packed(
         whole.mapInArrow(_segments(buckets), "bucket int, tokens binary, sets binary")
         .groupBy("bucket").applyInArrow(_with_frequency, "key long, shared long, tokens binary, counts binary"),
@@ -488,6 +590,7 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
              .filter(f"100 * shared >= {percent} * n").select("key", "n"))
     ordered = freeze_packed(counted.join(alive, "key").groupBy("key").applyInArrow(
         _ordered, "key long, n long, tokens binary, counts binary"), "ordered")
+    drop_frozen(counted, live)  # spent tables leave the shared folder
     cuts = global_cuts(ordered, FRAGMENTS)
     fragments = freeze_packed(ordered.mapInArrow(
         _fragment_rows(cuts), "key long, fragment int, tokens binary, rest int"), "fragments")
@@ -495,20 +598,18 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # 4 and 5: rounds of candidates, verified by fragment
     prefixes = freeze_packed(ordered.select("key", "n", "tokens").mapInArrow(
         _prefixes(percent), "key long, n long, shared long, tokens binary"), "prefixes")
+    drop_frozen(ordered)
     roots, turn, last = None, 0, False
-    pair_schema = "a long, b long, na long, nb long"
     while True:
-        known = prefixes.withColumn("root", F.col("key")) if roots is None else \
-            prefixes.join(roots, F.col("key") == F.col("node"), "left") \
-            .withColumn("root", F.coalesce("root", "key"))
-        postings = known.select("key", "n", "shared", "root", "tokens").mapInArrow(
-            _postings(buckets), "bucket int, postings binary").groupBy("bucket")
-        pairs = postings.applyInArrow(_all_pairs(percent) if last else _some_pairs(percent, turn),
-                                      pair_schema).distinct()
-        if not last:
-            pairs = pairs.selectExpr(
-                "*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r") \
-                .filter(f"r <= {RING_DEGREE}").drop("r")
+        known = (prefixes.withColumn("root", F.col("key")) if roots is None else
+                 prefixes.join(roots, F.col("key") == F.col("node"), "left")
+                 .withColumn("root", F.coalesce("root", "key"))).select("key", "n", "shared", "root", "tokens")
+        if last:
+            pairs = _last_pairs(known, fragments, buckets, percent)
+        else:
+            pairs = (_by_list(known, buckets).applyInArrow(_some_pairs(percent, turn), _PAIRS).distinct()
+                     .selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r")
+                     .filter(f"r <= {RING_DEGREE}").drop("r"))
         pairs = freeze(pairs, "near-pairs")
         n_pairs, n_found = pairs.count(), 0
         if n_pairs:
@@ -517,6 +618,8 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             if n_found:
                 links = found if roots is None else found.union(roots.select("node", "root"))
                 roots = freeze(components(links), "near-roots")
+            drop_frozen(found)
+        drop_frozen(pairs)
         if last:
             break
         # once most sampled neighbours fail, what is left hardly links: verify all of it

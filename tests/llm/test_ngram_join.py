@@ -106,3 +106,46 @@ def test_one_per_group(edge_docs, docs, no_docs):
         assert {i for i, _, _ in want} >= set(kept_ids)
         # no two kept texts link
         assert all(c[2] == c[0] for c in brute([(i, r.text) for i, r in enumerate(kept)]))
+
+
+def test_few_and_many_links_join_alike(spark):
+    rnd = random.Random(8)
+    links = [(rnd.randint(0, 400), rnd.randint(0, 400)) for _ in range(230)] + [(i, i + 1) for i in range(1000, 1080)]
+    df = spark.createDataFrame(links, "a long, b long")
+    assert sorted(map(tuple, components(df).collect())) == sorted(map(tuple, components(df, few_links=0).collect()))
+
+
+@pytest.mark.parametrize("crowd", [2, 8, 32])
+def test_sets_beside_a_crowd(spark, monkeypatch, crowd):
+    """Sets that share a crowd's shingles: some link with a member, most with none."""
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    rnd = random.Random(6)
+    rows = []
+    for g in range(2):
+        base = [f"g{g}w{i}" for i in range(60)]
+        for i in range(50):
+            copy = list(base)
+            copy[rnd.randrange(60)] = f"g{g}n{i}"
+            rows.append(" ".join(copy))
+        for i in range(40):  # beside it: a part of the base and words of its own
+            keep = rnd.randint(25, 58)
+            rows.append(" ".join(base[:keep] + [f"g{g}s{i}x{j}" for j in range(60 - keep)]))
+        rows += [" ".join(base[j:j + 30]) for j in range(0, 30, 3)]
+    rows = list(enumerate(rows))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(df) == brute(rows)
+
+
+def test_null_and_repeated_ids(spark):
+    """Many rows without an id, and many under one: a set is read from one row, not from all of them."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(150):
+        text = [f"t{i}w{j}" for j in range(20)]
+        near = [*text[:-1], "changed"]
+        rows += [(None if i % 2 else 7, " ".join(text)), (None if i % 3 else 7, " ".join(near))]
+    rows += [(None, rows[0][1])] * 30 + [(500, rows[1][1])]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(df) == brute(rows)
