@@ -61,7 +61,9 @@ FRAGMENTS = 3
 SHORT_LIST = 8           # posting lists up to this length are always paired in full
 RING_DEGREE = 6          # verified neighbours per set and round while candidates are many
 RING_YIELD = 12          # rounds go on while one in so many sampled pairs links
-CROWD = 32               # sets of a component that is first met as a whole
+CROWD = 32               # sets of a component that is first met by units of it
+HUBS = 8                 # sets of a unit that a set beside the crowd is compared with first
+BAND = 1.03              # sizes of a unit's sets differ by less than this factor
 PAIR_BLOCK = 1 << 18     # pairs looked at together
 PIECE = 4 << 20          # packed bytes a mapper holds before it emits them
 
@@ -449,19 +451,20 @@ def _by_list(known: DataFrame, buckets: int):
 
 
 def _crowd_rows(crowds: bool, percent: int):
-    """applyInArrow over lists whose postings know their crowd (``left`` is kept; see FIELDS).
+    """applyInArrow over lists whose postings know their unit of a crowd (``crowd``; 0: in none).
 
     ``crowds=False``: fitting pairs of sets that are both in no crowd.
-    ``crowds=True``: each set with each crowd, not its own, that has a set in one of its lists."""
+    ``crowds=True``: each set with each unit of another crowd that has a set in one of its lists."""
     def run(table: pa.Table) -> pa.Table:
         posting, first, size = _lists(table)
         if crowds:
             out = [np.zeros((0, 3), np.int64)]
             for at, m in zip(first, size, strict=True):
                 x = posting[at:at + m]
-                for c in np.unique(x["root"][x["crowd"] > 0]):
-                    y = x[x["root"] != c]
-                    out.append(np.stack([y["key"], np.full(len(y), c), y["n"].astype(np.int64)], axis=1))
+                units, one = np.unique(x["crowd"], return_index=True)
+                for unit, root in zip(units[units != 0], x["root"][one][units != 0], strict=True):
+                    y = x[x["root"] != root]
+                    out.append(np.stack([y["key"], np.full(len(y), unit), y["n"].astype(np.int64)], axis=1))
             both = np.unique(np.concatenate(out), axis=0)
             return pa.table({c: pa.array(both[:, i]) for i, c in enumerate(("key", "crowd", "n"))})
         plain = posting[posting["crowd"] == 0]
@@ -470,9 +473,9 @@ def _crowd_rows(crowds: bool, percent: int):
 
 
 def _members(percent: int):
-    """applyInArrow: fitting pairs of a set with the members of a crowd that it may link with.
+    """applyInArrow: fitting pairs of a set with the members of a unit that it may link with.
 
-    ``crowd`` is the crowd a posting asks for, 0 in a member's own posting."""
+    ``crowd`` is the unit a posting asks for; a member's own posting has 0 there, and its unit as root."""
     def run(table: pa.Table) -> pa.Table:
         posting, first, size = _lists(table)
 
@@ -503,31 +506,50 @@ def _exploded(batches):
                 + [pa.array(np.concatenate(parts))], ["key", "crowd", "n", "token"])
 
 
-def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, percent: int) -> DataFrame:
+def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int, percent: int) -> DataFrame:
     """Every pair of different components that may still link.
 
-    A component of ``CROWD`` sets or more is first met as a whole: a set whose overlap with
-    the *union* of the crowd's sets doesn't reach what it needs links with none of them (one row
-    per set and crowd, however large the crowd).  Only the others meet its members."""
+    A component of ``CROWD`` sets or more is first met by units: its sets of about one size.
+    A set whose overlap with the *union* of a unit's sets doesn't reach what it needs with the
+    smallest of them links with none (one row per set and unit, however many sets the unit has).
+    The others are first compared with the unit's ``HUBS`` sets that have the fewest shingles
+    of their own: one link joins them to the crowd.  Only what is left meets every member."""
     crowd = freeze(known.groupBy("root").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") >= CROWD)
-                   .select(F.col("root").alias("crowd")), "near-crowds")
+                   .select(F.col("root").alias("crowd_root")), "near-crowds")
     if crowd.isEmpty():
         return _by_list(known, buckets).applyInArrow(_all_pairs(percent), _PAIRS).distinct()
-    marked = freeze_packed(known.join(crowd, F.col("root") == F.col("crowd"), "left")
-                           .withColumn("crowd", F.col("crowd").isNotNull().cast("long")), "near-known")
+    band = F.floor(F.log("n") / F.log(F.lit(BAND)))
+    marked = freeze_packed(known.join(crowd, F.col("root") == F.col("crowd_root"), "left").withColumn(
+        "crowd", F.when(F.col("crowd_root").isNull(), 0).otherwise(F.xxhash64("root", band))).drop("crowd_root"),
+        "near-known")
+    members = marked.filter("crowd <> 0")
+    units = members.groupBy("crowd").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("root").alias("home"))
     plain = _by_list(marked, buckets).applyInArrow(_crowd_rows(False, percent), _PAIRS).distinct()
-    asked = freeze(_by_list(marked, buckets).applyInArrow(
-        _crowd_rows(True, percent), "key long, crowd long, n long").distinct(), "near-asked")
+    asked = _by_list(marked, buckets).applyInArrow(
+        _crowd_rows(True, percent), "key long, crowd long, n long").distinct()
+    # sizes must fit; what is needed with the smallest set that does
+    least = f"ceil({percent} * (n + greatest(low, ceil({percent} * n / 100))) / {100 + percent})"
+    asked = freeze(asked.join(units, "crowd").filter(f"100 * high >= {percent} * n and 100 * n >= {percent} * low")
+                   .selectExpr("key", "crowd", f"{least} as n", "home", "n as size"), "near-asked")
     row = "key long, crowd long, n long, token long"
-    union = (fragments.join(marked.filter("crowd > 0").select("key", "root", "n"), "key")
-             .select(F.lit(0).cast("long").alias("key"), F.col("root").alias("crowd"), F.col("n"), "tokens")
+    union = (fragments.join(members.select("key", "crowd", "n"), "key").select("key", "crowd", "n", "tokens")
              .mapInArrow(_exploded, row).select("crowd", "token").distinct())
     own = fragments.join(asked, "key").select("key", "crowd", "n", "tokens").mapInArrow(_exploded, row)
-    able = freeze(own.join(union, ["crowd", "token"]).groupBy("key", "crowd", "n").agg(F.count(F.lit(1)).alias("c"))
-                  .filter(f"100 * c >= {percent} * n").select("key", "crowd"), "near-able")
-    asks = marked.drop("crowd").join(able, "key")
-    has = marked.filter("crowd > 0").withColumn("crowd", F.lit(0).cast("long"))
-    return plain.union(_by_list(asks.unionByName(has), buckets).applyInArrow(_members(percent), _PAIRS)).distinct()
+    enough = (own.join(union, ["crowd", "token"]).groupBy("key", "crowd", "n").agg(F.count(F.lit(1)).alias("c"))
+              .filter("c >= n").select("key", "crowd"))
+    able = freeze(asked.drop("n").join(enough, ["key", "crowd"]), "near-able")
+    hubs = members.selectExpr("crowd", "key as hub", "n as hub_size",
+                              "row_number() over (partition by crowd order by n - shared, key) as r").filter(f"r <= {HUBS}")
+    tried = freeze(able.join(hubs, "crowd").selectExpr(
+        "key", "home", "least(key, hub) as a", "greatest(key, hub) as b",
+        "if(key < hub, size, hub_size) as na", "if(key < hub, hub_size, size) as nb"), "near-tried")
+    hits = tried.join(freeze(verified(tried.select("a", "b", "na", "nb").distinct(), fragments, parts, percent),
+                             "near-hits"), ["a", "b"])
+    rest = able.join(hits.select("key", "home").distinct(), ["key", "home"], "left_anti").select("key", "crowd")
+    asks = marked.drop("crowd").join(rest, "key")
+    has = members.withColumn("root", F.col("crowd")).withColumn("crowd", F.lit(0).cast("long"))
+    pairs = _by_list(asks.unionByName(has), buckets).applyInArrow(_members(percent), _PAIRS)
+    return plain.union(pairs).union(hits.select("a", "b", "na", "nb")).distinct()
 
 
 def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
@@ -605,7 +627,7 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                  prefixes.join(roots, F.col("key") == F.col("node"), "left")
                  .withColumn("root", F.coalesce("root", "key"))).select("key", "n", "shared", "root", "tokens")
         if last:
-            pairs = _last_pairs(known, fragments, buckets, percent)
+            pairs = _last_pairs(known, fragments, buckets, len(cuts) + 1, percent)
         else:
             pairs = (_by_list(known, buckets).applyInArrow(_some_pairs(percent, turn), _PAIRS).distinct()
                      .selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r")
