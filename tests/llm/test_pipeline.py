@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11)) and len(QUERIES) == 10
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14)) and len(QUERIES) == 13
     assert set(ORACLE_SQL) <= set(QUERIES)
     import __spark_entry__ as entry
 
