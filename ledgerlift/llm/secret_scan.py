@@ -30,6 +30,8 @@ text; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +85,10 @@ def base_spans(text: str, assign, access, hexes, run) -> tuple[list, list, list]
             runs.append((at, m.end(), value))
     if spans:
         spans.sort()
-        runs = [r for r in runs if not any(r[0] < end and start < r[1] for start, _, end in spans)]
+        # of the spans that start before a run ends, the furthest end tells whether one touches it
+        starts = [start for start, _, _ in spans]
+        furthest = list(accumulate((end for _, _, end in spans), max))
+        runs = [r for r in runs if not (n := bisect_left(starts, r[1])) or furthest[n - 1] <= r[0]]
     return spans, secret, runs
 
 

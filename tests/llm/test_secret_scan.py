@@ -96,3 +96,29 @@ def test_unnamed_secrets_do_not_move_the_cut(spark):
         found = {r.doc_id: r.spans for r in S.with_digests(S.find_secrets(both)).collect()}
         missed = [d for d, _ in extra if "markov" not in found[d]]
         assert len(missed) <= len(set(t for _, t in extra)) // 50, len(missed)
+
+
+def test_runs_beside_many_base_spans():
+    """The sweep over both sorted lists leaves the runs that no span touches, in one pass."""
+    import time
+
+    rnd = random.Random(9)
+    tools = [re.compile(S.ASSIGN, re.I | re.A), re.compile(S.ACCESS), re.compile(S.HEX),
+             re.compile(S.RUN[:-1] + "{%d,}" % S.LEAST["run"])]
+
+    def text(n):
+        words = []
+        for i in range(n):
+            words.append("%040x" % rnd.getrandbits(160) if i % 3 else random_string(rnd, 20))
+            if i % 50 == 0:
+                words.append(f"token: {random_string(rnd, 15)}.0123456789abcdef")
+        return " ".join(words)
+    small = text(400)
+    spans, _, runs = S.base_spans(small, *tools)
+    every = [(m.start(), m.end(), m[0]) for m in tools[3].finditer(small) if S.LETTER.search(m[0])]
+    assert spans == brute(small)
+    assert runs == [r for r in every if not any(r[0] < end and start < r[1] for start, _, end in spans)]
+    assert 50 < len(runs) < len(every)
+    began = time.perf_counter()
+    S.base_spans(text(60_000), *tools)
+    assert time.perf_counter() - began < 10  # pair by pair this took minutes
