@@ -10,7 +10,8 @@ asked again with other numbers and names has the same template.
    is hashed, and every window, rich in plain words or not, by its *real tokens* (words
    without case and edge punctuation, slot values included).  Real tokens don't depend
    on what stands around a word, so verbatim copies match wherever they are quoted or
-   wrapped.  The benchmark's hashes set bits in a filter of fixed size.
+   wrapped.  The benchmark's hashes set bits in a filter sized by their number, ``FILTER_BYTES``
+   at most; a fuller filter lets more windows through and loses none.
 2. Document windows that pass the filter -- few, unless the filter is full, and
    then still all that matter -- are hash-joined with the benchmark windows.
 3. Matches of one document and item on one diagonal (document position minus item
@@ -25,8 +26,9 @@ A very common passage spreads over the join by document; what is grouped is one
 (document, item, diagonal), which is no longer than the item, and then one row for each
 diagonal of a document and item.
 
-Defined cases: null or empty texts, and items of fewer than ``SHORTEST`` tokens,
-match nothing; an item shorter than a window is one window of its whole length, and
+Defined cases: null or empty texts, and items without a letter or digit, match nothing;
+an item of fewer than ``SHORTEST`` tokens is found only word for word and as a whole, at
+the first of its places in a document; an item shorter than a window is one window of its whole length, and
 documents are then cut into windows of that length too;
 repeated documents are reported row by row, equal items once each; null item ids are
 reported as null, null document ids too; empty tables give no rows; other columns are
@@ -50,11 +52,12 @@ from ledgerlift.llm.wordcache import distinct_words
 
 WINDOW = 8
 LITERALS = 5
-SHORTEST = 5                  # tokens of an item
+SHORTEST = 5                  # tokens of an item that is found by its template, too
 COVER = 13
 SHARE = 80
 NEAR = WINDOW
-FILTER_BITS = 1 << 24         # 2 MB, whatever the benchmark's size
+FILTER_BITS = 16              # for each benchmark window
+FILTER_BYTES = (1 << 21, 1 << 24)  # least and most of the filter
 KEEP_WORDS = 300_000
 
 # Fixed word lists.
@@ -159,7 +162,7 @@ def _rows_of(batch: pa.RecordBatch, templates: Templates, widths, bits: np.ndarr
         key, at, row, width, real = keyed_windows(tokens, widths, whole=bits is None)
         length = np.diff(tokens[3])
         if bits is not None:
-            hit = filter_has(bits, key)
+            hit = first_places(key, at, row, width, filter_has(bits, key))
             key, at, row, width, real = key[hit], at[hit], row[hit], width[hit], real[hit]
         if not len(key):
             continue
@@ -171,13 +174,32 @@ def _rows_of(batch: pa.RecordBatch, templates: Templates, widths, bits: np.ndarr
                "key": pa.array(key.view(np.int64)), "slots": pa.array(slots, pa.binary()), "real": pa.array(real)}
 
 
-def filter_places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return ((key >> np.uint64(40)).astype(np.int64), (key & np.uint64(FILTER_BITS - 1)).astype(np.int64))
+def first_places(key, at, row, width, hit: np.ndarray) -> np.ndarray:
+    """``hit``, of windows shorter than ``SHORTEST`` only the first of each row and key: such a
+    window is a whole item, so one place says all."""
+    hit = hit.copy()
+    short = np.flatnonzero(hit & (width < SHORTEST))
+    short = short[np.lexsort((at[short], key[short], row[short]))]
+    again = (key[short[1:]] == key[short[:-1]]) & (row[short[1:]] == row[short[:-1]])
+    hit[short[1:][again]] = False
+    return hit
+
+
+def filter_bytes(windows: int) -> int:
+    """A power of two with ``FILTER_BITS`` for each window, within ``FILTER_BYTES``."""
+    least, most = FILTER_BYTES
+    return min(max(1 << (FILTER_BITS * windows // 8).bit_length(), least), most)
+
+
+def filter_places(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a filter of ``size`` bytes for each key: from its high and its low bits."""
+    high = np.uint64(64 - (8 * size).bit_length() + 1)
+    return ((key >> high).astype(np.int64), (key & np.uint64(8 * size - 1)).astype(np.int64))
 
 
 def filter_has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     found = np.ones(len(key), bool)
-    for place in filter_places(key):
+    for place in filter_places(key, len(bits)):
         found &= (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
     return found
 
@@ -185,23 +207,25 @@ def filter_has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
 def _items(batches):
     templates = Templates()
     for batch in batches:
-        for r in _rows_of(batch, templates, range(SHORTEST, WINDOW + 1), None):
+        for r in _rows_of(batch, templates, range(1, WINDOW + 1), None):
             yield pa.RecordBatch.from_pydict({"item": r.pop("id")} | r)
 
 
 PART = 1 << 16
 
 
-def _filter_parts(batches):
+def _filter_parts(size: int):
     """mapInArrow: window keys -> the parts of this task's filter that have a bit."""
-    bits = np.zeros(FILTER_BITS, bool)
-    for batch in batches:
-        for place in filter_places(batch.column(0).to_numpy().view(np.uint64)):
-            bits[place] = True
-    packed = np.packbits(bits, bitorder="little").reshape(-1, PART)
-    at = np.flatnonzero(packed.any(axis=1))
-    yield pa.RecordBatch.from_pydict({"part": pa.array(at, pa.int32()),
-                                      "bits": pa.array([packed[i].tobytes() for i in at], pa.binary())})
+    def run(batches):
+        bits = np.zeros(8 * size, bool)
+        for batch in batches:
+            for place in filter_places(batch.column(0).to_numpy().view(np.uint64), size):
+                bits[place] = True
+        packed = np.packbits(bits, bitorder="little").reshape(-1, PART)
+        at = np.flatnonzero(packed.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"part": pa.array(at, pa.int32()),
+                                          "bits": pa.array([packed[i].tobytes() for i in at], pa.binary())})
+    return run
 
 
 def _or_parts(batches):
@@ -307,9 +331,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     widths = sorted(r[0] for r in items.select(F.expr("length(slots) div 8")).distinct().collect())
     if not widths:
         widths = [WINDOW]
-    parts = (items.select("key").mapInArrow(_filter_parts, "part int, bits binary")
-             .repartition("part").mapInArrow(_or_parts, "part int, bits binary").collect())  # 2 MB at most
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    size = filter_bytes(items.count())
+    parts = (items.select("key").mapInArrow(_filter_parts(size), "part int, bits binary")
+             .repartition("part").mapInArrow(_or_parts, "part int, bits binary").collect())  # FILTER_BYTES at most
+    bits = np.zeros(size, np.uint8)
     for r in parts:
         bits[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["bits"], np.uint8)
     texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))

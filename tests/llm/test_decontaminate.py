@@ -104,3 +104,29 @@ def test_pieces_on_two_diagonals_need_the_same_slots(spark):
     item = [(1, "a train covers 40 miles of open country and later it covers 40 miles again on the line home")]
     piece = "a train covers 70 miles of open country and yes later it covers {} miles again on the line home"
     assert run(spark, [piece.format(70), piece.format(80)], item) == [(0, 1)]
+
+
+def test_items_of_few_tokens(spark):
+    """Found word for word and as a whole, once a document; nothing less than the whole item."""
+    item = [(1, "Blue Danube waltz"), (2, "photosynthesis"), (3, "Who wrote Hamlet?"), (4, "?!"), (5, "a b c d"),
+            (6, "12 km")]
+    texts = ["They played the blue danube waltz and once more the Blue Danube Waltz.", "blue danube, but no dance",
+             "Photosynthesis! photosynthesis " * 50, "asked who wrote Hamlet? then", "a b c x d", "over 12 km today", "13 km", "?!", None]
+    assert run(spark, texts, item) == [(0, 1), (2, 2), (3, 3), (5, 6)]
+
+
+def test_filter_grows_with_the_benchmark():
+    import numpy as np
+
+    sizes = [D.filter_bytes(n) for n in (0, 1000, 10 ** 6, 3 * 10 ** 6, 10 ** 12)]
+    assert sizes == [1 << 21, 1 << 21, 1 << 21, 1 << 23, 1 << 24]
+    rnd = np.random.default_rng(1)
+    key = rnd.integers(0, 1 << 63, 200_000, np.uint64) * np.uint64(2) + np.uint64(1)
+    for size in (1 << 21, 1 << 23):
+        packed = np.zeros(8 * size, bool)
+        for place in D.filter_places(key[:100_000], size):
+            assert place.min() >= 0 and place.max() < 8 * size
+            packed[place] = True
+        bits = np.packbits(packed, bitorder="little")
+        assert D.filter_has(bits, key[:100_000]).all()
+        assert D.filter_has(bits, key[100_000:]).mean() < 0.01
