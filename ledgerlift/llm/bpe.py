@@ -15,7 +15,8 @@ can change.  :func:`sufficient_lookahead` computes that number from the list.
 *Transducer.*  Symbols are read into a buffer of constant size; the buffer is
 merged, its stable tokens are emitted and their symbols dropped.  A token
 boundary splits the rest of the work exactly, since no merge ever crosses it.
-Memory does not depend on the length of a piece.
+Memory does not depend on the length of a piece.  A piece shorter than the buffer is
+merged at once: that is the same machine before its first emission.
 
 *Decoding* is a state machine fed with ids: it either writes the tokens' own
 strings with a space between (files without a decoder, as ``word_bpe_49k``), or
@@ -23,7 +24,7 @@ their bytes, holding back an unfinished UTF-8 sequence.
 
 Normalisation and the cut into pieces are those of the tokenizer's file; for
 plain words the same cut is a pattern.  Ids of repeated words and pieces come
-from the bounded per-task pools of :mod:`ledgerlift.llm.wordcache`.
+from the bounded per-worker pools of :mod:`ledgerlift.llm.wordcache`.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; a
 special token's string in a text is that token, as in the library; ids repeat
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import only
-from ledgerlift.llm.wordcache import ENCODE_BYTES, PieceCache, WordCache
+from ledgerlift.llm.wordcache import ENCODE_BYTES, PieceCache, WordCache, by_words, kept
 
 SHORT = 64               # pieces up to this many symbols are merged by plain search
 
@@ -173,6 +174,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)
+        if not by_words(spec):
+            raise ValueError("only tokenizers that read a text word by word are supported")
         tokenizer = Tokenizer.from_str(tokenizer_json)
         self.normalizer, self.cutter = tokenizer.normalizer, tokenizer.pre_tokenizer
         self.transducer = Transducer(Merges(spec))
@@ -235,7 +238,7 @@ class Decoder:
 def _encode(tokenizer_json: str):
     """mapInArrow: (doc, text) -> (doc, ids)."""
     def run(batches):
-        cache = WordCache(Encoder(tokenizer_json).words)
+        cache = kept(("bpe", tokenizer_json), lambda: WordCache(Encoder(tokenizer_json).words))
         for batch in batches:
             for lo, hi, data, offsets in words.slices(batch.column(1), ENCODE_BYTES):
                 ids, at = cache.ids_of(data, offsets)
@@ -253,7 +256,8 @@ DECODE_ROWS = 500         # documents returned at a time
 def _decode(tokenizer_json: str):
     """mapInArrow: (doc, ids) -> (doc, ids, decoded)."""
     def run(batches):
-        decoder = Decoder(tokenizer_json)
+        decoder = kept(("ids", tokenizer_json), lambda: Decoder(tokenizer_json))
+        decoder.reset()
         for whole in batches:
             for lo in range(0, len(whole), DECODE_ROWS):
                 batch, out = whole.slice(lo, DECODE_ROWS), []
@@ -270,6 +274,7 @@ def _decode(tokenizer_json: str):
 def encode_documents(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``id_col, ids`` (array of int): the ids of every whole text."""
+    Encoder(tokenizer_json)  # refuses an unfit file before any job
     rows = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
     return rows.mapInArrow(_encode(tokenizer_json), "doc long, ids array<int>").withColumnRenamed("doc", id_col)
 
@@ -285,6 +290,7 @@ def decode_documents(encoded: DataFrame, tokenizer_json: str, id_col: str = "doc
 def round_trip(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``id_col, ids, decoded``: both steps, one after another in the same worker and slice by slice."""
+    Encoder(tokenizer_json)  # refuses an unfit file before any job
     rows = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
     encode, decode = _encode(tokenizer_json), _decode(tokenizer_json)
     return rows.mapInArrow(lambda batches: decode(encode(batches)), "doc long, ids array<int>, decoded string") \

@@ -24,12 +24,14 @@ partition) give the rest.
 
 Defined cases: a null or empty text is the end id alone; null ids come first;
 documents of one id are ordered by their text, null first, and equal rows are
-interchangeable; texts longer than a block make a block of their own; an empty
+interchangeable (rows of one id whose texts begin alike stay in one task); a tokenizer
+that can't be read word by word encodes whole texts; texts longer than a block make a block of their own; an empty
 table gives an empty store; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 
@@ -40,14 +42,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
-from ledgerlift.llm.bpe import byte_symbols
-from ledgerlift.llm.common import only, partitions
-from ledgerlift.llm.wordcache import ENCODE_BYTES, PieceCache, WordCache
+from ledgerlift.llm.common import bucket_count, only, total_bytes
+from ledgerlift.llm.wordcache import ENCODE_BYTES, JoinedWords, WholeTexts, WordCache, by_words, kept
 
 MAGIC = b"EFTOKEN1"
 HEAD = "<8sIIIIQ"
 BLOCK_IDS = 1 << 20       # a block is closed when it holds this many ids
 SAMPLE = 64
+TASK_BYTES = 64 << 20     # text sorted and encoded by one task, about
+BEGINNING = 64            # characters of a text in the sampled bounds of tasks
 END_ID = 2
 BLOCK_ROWS = "part int, seq int, ids_before long, n_docs int, n_ids long, block binary"
 
@@ -131,19 +134,28 @@ class Block:
         return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
 
+def _encoder(tokenizer_json: str) -> WordCache | WholeTexts:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    spec = json.loads(tokenizer_json)
+    suffix = spec["model"].get("end_of_word_suffix")
+    if not suffix or not by_words(spec):
+        return WholeTexts(whole)
+    special = [t["content"] for t in spec["added_tokens"]]
+    return WordCache(JoinedWords(whole, spec["model"]["vocab"], suffix, special).words)
+
+
 def _packer(tokenizer_json: str, end_id: int, width: int):
     """mapInArrow: sorted (doc, text) -> blocks."""
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        symbols, model = byte_symbols(), tokenizer.model
-        pieces = PieceCache(
-            lambda piece: [t.id for t in model.tokenize("".join(map(symbols.__getitem__, piece)))],
-            lambda word: tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids,
-            [t.content for t in tokenizer.get_added_tokens_decoder().values()])
-        cache = WordCache(pieces.words)
+        cache = kept(("store", tokenizer_json), lambda: _encoder(tokenizer_json))
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         held, count = [], 0
 
@@ -179,7 +191,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = E
 
     width = 2 if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(True), end_id + 1) <= 1 << 16 else 4
     rows = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
-    (rows.repartitionByRange(partitions(docs), "doc").sortWithinPartitions("doc", "text")
+    count = bucket_count(rows, total_bytes(rows, F.col("text")), TASK_BYTES)
+    # how a text begins has the order of the texts: one id, or none, with many texts is cut too
+    (rows.repartitionByRange(count, "doc", F.substring("text", 1, BEGINNING)).sortWithinPartitions("doc", "text")
      .mapInArrow(_packer(tokenizer_json, end_id, width), BLOCK_ROWS)
      .write.option("compression", "zstd").parquet(path))
 

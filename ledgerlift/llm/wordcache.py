@@ -2,8 +2,13 @@
 
 A tokenizer qualifies if no token, normalisation or special token reaches
 across ASCII white space; then the ids of a text are the ids of its words, one
-after another, and only distinct words need encoding.  ``word_bpe_49k`` drops
-white space and qualifies (tests compare with whole-text encoding).
+after another, and only distinct words need encoding.  :func:`by_words` tells from the
+tokenizer's file whether it is of the one kind known to qualify (lower-casing, cut into
+letters, single digits and other signs, white space dropped); ``word_bpe_49k`` is
+(tests compare with whole-text encoding).  Others go through :class:`WholeTexts`.
+
+Pools live as long as the Python worker (:func:`kept`), so the tasks that a worker runs
+one after another share them; a new worker, after a loss too, starts with empty ones.
 
 Words are matched by a 64-bit hash *and* checked by length, first and last
 eight bytes against the word that the hash stands for; a slice of text that
@@ -19,7 +24,35 @@ import numpy as np
 
 from ledgerlift.llm import words
 
-KEEP = 300_000           # distinct words kept by a task; beyond, it starts anew
+KEEP = 400_000           # distinct words kept by a worker; beyond, it starts anew
+
+# The normaliser and the cut of a tokenizer file that is read word by word.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def by_words(spec: dict) -> bool:
+    """Whether the ids of a text are the ids of its words, for a parsed tokenizer file."""
+    plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) and
+                not re.search(r"\s", t["content"]) for t in spec["added_tokens"])
+    return plain and spec["model"]["type"] == "BPE" and spec["normalizer"] == NORMALIZER \
+        and spec["pre_tokenizer"] == CUT
+
+
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """``make()`` for this key, kept by the Python worker across its tasks; two keys at most."""
+    if key not in _KEPT:
+        if len(_KEPT) > 1:
+            _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -38,7 +71,7 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return [blob[a:b] for a, b in zip(starts[head].tolist(), ends[head].tolist(), strict=True)], inverse
 
 
-ENCODE_BYTES = 4 << 20   # text encoded together
+ENCODE_BYTES = 2 << 20   # text encoded together
 
 # Words for which the tokenizer's normaliser and cut are plain: printable ASCII without an
 # apostrophe, and Latin-1 letters (all NFC; lower case maps one character to one).
@@ -46,6 +79,39 @@ PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 PIECES = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
+def is_plain(word: str, special: list[str]) -> bool:
+    return PLAIN.fullmatch(word) is not None and not ("<" in word and any(s in word for s in special))
+
+
+class JoinedWords:
+    """Ids of words: plain words are encoded many at a time as one text, others one by one.
+
+    Each piece of a word ends with a token that bears the model's end-of-word suffix, so the
+    pieces counted in each word tell which ids of the joined text are its own."""
+
+    def __init__(self, whole, vocab: dict[str, int], suffix: str, special: list[str], run: int = 256):
+        self.whole, self.special, self.run = whole, special, run
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+
+    def words(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(texts)
+        plain = [i for i, text in enumerate(texts) if is_plain(text, self.special)]
+        for i in set(range(len(texts))).difference(plain):
+            out[i] = self.whole(texts[i])
+        for lo in range(0, len(plain), self.run):
+            some = plain[lo:lo + self.run]
+            ids = self.whole(" ".join([texts[i] for i in some]))
+            pieces = np.cumsum([len(PIECES.findall(texts[i].lower())) for i in some])
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != pieces[-1]:
+                raise ValueError("the tokenizer cuts words otherwise than its file says")
+            at = 0
+            for i, end in zip(some, ends[pieces - 1].tolist(), strict=True):
+                out[i], at = ids[at:end], end
+        return out
+
+
 class PieceCache:
     """Ids of words: plain words by their pieces, each piece encoded once; others as a whole.
 
@@ -60,7 +126,7 @@ class PieceCache:
             self.known = {}
         known, out = self.known, []
         for text in texts:
-            if not PLAIN.fullmatch(text) or ("<" in text and any(s in text for s in self.special)):
+            if not is_plain(text, self.special):
                 out.append(self.word(text))
                 continue
             ids: list[int] = []
@@ -102,10 +168,12 @@ class WordCache:
     def _places(self, distinct: list[bytes]) -> np.ndarray:
         if self.count > self.keep:
             self._clear()
-        fresh = [w for w in distinct if w not in self.place]
+        found = list(map(self.place.get, distinct))
+        fresh = [w for w, at in zip(distinct, found, strict=True) if at is None]
         if fresh:
             self._add(fresh)
-        return np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+            found = list(map(self.place.__getitem__, distinct))
+        return np.array(found, np.int64)
 
     def ids_of(self, data: np.ndarray, offsets: np.ndarray):
         """``(ids, offsets)``: the ids of all rows of a slice, and where each row's begin."""
@@ -117,3 +185,18 @@ class WordCache:
         np.cumsum(count, out=before[1:])
         take = np.arange(before[-1]) + np.repeat(begin - before[:-1], count)
         return self.ids[take], before[first]
+
+
+class WholeTexts:
+    """``ids_of`` for a tokenizer whose ids depend on more than single words."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def ids_of(self, data: np.ndarray, offsets: np.ndarray):
+        """``(ids, offsets)`` as :meth:`WordCache.ids_of`, each text encoded as a whole."""
+        blob = data.tobytes()
+        lists = [self.encode(blob[a:b].decode("utf-8")) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+        at = np.zeros(len(lists) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)), out=at[1:])
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(at[-1])), at

@@ -112,3 +112,11 @@ def test_documents(edge_docs, docs, no_docs, library, spec):
         assert Counter(map(tuple, bpe.with_digests(bpe.round_trip(frame, spec)).collect())) == want
         two = bpe.decode_documents(bpe.encode_documents(frame, spec), spec)
         assert Counter(map(tuple, bpe.with_digests(two).collect())) == want
+
+
+def test_an_unfit_tokenizer_is_refused(edge_docs):
+    spec = tokenizer_json("byte_bpe_50k.json")
+    with pytest.raises(ValueError, match="word by word"):
+        bpe.encode_documents(edge_docs, spec)
+    with pytest.raises(ValueError, match="word by word"):
+        bpe.round_trip(edge_docs, spec)

@@ -60,3 +60,34 @@ def test_store(spark, docs, edge_docs, no_docs, monkeypatch):
         got = token_store.read_documents(spark, path).select(
             "doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
         assert Counter(map(tuple, got)) == Counter(brute(frame, library))
+
+
+def test_other_tokenizers_encode_whole_texts(spark, edge_docs):
+    """A file that keeps case and white space isn't read word by word."""
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    spec = tokenizer_json("byte_bpe_50k.json")
+    library = Tokenizer.from_str(spec)
+    path = scratch_path(spark, "store-test")
+    token_store.write_store(edge_docs, path, spec)
+    got = token_store.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
+    assert Counter(map(tuple, got)) == Counter(brute(edge_docs, library))
+
+
+def test_hot_id_is_cut(spark, monkeypatch):
+    """A third of the rows without an id, a third under one: several tasks, one order."""
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(3)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(str(rnd.random()) for _ in range(20)))
+            for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    spec, path = tokenizer_json(), scratch_path(spark, "store-test")
+    monkeypatch.setattr(token_store, "TASK_BYTES", 30_000)
+    token_store.write_store(frame, path, spec)
+    most = spark.read.parquet(path).groupBy("part").agg(F.sum("n_docs").alias("n")).agg(F.max("n")).first()[0]
+    assert most < 400
+    got = token_store.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
+    assert Counter(map(tuple, got)) == Counter(brute(frame, Tokenizer.from_str(spec)))
