@@ -1,6 +1,9 @@
 """Quality rules and an importance-style likelihood ratio between two multinomials.
 
-Every word and word pair of a document is hashed into ``BUCKETS`` counters.
+Every word and word pair of a document is hashed into counters, whose number grows with
+the square root of the corpus, about as its vocabulary does: ``PER_ROOT`` times the root
+of its bytes, and no fewer than ``LEAST``; 131,072 for 1 GB of text, 983,040 for 60 GB, 40
+million for 100 TB.
 The *target* multinomial is counted over documents that the labels call good
 (at most ``SAMPLE`` of them, chosen by the smallest digest of their id); the
 *raw* multinomial is counted over all documents.  A document's score is the sum
@@ -12,11 +15,12 @@ The threshold is a rule, not a draw: over all scored labelled documents it is
 the score that separates good from bad with the fewest errors, a rejected good
 document counting ``GOOD_COST`` times; of equally good cuts the lowest wins.
 Scores enter that choice through a histogram of ``BINS`` fixed bins, so what
-reaches the driver is bounded: the two count tables, the sampled ids and the
-histogram.
+reaches the driver is bounded: the two count tables (16 bytes a counter), the sampled ids
+and the histogram.
 
-Two passes over the texts, none of which shuffles text: the first counts (each
-task adds up its rows and emits its two tables once), the second scores.
+Passes over the texts, none of which shuffles text: one adds up bytes, one counts (each
+task adds up its rows and emits the counters that it met, once), one scores.  The functions
+below run these jobs while the plan is built.
 
 Defined cases: a null or empty text has no words and fails the base rules; an
 id that is null is never labelled; an id with contradictory labels is unlabelled;
@@ -34,10 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlift.llm import words
-from ledgerlift.llm.common import freeze, only
+from ledgerlift.llm.common import freeze, only, total_bytes
 
-BUCKETS = 1 << 16
-PART = 1 << 10             # counters per row of the shuffled count tables
+LEAST = 1 << 16
+PER_ROOT = 4
+PART = 1 << 13             # counters per row of the shuffled count tables, at most 2^16
 SAMPLE = 1 << 16           # labelled documents used for the target, at most
 SMOOTH = 1.0               # added to every bucket
 SCALE = 1 << 16
@@ -52,50 +57,89 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def bucket_rows(column: pa.Array):
+def counters(bytes_in: int) -> int:
+    """How many counters a corpus of so many bytes gets, a multiple of ``PART``."""
+    return max(LEAST, -(-int(PER_ROOT * bytes_in ** 0.5) // PART) * PART)
+
+
+def bucket_rows(column: pa.Array, size: int):
     """Per slice of rows: the parsed slice, the bucket of each n-gram and the row of each."""
     for lo, hi, data, offsets in words.slices(column):
         starts, ends, first = words.spans(data, offsets)
         word = words.hashes(data, starts, ends)
         pairs, _, pair_row = words.windows(word, first, 2)
         row = np.repeat(np.arange(hi - lo), np.diff(first))
-        buckets = np.concatenate([words.mix(word), pairs]) >> np.uint64(48)
+        high = np.concatenate([words.mix(word), pairs]) >> np.uint64(32)
+        buckets = (high * np.uint64(size)) >> np.uint64(32)
         yield (lo, hi, data, offsets, starts, ends, first, word), buckets.astype(np.int64), \
             np.concatenate([row, pair_row])
 
 
-def _counter(good: np.ndarray):
+_PARTS = "part int, at binary, raw binary, target binary"
+_PART_TYPES = pa.schema([("part", pa.int32()), ("at", pa.binary()), ("raw", pa.binary()), ("target", pa.binary())])
+
+
+def _packed(parts):
+    """Batches of (part, raw, target) tables: the counters met and their counts, in four or eight bytes."""
+    rows = []
+    for part, raw, target in parts:
+        at = np.flatnonzero(raw)
+        width = np.uint32 if raw.max() < 1 << 32 else np.uint64
+        rows.append((part, at.astype(np.uint16).tobytes(), *(x[at].astype(width).tobytes() for x in (raw, target))))
+        if len(rows) == 256:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PART_TYPES)],
+                                             schema=_PART_TYPES)
+            rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PART_TYPES)],
+                                         schema=_PART_TYPES)
+
+
+def _unpacked(at: bytes, raw: bytes, target: bytes):
+    """``(places, raw counts, target counts)`` of one packed row."""
+    places = np.frombuffer(at, np.uint16)
+    width = np.uint32 if len(raw) == 4 * len(places) else np.uint64
+    return places.astype(np.int64), *(np.frombuffer(x, width).astype(np.int64) for x in (raw, target))
+
+
+def _counter(good: np.ndarray, size: int):
     """mapInArrow: (doc, text) -> this task's two count tables, in parts."""
     def count(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        tables = np.zeros((2, size), np.int64)
+        met: tuple[list, list] = ([], [])
+        held = 0
+
+        def fold():
+            for counts, some in zip(tables, met):
+                if some:
+                    counts += np.bincount(np.concatenate(some), minlength=size)
+                    some.clear()
+
         for batch in batches:
             doc = batch.column(0)
             known = doc.is_valid().to_numpy(zero_copy_only=False)
             is_good = np.isin(doc.fill_null(0).to_numpy(zero_copy_only=False), good) & known
-            for (lo, hi, *_), buckets, row in bucket_rows(batch.column(1)):
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[is_good[lo:hi][row]], minlength=BUCKETS)
-        if raw.any():
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array(range(BUCKETS // PART), pa.int32()),
-                "raw": pa.array(list(raw.reshape(-1, PART)), pa.list_(pa.int64())),
-                "target": pa.array(list(target.reshape(-1, PART)), pa.list_(pa.int64()))})
+            for (lo, hi, *_), buckets, row in bucket_rows(batch.column(1), size):
+                met[0].append(buckets)
+                met[1].append(buckets[is_good[lo:hi][row]])
+                held += len(buckets)
+                if held >= size:  # a table is gone through once for as many n-grams
+                    fold()
+                    held = 0
+        fold()
+        raw, target = tables.reshape(2, -1, PART)
+        yield from _packed((int(i), raw[i], target[i]) for i in np.flatnonzero(raw.any(axis=1)))
     return count
 
 
 def _add_parts(batches):
     """mapInArrow: adds the rows of each part, one batch at a time."""
-    total: dict[int, list[np.ndarray]] = {}
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for i, part in enumerate(batch.column(0).to_pylist()):
-            sums = total.setdefault(part, [np.zeros(PART, np.int64), np.zeros(PART, np.int64)])
-            for k in (0, 1):
-                sums[k] += batch.column(k + 1)[i].values.to_numpy()
-    if total:
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array(list(total), pa.int32()),
-            "raw": pa.array([v[0] for v in total.values()], pa.list_(pa.int64())),
-            "target": pa.array([v[1] for v in total.values()], pa.list_(pa.int64()))})
+        for part, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at, *counts = _unpacked(*packed)
+            total.setdefault(part, np.zeros((2, PART), np.int64))[:, at] += counts
+    yield from _packed((part, raw, target) for part, (raw, target) in total.items())
 
 
 def clean_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
@@ -105,26 +149,25 @@ def clean_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "qu
             .filter("good = other").drop("other"))
 
 
-def bucket_weights(docs: DataFrame, good: np.ndarray) -> np.ndarray:
-    """Integer log ratios of the target and raw multinomials, one per bucket."""
-    parts = "part int, raw array<long>, target array<long>"
-    rows = (docs.mapInArrow(_counter(good), parts)
-            .repartition(F.col("part")).mapInArrow(_add_parts, parts).collect())  # BUCKETS counters
-    raw, target = np.full(BUCKETS, SMOOTH), np.full(BUCKETS, SMOOTH)
+def bucket_weights(docs: DataFrame, good: np.ndarray, size: int) -> np.ndarray:
+    """Integer log ratios of the target and raw multinomials, one for each of ``size`` counters."""
+    rows = (docs.mapInArrow(_counter(good, size), _PARTS)
+            .repartition(F.col("part")).mapInArrow(_add_parts, _PARTS).collect())  # 16 bytes a counter
+    raw, target = np.full(size, SMOOTH), np.full(size, SMOOTH)
     for r in rows:
-        at = slice(r["part"] * PART, (r["part"] + 1) * PART)
-        raw[at] += np.array(r["raw"])
-        target[at] += np.array(r["target"])
-    if not len(good) or target.sum() == SMOOTH * BUCKETS:
-        return np.zeros(BUCKETS, np.int64)
+        at, more, good_more = _unpacked(r["at"], r["raw"], r["target"])
+        raw[r["part"] * PART + at] += more
+        target[r["part"] * PART + at] += good_more
+    if target.sum() == SMOOTH * size:
+        return np.zeros(size, np.int32)
     ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
-    return np.rint(ratio * SCALE).astype(np.int64)
+    return np.rint(ratio * SCALE).astype(np.int32)
 
 
 def measure(column: pa.Array, weights: np.ndarray) -> dict[str, np.ndarray]:
     """Base counts, the weight sum and the number of n-grams of each text."""
     out = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_repeat_words", "weight", "n_grams")}
-    for (lo, hi, data, offsets, starts, ends, first, word), buckets, row in bucket_rows(column):
+    for (lo, hi, data, offsets, starts, ends, first, word), buckets, row in bucket_rows(column, len(weights)):
         out["n_words"].append(np.diff(first))
         out["word_chars"].append(words.per_row(~words.SPACE[data] & ((data & 0xC0) != 0x80), offsets))
         out["n_symbols"].append(words.per_row(SYMBOLS[data], offsets))
@@ -199,7 +242,7 @@ def _learn(texts: DataFrame, labels: DataFrame, id_col: str) -> tuple[DataFrame,
     good = np.array([r["doc"] for r in known.filter("good > 0")
                      .orderBy(F.md5(F.col("doc").cast("string").cast("binary")), "doc")
                      .limit(SAMPLE).select("doc").collect()], np.int64)  # at most SAMPLE ids
-    weights = bucket_weights(texts, good)
+    weights = bucket_weights(texts, good, counters(total_bytes(texts, F.col("text"))))
     scored = texts.mapInArrow(_scorer(weights), "doc long, n_words long, word_chars long, "
                               "n_symbols long, n_dup_lines long, n_repeat_words long, score double")
     scored = freeze(scored.withColumn("base_failed", F.expr(BASE_FAILED))

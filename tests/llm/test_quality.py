@@ -1,6 +1,9 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from ledgerlift.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,3 +73,40 @@ def test_kept_documents_are_the_kept_rows(edge_docs, docs, labels):
         kept = quality.kept_documents(frame, labels)
         assert kept.columns == frame.columns
         assert Counter(r.doc_id for r in kept.collect()) == want
+
+
+def test_weights_are_the_log_ratio_of_plain_counts(docs, labels):
+    """The counted tables, packed, shuffled and added up, against a loop over the texts."""
+    rows = docs.select("doc_id", "text").collect()
+    good = np.array([r.doc_id for r in labels.collect() if r.quality == 1], np.int64)
+    size = 3 * quality.PART
+    raw, target = np.full(size, quality.SMOOTH), np.full(size, quality.SMOOTH)
+    for r in rows:
+        for _, buckets, _ in quality.bucket_rows(pa.array([r.text], pa.string()), size):
+            np.add.at(raw, buckets, 1)
+            if r.doc_id in set(good.tolist()):
+                np.add.at(target, buckets, 1)
+    want = np.rint((np.log(target / target.sum()) - np.log(raw / raw.sum())) * quality.SCALE)
+    texts = docs.select("doc_id", "text")
+    for parts in (1, 6):
+        got = quality.bucket_weights(texts.repartition(parts), good, size)
+        assert np.abs(got - want).max() <= 1 and len(got) == size
+
+
+def test_counters_grow_with_the_corpus():
+    sizes = [quality.counters(10 ** k) for k in range(15)]
+    assert sizes == sorted(sizes)
+    assert sizes[0] == quality.LEAST and sizes[14] > 9 * sizes[12] > 80 * sizes[10]
+    assert all(n % quality.PART == 0 for n in sizes)
+
+
+def test_packed_counts_keep_wide_and_narrow_numbers():
+    for top in (7, (1 << 32) + 5):
+        raw, target = np.zeros(quality.PART, np.int64), np.zeros(quality.PART, np.int64)
+        raw[[0, 5, quality.PART - 1]] = [1, top, 3]
+        target[5] = top - 1
+        batch, = quality._packed([(4, raw, target)])
+        part, *packed = (c[0].as_py() for c in batch.columns)
+        at, more, good = quality._unpacked(*packed)
+        assert part == 4 and at.tolist() == [0, 5, quality.PART - 1]
+        assert more.tolist() == [1, top, 3] and good.tolist() == [0, top - 1, 0]
