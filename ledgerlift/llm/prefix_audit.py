@@ -215,8 +215,8 @@ def _pair_part(shares: DataFrame, groups: DataFrame) -> DataFrame:
     buckets = max(partitions(shares), -(-cells // BUCKET_CELLS))
     dealt = shares.select("lang", "source", "term", "p",
                           F.expr(f"pmod(xxhash64(term), {buckets}L)").alias("bucket"))
-    sides = (groups.filter("v > 0").select("lang", "source", "p0")
-             .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
+    # both sides' buckets are bigint: a cogroup doesn't cast its keys, and an int hashes to another partition
+    sides = groups.filter("v > 0").selectExpr("lang", "source", "p0", f"explode(sequence(0L, {buckets - 1}L)) as bucket")
     sums = (dealt.groupBy("lang", "bucket").cogroup(sides.groupBy("lang", "bucket"))
             .applyInArrow(_tile_sums, "lang string, source string, item string, value long, terms long"))
     sums = (sums.union(sums.select("lang", "item", "source", "value", "terms"))

@@ -82,6 +82,16 @@ def test_small_buffers_and_tiles(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_partitions_that_are_not_coalesced(spark):
+    """Both sides of the pairs' cogroup meet in many partitions too."""
+    rows = corpus(120, seed=5) + ODD
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_rare_prefixes_stop_early(spark):
     """No term is counted beyond a prefix that is rare already."""
     import numpy as np
