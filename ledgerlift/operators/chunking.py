@@ -35,11 +35,12 @@ _LOCAL_BITS = 33
 
 
 def with_row_position(df: DataFrame, order_cols: Sequence[str], pos_col: str = "row_pos",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` plus the 0-based position of each row in ``order_cols`` order.
 
     ``order_cols`` must identify rows uniquely; otherwise tied rows could be
-    numbered differently by a retried task.
+    numbered differently by a retried task.  ``keep`` (default: all): the
+    columns that are still wanted once the order is known; only they are written.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -48,7 +49,8 @@ def with_row_position(df: DataFrame, order_cols: Sequence[str], pos_col: str = "
     # numbering) must read one materialization of them.
     tagged = freeze(df.repartitionByRange(n, *keys)
                     .sortWithinPartitions(*keys)
-                    .withColumn(_MID, F.monotonically_increasing_id()))
+                    .select(*([F.col(f"`{c}`") for c in keep] if keep is not None else ["*"]),
+                            F.monotonically_increasing_id().alias(_MID)))
     tagged = (tagged.withColumn(_PART, F.shiftright(F.col(_MID), _LOCAL_BITS))
               .withColumn(_LOCAL, F.col(_MID).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
     counts = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
@@ -61,15 +63,16 @@ def with_row_position(df: DataFrame, order_cols: Sequence[str], pos_col: str = "
 
 
 def assign_chunks(df: DataFrame, order_cols: Sequence[str], chunk_size: int,
-                  chunk_col: str = "chunk_id", pos_col: str = "row_pos") -> DataFrame:
-    """``df`` plus ``row_pos`` and ``chunk_id = row_pos // chunk_size``.
+                  chunk_col: str = "chunk_id", pos_col: str = "row_pos",
+                  keep: Sequence[str] | None = None) -> DataFrame:
+    """``df`` (or its ``keep`` columns) plus ``row_pos`` and ``chunk_id = row_pos // chunk_size``.
 
     Chunks are consecutive in ``order_cols`` order; every chunk holds
     ``chunk_size`` rows except a shorter last one.
     """
     if chunk_size <= 0:
         raise ValueError("chunk_size must be positive")
-    positioned = with_row_position(df, order_cols, pos_col)
+    positioned = with_row_position(df, order_cols, pos_col, keep=keep)
     return positioned.withColumn(chunk_col,
                                  F.floor(F.col(pos_col) / F.lit(chunk_size)).cast("long"))
 

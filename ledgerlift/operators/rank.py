@@ -221,6 +221,17 @@ def _window_rank(df: DataFrame, by: list[str], order_col: str, ascending: bool,
     return df.withColumn(out_col, F.percent_rank().over(w))
 
 
+def percent_ranks_by_window(df: DataFrame, by: str | Iterable[str],
+                            orders: Sequence[tuple[str, bool, str]]) -> DataFrame:
+    """``df`` plus a percent rank per ``(order_col, ascending, out_col)``, by Spark's Window.
+
+    All ranks share one shuffle on ``by`` (none, if ``df`` is already clustered by these
+    columns).  A group is one task's, so its size must be bounded by the caller."""
+    for order_col, ascending, out_col in orders:
+        df = _window_rank(df, _as_list(by), order_col, ascending, out_col)
+    return df
+
+
 def rank_cut(df: DataFrame, by: str | Iterable[str] | None, order_col: str,
              ascending: bool, max_pct: float, cut_col: str = "cut_value",
              method: str = "auto", slices: int | None = None) -> DataFrame:

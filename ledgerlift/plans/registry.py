@@ -18,7 +18,7 @@ from ledgerlift.operators.quality import quality_report
 from ledgerlift.operators.source_order import assign_source_chunks
 from ledgerlift import schemas
 from ledgerlift.plans import incremental, reports, upgrade
-from ledgerlift.session import scratch_path
+from ledgerlift.session import freeze, scratch_path
 from ledgerlift.sinks.tables import table_counts
 from ledgerlift.sinks.versioned import VersionedTables
 from ledgerlift.sinks.writers import detection_batches
@@ -145,10 +145,11 @@ def chunk_threshold(spark, sf):
 
 
 def q_detect_upgrades_per_chunk(spark, sf):
-    # only the order key and the detection columns go into the chunk table
-    chunked = assign_chunks(_tx(spark, sf).select(*ROW_KEY, "customer"), ROW_KEY, CHUNK_SIZE)
+    # only the detection columns go into the chunk table; a merchant of a chunk fits a window
+    chunked = assign_chunks(_tx(spark, sf).select(*ROW_KEY, "customer"), ROW_KEY, CHUNK_SIZE,
+                            keep=["customer", "merchant"])
     return upgrade.detect_upgrades(chunked, _imp(spark, sf), chunk_threshold(spark, sf),
-                                   detected_at=DETECTED_AT, scope=["chunk_id"])
+                                   detected_at=DETECTED_AT, scope=["chunk_id"], method="window")
 
 
 def q_chunk_assignment(spark, sf):
@@ -166,7 +167,7 @@ def q_detect_upgrades_per_source_chunk(spark, sf):
     lines = assign_source_chunks(tpch.table(spark, sf, "lineitem"), CHUNK_SIZE, row_index=True)
     tx = tpch.transactions(spark, sf, lines=lines, keep=["chunk_id"])
     return upgrade.detect_upgrades(tx, _imp(spark, sf), chunk_threshold(spark, sf),
-                                   detected_at=DETECTED_AT, scope=["chunk_id"])
+                                   detected_at=DETECTED_AT, scope=["chunk_id"], method="window")
 
 
 def q_chunk_progress(spark, sf):
@@ -253,7 +254,7 @@ def merchant_state(spark, sf):
     """The stored merchant tables after three batches that together hold every line."""
     state = incremental.MerchantState(spark, scratch_path(spark, "merchant-state"), THRESHOLD, buckets=16,
                                       customer_type="BIGINT", merchant_type="BIGINT")
-    tx, imp = _tx(spark, sf), _imp(spark, sf)
+    tx, imp = _tx(spark, sf), freeze(_imp(spark, sf), "importance")  # read by every batch, more than once
     parts = [F.col("l_linenumber") <= 2, F.col("l_linenumber").between(3, 4),
              F.coalesce(F.col("l_linenumber") > 4, F.lit(True))]
     for version, part in enumerate(parts):

@@ -26,6 +26,8 @@ Plan shape of :func:`pattern_matches` (the shuffles are what scale):
    rank cuts come from :func:`ledgerlift.operators.rank.rank_cut`, one row
    per merchant, exact and skew-safe; the final step is a single join of the
    pairs with that per-merchant table and a range filter.
+With ``method="window"`` steps 2 and 4 are windows over one shuffle by (scope, merchant)
+and nothing is materialized: for scopes whose groups are bounded, such as chunks.
 AQE decides at runtime whether the per-customer and per-merchant tables are
 small enough to broadcast; otherwise they are sort-merge joined with skew
 splitting.
@@ -33,9 +35,10 @@ splitting.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.columns import (
@@ -44,7 +47,7 @@ from ledgerlift.functions.columns import (
     detection_time_string,
     weight_or_default,
 )
-from ledgerlift.operators.rank import passes_cut, percent_rank_within, rank_cut
+from ledgerlift.operators.rank import passes_cut, percent_rank_within, percent_ranks_by_window, rank_cut
 from ledgerlift.session import freeze
 
 DEFAULT_THRESHOLD = 50_000
@@ -159,6 +162,8 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     transaction_count) -- e.g. counts summed over many stream batches."""
     s = _scope(scope)
     keys = [*s, "merchant"]
+    if method == "window":
+        return _matches_by_window(pairs, importance, threshold, top_pct, low_pct, s)
     totals = pairs.groupBy(*keys).agg(F.sum("transaction_count").alias("total_transactions"))
     # one row per eligible merchant: the inner join keeps pairs of eligible
     # merchants only (a semi join) and carries the merchant total along
@@ -179,6 +184,22 @@ def matches_from_pairs(pairs: DataFrame, importance: DataFrame,
     return matched.select(*s, "customer", "merchant", "transaction_count", "avg_weight")
 
 
+def _matches_by_window(pairs: DataFrame, importance: DataFrame, threshold: int, top_pct: float,
+                       low_pct: float, s: list[str]) -> DataFrame:
+    """:func:`matches_from_pairs` where every (scope, merchant) fits a task: the pairs move once
+    to their weight and once to their group, where total and both ranks are windows."""
+    keys = [*s, "merchant"]
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])  # NULL is no group
+    total = F.sum("transaction_count").over(Window.partitionBy(*keys))
+    eligible = (with_avg_weight(pairs.filter(named), importance).withColumn("__ll_total", total)
+                .filter(F.col("__ll_total") > F.lit(threshold)))
+    ranked = percent_ranks_by_window(eligible, keys, [("transaction_count", False, "__ll_busy"),
+                                                      ("avg_weight", True, "__ll_light")])
+    matched = ranked.filter((F.col("__ll_busy") <= F.lit(top_pct)) & (F.col("__ll_light") <= F.lit(low_pct))
+                            & F.col("customer").isNotNull())
+    return matched.select(*s, "customer", "merchant", "transaction_count", "avg_weight")
+
+
 def detection_records(matches: DataFrame, detected_at: str | None = None, scope=(),
                       pattern_id: str = PATTERN_ID, action_type: str = ACTION_TYPE) -> DataFrame:
     """Detections: YStartTime, detectionTime, patternId, ActionType, customer, merchant.
