@@ -11,6 +11,11 @@ other merchants are copied without being ranked.  Counts are keyed deltas (old
 count + the batch's count).  If the importance table itself has changed since
 the batch before -- told by a digest of its rows -- every merchant is touched.
 
+What moves: a pair goes to its customer once (summed and weighed there) and to its
+merchant once, where both ranks are windows; the partitions are ranges of (bucket,
+merchant), so the tables are written from them as they lie.  Merchants that may have
+more than ``WINDOW_PAIRS`` customers are ranked by slices instead.
+
 A batch that runs again under its number starts from the same base and
 overwrites its own files, so results don't depend on retries.
 
@@ -25,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.rank import join_null_safe, percent_rank_within
+from ledgerlift.operators.rank import join_null_safe, percent_rank_within, percent_ranks_by_window
 from ledgerlift.plans.upgrade import (
     DEFAULT_LOW_PCT,
     DEFAULT_THRESHOLD,
@@ -34,10 +39,12 @@ from ledgerlift.plans.upgrade import (
     with_avg_weight,
 )
 from ledgerlift.session import freeze
-from ledgerlift.sinks.versioned import NO_VERSION, VersionedTables
+from ledgerlift.sinks.versioned import BUCKET, NO_VERSION, VersionedTables
 
 STATS, SCORES, ELIGIBLE, DETECTED = ("customer_transaction_stats", "customer_importance_scores",
                                      "eligible_merchants", "detections")
+WINDOW_PAIRS = 1 << 18  # customers of a merchant that one task ranks
+_RANKS = [("transaction_count", False, "merchant_rank"), ("avg_weight", True, "weight_rank")]
 _STAMPS = "created_at TIMESTAMP, updated_at TIMESTAMP"
 
 
@@ -92,15 +99,27 @@ class MerchantState:
                     join_null_safe(old, merchants, ["merchant"], "left_anti"))
 
         old_stats, kept_stats = split(STATS)
+        # by customer only: sums per pair and the join with weights need no other shuffle, and
+        # a customer has at most two rows per merchant here
         pairs = (own.select("customer", "merchant", "transaction_count", F.lit(None).cast("timestamp").alias("created_at"))
                  .unionByName(old_stats.select("customer", "merchant", "transaction_count", "created_at"))
-                 .groupBy("customer", "merchant")
+                 .repartition("customer").groupBy("customer", "merchant")
                  .agg(F.sum("transaction_count").alias("transaction_count"),
                       F.coalesce(F.min("created_at"), now).alias("created_at")))
-        ranked = percent_rank_within(with_avg_weight(pairs, importance), "merchant", "transaction_count",
-                                     ascending=False, out_col="merchant_rank")
-        ranked = freeze(percent_rank_within(ranked, "merchant", "avg_weight", out_col="weight_rank")
-                        .withColumn("updated_at", now), "batch-ranked")
+        weighted = with_avg_weight(pairs, importance).withColumn(BUCKET, tables.bucket(STATS))
+        sizes = own.select("merchant").union(old_stats.select("merchant")).groupBy("merchant").count()
+        large = freeze(sizes.filter(F.col("count") > WINDOW_PAIRS).select("merchant"), "batch-large")
+        sliced = not large.isEmpty()
+        if sliced:
+            weighted = freeze(weighted, "batch-weighted")
+            rest = join_null_safe(weighted, large, ["merchant"], "left_semi")
+            weighted = join_null_safe(weighted, large, ["merchant"], "left_anti")
+        ranked = percent_ranks_by_window(weighted.repartitionByRange(BUCKET, "merchant"), [BUCKET, "merchant"], _RANKS)
+        if sliced:
+            for column, ascending, rank in _RANKS:
+                rest = percent_rank_within(rest, "merchant", column, ascending, rank)
+            ranked = ranked.unionByName(rest)
+        ranked = freeze(ranked.drop(BUCKET).withColumn("updated_at", now), "batch-ranked")
 
         old_eligible, kept_eligible = split(ELIGIBLE)
         totals = (ranked.groupBy("merchant").agg(F.sum("transaction_count").alias("total_transactions"))
@@ -122,6 +141,7 @@ class MerchantState:
             STATS: (kept_stats.unionByName(ranked.select(*columns(STATS))), touched),
             SCORES: (split(SCORES)[1].unionByName(ranked.select(*columns(SCORES))), touched),
             ELIGIBLE: (kept_eligible.unionByName(eligible), touched),
-            DETECTED: (kept_found.unionByName(found), touched)}, version, {"importance": digest})
+            DETECTED: (kept_found.unionByName(found), touched)}, version, {"importance": digest},
+            arranged=() if sliced else (STATS, SCORES))
         return (found.join(old_found, ["customer", "merchant"], "left_anti"),
                 old_found.join(found, ["customer", "merchant"], "left_anti"))

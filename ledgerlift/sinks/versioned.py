@@ -107,10 +107,11 @@ class VersionedTables:
 
     # -- writing ------------------------------------------------------------
     def commit(self, contents: Mapping[str, tuple[DataFrame, Iterable[int]]], version: int,
-               notes: Mapping[str, int] | None = None) -> int:
+               notes: Mapping[str, int] | None = None, arranged: Iterable[str] = ()) -> int:
         """Writes ``table -> (all rows of the touched buckets, those buckets)`` as a version.
 
-        Rows outside the touched buckets are an error.  The base is the newest version before."""
+        ``arranged``: tables whose rows already lie together by bucket, in ranges or in files of
+        their own; they are written where they are, the others are shuffled by bucket.  Rows outside the touched buckets are an error.  The base is the newest version before."""
         entries = self.manifest(self.latest(before=version))
         for table, (rows, touched) in contents.items():
             touched = set(touched)
@@ -121,7 +122,8 @@ class VersionedTables:
                 BUCKET, F.when(outside, F.raise_error(F.lit(f"{table}: a row outside the touched buckets")))
                 .otherwise(own).cast("int"))
             path = self._data_path(table, version)
-            (rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.bucket_by[table])
+            rows = rows if table in arranged else rows.hint("rebalance", BUCKET)
+            (rows.sortWithinPartitions(BUCKET, *self.bucket_by[table])
              .select(*names, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path))
             written = {int(n.partition("=")[2]) for n in children(self.spark, path) if n.startswith(f"{BUCKET}=")}
             for b in touched:  # a bucket left without rows has no files
