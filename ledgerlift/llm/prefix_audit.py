@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
-from ledgerlift.llm.common import freeze, freeze_packed, only, partitions
+from ledgerlift.llm.common import freeze, freeze_packed, only
 
 MIN_DOCS = 10
 FIRST_LEVEL = 3        # bytes of the first level's prefixes; each level doubles them
@@ -171,8 +171,8 @@ def _gap(p, q):
 
 
 def _tile_sums(table: pa.Table, groups: pa.Table) -> pa.Table:
-    """cogroup, one bucket of one language's terms: per pair of sources the sum of f over the
-    terms that either has, and the number of those terms."""
+    """cogroup, one bucket of one language's terms: per pair of sources (each pair once) the sum
+    of f over the terms that either has, and the number of those terms."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()),
                         ("value", pa.int64()), ("terms", pa.int64())])
     if not table.num_rows or groups.num_rows < 2:
@@ -191,7 +191,7 @@ def _tile_sums(table: pa.Table, groups: pa.Table) -> pa.Table:
             j = j[(j != i) & ~(there[j] & (j < i))]  # two such sources meet once
             either = has[j] | has[i]  # terms of neither are counted afterwards
             value = np.where(either, _gap(p[j], p[i]), 0).sum(axis=1)
-            out.append((np.full(len(j), i), j, value, either.sum(axis=1)))
+            out.append((np.minimum(i, j), np.maximum(i, j), value, either.sum(axis=1)))
     i, j, value, number = (np.concatenate(x) for x in zip(*out, strict=True))
     return pa.table([pa.array([lang] * len(i), pa.string()), names.take(pa.array(i)), names.take(pa.array(j)),
                      pa.array(value), pa.array(number)], schema=schema)
@@ -209,18 +209,26 @@ def _grouped(texts: DataFrame, counts: DataFrame, kept: DataFrame) -> tuple[Data
     return cells, freeze(groups.selectExpr("*", f"case when v > 0 then {_share('0')} end as p0"), "iceberg-groups")
 
 
+def pair_buckets(groups: DataFrame) -> int:
+    """Buckets of a language's terms: a bucket's work is bounded by its cells, and each bucket
+    gives a row per pair of sources, so there are no more than the cells ask for."""
+    cells = groups.agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
+    return max(1, -(-cells // BUCKET_CELLS))
+
+
 def _pair_part(shares: DataFrame, groups: DataFrame) -> DataFrame:
     """Every ordered pair of sources of a language with its divergence."""
-    cells = groups.agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
-    buckets = max(partitions(shares), -(-cells // BUCKET_CELLS))
+    buckets = pair_buckets(groups)
     dealt = shares.select("lang", "source", "term", "p",
                           F.expr(f"pmod(xxhash64(term), {buckets}L)").alias("bucket"))
     # both sides' buckets are bigint: a cogroup doesn't cast its keys, and an int hashes to another partition
     sides = groups.filter("v > 0").selectExpr("lang", "source", "p0", f"explode(sequence(0L, {buckets - 1}L)) as bucket")
     sums = (dealt.groupBy("lang", "bucket").cogroup(sides.groupBy("lang", "bucket"))
             .applyInArrow(_tile_sums, "lang string, source string, item string, value long, terms long"))
-    sums = (sums.union(sums.select("lang", "item", "source", "value", "terms"))
-            .groupBy("lang", "source", "item").agg(F.sum("value").alias("value"), F.sum("terms").alias("terms")))
+    sums = (sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"), F.sum("terms").alias("terms"))
+            .selectExpr("lang", "value", "terms", "explode(array(struct(source, item), "
+                        "struct(item as source, source as item))) as pair")
+            .select("lang", "pair.source", "pair.item", "value", "terms"))
     other = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"))
     pairs = groups.join(other, "lang").filter("source <> item").join(sums, ["lang", "source", "item"], "left")
     # kept terms that neither source has: one value, as often as there are such terms

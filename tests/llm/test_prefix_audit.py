@@ -110,3 +110,18 @@ def test_rare_prefixes_stop_early(spark):
 @pytest.mark.parametrize("rows", [[], [(None, None, None)], [("a b", "en", "s")], [("a", "en", "s"), ("b", "en", "t")]])
 def test_nothing_kept(spark, rows):
     assert run(spark, rows) == brute(rows)
+
+
+def test_buckets_follow_the_cells_and_pairs_meet_once(spark):
+    """More shuffle partitions make no more rows per pair; more sources than a tile holds."""
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice("abcdefghij") * 2 for _ in range(9)), rng.choice(["en", "de"]), f"s{i % 90}")
+            for i in range(400)]
+    groups = spark.createDataFrame([("en", f"s{i}", 10) for i in range(90)], "lang string, source string, v long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    try:
+        assert pa_.pair_buckets(groups) == 1 and pa_.pair_buckets(groups.limit(0)) == 1
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
