@@ -149,7 +149,15 @@ def _encoder(tokenizer_json: str) -> WordCache | WholeTexts:
     if not suffix or not by_words(spec):
         return WholeTexts(whole)
     special = [t["content"] for t in spec["added_tokens"]]
-    return WordCache(JoinedWords(whole, spec["model"]["vocab"], suffix, special).words)
+    # the same model for pieces that are normalised and cut already
+    bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {
+        "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, spec["pre_tokenizer"]["pretokenizers"][1]]}}))
+    bare.no_truncation()
+    bare.no_padding()
+
+    def pieces(text: str) -> list[int]:
+        return bare.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    return WordCache(JoinedWords(whole, pieces, spec["model"]["vocab"], suffix, special).words, flat=True)
 
 
 def _packer(tokenizer_json: str, end_id: int, width: int):

@@ -76,6 +76,7 @@ ENCODE_BYTES = 2 << 20   # text encoded together
 # Words for which the tokenizer's normaliser and cut are plain: printable ASCII without an
 # apostrophe, and Latin-1 letters (all NFC; lower case maps one character to one).
 PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+PLAIN_TEXT = re.compile(rf"(?: |{PLAIN.pattern[:-1]})*")
 PIECES = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
@@ -83,33 +84,78 @@ def is_plain(word: str, special: list[str]) -> bool:
     return PLAIN.fullmatch(word) is not None and not ("<" in word and any(s in word for s in special))
 
 
+def gathered(ids: np.ndarray, begin: np.ndarray, count: np.ndarray):
+    """The runs of ``count`` ids from ``begin`` on, one after another, and where each begins (and the last ends)."""
+    before = np.zeros(len(count) + 1, np.int64)
+    np.cumsum(count, out=before[1:])
+    return ids[np.arange(before[-1]) + np.repeat(begin - before[:-1], count)], before
+
+
+# The pieces of words joined by single spaces, and the spaces between the words.
+JOINED = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+| ")
+JOINED_RUN = 1 << 12     # pieces encoded as one text
+
+
 class JoinedWords:
-    """Ids of words: plain words are encoded many at a time as one text, others one by one.
+    """Ids of words: plain words by their pieces, each new piece encoded once, many at a time as one text
+    of the library; other words one by one.
 
-    Each piece of a word ends with a token that bears the model's end-of-word suffix, so the
-    pieces counted in each word tell which ids of the joined text are its own."""
+    ``whole`` encodes a text, ``pieces`` a text of lower-case pieces with spaces between.  Each
+    piece ends with a token that bears the model's end-of-word suffix, which tells where its ids end."""
 
-    def __init__(self, whole, vocab: dict[str, int], suffix: str, special: list[str], run: int = 256):
-        self.whole, self.special, self.run = whole, special, run
+    def __init__(self, whole, pieces, vocab: dict[str, int], suffix: str, special: list[str], keep: int = KEEP):
+        self.whole, self.pieces, self.special, self.keep = whole, pieces, special, keep
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        self._clear()
 
-    def words(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(texts)
-        plain = [i for i, text in enumerate(texts) if is_plain(text, self.special)]
-        for i in set(range(len(texts))).difference(plain):
-            out[i] = self.whole(texts[i])
-        for lo in range(0, len(plain), self.run):
-            some = plain[lo:lo + self.run]
-            ids = self.whole(" ".join([texts[i] for i in some]))
-            pieces = np.cumsum([len(PIECES.findall(texts[i].lower())) for i in some])
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != pieces[-1]:
+    def _clear(self):
+        self.place: dict[str, int] = {" ": 0}  # a space has no ids
+        self.ids, self.at = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def _learn(self, fresh: list[str]) -> None:
+        ids, ends = [self.ids], [self.at]
+        for lo in range(0, len(fresh), JOINED_RUN):
+            some = fresh[lo:lo + JOINED_RUN]
+            new = np.array(self.pieces(" ".join(some)), np.uint32)
+            end = np.flatnonzero(self.closes[new]) + 1
+            if len(end) != len(some) or end[-1] != len(new):
                 raise ValueError("the tokenizer cuts words otherwise than its file says")
-            at = 0
-            for i, end in zip(some, ends[pieces - 1].tolist(), strict=True):
-                out[i], at = ids[at:end], end
-        return out
+            ends.append(end + ends[-1][-1])
+            ids.append(new)
+        self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
+        self.ids, self.at = np.concatenate(ids), np.concatenate(ends)
+
+    def _plain(self, texts: list[str]):
+        """``(ids, ids of each word)`` of plain words."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        found = JOINED.findall(" ".join(texts).lower())
+        if len(self.place) > self.keep:
+            self._clear()
+        fresh = list(dict.fromkeys(x for x in found if x not in self.place))
+        if fresh:
+            self._learn(fresh)
+        place = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
+        ids, before = gathered(self.ids, self.at[place], self.at[place + 1] - self.at[place])
+        return ids, np.diff(before[np.r_[0, np.flatnonzero(place == 0), len(found)]])
+
+    def words(self, texts: list[str]):
+        """``(ids, ids of each word)`` of words without white space."""
+        together = " ".join(texts)
+        if PLAIN_TEXT.fullmatch(together) and not any(s in together for s in self.special):
+            return self._plain(texts)
+        plain = [is_plain(text, self.special) for text in texts]
+        others = [self.whole(text) for text, good in zip(texts, plain, strict=True) if not good]
+        ids, some = self._plain([text for text, good in zip(texts, plain, strict=True) if good])
+        count = np.empty(len(texts), np.int64)
+        count[plain], rest = some, np.logical_not(plain)
+        count[rest] = np.fromiter(map(len, others), np.int64, len(others))
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(others), np.uint32)])
+        begin = np.empty(len(texts), np.int64)
+        begin[plain] = np.cumsum(some) - some
+        begin[rest] = some.sum() + np.cumsum(count[rest]) - count[rest]
+        return gathered(ids, begin, count)[0], count
 
 
 class PieceCache:
@@ -140,10 +186,11 @@ class PieceCache:
 
 
 class WordCache:
-    """Pool of the ids of the words seen so far; ``encode`` maps a list of words to id lists."""
+    """Pool of the ids of the words seen so far; ``encode`` maps a list of words to id lists, or
+    (``flat``) to all their ids and the number of each word's."""
 
-    def __init__(self, encode, keep: int = KEEP):
-        self.encode, self.keep = encode, keep
+    def __init__(self, encode, keep: int = KEEP, flat: bool = False):
+        self.encode, self.keep, self.flat = encode, keep, flat
         self._clear()
 
     def _clear(self):
@@ -153,14 +200,15 @@ class WordCache:
         self.count = 0
 
     def _add(self, fresh: list[bytes]) -> None:
-        lists = self.encode([w.decode("utf-8") for w in fresh])
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        found = self.encode(b" ".join(fresh).decode("utf-8").split(" "))
+        ids, sizes = found if self.flat else (np.fromiter(chain.from_iterable(found), np.uint32),
+                                              np.fromiter(map(len, found), np.int64, len(found)))
         ends = self.at[self.count] + np.cumsum(sizes)
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
         while self.count + len(fresh) >= len(self.at):
             self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
-        self.ids[ends[0] - sizes[0]:ends[-1]] = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        self.ids[ends[0] - sizes[0]:ends[-1]] = ids
         self.at[self.count + 1:self.count + 1 + len(fresh)] = ends
         self.place.update(zip(fresh, range(self.count, self.count + len(fresh))))
         self.count += len(fresh)
@@ -180,11 +228,8 @@ class WordCache:
         starts, ends, first = words.spans(data, offsets)
         distinct, inverse = distinct_words(data, starts, ends)
         place = self._places(distinct)[inverse]
-        begin, count = self.at[place], self.at[place + 1] - self.at[place]
-        before = np.zeros(len(count) + 1, np.int64)
-        np.cumsum(count, out=before[1:])
-        take = np.arange(before[-1]) + np.repeat(begin - before[:-1], count)
-        return self.ids[take], before[first]
+        ids, before = gathered(self.ids, self.at[place], self.at[place + 1] - self.at[place])
+        return ids, before[first]
 
 
 class WholeTexts:

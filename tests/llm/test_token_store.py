@@ -91,3 +91,28 @@ def test_hot_id_is_cut(spark, monkeypatch):
     assert most < 400
     got = token_store.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
     assert Counter(map(tuple, got)) == Counter(brute(frame, Tokenizer.from_str(spec)))
+
+
+def test_a_piece_is_encoded_once():
+    """Words that share pieces: the library meets each distinct piece once, and ids are those of whole texts."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    from ledgerlift.llm.wordcache import JoinedWords
+
+    spec = tokenizer_json()
+    library, model = Tokenizer.from_str(spec), json.loads(spec)["model"]
+    met = []
+
+    def encode(text):
+        met.extend(text.split())
+        return library.encode(text, add_special_tokens=False).ids
+    joined = JoinedWords(encode, encode, model["vocab"], model["end_of_word_suffix"], ["<|endoftext|>"])
+    plain = [f"{word}{sign}" for word in ("Stone", "\u00c0ge", "x") for sign in ("", ".", ",,", "7", "77")]
+    for texts in (plain, plain[::-1] * 2, [*plain, "it's", "<|endoftext|>", "\u65e5"], ["it's"]):
+        ids, count = joined.words(texts)
+        parts = np.split(ids, np.cumsum(count)[:-1])
+        assert [p.tolist() for p in parts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    pieces = [x for x in met if x not in ("it's", "<|endoftext|>", "\u65e5")]
+    assert sorted(pieces) == sorted({"stone", "\u00e0ge", "x", ".", ",,", "7"})
