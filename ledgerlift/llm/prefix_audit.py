@@ -11,7 +11,7 @@ complete terms that pass are the kept terms.  A rare term, however long, is
 never counted beyond its first rare prefix.
 
 *What moves.*  Texts are gathered by (language, source) once, in pieces of
-about equal size, and cut into terms.  Each task adds up its documents' counts
+about equal size, and cut into terms.  Each task adds up its documents' counts, some MB of text at once
 -- documents by (level, language, prefix), occurrences by (language, source,
 term) -- and writes those rows to the shared folder; the levels and the final
 counts are joins and sums over that table.  No row of it is a text or a
@@ -46,7 +46,7 @@ MIN_DOCS = 10
 FIRST_LEVEL = 3        # bytes of the first level's prefixes; each level doubles them
 TOP = 10
 SCALE = 1_000_000_000
-FLUSH = 1 << 18        # counters a task holds before it writes them
+FLUSH = 8 << 20        # bytes of text whose counts a task holds before it writes them (one longer text by itself)
 ROWS = 1 << 15         # rows of one output batch
 TILE = 64              # sources compared with all others at a time
 BUCKET_CELLS = 1 << 17
@@ -93,9 +93,9 @@ def _slice_counts(data, offsets, lang, group):
     text = data.tobytes()
     _, first, term = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
     starts, ends = starts[first], ends[first]  # of each distinct term
-    spelled = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    spelled = pa.array([text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
     g, t, n = _pairs(group[row], term)
-    yield OCCURRENCES, g, [spelled[i] for i in t], np.ones(len(t), bool), n
+    yield OCCURRENCES, g, spelled.take(pa.array(t)), np.ones(len(t), bool), n
     doc, t, _ = _pairs(row, term)  # each term of a document once
     level = 0
     while len(t):
@@ -106,40 +106,30 @@ def _slice_counts(data, offsets, lang, group):
         held, p, _ = _pairs(doc, prefix[t])  # each prefix of a document once
         g, p, n = _pairs(lang[held], p)
         whole = (ends - starts <= size)[example]
-        yield level, g, [spelled[i][:size] for i in example[p]], whole[p], n
+        yield level, g, pc.binary_slice(spelled.take(pa.array(example)), 0, size).take(pa.array(p)), whole[p], n
         longer = (ends - starts > size)[t]
         doc, t, level = doc[longer], t[longer], level + 1
 
 
 def _count_terms(batches):
-    """mapInArrow: (text, lang, source) -> counts of this task."""
-    counts: dict[tuple, int] = {}
-
-    def rows():
-        items = sorted(counts.items(), key=lambda x: x[0][0])
-        counts.clear()
-        for lo in range(0, len(items), ROWS):
-            level, lang, source, term, complete = zip(*[k for k, _ in items[lo:lo + ROWS]], strict=True)
-            yield pa.RecordBatch.from_pydict({
-                "level": level, "lang": lang, "source": source, "term": term, "complete": complete,
-                "n": [n for _, n in items[lo:lo + ROWS]]}, schema=_ARROW)
-
+    """mapInArrow: (text, lang, source) -> counts of each slice of rows, added up by arrays."""
     for batch in batches:
         langs, sources = (pc.fill_null(batch.column(c), "").to_pylist() for c in (1, 2))
-        for lo, hi, data, offsets in words.slices(batch.column(0)):
+        for lo, hi, data, offsets in words.slices(batch.column(0), FLUSH):
             group = {g: i for i, g in enumerate(dict.fromkeys(zip(langs[lo:hi], sources[lo:hi], strict=True)))}
             lang = {x: i for i, x in enumerate(dict.fromkeys(langs[lo:hi]))}
             group_of = np.array([group[g] for g in zip(langs[lo:hi], sources[lo:hi], strict=True)], np.int64)
             lang_of = np.array([lang[x] for x in langs[lo:hi]], np.int64)
-            groups, names = list(group), list(lang)
+            of_group, names = [pa.array(x, pa.string()) for x in zip(*group, strict=True)], pa.array(list(lang), pa.string())
             for level, of, terms, complete, n in _slice_counts(data, offsets, lang_of, group_of):
-                for g, term, whole, k in zip(of.tolist(), terms, complete.tolist(), n.tolist(), strict=True):
-                    key = (level, *groups[g], term, whole) if level == OCCURRENCES else \
-                        (level, names[g], None, term, whole)
-                    counts[key] = counts.get(key, 0) + k
-                if len(counts) > FLUSH:
-                    yield from rows()
-    yield from rows()
+                at = pa.array(of)
+                lang_source = [x.take(at) for x in of_group] if level == OCCURRENCES else \
+                    [names.take(at), pa.nulls(len(of), pa.string())]
+                rows = pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(of), level, np.int32)), *lang_source, terms, pa.array(complete), pa.array(n)],
+                    schema=_ARROW)
+                for k in range(0, len(rows), ROWS):
+                    yield rows.slice(k, ROWS)
 
 
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -125,3 +125,21 @@ def test_buckets_follow_the_cells_and_pairs_meet_once(spark):
         assert run(spark, rows) == brute(rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_tasks_rows_are_one_per_counter():
+    """Some MB of text with more than 2^18 counters in one batch: each leaves the task in one row, with its sum."""
+    from itertools import islice, product
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    terms = ["".join(x) for x in islice(product("abcdefghijklmnopqrstuvwxyz", repeat=6), 130_000)]
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(terms)] * 4 + [None, "Aaaaaa"], "lang": ["en"] * 4 + ["", None],
+                                        "source": ["s"] * 4 + [None, None]})
+    out = pa.Table.from_batches(list(pa_._count_terms([batch])))
+    keys = ["level", "lang", "source", "term", "complete"]
+    assert out.group_by(keys).aggregate([]).num_rows == out.num_rows > 1 << 18
+    rows = {tuple(r[k] for k in keys): r["n"] for r in out.filter(pc.equal(out["term"], b"aaaaaa")).to_pylist()}
+    assert rows == {(-1, "en", "s", b"aaaaaa", True): 4, (1, "en", None, b"aaaaaa", True): 4,
+                    (-1, "", "", b"aaaaaa", True): 1, (1, "", None, b"aaaaaa", True): 1}
