@@ -134,7 +134,7 @@ def test_a_tasks_rows_are_one_per_counter():
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    terms = ["".join(x) for x in islice(product("abcdefghijklmnopqrstuvwxyz", repeat=6), 130_000)]
+    terms = ["".join(x) for x in islice(product("abcdefghijklmnopqrstuvwxyz", repeat=6), 140_000)]
     batch = pa.RecordBatch.from_pydict({"text": [" ".join(terms)] * 4 + [None, "Aaaaaa"], "lang": ["en"] * 4 + ["", None],
                                         "source": ["s"] * 4 + [None, None]})
     out = pa.Table.from_batches(list(pa_._count_terms([batch])))
