@@ -16,7 +16,8 @@ of distinct shingles; the result is each document's component under links.
 3. *Global order and fragments.*  For the sets left, the exact number of sets
    that hold each shingle gives the global order (rarest first).  The order is
    cut into ``FRAGMENTS`` parts of about equal weight and every set into the
-   matching segments.  Shingles of one set alone never count towards an overlap.
+   matching segments.  Shingles of one set alone never count towards an overlap.  Shared
+   shingles are numbered here: 4 bytes each instead of their hashes' 8 from here on.
 4. *Candidates.*  Sets that share a shingle among the rarest ``n - ceil(t n) + 1``
    of both are candidates if sizes and positions still allow enough overlap.
 5. *Partial overlaps.*  Candidates meet their segments fragment by fragment, rarest first;
@@ -233,8 +234,26 @@ def _segments(buckets: int):
     return run
 
 
-def _with_frequency(table: pa.Table) -> pa.Table:
+def id_type(tokens: int) -> np.dtype:
+    """What holds the numbers of the tokens that sets share: 4 bytes while the sets have fewer than
+    2^30 tokens in all (buckets number their tokens apart, so the numbers have gaps); else the hashes stay."""
+    return np.dtype(np.uint32 if tokens < 1 << 30 else np.uint64)
+
+
+def _numbered(number: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """Distinct 4-byte values, spread evenly, of the tokens that are ``number`` in their bucket."""
+    whole = number.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+    if len(whole) and int(whole.max()) >= 1 << 32:
+        raise ValueError("a bucket has more tokens than its numbers hold")
+    return whole.astype(np.uint32) * np.uint32(0x9E3779B1)  # odd: one to one
+
+
+def _with_frequency(buckets: int, ids: np.dtype):
     """applyInArrow, one bucket: (key, tokens, frequencies) of the tokens of two or more sets."""
+    return lambda table: _frequencies(table, buckets, ids)
+
+
+def _frequencies(table: pa.Table, buckets: int, ids: np.dtype) -> pa.Table:
     token, key = _columns(table, "tokens", np.uint64), _columns(table, "sets", np.int64)
     order = np.lexsort((key, token))
     token, key = token[order], key[order]
@@ -243,6 +262,8 @@ def _with_frequency(table: pa.Table) -> pa.Table:
         token, key = token[keep], key[keep]
     _, inverse, count = np.unique(token, return_inverse=True, return_counts=True)
     often = count[inverse] > 1 if len(token) else np.zeros(0, bool)
+    if ids.itemsize == 4 and len(token):
+        token = _numbered(inverse, table.column("bucket")[0].as_py(), buckets)
     token, key, count = token[often], key[often], count[inverse][often] if len(token) else count
     order = np.argsort(key, kind="stable")
     token, key, count = token[order], key[order], count[order]
@@ -253,29 +274,31 @@ def _with_frequency(table: pa.Table) -> pa.Table:
         "key": pa.array([int(k[0]) for k, _, _ in parts], pa.int64()),
         "shared": pa.array([len(k) for k, _, _ in parts], pa.int64()),
         "tokens": pa.array([t.tobytes() for _, t, _ in parts], pa.binary()),
-        "counts": pa.array([c.astype(np.uint64).tobytes() for _, _, c in parts], pa.binary())})
+        "counts": pa.array([c.astype(ids).tobytes() for _, _, c in parts], pa.binary())})
 
 
-def _ordered(table: pa.Table) -> pa.Table:
+def _ordered(ids: np.dtype):
     """applyInArrow, one set: its shared tokens in the global order (frequency, token)."""
-    token, count = _columns(table, "tokens", np.uint64), _columns(table, "counts", np.uint64)
-    order = np.lexsort((token, count))
-    return pa.table({"key": table.column("key")[:1], "n": table.column("n")[:1],
-                     "tokens": pa.array([token[order].tobytes()], pa.binary()),
-                     "counts": pa.array([count[order].tobytes()], pa.binary())})
+    def run(table: pa.Table) -> pa.Table:
+        token, count = _columns(table, "tokens", ids), _columns(table, "counts", ids)
+        order = np.lexsort((token, count))
+        return pa.table({"key": table.column("key")[:1], "n": table.column("n")[:1],
+                         "tokens": pa.array([token[order].tobytes()], pa.binary()),
+                         "counts": pa.array([count[order].tobytes()], pa.binary())})
+    return run
 
 
-def _fragment_rows(cuts: list[tuple[int, int]]):
+def _fragment_rows(cuts: list[tuple[int, int]], ids: np.dtype):
     """mapInArrow: ordered sets -> a row per set and fragment: its segment, and the tokens after it."""
     def run(batches):
         for batch in batches:
             out = {"key": [], "fragment": [], "tokens": [], "rest": []}
             for key, tokens, counts in zip(*(batch.column(c).to_pylist() for c in ("key", "tokens", "counts")),
                                            strict=True):
-                token, count = np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.uint64)
+                token, count = np.frombuffer(tokens, ids), np.frombuffer(counts, ids)
                 at = np.zeros(len(token), np.int64)
                 for c, t in cuts:
-                    at += (count > c) | ((count == c) & (token >= np.uint64(t)))
+                    at += (count > c) | ((count == c) & (token >= ids.type(t)))
                 for f in range(len(cuts) + 1):
                     out["key"].append(key)
                     out["fragment"].append(f)
@@ -291,24 +314,24 @@ def _fragment_rows(cuts: list[tuple[int, int]]):
 FIELDS = np.dtype([("token", "<u8"), ("key", "<i8"), ("root", "<i8"), ("crowd", "<i8"), ("n", "<i4"), ("left", "<i4")])
 
 
-def _prefixes(percent: int):
+def _prefixes(percent: int, ids: np.dtype):
     """mapInArrow: ordered sets -> their prefix among the shared tokens, and how many those are."""
     def run(batches):
         for batch in batches:
             out = {"key": [], "n": [], "shared": [], "tokens": []}
             for key, n, tokens in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "tokens")), strict=True):
-                shared = len(tokens) // 8
+                shared = len(tokens) // ids.itemsize
                 # unshared tokens come first in the order and take up prefix places
                 prefix = min(n - need(n, percent) + 1 - (n - shared), shared)
                 if prefix > 0:
-                    for column, value in zip(out.values(), (key, n, shared, tokens[:8 * prefix]), strict=True):
+                    for column, value in zip(out.values(), (key, n, shared, tokens[:ids.itemsize * prefix]), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                 [("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary())]))
     return run
 
 
-def _postings(buckets: int):
+def _postings(buckets: int, ids: np.dtype):
     """mapInArrow: prefixes with their root -> packed postings per bucket."""
     def run(batches):
         for batch in batches:
@@ -316,7 +339,7 @@ def _postings(buckets: int):
             crowd = batch.column("crowd").to_pylist() if "crowd" in batch.schema.names else [0] * len(batch)
             for key, n, shared, root, tokens, c in zip(*(batch.column(c).to_pylist() for c in (
                     "key", "n", "shared", "root", "tokens")), crowd, strict=True):
-                token = np.frombuffer(tokens, np.uint64)
+                token = np.frombuffer(tokens, ids)
                 part = np.zeros(len(token), FIELDS)
                 part["crowd"] = c
                 part["token"], part["key"], part["root"], part["n"] = token, key, root, n
@@ -413,13 +436,13 @@ def _some_pairs(percent: int, turn: int):
     return run
 
 
-def _overlap(percent: int):
+def _overlap(percent: int, ids: np.dtype):
     """mapInArrow: adds the common tokens of two segments; pairs that can't link any more go."""
     def run(batches):
         for batch in batches:
             both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             rest = np.minimum(batch.column("rest_a").to_numpy(), batch.column("rest_b").to_numpy())
-            here = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+            here = [len(np.intersect1d(np.frombuffer(x, ids), np.frombuffer(y, ids), assume_unique=True))
                     for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             common = batch.column("common").to_numpy() + np.array(here, np.int64)
             least = -(-percent * both // (100 + percent))
@@ -428,7 +451,7 @@ def _overlap(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, fragments: DataFrame, parts: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, fragments: DataFrame, parts: int, percent: int, ids: np.dtype) -> DataFrame:
     """The candidate pairs that link: partial overlaps, fragment after fragment, summed per pair.
 
     After each fragment the pairs whose sum can no longer reach the bound are dropped; after
@@ -438,16 +461,16 @@ def verified(pairs: DataFrame, fragments: DataFrame, parts: int, percent: int) -
         here = fragments.filter(F.col("fragment") == f)
         pairs = (pairs.join(here.selectExpr("key as a", "tokens as x", "rest as rest_a"), "a")
                  .join(here.selectExpr("key as b", "tokens as y", "rest as rest_b"), "b")
-                 .mapInArrow(_overlap(percent), "a long, b long, na long, nb long, common long"))
+                 .mapInArrow(_overlap(percent, ids), "a long, b long, na long, nb long, common long"))
     return pairs.select("a", "b")
 
 
 _PAIRS = "a long, b long, na long, nb long"
 
 
-def _by_list(known: DataFrame, buckets: int):
+def _by_list(known: DataFrame, buckets: int, ids: np.dtype):
     """Prefixes with their root, as postings grouped by bucket of lists."""
-    return known.mapInArrow(_postings(buckets), "bucket int, postings binary").groupBy("bucket")
+    return known.mapInArrow(_postings(buckets, ids), "bucket int, postings binary").groupBy("bucket")
 
 
 def _crowd_rows(crowds: bool, percent: int):
@@ -495,18 +518,21 @@ def _members(percent: int):
     return run
 
 
-def _exploded(batches):
+def _exploded(ids: np.dtype):
     """mapInArrow: (key, crowd, n, tokens) -> a row per token."""
-    for batch in batches:
-        parts = [np.frombuffer(t, np.int64) for t in batch.column("tokens").to_pylist()]
-        size = np.array([len(p) for p in parts], np.int64)
-        if size.sum():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in ("key", "crowd", "n")]
-                + [pa.array(np.concatenate(parts))], ["key", "crowd", "n", "token"])
+    def run(batches):
+        for batch in batches:
+            parts = [np.frombuffer(t, ids) for t in batch.column("tokens").to_pylist()]
+            size = np.array([len(p) for p in parts], np.int64)
+            if size.sum():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in ("key", "crowd", "n")]
+                    + [pa.array(np.concatenate(parts).astype(np.int64))], ["key", "crowd", "n", "token"])
+    return run
 
 
-def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int, percent: int) -> DataFrame:
+def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int, percent: int,
+                ids: np.dtype) -> DataFrame:
     """Every pair of different components that may still link.
 
     A component of ``CROWD`` sets or more is first met by units: its sets of about one size.
@@ -517,15 +543,15 @@ def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int
     crowd = freeze(known.groupBy("root").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") >= CROWD)
                    .select(F.col("root").alias("crowd_root")), "near-crowds")
     if crowd.isEmpty():
-        return _by_list(known, buckets).applyInArrow(_all_pairs(percent), _PAIRS).distinct()
+        return _by_list(known, buckets, ids).applyInArrow(_all_pairs(percent), _PAIRS).distinct()
     band = F.floor(F.log("n") / F.log(F.lit(BAND)))
     marked = freeze_packed(known.join(crowd, F.col("root") == F.col("crowd_root"), "left").withColumn(
         "crowd", F.when(F.col("crowd_root").isNull(), 0).otherwise(F.xxhash64("root", band))).drop("crowd_root"),
         "near-known")
     members = marked.filter("crowd <> 0")
     units = members.groupBy("crowd").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("root").alias("home"))
-    plain = _by_list(marked, buckets).applyInArrow(_crowd_rows(False, percent), _PAIRS).distinct()
-    asked = _by_list(marked, buckets).applyInArrow(
+    plain = _by_list(marked, buckets, ids).applyInArrow(_crowd_rows(False, percent), _PAIRS).distinct()
+    asked = _by_list(marked, buckets, ids).applyInArrow(
         _crowd_rows(True, percent), "key long, crowd long, n long").distinct()
     # sizes must fit; what is needed with the smallest set that does
     least = f"ceil({percent} * (n + greatest(low, ceil({percent} * n / 100))) / {100 + percent})"
@@ -533,8 +559,8 @@ def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int
                    .selectExpr("key", "crowd", f"{least} as n", "home", "n as size"), "near-asked")
     row = "key long, crowd long, n long, token long"
     union = (fragments.join(members.select("key", "crowd", "n"), "key").select("key", "crowd", "n", "tokens")
-             .mapInArrow(_exploded, row).select("crowd", "token").distinct())
-    own = fragments.join(asked, "key").select("key", "crowd", "n", "tokens").mapInArrow(_exploded, row)
+             .mapInArrow(_exploded(ids), row).select("crowd", "token").distinct())
+    own = fragments.join(asked, "key").select("key", "crowd", "n", "tokens").mapInArrow(_exploded(ids), row)
     enough = (own.join(union, ["crowd", "token"]).groupBy("key", "crowd", "n").agg(F.count(F.lit(1)).alias("c"))
               .filter("c >= n").select("key", "crowd"))
     able = freeze(asked.drop("n").join(enough, ["key", "crowd"]), "near-able")
@@ -543,16 +569,16 @@ def _last_pairs(known: DataFrame, fragments: DataFrame, buckets: int, parts: int
     tried = freeze(able.join(hubs, "crowd").selectExpr(
         "key", "home", "least(key, hub) as a", "greatest(key, hub) as b",
         "if(key < hub, size, hub_size) as na", "if(key < hub, hub_size, size) as nb"), "near-tried")
-    hits = tried.join(freeze(verified(tried.select("a", "b", "na", "nb").distinct(), fragments, parts, percent),
+    hits = tried.join(freeze(verified(tried.select("a", "b", "na", "nb").distinct(), fragments, parts, percent, ids),
                              "near-hits"), ["a", "b"])
     rest = able.join(hits.select("key", "home").distinct(), ["key", "home"], "left_anti").select("key", "crowd")
     asks = marked.drop("crowd").join(rest, "key")
     has = members.withColumn("root", F.col("crowd")).withColumn("crowd", F.lit(0).cast("long"))
-    pairs = _by_list(asks.unionByName(has), buckets).applyInArrow(_members(percent), _PAIRS)
+    pairs = _by_list(asks.unionByName(has), buckets, ids).applyInArrow(_members(percent), _PAIRS)
     return plain.union(pairs).union(hits.select("a", "b", "na", "nb")).distinct()
 
 
-def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
+def global_cuts(ordered: DataFrame, parts: int, ids: np.dtype) -> list[tuple[int, int]]:
     """Places that cut the global order (frequency, token) into parts of about equal weight.
 
     Frequencies are first summed by their power of two (at most 64 rows reach
@@ -561,19 +587,20 @@ def global_cuts(ordered: DataFrame, parts: int) -> list[tuple[int, int]]:
         total = np.zeros(64, np.int64)
         for batch in batches:
             for blob in batch.column("counts").to_pylist():
-                total += np.bincount(np.log2(np.frombuffer(blob, np.uint64)).astype(int), minlength=64)
+                total += np.bincount(np.log2(np.frombuffer(blob, ids).astype(np.float64)).astype(int), minlength=64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"power": pa.array(at, pa.int32()), "weight": pa.array(total[at])})
     rows = (ordered.select("counts").mapInArrow(run, "power int, weight long")
             .groupBy("power").agg(F.sum("weight").alias("weight")).orderBy("power").collect())
     total, before, cuts = sum(r["weight"] for r in rows), 0, []
+    bits = 8 * ids.itemsize
     for r in rows:
         while len(cuts) < parts - 1 and before + r["weight"] > total * (len(cuts) + 1) / parts:
             inside = (total * (len(cuts) + 1) / parts - before) / r["weight"]
             # from this power's first frequency on, in proportion over its range
             span = 1 << r["power"]
             count, rest = divmod(inside * span, 1)
-            cuts.append((span + int(count), min(int(rest * 2.0 ** 64), 2 ** 64 - 1)))
+            cuts.append((span + int(count), min(int(rest * 2.0 ** bits), 2 ** bits - 1)))
         before += r["weight"]
     return cuts
 
@@ -598,28 +625,28 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                   .selectExpr("key", "n", "one.doc as doc", "one.at as at"), "live-sets")
 
     # 3: whole sets of what is left, the global order and its fragments
-    live_bytes = 16 * int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    buckets = max(1, -(-live_bytes // (16 << 20)))
+    live_tokens = int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    buckets, ids = max(1, -(-live_tokens // (1 << 20))), id_type(live_tokens)
     one = live.select(F.col("doc").alias("live_doc"), F.col("at").alias("live_at"), "key")
     whole = texts.join(one, F.col("doc").eqNullSafe(F.col("live_doc")) & (F.col("at") == F.col("live_at"))) \
         .select("key", "text")
     counted = freeze_packed(
         whole.mapInArrow(_segments(buckets), "bucket int, tokens binary, sets binary")
-        .groupBy("bucket").applyInArrow(_with_frequency, "key long, shared long, tokens binary, counts binary"),
+        .groupBy("bucket").applyInArrow(_with_frequency(buckets, ids), "key long, shared long, tokens binary, counts binary"),
         "counted")
     sizes = live.groupBy("key").agg(F.first("n").alias("n"))
     alive = (counted.groupBy("key").agg(F.sum("shared").alias("shared")).join(sizes, "key")
              .filter(f"100 * shared >= {percent} * n").select("key", "n"))
     ordered = freeze_packed(counted.join(alive, "key").groupBy("key").applyInArrow(
-        _ordered, "key long, n long, tokens binary, counts binary"), "ordered")
+        _ordered(ids), "key long, n long, tokens binary, counts binary"), "ordered")
     drop_frozen(counted, live)  # spent tables leave the shared folder
-    cuts = global_cuts(ordered, FRAGMENTS)
+    cuts = global_cuts(ordered, FRAGMENTS, ids)
     fragments = freeze_packed(ordered.mapInArrow(
-        _fragment_rows(cuts), "key long, fragment int, tokens binary, rest int"), "fragments")
+        _fragment_rows(cuts, ids), "key long, fragment int, tokens binary, rest int"), "fragments")
 
     # 4 and 5: rounds of candidates, verified by fragment
     prefixes = freeze_packed(ordered.select("key", "n", "tokens").mapInArrow(
-        _prefixes(percent), "key long, n long, shared long, tokens binary"), "prefixes")
+        _prefixes(percent, ids), "key long, n long, shared long, tokens binary"), "prefixes")
     drop_frozen(ordered)
     roots, turn, last = None, 0, False
     while True:
@@ -627,15 +654,15 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                  prefixes.join(roots, F.col("key") == F.col("node"), "left")
                  .withColumn("root", F.coalesce("root", "key"))).select("key", "n", "shared", "root", "tokens")
         if last:
-            pairs = _last_pairs(known, fragments, buckets, len(cuts) + 1, percent)
+            pairs = _last_pairs(known, fragments, buckets, len(cuts) + 1, percent, ids)
         else:
-            pairs = (_by_list(known, buckets).applyInArrow(_some_pairs(percent, turn), _PAIRS).distinct()
+            pairs = (_by_list(known, buckets, ids).applyInArrow(_some_pairs(percent, turn), _PAIRS).distinct()
                      .selectExpr("*", f"row_number() over (partition by a order by xxhash64(b, {turn}L), b) as r")
                      .filter(f"r <= {RING_DEGREE}").drop("r"))
         pairs = freeze(pairs, "near-pairs")
         n_pairs, n_found = pairs.count(), 0
         if n_pairs:
-            found = freeze(verified(pairs, fragments, len(cuts) + 1, percent), "near-links")
+            found = freeze(verified(pairs, fragments, len(cuts) + 1, percent, ids), "near-links")
             n_found = found.count()
             if n_found:
                 links = found if roots is None else found.union(roots.select("node", "root"))

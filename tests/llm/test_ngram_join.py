@@ -149,3 +149,26 @@ def test_null_and_repeated_ids(spark):
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(df) == brute(rows)
+
+
+def test_shared_shingles_are_numbered():
+    """The shared tokens of all buckets get distinct numbers of 4 bytes; many tokens keep their hashes."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(4)
+    tokens, buckets, seen, sets = np.unique(rnd.integers(0, 1 << 63, 900).astype(np.uint64)), 3, {}, {}
+    for ids in (ngram_join.id_type(1 << 20), ngram_join.id_type(1 << 31)):
+        seen.clear(), sets.clear()
+        for bucket, at in ngram_join.by_bucket(tokens, buckets):
+            mine = tokens[at]
+            table = pa.table({"bucket": pa.array([bucket] * 2, pa.int32()),
+                              "tokens": [mine.tobytes(), mine[:len(mine) // 2].tobytes()],
+                              "sets": [np.full(len(mine), 7).tobytes(), np.full(len(mine) // 2, 8).tobytes()]})
+            for row in ngram_join._with_frequency(buckets, ids)(table).to_pylist():
+                number = np.frombuffer(row["tokens"], ids)
+                assert len(number) == row["shared"] == len(mine) // 2
+                assert (np.frombuffer(row["counts"], ids) == 2).all()
+                sets.setdefault(row["key"], []).extend(number.tolist())
+        assert len(set(sets[7])) == len(sets[7]) and sorted(sets[7]) == sorted(sets[8])
+        assert ids.itemsize == 8 or max(sets[7]) < 1 << 32
