@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm import words
 from ledgerlift.llm.common import bucket_count, only, total_bytes
-from ledgerlift.llm.wordcache import ENCODE_BYTES, JoinedWords, WholeTexts, WordCache, by_words, kept
+from ledgerlift.llm.wordcache import ENCODE_BYTES, JoinedWords, WholeTexts, by_words, kept
 
 MAGIC = b"EFTOKEN1"
 HEAD = "<8sIIIIQ"
@@ -134,7 +134,7 @@ class Block:
         return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
 
-def _encoder(tokenizer_json: str) -> WordCache | WholeTexts:
+def _encoder(tokenizer_json: str) -> JoinedWords | WholeTexts:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
     from tokenizers import Tokenizer
 
@@ -157,7 +157,7 @@ def _encoder(tokenizer_json: str) -> WordCache | WholeTexts:
 
     def pieces(text: str) -> list[int]:
         return bare.encode_batch_fast([text], add_special_tokens=False)[0].ids
-    return WordCache(JoinedWords(whole, pieces, spec["model"]["vocab"], suffix, special).words, flat=True)
+    return JoinedWords(whole, pieces, spec["model"]["vocab"], suffix, special)
 
 
 def _packer(tokenizer_json: str, end_id: int, width: int):

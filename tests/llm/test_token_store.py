@@ -116,3 +116,52 @@ def test_a_piece_is_encoded_once():
         assert [p.tolist() for p in parts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
     pieces = [x for x in met if x not in ("it's", "<|endoftext|>", "\u65e5")]
     assert sorted(pieces) == sorted({"stone", "\u00e0ge", "x", ".", ",,", "7"})
+
+
+def joined_words(whole, pieces):
+    import json
+
+    from ledgerlift.llm.wordcache import JoinedWords
+
+    model = json.loads(tokenizer_json())["model"]
+    return JoinedWords(whole, pieces, model["vocab"], model["end_of_word_suffix"], ["<|startoftext|>", "<|endoftext|>"])
+
+
+def test_many_pieces_are_kept():
+    """Pieces of a corpus with more than 400,000 distinct ones are met once, not again slice after slice."""
+    met = []
+
+    def encode(text):
+        met.append(text.count(" ") + 1)
+        return [stop] * met[-1]
+    joined = joined_words(encode, encode)
+    stop = int(np.flatnonzero(joined.closes)[0])
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = ["".join(x) for x in letters[np.arange(420_000)[:, None] // 26 ** np.arange(4) % 26]]
+    for _ in range(2):
+        ids, count = joined.words(texts)
+        assert len(ids) == 420_000 and (count == 1).all()
+    assert sum(met) == 420_000
+
+
+@pytest.mark.parametrize("equal", [1 << 64, 50])
+def test_ids_of_slices(monkeypatch, equal):
+    """Whole slices of odd texts, also if many unequal pieces have an equal hash."""
+    from tokenizers import Tokenizer
+
+    from ledgerlift.llm import words
+    from ledgerlift.llm.token_store import _encoder
+
+    hashes = words.hashes
+    monkeypatch.setattr(words, "hashes", lambda *a: hashes(*a) if equal == 1 << 64 else hashes(*a) % np.uint64(equal))
+    library, rnd = Tokenizer.from_str(tokenizer_json()), random.Random(5)
+    parts = [*"aZ09.,-<>|'\t\n\r\v\f \x00\x1c\x7f µÀÖ×ØÞßö÷ÿİ́ 日\U0001f600",
+             " ", " ", " ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "it's", "Stone", "x" * 30 + "yz", "x" * 30 + "zz", "ÉtÉ"]
+    encoder = _encoder(tokenizer_json())
+    for _ in range(30):
+        texts = ["".join(rnd.choices(parts, k=rnd.choice([0, 1, 3, 40]))) for _ in range(rnd.choice([1, 5, 60]))]
+        blobs = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, blobs)])
+        ids, at = encoder.ids_of(np.frombuffer(b"".join(blobs), np.uint8), offsets)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] \
+            == [library.encode(t, add_special_tokens=False).ids for t in texts]
