@@ -238,6 +238,17 @@ def _or_parts(batches):
                                       "bits": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
 
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """The filter of a column of 64-bit keys, ``FILTER_BYTES`` at most, on the driver."""
+    size = filter_bytes(keys.count())
+    parts = (keys.mapInArrow(_filter_parts(size), "part int, bits binary")
+             .repartition("part").mapInArrow(_or_parts, "part int, bits binary").collect())
+    bits = np.zeros(size, np.uint8)
+    for r in parts:
+        bits[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
 def _documents(bits, widths):
     def run(batches):
         templates = Templates()
@@ -331,12 +342,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     widths = sorted(r[0] for r in items.select(F.expr("length(slots) div 8")).distinct().collect())
     if not widths:
         widths = [WINDOW]
-    size = filter_bytes(items.count())
-    parts = (items.select("key").mapInArrow(_filter_parts(size), "part int, bits binary")
-             .repartition("part").mapInArrow(_or_parts, "part int, bits binary").collect())  # FILTER_BYTES at most
-    bits = np.zeros(size, np.uint8)
-    for r in parts:
-        bits[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["bits"], np.uint8)
+    bits = key_filter(items.select("key"))
     texts = only(docs, doc=id_col, text=text_col).withColumn("doc", F.col("doc").cast("long"))
     found = freeze_packed(texts.mapInArrow(_documents(spark.sparkContext.broadcast(bits), widths), _DOC_ROWS)
                           .distinct(), "document-windows")

@@ -13,7 +13,8 @@ of distinct shingles; the result is each document's component under links.
    prefixes (3/8 of the shingles) are dealt out, packed by hash bucket; a
    shingle that many sets hold is counted inside each batch and leaves it in
    at most two entries.  Sets with too few shared shingles can't link and go.
-3. *Global order and fragments.*  For the sets left, the exact number of sets
+3. *Global order and fragments.*  The texts of the sets left are read again from one row each,
+   thinned by a filter before they move.  For these sets, the exact number of sets
    that hold each shingle gives the global order (rarest first).  The order is
    cut into ``FRAGMENTS`` parts of about equal weight and every set into the
    matching segments.  Shingles of one set alone never count towards an overlap.  Shared
@@ -54,6 +55,7 @@ from pyspark.sql import types as T
 from ledgerlift.llm import words
 from ledgerlift.llm.common import bucket_count, drop_frozen, freeze, freeze_packed, only, total_bytes
 from ledgerlift.llm.components import components
+from ledgerlift.llm.decontaminate import filter_has, key_filter
 
 WORDS = 5
 PERCENT = 75
@@ -205,6 +207,29 @@ def _count_shared(table: pa.Table) -> pa.Table:
     return pa.concat_tables([passed, counts.select(passed.column_names)])
 
 
+def _passing(bits):
+    """mapInArrow: the rows whose ``row`` key is in a broadcast filter (few others pass, and none is lost)."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(filter_has(bits.value, batch.column("row").to_numpy().view(np.uint64))))
+    return run
+
+
+def rows_of_sets(texts: DataFrame, live: DataFrame) -> DataFrame:
+    """``key, text`` of the rows (doc, at) that ``live`` names.
+
+    The texts that move are those that pass a filter of the rows, 16 bits each and 16 MB at most: about
+    one text more in seventy of the others while there are fewer than 8 million rows, more beyond."""
+    row = F.xxhash64("doc", "at").alias("row")
+    bits = texts.sparkSession.sparkContext.broadcast(key_filter(live.select(row)))
+    some = texts.select("doc", "at", "text", row)
+    some = some.mapInArrow(_passing(bits), some.schema)
+    one = live.select(F.col("doc").alias("live_doc"), F.col("at").alias("live_at"), "key")
+    # always by a shuffle: a broadcast would keep two Python workers a task, here and behind the join
+    return some.join(one.hint("merge"), F.col("doc").eqNullSafe(F.col("live_doc")) & (F.col("at") == F.col("live_at"))) \
+        .select("key", "text")
+
+
 def _segments(buckets: int):
     """mapInArrow: (key, text) -> packed (token, set index) per bucket, whole sets."""
     def run(batches):
@@ -627,11 +652,8 @@ def _named_sets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # 3: whole sets of what is left, the global order and its fragments
     live_tokens = int(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     buckets, ids = max(1, -(-live_tokens // (1 << 20))), id_type(live_tokens)
-    one = live.select(F.col("doc").alias("live_doc"), F.col("at").alias("live_at"), "key")
-    whole = texts.join(one, F.col("doc").eqNullSafe(F.col("live_doc")) & (F.col("at") == F.col("live_at"))) \
-        .select("key", "text")
     counted = freeze_packed(
-        whole.mapInArrow(_segments(buckets), "bucket int, tokens binary, sets binary")
+        rows_of_sets(texts, live).mapInArrow(_segments(buckets), "bucket int, tokens binary, sets binary")
         .groupBy("bucket").applyInArrow(_with_frequency(buckets, ids), "key long, shared long, tokens binary, counts binary"),
         "counted")
     sizes = live.groupBy("key").agg(F.first("n").alias("n"))

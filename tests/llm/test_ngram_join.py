@@ -172,3 +172,20 @@ def test_shared_shingles_are_numbered():
                 sets.setdefault(row["key"], []).extend(number.tolist())
         assert len(set(sets[7])) == len(sets[7]) and sorted(sets[7]) == sorted(sets[8])
         assert ids.itemsize == 8 or max(sets[7]) < 1 << 32
+
+
+def test_only_texts_of_sets_that_can_link_move(spark):
+    """Of 900 rows, 30 named by a set, some without an id, one of many equal ones: few others reach the join."""
+    from pyspark.sql import functions as F
+
+    texts = spark.createDataFrame([(None if i % 7 == 0 else i % 300, f"text {i % 450}") for i in range(900)],
+                                  "doc long, text string").withColumn("at", F.xxhash64("text"))
+    named = texts.dropDuplicates(["doc", "at"]).orderBy("at").limit(30)
+    live = spark.createDataFrame(named.select(F.hash("doc", "at").cast("long").alias("key"), "doc", "at").collect(),
+                                 "key long, doc long, at long")
+    want = sorted((r.key, t.text) for r in live.collect() for t in texts.collect() if (t.doc, t.at) == (r.doc, r.at))
+    found = ngram_join.rows_of_sets(texts, live)
+    assert sorted(map(tuple, found.collect())) == want and len(want) >= 30
+    moved = texts.select("*", F.xxhash64("doc", "at").alias("row"))
+    bits = spark.sparkContext.broadcast(ngram_join.key_filter(live.select(F.xxhash64("doc", "at").alias("row"))))
+    assert len(want) <= moved.mapInArrow(ngram_join._passing(bits), moved.schema).count() <= len(want) + 30
